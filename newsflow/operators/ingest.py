@@ -174,3 +174,12 @@ def feed_health(entries: DataFrame, sample: int = 3, preview: int = 100) -> Data
                       F.substring(F.coalesce(F.col("summary"), F.lit("")), 1, preview).alias("summary_preview"),
                       F.substring(content_text, 1, preview).alias("content_preview")))
     return counts.join(firsts, "feed_url")
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Concatenate feeds (UNION ALL by column name; duplicates were removed
+    upstream)."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

@@ -47,7 +47,7 @@ def rerank(cands: DataFrame, query_col: str = "query_text", doc_col: str = "doc_
         df_ = ov.groupBy(group, "tok").agg(F.count(F.lit(1)).alias("_df"))
         score = (ov.join(df_, [group, "tok"]).join(n, group)
                  .groupBy(group, "id")
-                 .agg(F.sum(F.log((F.col("_n") + 1) / (F.col("_df") + 1)) + 1).alias("rerank_score")))
+                 .agg(F.round(F.sum(F.log((F.col("_n") + 1) / (F.col("_df") + 1)) + 1), 9).alias("rerank_score")))
         scored = cands.join(score, [group, "id"], "left").withColumn(
             "rerank_score", F.coalesce(F.col("rerank_score"), F.lit(0.0)))
     # a NULL score (failed model call) keeps the vector order

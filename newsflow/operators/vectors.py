@@ -71,7 +71,7 @@ def match_projection(matches: DataFrame) -> DataFrame:
         F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"),
         F.col("similarity_score").cast("double").alias("similarity_score"),
         F.coalesce(F.col("content_preview"), F.lit("")).alias("content_preview"),
-        *[c for c in ("query_id", "rank", "rerank_score") if c in matches.columns],
+        *[c for c in ("query_id", "rank", "rerank_score", "final_pos") if c in matches.columns],
     )
 
 
@@ -92,8 +92,10 @@ def topk_search(scored: DataFrame, n: int, threshold: float | None = C.SIMILARIT
         raise ValueError("n must be >= 1")
     if threshold is not None:
         scored = scored.filter(F.col(score) >= threshold)
-    top = scored.orderBy(F.desc(score), F.asc("id")).limit(n)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(score), F.asc("id"))))
+    # order on the score rounded to 1e-9 so that ulp noise cannot reorder exact ties
+    key = F.round(F.col(score), 9)
+    top = scored.orderBy(key.desc(), F.asc("id")).limit(n)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.round(F.col(score), 9).desc(), F.asc("id"))))
 
 
 def similar_by_id(vectors: DataFrame, source_id, n: int = C.MAX_RESULTS, exclude_source: bool = True,
@@ -119,13 +121,14 @@ PAIR_SCHEMA = Ty.StructType([
 def _block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int | None, chunk: int = 1024):
     """pandas function for one (probe block, build block) group."""
 
+    # columns arrive by position: id, vec | (idx, val), pb, bb
     def to_matrix(pdf: pd.DataFrame) -> np.ndarray:
         if dim is None:                                     # dense ARRAY<FLOAT|DOUBLE>
             if len(pdf) == 0:
                 return np.zeros((0, 0))
-            return np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"].values])
+            return np.stack([np.asarray(v, dtype=np.float64) for v in pdf.iloc[:, 1].values])
         m = np.zeros((len(pdf), dim))                      # sparse (idx, val) -> dense
-        for r, (idx, val) in enumerate(zip(pdf["idx"].values, pdf["val"].values)):
+        for r, (idx, val) in enumerate(zip(pdf.iloc[:, 1].values, pdf.iloc[:, 2].values)):
             np.add.at(m[r], np.asarray(idx, dtype=np.int64), np.asarray(val, dtype=np.float64))
         return m
 
@@ -135,13 +138,15 @@ def _block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int
                                  "score": pd.Series([], dtype="float64")})
         P, B = to_matrix(probe), to_matrix(build)
         pn, bn = np.linalg.norm(P, axis=1), np.linalg.norm(B, axis=1)
-        pid, bid = probe["id"].to_numpy(np.int64), build["id"].to_numpy(np.int64)
+        pid, bid = probe.iloc[:, 0].to_numpy(np.int64), build.iloc[:, 0].to_numpy(np.int64)
         out_i, out_j, out_s = [], [], []
         kk = min(k, len(bid))
         for lo in range(0, len(pid), chunk):            # bounded memory: chunk x |build| scores
             with np.errstate(divide="ignore", invalid="ignore"):
                 S = (P[lo:lo + chunk] @ B.T) / np.outer(pn[lo:lo + chunk], bn)
             S[~np.isfinite(S)] = -np.inf                   # zero norm -> no score
+            raw = S
+            S = np.round(S, 9)                             # ulp noise must not order exact ties
             if exclude_self:
                 S[pid[lo:lo + chunk, None] == bid[None, :]] = -np.inf
             if threshold is not None:
@@ -155,7 +160,7 @@ def _block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int
             r, c = np.nonzero(keep)
             out_i.append(pid[lo + r])
             out_j.append(bid[c])
-            out_s.append(S[r, c])
+            out_s.append(raw[r, c])
         return pd.DataFrame({"id": np.concatenate(out_i), "neighbor_id": np.concatenate(out_j),
                              "score": np.concatenate(out_s)})
 
@@ -181,12 +186,15 @@ def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
     p = (probe.select("id", *vec_cols)
          .withColumn("pb", F.pmod(F.xxhash64("id"), nb_probe).cast("int"))
          .withColumn("bb", F.explode(F.sequence(F.lit(0), nb_build - 1))))
-    b = (build.select("id", *vec_cols)
-         .withColumn("bb", F.pmod(F.xxhash64("id"), nb_build).cast("int"))
-         .withColumn("pb", F.explode(F.sequence(F.lit(0), nb_probe - 1))))
+    # the build side gets its own column names: a self-cogroup (probe is build)
+    # must not resolve both sides to the same attributes
+    b = (build.select(F.col("id").alias("b_id"), *[F.col(c).alias("b_" + c) for c in vec_cols])
+         .withColumn("bb", F.pmod(F.xxhash64("b_id"), nb_build).cast("int"))
+         .withColumn("pb", F.explode(F.sequence(F.lit(0), nb_probe - 1)))
+         .select("b_id", *["b_" + c for c in vec_cols], "pb", "bb"))
     fn = _block_topk_fn(k, threshold, exclude_self, sparse_dim)
     pairs = p.groupBy("pb", "bb").cogroup(b.groupBy("pb", "bb")).applyInPandas(fn, PAIR_SCHEMA)
-    w = Window.partitionBy("id").orderBy(F.desc("score"), F.asc("neighbor_id"))
+    w = Window.partitionBy("id").orderBy(F.round("score", 9).desc(), F.asc("neighbor_id"))
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

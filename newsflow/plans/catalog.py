@@ -259,3 +259,503 @@ SELECT conv_id, turn, {S.strip('text')} AS text FROM conversations""")
 def q_strip(spark, sf):
     c = TB.read_table(spark, sf, "conversations")
     return c.select("conv_id", "turn", T.strip(F.col("text")).alias("text"))
+
+
+# ======================================================================================
+# 2.1 / 2.5 / 2.6 ingest: feeds, caps, dedup, statistics
+# ======================================================================================
+
+E_SQL = "WITH " + S.entries_cte()
+
+
+def _capped_entries(spark, sf):
+    return IN.cap_per_feed(TB.page_entries(spark, sf))
+
+
+def _seen_prev(spark, sf):
+    """``seen`` of the previous run: hashes of the articles published before it."""
+    prev = TB.raw_articles(spark, sf).filter(F.col("date") < PREV_RUN_CUTOFF)
+    return IN.seen_hashes(prev)
+
+
+CAPPED_SQL = f""",
+capped AS (SELECT a.* FROM articles a JOIN (
+    SELECT page_id FROM (SELECT page_id, row_number() OVER (PARTITION BY feed_url ORDER BY entry_pos) AS rn
+                         FROM entries) WHERE rn <= {C.MAX_PER_FEED}) c USING (page_id)),
+seen AS (SELECT DISTINCT {S.md5_of('title', 'url')} AS article_hash FROM articles
+         WHERE date < {S.q(PREV_RUN_CUTOFF)}),
+firsts AS (SELECT * FROM (SELECT *, {S.md5_of('title', 'url')} AS dedup_key,
+    row_number() OVER (PARTITION BY {S.md5_of('title', 'url')} ORDER BY source_feed, entry_pos) AS r
+    FROM capped) WHERE r = 1),
+new AS (SELECT * FROM firsts WHERE dedup_key NOT IN (SELECT article_hash FROM seen))"""
+
+
+@register("cap_per_feed", E_SQL + f"""
+SELECT feed_url, page_id, rn AS feed_rank FROM (
+  SELECT feed_url, page_id, row_number() OVER (PARTITION BY feed_url ORDER BY entry_pos) AS rn FROM entries)
+WHERE rn <= {C.MAX_PER_FEED}""")
+def q_cap_per_feed(spark, sf):
+    e = TB.page_entries(spark, sf)
+    from pyspark.sql import Window
+    w = Window.partitionBy("feed_url").orderBy("entry_pos")
+    return (IN.cap_per_feed(e).withColumn("feed_rank", F.row_number().over(w))
+            .select("feed_url", "page_id", "feed_rank"))
+
+
+@register("new_articles", A_SQL + CAPPED_SQL + """
+SELECT dedup_key, id, page_id, source_feed, title, url FROM new""")
+def q_new_articles(spark, sf):
+    raw = IN.parse_entry(_capped_entries(spark, sf))
+    new = IN.new_articles(raw, _seen_prev(spark, sf))
+    return new.select("dedup_key", "id", "page_id", "source_feed", "title", "url")
+
+
+@register("seen_union", A_SQL + CAPPED_SQL + """
+SELECT article_hash FROM seen UNION SELECT dedup_key FROM new""")
+def q_seen_union(spark, sf):
+    raw = IN.parse_entry(_capped_entries(spark, sf))
+    seen = _seen_prev(spark, sf)
+    new = IN.new_articles(raw, seen)
+    return IN.seen_union(seen, new.select(F.col("dedup_key").alias("article_hash")))
+
+
+@register("fetch_stats", A_SQL + CAPPED_SQL + """
+SELECT CASE GROUPING(category, source_feed) WHEN 3 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS level,
+  coalesce(category, '') AS category, coalesce(source_feed, '') AS source_feed, count(*) AS new_articles
+FROM new GROUP BY ROLLUP (category, source_feed)""")
+def q_fetch_stats(spark, sf):
+    raw = IN.parse_entry(_capped_entries(spark, sf))
+    return IN.fetch_stats(IN.new_articles(raw, _seen_prev(spark, sf)))
+
+
+@register("feed_health", E_SQL + """,
+cnt AS (SELECT feed_url, count(*) AS entries,
+    count(*) FILTER (WHERE coalesce(title, '') = '') AS missing_title,
+    count(*) FILTER (WHERE coalesce(link, '') = '') AS missing_link,
+    count(*) FILTER (WHERE coalesce(summary, '') = '') AS missing_summary,
+    count(*) FILTER (WHERE coalesce(published, '') = '') AS missing_date,
+    count(*) FILTER (WHERE NOT (article_html <> '' OR coalesce(description, '') <> '')) AS missing_content
+  FROM entries GROUP BY feed_url),
+smp AS (SELECT * FROM (SELECT feed_url, row_number() OVER (PARTITION BY feed_url ORDER BY entry_pos) AS sample_pos,
+    coalesce(title, '') AS sample_title, coalesce(link, '') AS sample_link,
+    left(coalesce(summary, ''), 100) AS summary_preview,
+    left(CASE WHEN article_html <> '' THEN article_html ELSE coalesce(nullif(description, ''), '') END, 100)
+      AS content_preview
+  FROM entries) WHERE sample_pos <= 3)
+SELECT * FROM cnt JOIN smp USING (feed_url)""")
+def q_feed_health(spark, sf):
+    return IN.feed_health(TB.page_entries(spark, sf))
+
+
+def _registry(spark, sf):
+    from ..sources import feeds as FD
+    return FD.registry_from_entries(TB.page_entries(spark, sf))
+
+
+@register("feed_registry", E_SQL + """
+SELECT category, row_number() OVER (PARTITION BY category ORDER BY feed_url) - 1 AS feed_pos, feed_url
+FROM (SELECT DISTINCT feed_category AS category, feed_url FROM entries)""")
+def q_feed_registry(spark, sf):
+    return _registry(spark, sf).select("category", "feed_pos", "feed_url")
+
+
+@register("available_categories", E_SQL + "\nSELECT DISTINCT feed_category AS category FROM entries")
+def q_available_categories(spark, sf):
+    from ..sources import feeds as FD
+    return FD.available_categories(_registry(spark, sf))
+
+
+FETCH_SQL = f""",
+reg AS (SELECT category, row_number() OVER (PARTITION BY category ORDER BY feed_url) - 1 AS feed_pos, feed_url
+        FROM (SELECT DISTINCT feed_category AS category, feed_url FROM entries)),
+capped AS (SELECT a.*, reg.feed_pos FROM articles a JOIN (
+    SELECT page_id FROM (SELECT page_id, row_number() OVER (PARTITION BY feed_url ORDER BY entry_pos) AS rn
+                         FROM entries) WHERE rn <= {C.MAX_PER_FEED}) c USING (page_id)
+    JOIN reg ON reg.feed_url = a.source_feed),
+seen AS (SELECT DISTINCT {S.md5_of('title', 'url')} AS article_hash FROM articles
+         WHERE date < {S.q(PREV_RUN_CUTOFF)}),
+firsts AS (SELECT * FROM (SELECT *, {S.md5_of('title', 'url')} AS dedup_key,
+    row_number() OVER (PARTITION BY {S.md5_of('title', 'url')} ORDER BY category, feed_pos, entry_pos) AS r
+    FROM capped) WHERE r = 1),
+new AS (SELECT * FROM firsts WHERE dedup_key NOT IN (SELECT article_hash FROM seen))"""
+
+
+@register("fetch_all_feeds", A_SQL + FETCH_SQL + """
+SELECT dedup_key, id, page_id, category, feed_pos, source_feed, title FROM new""")
+def q_fetch_all_feeds(spark, sf):
+    from ..sources import feeds as FD
+    new = FD.fetch_all_feeds(TB.page_entries(spark, sf), _registry(spark, sf), _seen_prev(spark, sf))
+    return new.select("dedup_key", "id", "page_id", "category", "feed_pos", "source_feed", "title")
+
+
+@register("fetch_by_category", A_SQL + FETCH_SQL + f"""
+SELECT dedup_key, id, page_id, category, feed_pos, source_feed, title FROM (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY feed_pos, entry_pos) AS r2
+                 FROM (SELECT c.*, {S.md5_of('title', 'url')} AS dedup_key FROM capped c
+                       WHERE category = {S.q(FEED_CATEGORY)})) WHERE r2 = 1)
+WHERE dedup_key NOT IN (SELECT article_hash FROM seen)""")
+def q_fetch_by_category(spark, sf):
+    from ..sources import feeds as FD
+    new = FD.fetch_by_category(TB.page_entries(spark, sf), _registry(spark, sf), FEED_CATEGORY,
+                               _seen_prev(spark, sf))
+    return new.select("dedup_key", "id", "page_id", "category", "feed_pos", "source_feed", "title")
+
+
+@register("union_feeds", A_SQL + f"""
+SELECT page_id, id FROM articles WHERE category = {S.q(FEED_CATEGORY)}
+UNION ALL SELECT page_id, id FROM articles WHERE category <> {S.q(FEED_CATEGORY)}""")
+def q_union_feeds(spark, sf):
+    a = TB.raw_articles(spark, sf).select("page_id", "id", "category")
+    parts = [a.filter(F.col("category") == FEED_CATEGORY), a.filter(F.col("category") != FEED_CATEGORY)]
+    return IN.union_all(parts).select("page_id", "id")
+
+
+@register("keyword_length", A_SQL + """
+SELECT page_id, wpos, word FROM (
+  SELECT page_id, unnest(ws) AS word, unnest(range(len(ws))) AS wpos FROM (
+    SELECT page_id, """ + S.words("lower(title)") + """ AS ws FROM articles))
+WHERE length(word) > 4""")
+def q_keyword_length(spark, sf):
+    a = TB.raw_articles(spark, sf)
+    w = a.select("page_id", F.posexplode(T.words(F.lower(F.col("title")))).alias("wpos", "word"))
+    return w.filter(F.length("word") > 4)
+
+
+# ======================================================================================
+# 2.5 / 2.7 vector search and recommendations (embeddings = the vector index)
+# ======================================================================================
+
+def _vectors(spark, sf):
+    return TB.vector_records(spark, sf)
+
+
+def _match_cols(df):
+    return df.select("id", "title", "link", "summary", "published", "source_name", "category",
+                     J("tags").alias("tags"), R("similarity_score").alias("similarity_score"), "content_preview",
+                     "rank")
+
+
+def _vec_search_sql(n: int, threshold: float | None, exclude: bool, extra_where: str = "") -> str:
+    thr = f"AND score >= {threshold}" if threshold is not None else ""
+    exc = f"AND v.id <> {SEED_ID}" if exclude else ""
+    return f""",
+scored AS (
+  SELECT v.*, list_cosine_similarity(v.embedding, src.embedding) AS score
+  FROM vectors v, (SELECT embedding FROM vectors WHERE id = {SEED_ID}) src WHERE TRUE {exc} {extra_where}),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY round(score, 9) DESC, id) AS rank
+                       FROM scored WHERE score IS NOT NULL {thr}) WHERE rank <= {n})"""
+
+
+MATCH_SELECT = """
+SELECT id, title, link, summary, published, source_name, category, array_to_string(tags, '|') AS tags,
+  round(score, 6) AS similarity_score, content_preview, rank FROM top"""
+
+
+@register("similar_by_id", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True) + MATCH_SELECT)
+def q_similar_by_id(spark, sf):
+    return _match_cols(VE.match_projection(VE.similar_by_id(_vectors(spark, sf), SEED_ID)))
+
+
+@register("knn_single", V_SQL + _vec_search_sql(C.MAX_RESULTS, None, False)
+          + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
+def q_knn_single(spark, sf):
+    r = VE.similar_by_id(_vectors(spark, sf), SEED_ID, exclude_source=False, threshold=None)
+    return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
+
+
+@register("topk_search", V_SQL + _vec_search_sql(25, C.SIMILARITY_THRESHOLD, True)
+          + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
+def q_topk_search(spark, sf):
+    r = VE.similar_by_id(_vectors(spark, sf), SEED_ID, n=25)
+    return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
+
+
+@register("exclude_source", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, False)
+          + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
+def q_exclude_source(spark, sf):
+    r = VE.similar_by_id(_vectors(spark, sf), SEED_ID, exclude_source=False)
+    return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
+
+
+@register("similarity_threshold", V_SQL + f""",
+scored AS (SELECT v.id, list_cosine_similarity(v.embedding, src.embedding) AS score
+           FROM vectors v, (SELECT embedding FROM vectors WHERE id = {SEED_ID}) src WHERE v.id <> {SEED_ID})
+SELECT id, round(score, 6) AS similarity_score FROM scored WHERE score >= {C.SIMILARITY_THRESHOLD}""")
+def q_similarity_threshold(spark, sf):
+    v = _vectors(spark, sf)
+    q = VE.source_vector(v, SEED_ID)
+    s = (v.filter(F.col("id") != SEED_ID).withColumn("_q", q)
+         .withColumn("similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q"))))
+    return s.filter(F.col("similarity_score") >= C.SIMILARITY_THRESHOLD).select(
+        "id", R("similarity_score").alias("similarity_score"))
+
+
+@register("category_filter", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True,
+                                                     f"AND v.category = {S.q(SEED_CATEGORY)}") + MATCH_SELECT)
+def q_category_filter(spark, sf):
+    v = _vectors(spark, sf)
+    q = VE.source_vector(v, SEED_ID)
+    cands = v.filter((F.col("category") == SEED_CATEGORY) & (F.col("id") != SEED_ID)).withColumn("_q", q)
+    scored = cands.withColumn("similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q"))).drop("_q")
+    return _match_cols(VE.match_projection(VE.topk_search(scored, C.MAX_RESULTS)))
+
+
+@register("knn_all", """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS emb FROM embeddings),
+p AS (SELECT a.vec_id AS id, b.vec_id AS neighbor_id, list_cosine_similarity(a.emb, b.emb) AS sc
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+f AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(sc, 9) DESC, neighbor_id) AS rank
+      FROM p WHERE sc >= 0.25)
+SELECT id, neighbor_id, round(sc, 6) AS score, rank FROM f WHERE rank <= 10""",
+          note="exact all-pairs top-k; the oracle enumerates all pairs, the Spark plan does not")
+def q_knn_all(spark, sf):
+    v = TB.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return VE.knn_all(v).select("id", "neighbor_id", R("score").alias("score"), "rank")
+
+
+@register("attach_embeddings", A_SQL + """
+SELECT a.page_id, a.title, len(e.embedding) AS dims, round(list_cosine_similarity(e.embedding::DOUBLE[],
+  e.embedding::DOUBLE[]), 6) AS self_score
+FROM articles a JOIN embeddings e ON e.vec_id = a.page_id""")
+def q_attach_embeddings(spark, sf):
+    a = TB.raw_articles(spark, sf).select(F.col("page_id").alias("id"), "title")
+    e = TB.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    j = VE.attach_embeddings(a, e)
+    return j.select(F.col("id").alias("page_id"), "title", F.size("embedding").cast("bigint").alias("dims"),
+                    R(V.cosine_similarity(F.col("embedding"), F.col("embedding"))).alias("self_score"))
+
+
+@register("collection_stats", f"""
+SELECT {S.q(C.NAMESPACE)} AS namespace, count(*) AS total_articles, {S.q(C.INDEX_NAME)} AS index_name
+FROM embeddings""")
+def q_collection_stats(spark, sf):
+    return VE.collection_stats(_vectors(spark, sf))
+
+
+@register("article_by_id", V_SQL + f"""
+SELECT id, title, link, summary, content_preview AS content, published, source_name FROM vectors
+WHERE id = {SEED_ID}""")
+def q_article_by_id(spark, sf):
+    from ..sources import files as FS
+    return FS.article_by_id(_vectors(spark, sf), SEED_ID)
+
+
+def _similar_sql(max_results: int) -> str:
+    n2 = 2 * max_results
+    return V_SQL + _vec_search_sql(n2, C.SIMILARITY_THRESHOLD, True) + f""",
+cand AS (SELECT t.*, (SELECT title || ' ' || summary FROM vectors WHERE id = {SEED_ID}) AS query_text,
+    title || ' ' || summary AS doc_text, count(*) OVER () AS cnt FROM top t),
+ov AS (SELECT id, unnest(list_intersect(list_distinct({S.tokens('query_text')}),
+                                        list_distinct({S.tokens('doc_text')}))) AS tok FROM cand),
+df AS (SELECT tok, count(*) AS df FROM ov GROUP BY tok),
+sc AS (SELECT ov.id, round(sum(ln(((SELECT count(*) FROM cand) + 1.0) / (df.df + 1.0)) + 1), 9) AS rs
+       FROM ov JOIN df USING (tok) GROUP BY ov.id),
+rr AS (SELECT c.*, coalesce(sc.rs, 0.0) AS rs0,
+    row_number() OVER (ORDER BY coalesce(sc.rs, 0.0) DESC, c.rank) AS rerank_pos FROM cand c LEFT JOIN sc USING (id)),
+fin AS (SELECT *, CASE WHEN cnt > {max_results} THEN rs0 END AS rerank_score,
+    CASE WHEN cnt > {max_results} THEN rerank_pos ELSE rank END AS final_pos FROM rr)"""
+
+
+@register("similar_articles", _similar_sql(C.MAX_RESULTS) + f"""
+SELECT id, rank, final_pos, round(score, 6) AS similarity_score, round(rerank_score, 6) AS rerank_score
+FROM fin WHERE final_pos <= {C.MAX_RESULTS}""")
+def q_similar_articles(spark, sf):
+    r = RC.similar_articles(_vectors(spark, sf), SEED_ID)
+    return r.select("id", "rank", "final_pos", R("similarity_score").alias("similarity_score"),
+                    R("rerank_score").alias("rerank_score"))
+
+
+API_SELECT = """
+SELECT id, title, content, date, url, source, array_to_string(categories, '|') AS categories,
+  array_to_string(tags, '|') AS tags, summary, author, slug, round(similarity_score, 6) AS similarity_score"""
+
+
+@register("recommend_endpoint", _similar_sql(C.MAX_RESULTS) + API_SELECT.replace("round(similarity_score", "final_pos, count(*) OVER () AS total_results, round(score") + f"""
+FROM (SELECT *, content_preview AS content, published AS date, link AS url, source_name AS source,
+        [coalesce(category, 'general')] AS categories, '' AS author, '' AS slug
+      FROM fin WHERE final_pos <= {C.MAX_RESULTS})""")
+def q_recommend_endpoint(spark, sf):
+    from ..operators import api as AP
+    r = AP.recommend_endpoint(_vectors(spark, sf), SEED_ID)
+    return r.select("id", "title", "content", "date", "url", "source", J("categories").alias("categories"),
+                    J("tags").alias("tags"), "summary", "author", "slug", "final_pos", "total_results",
+                    R("similarity_score").alias("similarity_score"))
+
+
+@register("recommend_projection", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True)
+          + API_SELECT.replace("round(similarity_score", "round(score") + """
+FROM (SELECT *, content_preview AS content, published AS date, link AS url, source_name AS source,
+        [coalesce(category, 'general')] AS categories, '' AS author, '' AS slug FROM top)""")
+def q_recommend_projection(spark, sf):
+    from ..operators import api as AP
+    m = VE.match_projection(VE.similar_by_id(_vectors(spark, sf), SEED_ID))
+    r = AP.recommend_projection(m)
+    return r.select("id", "title", "content", "date", "url", "source", J("categories").alias("categories"),
+                    J("tags").alias("tags"), "summary", "author", "slug",
+                    R("similarity_score").alias("similarity_score"))
+
+
+# ======================================================================================
+# 2.7 text search over documents (benchmark texts are the queries)
+# ======================================================================================
+
+DOC_SQL = "WITH " + S.doc_index_cte()
+
+
+def _text_hits(spark, sf, n, category=None):
+    idx = TB.doc_index(spark, sf)
+    docs = idx.select("id", F.col("embed_text").alias("text"), "category")
+    qs = TB.queries_table(spark, sf)
+    if category is None:
+        return EM.search_text(qs, docs, n=n)
+    return EM.search_category(qs, docs, category, n=n)
+
+
+@register("embed_documents", DOC_SQL + ",\n" + S.sparse_cte("dv", "doc_index", "id", "embed_text")
+          + "\nSELECT id, b AS bucket, w AS weight FROM dv_w")
+def q_embed_documents(spark, sf):
+    idx = TB.doc_index(spark, sf)
+    return EM.sparse_terms(idx, "embed_text").select("id", F.col("bucket").cast("bigint").alias("bucket"), "weight")
+
+
+@register("embed_query", "WITH " + S.sparse_cte("qv", "benchmark", "item_id", "text")
+          + "\nSELECT id, b AS bucket, w AS weight FROM qv_w")
+def q_embed_query(spark, sf):
+    return EM.sparse_terms(TB.queries_table(spark, sf), "text").select(
+        "id", F.col("bucket").cast("bigint").alias("bucket"), "weight")
+
+
+def _text_sql(n: int, category: str | None = None) -> str:
+    src = "doc_index" if category is None else f"(SELECT * FROM doc_index WHERE category = {S.q(category)})"
+    return DOC_SQL + ",\n" + S.text_search_cte("benchmark", "item_id", "text", src, "id", "embed_text", n)
+
+
+@register("search_text", _text_sql(C.MAX_RESULTS) + """
+SELECT h.query_id, h.id, d.title, d.category, round(h.score, 6) AS similarity_score, h.rank
+FROM hits h JOIN doc_index d ON d.id = h.id""")
+def q_search_text(spark, sf):
+    hits = _text_hits(spark, sf, C.MAX_RESULTS)
+    idx = TB.doc_index(spark, sf).select("id", "title", "category")
+    return hits.join(idx, "id").select("query_id", "id", "title", "category",
+                                       R("similarity_score").alias("similarity_score"), "rank")
+
+
+@register("search_category", _text_sql(C.MAX_RESULTS, TEXT_CATEGORY) + """
+SELECT h.query_id, h.id, d.category, round(h.score, 6) AS similarity_score, h.rank
+FROM hits h JOIN doc_index d ON d.id = h.id""")
+def q_search_category(spark, sf):
+    hits = _text_hits(spark, sf, C.MAX_RESULTS, TEXT_CATEGORY)
+    idx = TB.doc_index(spark, sf).select("id", "category")
+    return hits.join(idx, "id").select("query_id", "id", "category",
+                                       R("similarity_score").alias("similarity_score"), "rank")
+
+
+def _doc_matches(spark, sf, n):
+    hits = _text_hits(spark, sf, n)
+    meta = TB.doc_matches_meta(TB.doc_index(spark, sf))
+    return VE.match_projection(hits.join(meta, "id"))
+
+
+RERANK_SQL = f""",
+cand AS (SELECT h.query_id, h.id, h.rank, h.score, d.title, d.summary, q.text AS query_text,
+    d.title || ' ' || d.summary AS doc_text, count(*) OVER (PARTITION BY h.query_id) AS cnt
+  FROM hits h JOIN doc_index d ON d.id = h.id JOIN benchmark q ON q.item_id = h.query_id),
+ov AS (SELECT query_id, id, unnest(list_intersect(list_distinct({S.tokens('query_text')}),
+                                                  list_distinct({S.tokens('doc_text')}))) AS tok FROM cand),
+df AS (SELECT query_id, tok, count(*) AS df FROM ov GROUP BY ALL),
+sc AS (SELECT ov.query_id, ov.id, round(sum(ln((c.cnt + 1.0) / (df.df + 1.0)) + 1), 9) AS rs
+       FROM ov JOIN df USING (query_id, tok) JOIN (SELECT DISTINCT query_id, cnt FROM cand) c USING (query_id)
+       GROUP BY ALL),
+rr AS (SELECT c.*, coalesce(sc.rs, 0.0) AS rerank_score,
+    row_number() OVER (PARTITION BY c.query_id ORDER BY coalesce(sc.rs, 0.0) DESC, c.rank) AS rerank_pos
+  FROM cand c LEFT JOIN sc USING (query_id, id))"""
+
+
+@register("rerank", _text_sql(2 * C.MAX_RESULTS) + RERANK_SQL + """
+SELECT query_id, id, rank, round(rerank_score, 6) AS rerank_score, rerank_pos FROM rr""")
+def q_rerank(spark, sf):
+    m = _doc_matches(spark, sf, 2 * C.MAX_RESULTS)
+    qs = TB.queries_table(spark, sf).select(F.col("id").alias("query_id"), F.col("text").alias("query_text"))
+    cands = m.join(qs, "query_id").withColumn("doc_text", RC.doc_text())
+    rr = RC.rerank(cands)
+    return rr.select("query_id", "id", "rank", R("rerank_score").alias("rerank_score"), "rerank_pos")
+
+
+@register("attach_rerank", _text_sql(2 * C.MAX_RESULTS) + RERANK_SQL + """
+SELECT query_id, rerank_pos, id, title, round(score, 6) AS similarity_score FROM rr""")
+def q_attach_rerank(spark, sf):
+    m = _doc_matches(spark, sf, 2 * C.MAX_RESULTS)
+    qs = TB.queries_table(spark, sf).select(F.col("id").alias("query_id"), F.col("text").alias("query_text"))
+    cands = m.select("query_id", "id", "rank", "title", "summary", "similarity_score").join(qs, "query_id")
+    rr = RC.rerank(cands.withColumn("doc_text", RC.doc_text()))
+    return rr.select("query_id", "rerank_pos", "id", "title", R("similarity_score").alias("similarity_score"))
+
+
+@register("recommend_query", _text_sql(2 * C.MAX_RESULTS) + RERANK_SQL + f"""
+SELECT query_id, final_pos, id, title, round(score, 6) AS similarity_score, round(rerank_score, 6) AS rerank_score
+FROM (SELECT * REPLACE (CASE WHEN cnt > 1 THEN rerank_score END AS rerank_score),
+        CASE WHEN cnt > 1 THEN rerank_pos ELSE rank END AS final_pos FROM rr)
+WHERE final_pos <= {C.MAX_RESULTS}""")
+def q_recommend_query(spark, sf):
+    m = _doc_matches(spark, sf, 2 * C.MAX_RESULTS)
+    r = RC.recommend_query(m, TB.queries_table(spark, sf))
+    return r.select("query_id", "final_pos", "id", "title", R("similarity_score").alias("similarity_score"),
+                    R("rerank_score").alias("rerank_score"))
+
+
+TREND_SQL = _text_sql(C.TRENDING_SAMPLE) + """,
+m AS (SELECT h.query_id, h.rank, d.title, coalesce(d.category, 'general') AS category
+      FROM hits h JOIN doc_index d ON d.id = h.id),
+cats AS (SELECT query_id, category, count(*) AS article_count, min(rank) AS first_seen FROM m GROUP BY ALL),
+kw AS (SELECT query_id, word, count(*) AS mention_count, min(rank::BIGINT * 1000000 + wpos) AS first_seen
+       FROM (SELECT query_id, rank, unnest(ws) AS word, unnest(range(len(ws))) AS wpos
+             FROM (SELECT query_id, rank, """ + S.words("lower(title)") + """ AS ws FROM m))
+       WHERE length(word) > 4 GROUP BY ALL)"""
+
+
+@register("category_counts", TREND_SQL + "\nSELECT query_id, category, article_count, first_seen FROM cats")
+def q_category_counts(spark, sf):
+    return RC.category_counts(_doc_matches(spark, sf, C.TRENDING_SAMPLE))
+
+
+@register("keyword_counts", TREND_SQL + """
+SELECT query_id, word, mention_count, first_seen // 1000000 AS first_rank, first_seen % 1000000 AS first_wpos FROM kw""")
+def q_keyword_counts(spark, sf):
+    k = RC.keyword_counts(_doc_matches(spark, sf, C.TRENDING_SAMPLE))
+    return k.select("query_id", "word", "mention_count", F.col("first_seen.rank").cast("bigint").alias("first_rank"),
+                    F.col("first_seen.wpos").cast("bigint").alias("first_wpos"))
+
+
+@register("trending_topics", TREND_SQL + f""",
+c5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY article_count DESC, first_seen)
+                      AS pos FROM cats) WHERE pos <= 5),
+k5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY mention_count DESC, first_seen)
+                      AS pos FROM kw) WHERE pos <= 5),
+u AS (
+  SELECT query_id, pos, {S.title_case('category')} AS topic,
+    'Popular category with ' || article_count || ' recent articles' AS description,
+    'High activity in ' || category || ' news' AS reason, article_count, NULL::BIGINT AS mention_count FROM c5
+  UNION ALL
+  SELECT query_id, pos + 5, {S.title_case('word')},
+    'Frequently mentioned keyword in ' || mention_count || ' articles',
+    'High frequency in recent headlines', NULL::BIGINT, mention_count FROM k5)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY pos) AS topic_pos, topic, description, reason,
+  coalesce(article_count, mention_count) AS topic_count,
+  CASE WHEN article_count IS NOT NULL THEN 'article_count' ELSE 'mention_count' END AS count_kind FROM u""")
+def q_trending_topics(spark, sf):
+    t = RC.trending_topics(_doc_matches(spark, sf, C.TRENDING_SAMPLE), limit=10)
+    return t.select("query_id", "topic_pos", "topic", "description", "reason",
+                    F.coalesce("article_count", "mention_count").alias("topic_count"),
+                    F.when(F.col("article_count").isNotNull(), "article_count").otherwise("mention_count")
+                    .alias("count_kind"))
+
+
+@register("match_projection", _text_sql(C.MAX_RESULTS) + """
+SELECT h.query_id, h.id, d.title, '' AS link, d.summary, '' AS published, d.source_name, d.category, '' AS tags,
+  round(h.score, 6) AS similarity_score, left(d.embed_text, 500) AS content_preview, h.rank
+FROM hits h JOIN doc_index d ON d.id = h.id""")
+def q_match_projection(spark, sf):
+    m = _doc_matches(spark, sf, C.MAX_RESULTS)
+    return m.select("query_id", "id", "title", "link", "summary", "published", "source_name", "category",
+                    J("tags").alias("tags"), R("similarity_score").alias("similarity_score"), "content_preview",
+                    "rank")
