@@ -316,5 +316,5 @@ def parse_batch_response(text, n) -> Column:
     cut to ``n`` (a blank reply shifts later summaries one slot up)."""
     parts = F.split(F.coalesce(_c(text), s("")), C.SUMMARY_SEPARATOR)
     kept = F.filter(F.transform(parts, strip), lambda p: p != "")
-    n = F.lit(n) if isinstance(n, int) else _c(n)
+    n = (F.lit(n) if isinstance(n, int) else _c(n)).cast("int")
     return F.slice(F.concat(kept, F.array_repeat(s(""), n)), 1, n)

@@ -26,6 +26,7 @@ from pyspark.sql import types as Ty
 
 from .. import config as C
 from ..functions import text as T
+from ..functions.udf import series_udf
 from .vectors import blocked_topk, match_projection
 
 
@@ -47,7 +48,7 @@ def sparse_terms(df: DataFrame, text_col: str = "text", id_col: str = "id", dim:
 def embed_with(df: DataFrame, fn: Callable[[pd.Series], pd.Series], text_col: str = "text",
                id_col: str = "id") -> DataFrame:
     """Dense vectors from a user model, Arrow-batched (``pandas_udf``)."""
-    udf = F.pandas_udf(fn, Ty.ArrayType(Ty.FloatType()))
+    udf = series_udf(fn, Ty.ArrayType(Ty.FloatType()))
     return df.select(F.col(id_col).alias("id"), udf(F.col(text_col)).alias("vec"))
 
 

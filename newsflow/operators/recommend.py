@@ -23,6 +23,7 @@ from pyspark.sql import types as Ty
 
 from .. import config as C
 from ..functions import text as T
+from ..functions.udf import series2_udf
 from .vectors import similar_by_id, source_vector
 
 
@@ -37,7 +38,7 @@ def rerank(cands: DataFrame, query_col: str = "query_text", doc_col: str = "doc_
     ``rank`` (vector order) and the two text columns; output has a new
     ``rerank_pos`` (1 = best) ordered by (rerank_score desc, rank asc)."""
     if rerank_fn is not None:
-        udf = F.pandas_udf(rerank_fn, Ty.DoubleType())
+        udf = series2_udf(rerank_fn, Ty.DoubleType())
         scored = cands.withColumn("rerank_score", udf(F.col(query_col), F.col(doc_col)))
     else:
         c = (cands.withColumn("_qt", F.array_distinct(T.tokens(query_col)))

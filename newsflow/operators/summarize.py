@@ -25,9 +25,11 @@ from typing import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from .. import config as C
 from ..functions import text as T
+from ..functions.udf import series_udf
 
 # --- fixed values: prompt and message formats --------------------------------
 TARGET_WORDS = (C.SUMMARY_WORDS + C.SUMMARY_WORDS) // 2
@@ -134,16 +136,24 @@ def default_batch_reply(batched: DataFrame, file_col: str = "source_file") -> Da
 def hook_batch_reply(prompts: DataFrame, summarize_fn: Callable[[pd.Series], pd.Series]) -> DataFrame:
     """Replies from a user model: ``mapInPandas`` over one row per batch; a
     raised error is recorded in ``error`` so the fallback path can retry."""
-    schema = prompts.schema.add("response", "string").add("error", "string")
+    schema = Ty.StructType(list(prompts.schema.fields) + [Ty.StructField("response", Ty.StringType()),
+                                                          Ty.StructField("error", Ty.StringType())])
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            try:
-                pdf["response"] = summarize_fn(pdf["prompt"]).astype("string").values
+            try:                                          # one call for the whole Arrow batch ...
+                pdf["response"] = list(summarize_fn(pdf["prompt"].reset_index(drop=True)))
                 pdf["error"] = None
-            except Exception as e:                       # noqa: BLE001 -- per batch, like the reference
-                pdf["response"] = None
-                pdf["error"] = str(e)
+            except Exception:                             # noqa: BLE001
+                resp, err = [], []                        # ... else one call per summary batch, so a
+                for p in pdf["prompt"]:                   # failure only affects its own 20 articles
+                    try:
+                        resp.append(list(summarize_fn(pd.Series([p])))[0])
+                        err.append(None)
+                    except Exception as e:                # noqa: BLE001
+                        resp.append(None)
+                        err.append(str(e) or type(e).__name__)
+                pdf["response"], pdf["error"] = resp, err
             yield pdf
 
     return prompts.mapInPandas(run, schema)
@@ -189,7 +199,7 @@ def summary_fallback(summarized: DataFrame, failed_batches: DataFrame,
     if single_fn is None:
         fixed = redo.withColumn("ai_summary", F.when(T.lead_words("content") != "", T.lead_words("content")))
     else:
-        udf = F.pandas_udf(single_fn, "string")
+        udf = series_udf(single_fn, "string")
         fixed = single_prompt(redo).withColumn("_r", T.strip(udf(F.col("prompt"))))
         fixed = fixed.withColumn("ai_summary", F.when(F.col("_r") != "", F.col("_r"))).drop("_r", "prompt",
                                                                                           "max_tokens")

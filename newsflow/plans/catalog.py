@@ -759,3 +759,154 @@ def q_match_projection(spark, sf):
     return m.select("query_id", "id", "title", "link", "summary", "published", "source_name", "category",
                     J("tags").alias("tags"), R("similarity_score").alias("similarity_score"), "content_preview",
                     "rank")
+
+
+# ======================================================================================
+# 2.8 summaries (documents: file = source, position = doc_id)
+# ======================================================================================
+
+from ..operators import summarize as SU  # noqa: E402
+
+
+def _doc_articles(spark, sf):
+    d = TB.read_table(spark, sf, "documents")
+    return d.select("doc_id", F.col("source").alias("source_file"), F.col("doc_id").alias("pos"),
+                    T.strip(F.regexp_extract(F.col("text"), r"^([^\n]*)", 1)).alias("title"),
+                    F.col("text").alias("content"))
+
+
+DOC_TITLE = S.strip(f"regexp_extract(text, {S.q('^([^' + chr(92) + 'n]*)')}, 1)")
+BATCH_SQL = f"""WITH b AS (
+  SELECT doc_id, source AS source_file, (rn - 1) // {C.SUMMARY_BATCH} AS batch_id,
+    ((rn - 1) % {C.SUMMARY_BATCH}) + 1 AS slot, {DOC_TITLE} AS title, text AS content
+  FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents))"""
+SUMMARY_SQL = BATCH_SQL + f""",
+r AS (SELECT source_file, batch_id, count(*) AS n,
+        list_filter(list({S.lead_words('content', SU.TARGET_WORDS)} ORDER BY slot), lambda x: x <> '') AS kept
+      FROM b GROUP BY ALL),
+s AS (SELECT b.*, nullif(coalesce(list_concat(r.kept, list_transform(range(r.n), lambda i: ''))[b.slot], ''), '')
+        AS ai_summary FROM b JOIN r USING (source_file, batch_id))"""
+
+
+@register("summary_batches", BATCH_SQL + "\nSELECT doc_id, source_file, batch_id, slot FROM b")
+def q_summary_batches(spark, sf):
+    return SU.summary_batches(_doc_articles(spark, sf)).select("doc_id", "source_file", "batch_id", "slot")
+
+
+@register("batch_prompt", BATCH_SQL + f""",
+g AS (SELECT source_file, batch_id, count(*) AS n,
+        string_agg({S.template(SU.BATCH_BLOCK, i='slot', title='title',
+                               content=S.truncate_ellipsis('content', C.BATCH_CONTENT_CHARS))}, '' ORDER BY slot)
+          AS blocks
+      FROM b GROUP BY ALL)
+SELECT source_file, batch_id, n AS expected_count,
+  {S.template(SU.BATCH_HEADER, n='n', w=str(SU.TARGET_WORDS))} || blocks
+    || {S.template(SU.BATCH_FOOTER, n='n', w=str(SU.TARGET_WORDS))} AS prompt,
+  floor({SU.TARGET_WORDS} * n * 1.5)::BIGINT AS max_tokens
+FROM g""")
+def q_batch_prompt(spark, sf):
+    return SU.batch_prompt(SU.summary_batches(_doc_articles(spark, sf)))
+
+
+@register("single_prompt", f"""
+SELECT doc_id, {S.template(SU.SINGLE_PROMPT, w=str(SU.TARGET_WORDS), title=DOC_TITLE,
+                           content=S.truncate_ellipsis('text', C.SINGLE_CONTENT_CHARS))} AS prompt,
+  {int(SU.TARGET_WORDS * 1.5)}::BIGINT AS max_tokens
+FROM documents""")
+def q_single_prompt(spark, sf):
+    return SU.single_prompt(_doc_articles(spark, sf)).select("doc_id", "prompt", "max_tokens")
+
+
+CONV_SEP = "\n" + C.SUMMARY_SEPARATOR + "\n"
+
+
+@register("parse_batch_response", f"""
+WITH r AS (
+  SELECT conv_id, coalesce(string_agg(text, {S.lit_text(CONV_SEP)} ORDER BY turn) FILTER (WHERE role = 'assistant'), '')
+      AS response,
+    count(*) FILTER (WHERE role = 'user') AS n
+  FROM conversations GROUP BY conv_id),
+p AS (SELECT conv_id, {S.parse_batch_response('response', 'n')} AS parts FROM r)
+SELECT conv_id, unnest(range(1, len(parts) + 1)) AS slot, unnest(parts) AS summary FROM p""")
+def q_parse_batch_response(spark, sf):
+    c = TB.read_table(spark, sf, "conversations")
+    g = c.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("role") == "assistant", F.struct("turn", "text")))).alias("a"),
+        F.count_if(F.col("role") == "user").alias("n"))
+    reply = F.array_join(F.transform("a", lambda x: x["text"]), CONV_SEP)
+    parsed = g.select("conv_id", T.parse_batch_response(reply, F.col("n")).alias("parts"))
+    return parsed.select("conv_id", F.posexplode("parts").alias("p", "summary")).select(
+        "conv_id", (F.col("p") + 1).alias("slot"), "summary")
+
+
+@register("summarize", SUMMARY_SQL + f"""
+SELECT doc_id, ai_summary, {S.word_count('ai_summary')} AS summary_words FROM s""")
+def q_summarize(spark, sf):
+    s = SU.summarize(_doc_articles(spark, sf))
+    return s.select("doc_id", "ai_summary", T.word_count(F.col("ai_summary")).alias("summary_words"))
+
+
+@register("attach_summaries", SUMMARY_SQL + "\nSELECT doc_id, source_file, batch_id, slot, ai_summary FROM s")
+def q_attach_summaries(spark, sf):
+    s = SU.summarize(_doc_articles(spark, sf))
+    return s.select("doc_id", "source_file", "batch_id", "slot", "ai_summary")
+
+
+@register("summary_stats", SUMMARY_SQL + f"""
+SELECT source_file, batch_id, count(*) AS summaries, sum({S.word_count('ai_summary')})::BIGINT AS total_words,
+  round(sum({S.word_count('ai_summary')}) / count(*), 6) AS avg_words
+FROM s GROUP BY ALL""")
+def q_summary_stats(spark, sf):
+    b = SU.summary_batches(_doc_articles(spark, sf))
+    parsed = SU.parse_replies(SU.default_batch_reply(b))
+    return SU.summary_stats(parsed)
+
+
+def _flaky_model(limit: int):
+    """A deterministic stand-in model for the fallback path: a batch prompt
+    longer than ``limit`` characters fails (like an over-budget call); single
+    prompts answer with the first 175 words of their Content section."""
+    import re as _re
+
+    import pandas as pd
+
+    def batch(prompts: pd.Series) -> pd.Series:
+        if (prompts.str.len() > limit).any():
+            raise ValueError("request too large")
+        out = []
+        for p in prompts:
+            parts = _re.findall(r"\nARTICLE \d+:\nTitle: .*?\nContent: (.*?)\n\n(?=\nARTICLE|\nNow provide)", p, _re.S)
+            out.append(CONV_SEP.join(" ".join(x.split()[:SU.TARGET_WORDS]) for x in parts))
+        return pd.Series(out)
+
+    def single(prompts: pd.Series) -> pd.Series:
+        return prompts.map(lambda p: " ".join(p.split("Content: ", 1)[-1].split("Requirements:")[0].split()
+                                             [:SU.TARGET_WORDS]))
+    return batch, single
+
+
+@register("summary_fallback", None, note="model hook that fails on large batches; rows-only")
+def q_summary_fallback(spark, sf):
+    batch, single = _flaky_model(20000)
+    s = SU.summarize(_doc_articles(spark, sf), summarize_fn=batch, single_fn=single)
+    return s.select("doc_id", "source_file", "batch_id", "slot", "ai_summary")
+
+
+PROC_SUM_SQL = P_SQL + f""",
+b AS (SELECT page_id, id, title, content, source_feed AS source_file,
+        (row_number() OVER (PARTITION BY source_feed ORDER BY entry_pos) - 1) // {C.SUMMARY_BATCH} AS batch_id,
+        ((row_number() OVER (PARTITION BY source_feed ORDER BY entry_pos) - 1) % {C.SUMMARY_BATCH}) + 1 AS slot
+      FROM processed),
+r AS (SELECT source_file, batch_id, count(*) AS n,
+        list_filter(list({S.lead_words('content', SU.TARGET_WORDS)} ORDER BY slot), lambda x: x <> '') AS kept
+      FROM b GROUP BY ALL),
+s AS (SELECT b.*, nullif(coalesce(list_concat(r.kept, list_transform(range(r.n), lambda i: ''))[b.slot], ''), '')
+        AS ai_summary FROM b JOIN r USING (source_file, batch_id))"""
+
+
+@register("process_raw", PROC_SUM_SQL + "\nSELECT page_id, id, title, source_file, batch_id, slot, ai_summary FROM s")
+def q_process_raw(spark, sf):
+    from ..operators import pipeline as PL
+    out = PL.process_raw(TB.raw_articles(spark, sf).withColumn("source_file", F.col("source_feed"))
+                         .withColumn("pos", F.col("entry_pos")))
+    return out.select("page_id", "id", "title", "source_file", "batch_id", "slot", "ai_summary")

@@ -317,3 +317,17 @@ def text_search_cte(qsrc: str, qid: str, qtext: str, dsrc: str, did: str, dtext:
   SELECT * FROM (SELECT query_id, id, score,
       row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
     FROM {name}_s WHERE score >= {threshold}) WHERE rank <= {n})"""
+
+
+def template(t: str, **exprs: str) -> str:
+    """A ``{name}`` template as a SQL concatenation of literals and expressions."""
+    import re
+    out, i = [], 0
+    for m in re.finditer(r"\{(\w+)\}", t):
+        if m.start() > i:
+            out.append(lit_text(t[i:m.start()]))
+        out.append(f"CAST({exprs[m.group(1)]} AS VARCHAR)")
+        i = m.end()
+    if i < len(t):
+        out.append(lit_text(t[i:]))
+    return "(" + " || ".join(out) + ")"
