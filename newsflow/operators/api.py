@@ -14,7 +14,8 @@ from .vectors import match_projection
 API_COLUMNS = ["id", "title", "content", "date", "url", "source", "categories", "tags", "summary", "author",
                "slug", "similarity_score"]
 
-_EMPTY = F.array().cast("array<string>")
+def _empty():
+    return F.array().cast("array<string>")
 
 
 def _opt(df: DataFrame, name: str, dtype: str = "string"):
@@ -31,7 +32,7 @@ def recommend_projection(matches: DataFrame) -> DataFrame:
         F.col("link").alias("url"),
         F.col("source_name").alias("source"),
         F.array(F.coalesce(F.col("category"), F.lit(C.DEFAULT_CATEGORY))).alias("categories"),
-        F.coalesce(F.col("tags"), _EMPTY).alias("tags"),
+        F.coalesce(F.col("tags"), _empty()).alias("tags"),
         F.coalesce(F.col("summary"), F.lit("")).alias("summary"),
         F.lit("").alias("author"), F.lit("").alias("slug"),
         F.coalesce(F.col("similarity_score"), F.lit(0.0)).alias("similarity_score"),
@@ -56,7 +57,7 @@ def api_projection(articles: DataFrame) -> DataFrame:
     source = F.coalesce(_opt(articles, "source_feed"), _opt(articles, "source_url"))
     cat = _opt(articles, "category")
     cats = F.coalesce(_opt(articles, "categories", "array<string>"),
-                      F.when(T.nullif_empty(cat).isNotNull(), F.array(cat)).otherwise(_EMPTY))
+                      F.when(T.nullif_empty(cat).isNotNull(), F.array(cat)).otherwise(_empty()))
     return articles.select(
         *[c for c in ("page_id", "pos") if c in articles.columns],
         T.api_id(title, url, source).alias("id"),
@@ -66,7 +67,7 @@ def api_projection(articles: DataFrame) -> DataFrame:
         url.alias("url"),
         F.coalesce(source, F.lit("")).alias("source"),
         cats.alias("categories"),
-        F.coalesce(_opt(articles, "tags", "array<string>"), _EMPTY).alias("tags"),
+        F.coalesce(_opt(articles, "tags", "array<string>"), _empty()).alias("tags"),
         F.coalesce(_opt(articles, "summary"), F.lit("")).alias("summary"),
         F.coalesce(_opt(articles, "author"), F.lit("")).alias("author"),
         F.coalesce(_opt(articles, "slug"), F.lit("")).alias("slug"),
@@ -82,7 +83,7 @@ def card_view(api: DataFrame) -> DataFrame:
         T.display_source(F.col("source")).alias("source_label"),
         T.display_date(F.col("date")).alias("date_label"),
         F.coalesce(T.nullif_empty(F.col("summary")), F.lit(C.NO_SUMMARY_TEXT)).alias("summary_text"),
-        F.slice(F.coalesce(F.col("tags"), _EMPTY), 1, 3).alias("card_tags"),
+        F.slice(F.coalesce(F.col("tags"), _empty()), 1, 3).alias("card_tags"),
     )
 
 

@@ -910,3 +910,259 @@ def q_process_raw(spark, sf):
     out = PL.process_raw(TB.raw_articles(spark, sf).withColumn("source_file", F.col("source_feed"))
                          .withColumn("pos", F.col("entry_pos")))
     return out.select("page_id", "id", "title", "source_file", "batch_id", "slot", "ai_summary")
+
+
+# ======================================================================================
+# 2.1 / 2.2 sources and sinks (written under the shared folder, then read back)
+# ======================================================================================
+
+from ..session import scratch_path  # noqa: E402
+from ..sinks import tables as SK  # noqa: E402
+from ..sources import feeds as FDS  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..operators import api as AP  # noqa: E402
+from ..operators import retention as RT  # noqa: E402
+from ..streaming import ingest as ST  # noqa: E402
+from .. import schemas as SC  # noqa: E402
+
+RUN_A, RUN_B = "2024-06-01T00:00:00", "2024-06-01T06:00:00"
+
+
+def _land_rss(spark, sf) -> str:
+    """Land the page entries as RSS feed files, one file per feed."""
+    e = TB.page_entries(spark, sf)
+    items = e.select(
+        "feed_url", "title", "link", "description", F.col("published").alias("pubDate"),
+        F.transform("tags", lambda t: t["term"]).alias("category"),
+        F.col("author_detail.name").alias("creator"),
+        F.col("content")[0]["value"].alias("content"),
+        F.col("page_id").alias("guid"))
+    return FDS.land_rss_files(items, scratch_path(spark, "feeds"))
+
+
+@register("rss_scan", E_SQL + """
+SELECT page_id AS guid, feed_url, title, link, description, published AS pubDate,
+  array_to_string(tag_terms, '|') AS category, author_name AS creator, article_html AS content
+FROM entries""")
+def q_rss_scan(spark, sf):
+    from pyspark.sql import types as Ty
+    path = _land_rss(spark, sf)
+    schema = Ty.StructType(FDS.RSS_ITEM_SCHEMA.fields[:-1] + [Ty.StructField("guid", Ty.LongType()),
+                                                              Ty.StructField("feed_url", Ty.StringType()),
+                                                              Ty.StructField("_corrupt_record", Ty.StringType())])
+    items = IN.drop_unparsed(FDS.scan_rss(spark, path, schema))
+    return items.select("guid", "feed_url", "title", "link", "description", "pubDate", J("category").alias("category"),
+                        F.col("`dc:creator`").alias("creator"), F.col("`content:encoded`").alias("content"))
+
+
+@register("drop_unparsed", None, note="XML scan in PERMISSIVE mode, corrupt items filtered; rows-only")
+def q_drop_unparsed(spark, sf):
+    path = _land_rss(spark, sf)
+    return IN.drop_unparsed(FDS.scan_rss(spark, path)).select("title", "link")
+
+
+@register("write_raw", A_SQL + f"""
+SELECT page_id, id, title, {S.q(RUN_A)} AS run_ts FROM articles
+UNION ALL SELECT page_id, id, title, {S.q(RUN_B)} FROM articles""")
+def q_write_raw(spark, sf):
+    path = scratch_path(spark, "raw")
+    raw = TB.raw_articles(spark, sf)
+    SK.write_raw(raw, path, RUN_A)
+    return SK.write_raw(raw, path, RUN_B).select("page_id", "id", "title", "run_ts")
+
+
+@register("raw_scan", A_SQL + """
+SELECT page_id, id, title, url, content, date, array_to_string(tags, '|') AS tags FROM articles""")
+def q_raw_scan(spark, sf):
+    """Landed JSON-array files (one per feed, reference layout) read back with
+    the explicit schema; a non-article file next to them is skipped by the glob."""
+    path = scratch_path(spark, "rawjson")
+    raw = TB.raw_articles(spark, sf)
+    FS.land_json_arrays(raw, path, group_col="source_feed", order_col="page_id", prefix="raw_news_")
+    from pyspark.sql import types as Ty
+    schema = Ty.StructType(list(SC.RAW_ARTICLE.fields) + [Ty.StructField("page_id", Ty.LongType())])
+    got = FS.scan_raw(spark, path, schema=schema)
+    return got.select("page_id", "id", "title", "url", "content", "date", J("tags").alias("tags"))
+
+
+@register("write_processed", P_SQL + f"""
+SELECT page_id, id, source_feed AS source_file, {S.q(RUN_A)} AS run_ts FROM processed""")
+def q_write_processed(spark, sf):
+    path = scratch_path(spark, "processed")
+    p = TB.processed_articles(spark, sf).withColumn("source_file", F.col("source_feed"))
+    return SK.write_processed(p, path, RUN_A).select("page_id", "id", "source_file", "run_ts")
+
+
+@register("latest_snapshot", P_SQL + f"""
+SELECT page_id, id, {S.q(RUN_B)} AS run_ts, count(*) OVER () AS total_articles FROM processed""")
+def q_latest_snapshot(spark, sf):
+    path = scratch_path(spark, "processed")
+    p = TB.processed_articles(spark, sf)
+    SK.write_processed(p, path, RUN_A)
+    SK.write_processed(p, path, RUN_B)
+    latest = FS.latest_run(spark.read.parquet(path))
+    return latest.select("page_id", "id", "run_ts").withColumn(
+        "total_articles", latest.agg(F.count(F.lit(1))).scalar())
+
+
+def _seen_sql() -> str:
+    return A_SQL + CAPPED_SQL
+
+
+@register("write_seen", _seen_sql() + "\nSELECT article_hash FROM seen UNION SELECT dedup_key FROM new")
+def q_write_seen(spark, sf):
+    path = scratch_path(spark, "seen")
+    seen = _seen_prev(spark, sf)
+    SK.write_seen(seen, path)
+    raw = IN.parse_entry(_capped_entries(spark, sf))
+    new = IN.new_articles(raw, FS.read_seen(spark, path))
+    SK.write_seen(new.select(F.col("dedup_key").alias("article_hash")), path)
+    return FS.read_seen(spark, path).distinct()
+
+
+@register("seen_scan", A_SQL + f"""
+SELECT DISTINCT {S.md5_of('title', 'url')} AS article_hash FROM articles WHERE date < {S.q(PREV_RUN_CUTOFF)}""")
+def q_seen_scan(spark, sf):
+    path = scratch_path(spark, "seen")
+    SK.write_seen(_seen_prev(spark, sf), path)
+    missing = FS.read_seen(spark, scratch_path(spark, "absent"))      # absent table -> empty
+    return FS.read_seen(spark, path).unionByName(missing).distinct()
+
+
+UPSERT_SQL = f""",
+a AS (SELECT vec_id AS id, 1 AS version, embedding[1] AS x FROM embeddings),
+b AS (SELECT vec_id AS id, 2 AS version, -embedding[1] AS x FROM embeddings WHERE CAST(label AS VARCHAR) = {S.q(SEED_CATEGORY)}),
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC) AS r
+                     FROM (SELECT * FROM a UNION ALL SELECT * FROM b)) WHERE r = 1)"""
+
+
+@register("upsert_vectors", "WITH x AS (SELECT 1)" + UPSERT_SQL + f"""
+SELECT {S.q(C.NAMESPACE)} AS namespace, id, version::BIGINT AS version, round(x, 6) AS first_value FROM u""")
+def q_upsert_vectors(spark, sf):
+    e = TB.read_table(spark, sf, "embeddings")
+    a = e.select(F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("category"))
+    upd = a.filter(F.col("category") == SEED_CATEGORY).withColumn(
+        "embedding", F.transform("embedding", lambda v: -v))
+    t1, _ = SK.upsert_vectors(None, a, scratch_path(spark, "vectors-v1"), 1)
+    t2, _ = SK.upsert_vectors(t1, upd, scratch_path(spark, "vectors-v2"), 2)
+    return t2.select("namespace", "id", F.col("version").cast("bigint").alias("version"),
+                     R(F.col("embedding")[0]).alias("first_value"))
+
+
+@register("clear_namespace", f"""
+SELECT CAST(label AS VARCHAR) AS namespace, count(*) AS vectors FROM embeddings
+WHERE CAST(label AS VARCHAR) <> {S.q(SEED_CATEGORY)} GROUP BY label""")
+def q_clear_namespace(spark, sf):
+    e = TB.read_table(spark, sf, "embeddings")
+    v = e.select(F.col("label").cast("string").alias("namespace"), F.col("vec_id").alias("id"), "embedding")
+    t1, _ = SK.upsert_vectors(None, v, scratch_path(spark, "vectors-v1"), 1)
+    t2 = SK.clear_namespace(t1, SEED_CATEGORY, scratch_path(spark, "vectors-v2"))
+    return t2.groupBy("namespace").agg(F.count(F.lit(1)).alias("vectors"))
+
+
+@register("ingest_stream", f"""
+SELECT DISTINCT user_id, event_type, md5(CAST(user_id AS VARCHAR) || event_type) AS dedup_key FROM events""",
+          note="stream output compared on keys: which copy survives depends on arrival order")
+def q_ingest_stream(spark, sf):
+    ev = TB.read_table(spark, sf, "events")
+    out = ST.ingest_events(spark, ev, ["user_id", "event_type"], mode="table")
+    return out.select("user_id", "event_type",
+                      F.md5(F.concat(F.col("user_id").cast("string"), F.col("event_type"))).alias("dedup_key"))
+
+
+@register("ingest_stream_state", f"""
+SELECT DISTINCT user_id, event_type FROM events""")
+def q_ingest_stream_state(spark, sf):
+    ev = TB.read_table(spark, sf, "events")
+    out = ST.ingest_events(spark, ev, ["user_id", "event_type"], mode="state")
+    return out.select("user_id", "event_type")
+
+
+# ======================================================================================
+# 2.3 API projections
+# ======================================================================================
+
+API_P_SQL = P_SQL + f""",
+api AS (SELECT page_id, {S.api_id('title', 'url', 'source_feed')} AS id, title, content, date, url,
+    source_feed AS source, categories, tags, '' AS summary, author, slug FROM processed)"""
+
+
+@register("api_projection", API_P_SQL + """
+SELECT page_id, id, title, content, date, url, source, array_to_string(categories, '|') AS categories,
+  array_to_string(tags, '|') AS tags, summary, author, slug FROM api""")
+def q_api_projection(spark, sf):
+    a = AP.api_projection(TB.processed_articles(spark, sf))
+    return a.select("page_id", "id", "title", "content", "date", "url", "source", J("categories").alias("categories"),
+                    J("tags").alias("tags"), "summary", "author", "slug")
+
+
+@register("card_view", API_P_SQL + f"""
+SELECT page_id, id, title, url, {S.display_source('source')} AS source_label, {S.display_date('date')} AS date_label,
+  coalesce(nullif(summary, ''), {S.q(C.NO_SUMMARY_TEXT)}) AS summary_text, array_to_string(tags[1:3], '|') AS card_tags
+FROM api""")
+def q_card_view(spark, sf):
+    c = AP.card_view(AP.api_projection(TB.processed_articles(spark, sf)))
+    return c.select("page_id", "id", "title", "url", "source_label", "date_label", "summary_text",
+                    J("card_tags").alias("card_tags"))
+
+
+@register("preview_50", API_P_SQL + f"""
+SELECT page_id, id, title, (SELECT count(*) FROM api) AS total_articles FROM api ORDER BY page_id
+LIMIT {C.PREVIEW_ROWS}""")
+def q_preview_50(spark, sf):
+    a = AP.api_projection(TB.processed_articles(spark, sf))
+    return AP.preview(a, "page_id").select("page_id", "id", "title", "total_articles")
+
+
+@register("union_outputs", API_P_SQL + """
+SELECT id, title, NULL AS source, 'processed' AS kind FROM processed
+UNION ALL SELECT id, title, source, 'api' FROM api""")
+def q_union_outputs(spark, sf):
+    p = TB.processed_articles(spark, sf).select("id", "title").withColumn("kind", F.lit("processed"))
+    a = AP.api_projection(TB.processed_articles(spark, sf)).select("id", "title", "source") \
+        .withColumn("kind", F.lit("api"))
+    return IN.union_all([p, a]).select("id", "title", "source", "kind")
+
+
+# ======================================================================================
+# 2.10 retention and run status
+# ======================================================================================
+
+RUNS_SQL = A_SQL + """,
+runs AS (SELECT a.*, strftime(TIMESTAMP '2024-01-01' + (a.page_id // 24) * INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S')
+           AS run_ts FROM articles a)"""
+
+
+def _runs(spark, sf):
+    """Raw articles as daily runs: the run of an article is the day it was
+    published (one fetch per day)."""
+    a = TB.raw_articles(spark, sf)
+    return a.withColumn("run_ts", F.date_format(F.date_trunc("day", F.to_timestamp("date")), T.ISO_FMT))
+
+
+@register("retain_newest_runs", RUNS_SQL + f""",
+keep AS (SELECT run_ts FROM (SELECT DISTINCT run_ts FROM runs) ORDER BY run_ts DESC LIMIT {C.KEEP_RUNS})
+SELECT page_id, run_ts FROM runs WHERE run_ts IN (SELECT run_ts FROM keep)""")
+def q_retain_newest_runs(spark, sf):
+    return RT.retain_newest_runs(_runs(spark, sf)).select("page_id", "run_ts")
+
+
+@register("archive_old", RUNS_SQL + f"""
+SELECT page_id, CASE WHEN date < strftime(TIMESTAMP '{C.DEFAULT_RUN_TS.replace('T', ' ')}'
+    - INTERVAL {C.ARCHIVE_AFTER_DAYS} DAY, '%Y-%m-%dT%H:%M:%S') THEN 'archive' ELSE 'live' END AS tier FROM runs""")
+def q_archive_old(spark, sf):
+    return RT.archive_split(_runs(spark, sf)).select("page_id", "tier")
+
+
+@register("run_status", RUNS_SQL + """,
+p AS (SELECT run_ts, count(*) AS processed FROM runs GROUP BY run_ts),
+r AS (SELECT run_ts, count(*) AS raw FROM runs GROUP BY run_ts),
+v AS (SELECT r2.run_ts, count(*) AS vectors FROM runs r2 JOIN embeddings e ON e.vec_id = r2.page_id GROUP BY r2.run_ts)
+SELECT coalesce(r.run_ts, p.run_ts, v.run_ts) AS run_ts, coalesce(raw, 0) AS raw, coalesce(processed, 0) AS processed,
+  coalesce(vectors, 0) AS vectors
+FROM r FULL OUTER JOIN p USING (run_ts) FULL OUTER JOIN v USING (run_ts)""")
+def q_run_status(spark, sf):
+    runs = _runs(spark, sf)
+    e = TB.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("page_id"))
+    vec = runs.join(e, "page_id").select("run_ts")
+    return RT.run_status(runs.select("run_ts"), runs.select("run_ts"), vec)

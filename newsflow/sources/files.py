@@ -15,7 +15,7 @@ def scan_raw(spark: SparkSession, raw_dir: str, pattern: str = "raw_news_*.json"
     """All raw article files of a directory (one JSON array per file), other
     files such as ``seen_articles.json`` excluded by the glob; empty files give
     no rows. Explicit schema: a missing key reads as NULL."""
-    df = (spark.read.option("multiLine", True).option("pathGlobFilter", pattern)
+    df = (spark.read.option("multiLine", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
           .option("mode", "PERMISSIVE").schema(schema).json(raw_dir))
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
@@ -69,3 +69,40 @@ def article_by_id(vectors: DataFrame, article_id) -> DataFrame:
 
 def articles_by_ids(vectors: DataFrame, ids: DataFrame) -> DataFrame:
     return vectors.join(ids.select("id"), "id", "left_semi")
+
+
+def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, prefix: str = "raw_news_") -> str:
+    """Write one JSON-array file per group (the reference's file layout: one
+    array of article objects per file), named ``{prefix}{n}.json``.
+
+    Each group is one run file of one feed, bounded by the per-feed cap; the
+    array is built on an executor (``to_json(collect_list)``) and written by
+    the text writer, one directory per group. Only the renames run on the
+    driver (file-system metadata).
+    """
+    cols = [c for c in df.columns]
+    g = (df.groupBy(group_col)
+         .agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("_o"), F.struct(*cols).alias("r"))))
+              .alias("xs"))
+         .select(F.col(group_col).alias("_g"), F.to_json(F.transform("xs", lambda x: x["r"])).alias("value")))
+    tmp = path.rstrip("/") + "/_staging"
+    g.write.partitionBy("_g").text(tmp)
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(tmp)
+    fs = src.getFileSystem(conf)
+    it = fs.listFiles(src, True)
+    n = 0
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if name.startswith("part-"):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{prefix}{n:05d}.json"))
+            n += 1
+    fs.delete(src, True)
+    # a non-article file next to the runs, as in the reference's directory
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/seen_articles.json"))
+    out.write(bytearray(b"[]"))
+    out.close()
+    return path
