@@ -40,10 +40,11 @@ def recommend_projection(matches: DataFrame) -> DataFrame:
     )
 
 
-def recommend_endpoint(vectors: DataFrame, article_id, max_results: int = C.MAX_RESULTS) -> DataFrame:
+def recommend_endpoint(vectors: DataFrame, article_id, max_results: int = C.MAX_RESULTS, attach=None
+                       ) -> DataFrame:
     """``/recommend-news``: similar articles of one id projected for the API,
     with ``total_results``. Unknown id -> empty (the caller maps it to 404)."""
-    sim = similar_articles(vectors, article_id, max_results)
+    sim = similar_articles(vectors, article_id, max_results, attach=attach)
     out = recommend_projection(match_projection(sim))
     return out.withColumn("total_results", F.count(F.lit(1)).over(Window.partitionBy(F.lit(article_id))))
 

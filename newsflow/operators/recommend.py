@@ -57,18 +57,22 @@ def rerank(cands: DataFrame, query_col: str = "query_text", doc_col: str = "doc_
 
 
 def similar_articles(vectors: DataFrame, source_id, max_results: int = C.MAX_RESULTS,
-                     threshold: float = C.SIMILARITY_THRESHOLD, rerank_fn=None) -> DataFrame:
+                     threshold: float = C.SIMILARITY_THRESHOLD, rerank_fn=None,
+                     attach: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Similar articles of one vector: 2 x max candidates by cosine; re-ranked
     only when there are more candidates than ``max_results`` (query = source
     title + ' ' + source summary); cut to ``max_results``.
 
     The re-rank condition is data-dependent and evaluated in the plan (a
     window count over the bounded candidate set), not on the driver.
+    ``attach`` adds title/summary/... to rows keyed by ``id`` (default: join
+    the metadata columns of ``vectors``); it runs on the candidates only.
     """
     if max_results < 1:
         raise ValueError("max_results must be >= 1")
-    cands = similar_by_id(vectors, source_id, n=2 * max_results, threshold=threshold)
-    src = vectors.filter(F.col("id") == F.lit(source_id)).select(
+    attach = attach or (lambda d: d.join(vectors.drop("embedding", "category"), "id"))
+    cands = attach(similar_by_id(vectors, source_id, n=2 * max_results, threshold=threshold))
+    src = attach(vectors.filter(F.col("id") == F.lit(source_id)).select("id")).select(
         F.concat(F.col("title"), F.lit(" "), F.col("summary")).alias("query_text"))
     cands = (cands.withColumn("query_id", F.lit(source_id))
              .withColumn("query_text", src.scalar())

@@ -33,7 +33,8 @@ MATCH_COLUMNS = ["id", "title", "link", "summary", "published", "source_name", "
                  "similarity_score", "content_preview"]
 
 
-def vector_metadata(articles: DataFrame, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
+def vector_metadata(articles: DataFrame, run_ts: str = C.DEFAULT_RUN_TS, keep=("page_id", "article_id")
+                    ) -> DataFrame:
     """Article rows -> the metadata stored with each vector.
 
     title <= 1000 chars; summary = ai_summary when present else summary, <= 2000;
@@ -45,7 +46,7 @@ def vector_metadata(articles: DataFrame, run_ts: str = C.DEFAULT_RUN_TS) -> Data
     ai = F.col("ai_summary") if "ai_summary" in cols else F.lit(None).cast("string")
     cat = F.col("category") if "category" in cols else F.lit(None).cast("string")
     enhanced = F.col("ai_enhanced") if "ai_enhanced" in cols else F.lit(False)
-    keep = [c for c in ("page_id", "article_id") if c in cols]
+    keep = [c for c in keep if c in cols]
     return articles.select(
         *keep,
         F.substring(F.coalesce(F.col("title"), F.lit("")), 1, C.TITLE_CAP).alias("title"),
@@ -106,7 +107,7 @@ def similar_by_id(vectors: DataFrame, source_id, n: int = C.MAX_RESULTS, exclude
     cands = vectors.filter(F.col("id") != F.lit(source_id)) if exclude_source else vectors
     scored = cands.withColumn("_q", q).withColumn(
         "similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q"))).drop("_q")
-    return topk_search(scored, n, threshold)
+    return topk_search(scored, n, threshold).drop("embedding")
 
 
 # --- blocked exact top-k ------------------------------------------------------

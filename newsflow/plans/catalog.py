@@ -425,8 +425,12 @@ def q_keyword_length(spark, sf):
 # 2.5 / 2.7 vector search and recommendations (embeddings = the vector index)
 # ======================================================================================
 
-def _vectors(spark, sf):
-    return TB.vector_records(spark, sf)
+def _vindex(spark, sf):
+    return TB.vector_index(spark, sf)
+
+
+def _vmeta(spark, sf, rows):
+    return TB.attach_vector_meta(spark, sf, rows)
 
 
 def _match_cols(df):
@@ -453,27 +457,28 @@ SELECT id, title, link, summary, published, source_name, category, array_to_stri
 
 @register("similar_by_id", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True) + MATCH_SELECT)
 def q_similar_by_id(spark, sf):
-    return _match_cols(VE.match_projection(VE.similar_by_id(_vectors(spark, sf), SEED_ID)))
+    top = VE.similar_by_id(_vindex(spark, sf), SEED_ID)
+    return _match_cols(VE.match_projection(_vmeta(spark, sf, top)))
 
 
 @register("knn_single", V_SQL + _vec_search_sql(C.MAX_RESULTS, None, False)
           + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
 def q_knn_single(spark, sf):
-    r = VE.similar_by_id(_vectors(spark, sf), SEED_ID, exclude_source=False, threshold=None)
+    r = VE.similar_by_id(_vindex(spark, sf), SEED_ID, exclude_source=False, threshold=None)
     return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
 
 
 @register("topk_search", V_SQL + _vec_search_sql(25, C.SIMILARITY_THRESHOLD, True)
           + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
 def q_topk_search(spark, sf):
-    r = VE.similar_by_id(_vectors(spark, sf), SEED_ID, n=25)
+    r = VE.similar_by_id(_vindex(spark, sf), SEED_ID, n=25)
     return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
 
 
 @register("exclude_source", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, False)
           + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
 def q_exclude_source(spark, sf):
-    r = VE.similar_by_id(_vectors(spark, sf), SEED_ID, exclude_source=False)
+    r = VE.similar_by_id(_vindex(spark, sf), SEED_ID, exclude_source=False)
     return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
 
 
@@ -482,7 +487,7 @@ scored AS (SELECT v.id, list_cosine_similarity(v.embedding, src.embedding) AS sc
            FROM vectors v, (SELECT embedding FROM vectors WHERE id = {SEED_ID}) src WHERE v.id <> {SEED_ID})
 SELECT id, round(score, 6) AS similarity_score FROM scored WHERE score >= {C.SIMILARITY_THRESHOLD}""")
 def q_similarity_threshold(spark, sf):
-    v = _vectors(spark, sf)
+    v = _vindex(spark, sf)
     q = VE.source_vector(v, SEED_ID)
     s = (v.filter(F.col("id") != SEED_ID).withColumn("_q", q)
          .withColumn("similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q"))))
@@ -493,11 +498,12 @@ def q_similarity_threshold(spark, sf):
 @register("category_filter", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True,
                                                      f"AND v.category = {S.q(SEED_CATEGORY)}") + MATCH_SELECT)
 def q_category_filter(spark, sf):
-    v = _vectors(spark, sf)
+    v = _vindex(spark, sf)
     q = VE.source_vector(v, SEED_ID)
     cands = v.filter((F.col("category") == SEED_CATEGORY) & (F.col("id") != SEED_ID)).withColumn("_q", q)
-    scored = cands.withColumn("similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q"))).drop("_q")
-    return _match_cols(VE.match_projection(VE.topk_search(scored, C.MAX_RESULTS)))
+    scored = cands.withColumn("similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q")))
+    top = VE.topk_search(scored.drop("_q", "embedding"), C.MAX_RESULTS)
+    return _match_cols(VE.match_projection(_vmeta(spark, sf, top)))
 
 
 @register("knn_all", """
@@ -529,7 +535,7 @@ def q_attach_embeddings(spark, sf):
 SELECT {S.q(C.NAMESPACE)} AS namespace, count(*) AS total_articles, {S.q(C.INDEX_NAME)} AS index_name
 FROM embeddings""")
 def q_collection_stats(spark, sf):
-    return VE.collection_stats(_vectors(spark, sf))
+    return VE.collection_stats(_vindex(spark, sf))
 
 
 @register("article_by_id", V_SQL + f"""
@@ -537,7 +543,8 @@ SELECT id, title, link, summary, content_preview AS content, published, source_n
 WHERE id = {SEED_ID}""")
 def q_article_by_id(spark, sf):
     from ..sources import files as FS
-    return FS.article_by_id(_vectors(spark, sf), SEED_ID)
+    one = _vindex(spark, sf).filter(F.col("id") == SEED_ID).select("id")
+    return FS.article_by_id(_vmeta(spark, sf, one), SEED_ID)
 
 
 def _similar_sql(max_results: int) -> str:
@@ -560,7 +567,7 @@ fin AS (SELECT *, CASE WHEN cnt > {max_results} THEN rs0 END AS rerank_score,
 SELECT id, rank, final_pos, round(score, 6) AS similarity_score, round(rerank_score, 6) AS rerank_score
 FROM fin WHERE final_pos <= {C.MAX_RESULTS}""")
 def q_similar_articles(spark, sf):
-    r = RC.similar_articles(_vectors(spark, sf), SEED_ID)
+    r = RC.similar_articles(_vindex(spark, sf), SEED_ID, attach=lambda d: _vmeta(spark, sf, d))
     return r.select("id", "rank", "final_pos", R("similarity_score").alias("similarity_score"),
                     R("rerank_score").alias("rerank_score"))
 
@@ -576,7 +583,7 @@ FROM (SELECT *, content_preview AS content, published AS date, link AS url, sour
       FROM fin WHERE final_pos <= {C.MAX_RESULTS})""")
 def q_recommend_endpoint(spark, sf):
     from ..operators import api as AP
-    r = AP.recommend_endpoint(_vectors(spark, sf), SEED_ID)
+    r = AP.recommend_endpoint(_vindex(spark, sf), SEED_ID, attach=lambda d: _vmeta(spark, sf, d))
     return r.select("id", "title", "content", "date", "url", "source", J("categories").alias("categories"),
                     J("tags").alias("tags"), "summary", "author", "slug", "final_pos", "total_results",
                     R("similarity_score").alias("similarity_score"))
@@ -588,7 +595,7 @@ FROM (SELECT *, content_preview AS content, published AS date, link AS url, sour
         [coalesce(category, 'general')] AS categories, '' AS author, '' AS slug FROM top)""")
 def q_recommend_projection(spark, sf):
     from ..operators import api as AP
-    m = VE.match_projection(VE.similar_by_id(_vectors(spark, sf), SEED_ID))
+    m = VE.match_projection(_vmeta(spark, sf, VE.similar_by_id(_vindex(spark, sf), SEED_ID)))
     r = AP.recommend_projection(m)
     return r.select("id", "title", "content", "date", "url", "source", J("categories").alias("categories"),
                     J("tags").alias("tags"), "summary", "author", "slug",
@@ -635,9 +642,8 @@ SELECT h.query_id, h.id, d.title, d.category, round(h.score, 6) AS similarity_sc
 FROM hits h JOIN doc_index d ON d.id = h.id""")
 def q_search_text(spark, sf):
     hits = _text_hits(spark, sf, C.MAX_RESULTS)
-    idx = TB.doc_index(spark, sf).select("id", "title", "category")
-    return hits.join(idx, "id").select("query_id", "id", "title", "category",
-                                       R("similarity_score").alias("similarity_score"), "rank")
+    return TB.attach_doc_meta(spark, sf, hits).select("query_id", "id", "title", "category",
+                                                      R("similarity_score").alias("similarity_score"), "rank")
 
 
 @register("search_category", _text_sql(C.MAX_RESULTS, TEXT_CATEGORY) + """
@@ -652,8 +658,7 @@ def q_search_category(spark, sf):
 
 def _doc_matches(spark, sf, n):
     hits = _text_hits(spark, sf, n)
-    meta = TB.doc_matches_meta(TB.doc_index(spark, sf))
-    return VE.match_projection(hits.join(meta, "id"))
+    return VE.match_projection(TB.attach_doc_meta(spark, sf, hits))
 
 
 RERANK_SQL = f""",

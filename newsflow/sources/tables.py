@@ -22,15 +22,45 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# primary key of each driver table: the key a scan is fanned out on
+TABLE_KEYS = {"pages": "page_id", "documents": "doc_id", "embeddings": "vec_id", "events": "event_id",
+              "conversations": "conv_id", "benchmark": "item_id", "labels": "doc_id"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return fan_out(df, TABLE_KEYS.get(name))
+
+
+def fan_out(df: DataFrame, key: str | None) -> DataFrame:
+    """Spread a scan that has fewer input splits than the cluster has cores.
+
+    A parquet file is split by row group; a file with one row group is one
+    task, which would run every per-row expression (HTML cleaning, tokenising)
+    on a single core. When the scan has fewer partitions than the default
+    parallelism, hash-partition it on its primary key (deterministic on retry,
+    and later joins/aggregations on that key reuse the partitioning). On a
+    cluster reading many files the scan already has enough splits and this is
+    a no-op: no extra shuffle.
+    """
+    if key is None:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
 
 
 FEED_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/)([^/?#]*)"
 
 
 def page_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RSS_ENTRY rows derived from ``pages`` (all rows).
+    """RSS_ENTRY rows derived from every row of ``pages``."""
+    return entries_from_pages(read_table(spark, sf_dir, "pages"))
+
+
+def entries_from_pages(p: DataFrame, keep=()) -> DataFrame:
+    """RSS_ENTRY rows from ``(page_id, url, html)`` rows (plus ``keep`` columns).
 
     title <- <title>; link <- url; summary <- first <p>; description <- the ad
     block; content <- [<article>] (empty list when absent); summary_detail <-
@@ -38,7 +68,6 @@ def page_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     author <- meta author (absent in the data, so the author_detail fallback
     = host is exercised); published <- RFC-822 text of 2024-01-01 + page_id h.
     """
-    p = read_table(spark, sf_dir, "pages")
     html = F.col("html")
     link_re = r'<a href="/([^"]*)">([^<]*)</a>'
     terms = F.regexp_extract_all(html, F.lit(link_re), 1)
@@ -46,6 +75,7 @@ def page_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     article = F.regexp_extract(html, r"(?is)<article[^>]*>(.*?)</article>", 1)
     category = F.regexp_extract(F.col("url"), FEED_RE, 2)
     return p.select(
+        *[c for c in keep if c != "page_id"],
         F.col("page_id"),
         F.concat(F.regexp_extract(F.col("url"), FEED_RE, 1), category, F.lit("/")).alias("feed_url"),
         category.alias("feed_category"),
@@ -76,51 +106,76 @@ def processed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return process_article(raw_articles(spark, sf_dir))
 
 
+def vector_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector index as searched: ``(id, embedding, category)``."""
+    return read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("category"))
+
+
+META_COLUMNS = ("title", "link", "summary", "published", "source_name", "tags", "ai_enhanced", "content_preview")
+
+
+def attach_vector_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Add the vector metadata to rows keyed by ``id`` (a vector id).
+
+    The raw page is joined to the rows first and the metadata (HTML parsing,
+    cleaning, embedding text) is computed only for the joined rows, so
+    attaching metadata to a top-k result parses k pages, not the whole table.
+    Rows without a page get the empty metadata of the reference's defaults.
+    """
+    from ..operators.ingest import parse_entry
+    from ..operators.vectors import vector_metadata
+    pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", "html")
+    keep = list(rows.columns)
+    rk = ["_r_" + c for c in keep] + ["_has_page"]
+    r = rows.select(*[F.col(c).alias("_r_" + c) for c in keep]).withColumn("id", F.col("_r_id"))
+    j = r.join(pages, "id", "left").withColumn("_has_page", F.col("html").isNotNull())
+    e = entries_from_pages(j.withColumn("page_id", F.col("id")), keep=rk)
+    meta = vector_metadata(parse_entry(e, keep=rk), keep=rk)
+    has = F.col("_has_page")
+    empty = F.array().cast("array<string>")
+    return meta.select(
+        *[F.col("_r_" + c).alias(c) for c in keep],
+        *[F.when(has, F.col(c)).otherwise(F.lit("")).alias(c)
+          for c in ("title", "link", "summary", "published", "source_name")],
+        F.when(has, F.col("tags")).otherwise(empty).alias("tags"),
+        F.lit(False).alias("ai_enhanced"),
+        F.when(has, F.col("content_preview")).otherwise(F.lit("")).alias("content_preview"),
+    )
+
+
 def vector_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of the index (``embeddings``) with their metadata.
+    """Every vector of the index with its metadata (VECTOR + MATCH fields).
 
     ``category`` = the vector's label; title/link/summary/... come from the
     article with ``page_id = vec_id`` (left join: vectors without an article keep
     empty metadata). ``content_preview`` = first 500 chars of the embedding text.
     """
-    from ..operators.vectors import vector_metadata
-    v = read_table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("label"))
-    a = vector_metadata(raw_articles(spark, sf_dir).withColumnRenamed("id", "article_id"))
-    a = a.drop("category")
-    out = v.join(a, v["id"] == a["page_id"], "left").drop("page_id", "article_id")
-    return out.select(
-        "id", "embedding",
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("title", "link", "summary", "published", "source_name")],
-        F.col("label").alias("category"),
-        F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"),
-        F.coalesce(F.col("ai_enhanced"), F.lit(False)).alias("ai_enhanced"),
-        F.coalesce(F.col("content_preview"), F.lit("")).alias("content_preview"),
-    )
+    return attach_vector_meta(spark, sf_dir, vector_index(spark, sf_dir))
 
 
 def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A text index over ``documents``: title = first line (stripped), summary =
-    the default summary (lead 175 words), category = lang, source = source;
-    ``embed_text`` = the embedding text (title, empty plain summary, text)."""
+    """The text index over ``documents``: ``(id, category, embed_text)``, with
+    title = first line (stripped) inside the embedding text."""
     d = read_table(spark, sf_dir, "documents")
     title = T.strip(F.regexp_extract(F.col("text"), r"^([^\n]*)", 1))
-    return d.select(
-        F.col("doc_id").alias("id"),
-        title.alias("title"),
-        T.lead_words(F.col("text")).alias("summary"),
-        F.col("lang").alias("category"),
-        F.col("source").alias("source_name"),
-        T.embedding_text(title, F.lit(""), F.col("text")).alias("embed_text"),
-    )
+    return d.select(F.col("doc_id").alias("id"), F.col("lang").alias("category"),
+                    T.embedding_text(title, F.lit(""), F.col("text")).alias("embed_text"))
 
 
-def doc_matches_meta(index: DataFrame) -> DataFrame:
-    """MATCH metadata of the text index (no link/date/tags in documents)."""
-    return index.select(
-        "id", "title", F.lit("").alias("link"), "summary", F.lit("").alias("published"), "source_name",
-        "category", F.array().cast("array<string>").alias("tags"),
-        F.substring("embed_text", 1, C.PREVIEW_CHARS).alias("content_preview"))
+def attach_doc_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """MATCH metadata for rows keyed by ``id`` (a document id): title = first
+    line, summary = the default summary (lead 175 words), category = lang,
+    source_name = source; computed after the join, for the joined rows only."""
+    d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
+    j = rows.drop("category").join(d, "id")
+    title = T.strip(F.regexp_extract(F.col("text"), r"^([^\n]*)", 1))
+    return j.select(
+        *[c for c in rows.columns if c != "category"],
+        title.alias("title"), F.lit("").alias("link"), T.lead_words(F.col("text")).alias("summary"),
+        F.lit("").alias("published"), F.col("source").alias("source_name"), F.col("lang").alias("category"),
+        F.array().cast("array<string>").alias("tags"),
+        F.substring(T.embedding_text(title, F.lit(""), F.col("text")), 1, C.PREVIEW_CHARS).alias("content_preview"))
 
 
 def queries_table(spark: SparkSession, sf_dir: str) -> DataFrame:

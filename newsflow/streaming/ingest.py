@@ -30,7 +30,7 @@ from pyspark.sql import types as Ty
 from ..session import scratch_path
 
 
-def event_stream(spark: SparkSession, landing_dir: str, schema: Ty.StructType, files_per_trigger: int = 8
+def event_stream(spark: SparkSession, landing_dir: str, schema: Ty.StructType, files_per_trigger: int = 100
                  ) -> DataFrame:
     """A file stream over landed parquet files (each landed file is one fetch)."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
