@@ -41,16 +41,20 @@ def rerank(cands: DataFrame, query_col: str = "query_text", doc_col: str = "doc_
         udf = series2_udf(rerank_fn, Ty.DoubleType())
         scored = cands.withColumn("rerank_score", udf(F.col(query_col), F.col(doc_col)))
     else:
-        c = (cands.withColumn("_qt", F.array_distinct(T.tokens(query_col)))
-             .withColumn("_dt", F.array_distinct(T.tokens(doc_col))))
-        ov = c.select(group, "id", F.explode(F.array_intersect("_qt", "_dt")).alias("tok"))
-        n = cands.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-        df_ = ov.groupBy(group, "tok").agg(F.count(F.lit(1)).alias("_df"))
-        score = (ov.join(df_, [group, "tok"]).join(n, group)
-                 .groupBy(group, "id")
-                 .agg(F.round(F.sum(F.log((F.col("_n") + 1) / (F.col("_df") + 1)) + 1), 9).alias("rerank_score")))
-        scored = cands.join(score, [group, "id"], "left").withColumn(
-            "rerank_score", F.coalesce(F.col("rerank_score"), F.lit(0.0)))
+        # one pass over the candidates (they are used once: no recomputation of
+        # the search that produced them); all windows share the partitioning
+        # by ``group`` and every group is bounded by the candidate count
+        cols = [c for c in cands.columns]
+        wg = Window.partitionBy(group)
+        c = (cands.withColumn("_n", F.count(F.lit(1)).over(wg))
+             .withColumn("_tok", F.explode_outer(F.array_intersect(F.array_distinct(T.tokens(query_col)),
+                                                                   F.array_distinct(T.tokens(doc_col))))))
+        c = c.withColumn("_df", F.count("_tok").over(Window.partitionBy(group, "_tok")))
+        contrib = F.when(F.col("_tok").isNotNull(), F.log((F.col("_n") + 1) / (F.col("_df") + 1)) + 1).otherwise(0.0)
+        scored = (c.groupBy(group, "id")
+                  .agg(*[F.first(x).alias(x) for x in cols if x not in (group, "id")],
+                       F.round(F.sum(contrib), 9).alias("rerank_score"))
+                  .select(*cols, "rerank_score"))
     # a NULL score (failed model call) keeps the vector order
     w = Window.partitionBy(group).orderBy(F.desc_nulls_last("rerank_score"), F.asc("rank"))
     return scored.withColumn("rerank_pos", F.row_number().over(w))

@@ -52,10 +52,12 @@ def nullif_empty(x: str) -> str:
 
 
 def decode_entities(x: str) -> str:
-    out = x
-    for ent, ch in T.HTML_ENTITIES:
-        out = f"replace({out}, {q(ent)}, {q(ch)})"
-    return out
+    name = f"regexp_extract(p, {q(T.ENTITY_RE)}, 1)"
+    case = " ".join(f"WHEN {q(ent[1:-1])} THEN {q(ch)}" for ent, ch in T.HTML_ENTITIES)
+    hit = f"(CASE {name} {case} END)"
+    piece = (f"CASE WHEN i = 1 THEN p WHEN {name} <> '' AND {hit} IS NOT NULL "
+             f"THEN {hit} || substr(p, length({name}) + 2) ELSE '&' || p END")
+    return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {piece}), '')"
 
 
 def clean_html(x: str) -> str:

@@ -46,11 +46,22 @@ def fan_out(df: DataFrame, key: str | None) -> DataFrame:
     if key is None:
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if _num_splits(df) >= target:
         return df
     return df.repartition(target, key)
 
 
+_SPLITS: dict[tuple, int] = {}
+
+
+def _num_splits(df: DataFrame) -> int:
+    """Input splits of a file scan (planned once per file set and session)."""
+    k = (id(df.sparkSession), tuple(sorted(df.inputFiles())))
+    if k not in _SPLITS:
+        _SPLITS[k] = df.rdd.getNumPartitions()
+    return _SPLITS[k]
+
+
 FEED_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/)([^/?#]*)"
 
 
