@@ -137,21 +137,22 @@ def attach_vector_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> Dat
     from ..operators.ingest import parse_entry
     from ..operators.vectors import vector_metadata
     pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", "html")
-    keep = list(rows.columns)
-    rk = ["_r_" + c for c in keep] + ["_has_page"]
-    r = rows.select(*[F.col(c).alias("_r_" + c) for c in keep]).withColumn("id", F.col("_r_id"))
-    j = r.join(pages, "id", "left").withColumn("_has_page", F.col("html").isNotNull())
-    e = entries_from_pages(j.withColumn("page_id", F.col("id")), keep=rk)
-    meta = vector_metadata(parse_entry(e, keep=rk), keep=rk)
-    has = F.col("_has_page")
+    # the big side (pages) is streamed and the small key set is the build side;
+    # only matched pages are parsed
+    matched = pages.join(rows.select("id").distinct(), "id")
+    e = entries_from_pages(matched.withColumn("page_id", F.col("id")))
+    meta = vector_metadata(parse_entry(e, keep=("page_id",)), keep=("page_id",)).withColumnRenamed("page_id", "id")
+    j = rows.join(meta.select("id", *[F.col(c).alias("_m_" + c) for c in META_COLUMNS if c != "ai_enhanced"]),
+                  "id", "left")
+    has = F.col("_m_title").isNotNull()
     empty = F.array().cast("array<string>")
-    return meta.select(
-        *[F.col("_r_" + c).alias(c) for c in keep],
-        *[F.when(has, F.col(c)).otherwise(F.lit("")).alias(c)
+    return j.select(
+        *rows.columns,
+        *[F.when(has, F.col("_m_" + c)).otherwise(F.lit("")).alias(c)
           for c in ("title", "link", "summary", "published", "source_name")],
-        F.when(has, F.col("tags")).otherwise(empty).alias("tags"),
+        F.when(has, F.col("_m_tags")).otherwise(empty).alias("tags"),
         F.lit(False).alias("ai_enhanced"),
-        F.when(has, F.col("content_preview")).otherwise(F.lit("")).alias("content_preview"),
+        F.when(has, F.col("_m_content_preview")).otherwise(F.lit("")).alias("content_preview"),
     )
 
 
@@ -179,7 +180,7 @@ def attach_doc_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFr
     line, summary = the default summary (lead 175 words), category = lang,
     source_name = source; computed after the join, for the joined rows only."""
     d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
-    j = rows.drop("category").join(d, "id")
+    j = d.join(rows.drop("category"), "id")          # documents streamed, the hits are the build side
     title = T.strip(F.regexp_extract(F.col("text"), r"^([^\n]*)", 1))
     return j.select(
         *[c for c in rows.columns if c != "category"],
