@@ -6,43 +6,26 @@ missing (truthiness tests); elsewhere a present empty value wins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from . import sql as S
+from ._expr import col, sql_of
 
-from .text import nullif_empty, s
 
+def content_coalesce(content, description, summary, summary_detail_value):
+    """content[0].value (a non-empty list wins even with ''), else
+    description, summary, summary_detail.value; else ''."""
+    return col(S.content_coalesce(*[sql_of(x) for x in (content, description, summary, summary_detail_value)]))
 
-def content_coalesce(content, description, summary, summary_detail_value) -> Column:
-    """First of: content[0].value (a non-empty list wins even when its first
-    value is ''), description, summary, summary_detail.value; else ''."""
-    c = F.col(content) if isinstance(content, str) else content
-    first = F.get(c, 0).getField("value")
-    rest = F.coalesce(nullif_empty(description), nullif_empty(summary), nullif_empty(summary_detail_value), s(""))
-    return F.when(F.coalesce(F.size(c), F.lit(0)) > 0, F.coalesce(first, s(""))).otherwise(rest)
 
-
-def entry_categories(tags, category) -> Column:
+def entry_categories(tags, category):
     """tags[].term (blank terms kept); else the category list; else []."""
-    t = F.col(tags) if isinstance(tags, str) else tags
-    cat = F.col(category) if isinstance(category, str) else category
-    empty = F.array().cast("array<string>")
-    return (F.when(F.coalesce(F.size(t), F.lit(0)) > 0, F.transform(t, lambda x: x.getField("term")))
-            .otherwise(F.coalesce(cat, empty)))
-
-
-def entry_tags(tags, categories) -> Column:
-    """Per tag: non-empty term, else non-empty label, else skipped; when no tag
-    survives, the categories."""
-    t = F.col(tags) if isinstance(tags, str) else tags
-    cats = F.col(categories) if isinstance(categories, str) else categories
-    picked = F.filter(
-        F.transform(F.coalesce(t, F.array().cast("array<struct<term:string,label:string>>")),
-                    lambda x: F.coalesce(nullif_empty(x.getField("term")), nullif_empty(x.getField("label")))),
-        lambda v: v.isNotNull())
-    return F.when(F.size(picked) > 0, picked).otherwise(F.coalesce(cats, F.array().cast("array<string>")))
-
-
-def entry_author(author, author_detail_name) -> Column:
+    return col(S.entry_categories(sql_of(tags), sql_of(category)))
+
+
+def entry_tags(tags, categories):
+    """Per tag: non-empty term, else non-empty label; none left -> categories."""
+    return col(S.entry_tags(sql_of(tags), sql_of(categories)))
+
+
+def entry_author(author, author_detail_name):
     """author, else author_detail.name, else ''."""
-    return F.coalesce(nullif_empty(author), author_detail_name if not isinstance(author_detail_name, str)
-                      else F.col(author_detail_name), s(""))
+    return col(S.entry_author(sql_of(author), sql_of(author_detail_name)))

@@ -1,338 +1,187 @@
-"""Column functions for article text: Column in, Column out.
+"""Column functions for article text: column in, Column out.
 
-Everything here is a built-in Spark expression, so it runs inside whole-stage
-codegen on the executors (the higher-order functions run interpreted but still
-JVM-side). None of these functions triggers a job.
+Arguments are column names (``"title"``, ``"summary_detail.value"``), SQL
+text, or Columns returned by these functions. The expressions are built as
+Spark SQL text (``sql.py``) and become one ``expr`` each: built-in functions
+only, evaluated on the executors; nothing here triggers a job.
 
-Two Python behaviours are easy to get wrong with SQL built-ins and are handled
-explicitly: ``str.strip()``/``str.split()`` use *Unicode* whitespace (Spark's
-``trim`` removes U+0020 only), and ``str.title()`` starts a new word after any
-non-letter (``initcap`` does not).
+Two Python behaviours that SQL built-ins get wrong by default are handled:
+``str.strip()``/``str.split()`` use *Unicode* whitespace (``trim`` removes
+U+0020 only) and ``str.title()`` starts a new word after any non-letter
+(``initcap`` does not).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from .. import config as C
+from . import sql as S
+from ._expr import col, sql_of
 
-# --- fixed values -----------------------------------------------------------
-# Python's str.isspace() set, written as a regex class that both Java regex and
-# RE2 read the same way.
-WS_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-
-# Named HTML entities decoded by the cleaners, in decoding order; ``&amp;`` is
-# decoded last so that ``&amp;lt;`` becomes the text ``&lt;``, not ``<``.
-HTML_ENTITIES = [
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-    ("&apos;", "'"), ("&#39;", "'"), ("&#34;", '"'), ("&copy;", "©"),
-    ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"),
-    ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-    ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"),
-    ("&bull;", "•"), ("&euro;", "€"), ("&pound;", "£"),
-    ("&amp;", "&"),
-]
-
-# Block-level tags that the Markdown-like converter turns into paragraph breaks.
-BLOCK_TAGS = ("p|div|article|section|ul|ol|table|tr|blockquote|header|footer|nav|"
-              "main|aside|pre|figure|figcaption|dl|dd|dt|hr")
-
-SCRIPT_STYLE_RE = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
-COMMENT_RE = r"(?s)<!--.*?-->"
-TAG_RE = r"<[^>]*>"
-# scheme://authority, the ``netloc`` of urllib.parse for hierarchical urls
-AUTHORITY_RE = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)"
-SCHEME_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://"
-LETTER_RUNS_RE = r"(\p{L}+|\P{L}+)"
-
-
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+# fixed values live in sql.py; re-exported for the oracle generator
+WS_CLASS = S.WS_CLASS
+HTML_ENTITIES = S.HTML_ENTITIES
+BLOCK_TAGS = S.BLOCK_TAGS
+SCRIPT_STYLE_RE = S.SCRIPT_STYLE_RE
+COMMENT_RE = S.COMMENT_RE
+TAG_RE = S.TAG_RE
+AUTHORITY_RE = S.AUTHORITY_RE
+SCHEME_RE = S.SCHEME_RE
+LETTER_RUNS_RE = S.LETTER_RUNS_RE
+ENTITY_RE = S.ENTITY_RE
+ISO_FMT = S.ISO_FMT
 
 
-def s(text: str) -> Column:
-    return F.lit(text)
+def _f(builder, *args, **kw):
+    return col(builder(*[sql_of(a) for a in args], **kw))
 
 
-# --- whitespace -------------------------------------------------------------
+def strip(c):
+    """Python ``str.strip()``."""
+    return _f(S.strip, c)
 
-def strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(c), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
 
-
-def collapse_ws(c) -> Column:
+def collapse_ws(c):
     """Python ``' '.join(x.split())``."""
-    return F.trim(F.regexp_replace(_c(c), f"{WS_CLASS}+", " "))
+    return _f(S.collapse_ws, c)
 
 
-def words(c) -> Column:
+def words(c):
     """Python ``x.split()`` as ARRAY<STRING> (empty text -> empty array)."""
-    return F.filter(F.split(collapse_ws(F.coalesce(_c(c), s(""))), " "), lambda w: w != "")
+    return _f(S.words, c)
 
 
-def word_count(c) -> Column:
-    return F.size(words(c)).cast("bigint")
+def word_count(c):
+    return _f(S.word_count, c)
 
 
-def truncate_ellipsis(c, n: int) -> Column:
+def truncate_ellipsis(c, n: int):
     """``x[:n] + '...'`` when ``len(x) > n``, else ``x``."""
-    c = _c(c)
-    return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), s("..."))).otherwise(c)
-
-
-def nullif_empty(c) -> Column:
-    c = _c(c)
-    return F.when(c == "", F.lit(None)).otherwise(c)
-
-
-# --- HTML -------------------------------------------------------------------
-
-ENTITY_RE = r"^(#?[A-Za-z0-9]+);"
+    return _f(S.truncate_ellipsis, c, n=n)
 
 
-def _sql_str(x: str) -> str:
-    return x.replace("\\", "\\\\").replace("'", "\\'")
+def nullif_empty(c):
+    return _f(S.nullif_empty, c)
 
 
-def decode_entities(c) -> Column:
-    """Decode the named entities of ``HTML_ENTITIES`` in one pass (as an HTML
-    parser does: ``&amp;lt;`` becomes the text ``&lt;``). The text is split on
-    ``&``; a piece that starts with a known ``name;`` has it replaced."""
-    # one SQL literal (one JVM call) instead of a Column per map entry
-    table = F.expr("map(" + ", ".join(f"'{ent[1:-1]}', '{_sql_str(ch)}'" for ent, ch in HTML_ENTITIES) + ")")
-    parts = F.split(_c(c), "&", -1)
+def decode_entities(c):
+    return _f(S.decode_entities, c)
 
-    def piece(p, i):
-        name = F.regexp_extract(p, ENTITY_RE, 1)
-        hit = F.element_at(table, name)
-        return (F.when(i == 0, p)
-                .when((name != "") & hit.isNotNull(), F.concat(hit, F.substring(p, F.length(name) + 2, 1 << 30)))
-                .otherwise(F.concat(s("&"), p)))
 
-    return F.array_join(F.transform(parts, piece), "")
-
-
-def clean_html(c) -> Column:
+def clean_html(c):
     """Text of an HTML fragment: tags become a space, script/style/comments are
     dropped, entities decoded, whitespace collapsed. Empty/NULL -> ''."""
-    x = F.coalesce(_c(c), s(""))
-    x = F.regexp_replace(x, SCRIPT_STYLE_RE, " ")
-    x = F.regexp_replace(x, COMMENT_RE, " ")
-    x = F.regexp_replace(x, TAG_RE, " ")
-    x = decode_entities(x)
-    return collapse_ws(x)
-
-
-def clean_content(c) -> Column:
-    """HTML -> Markdown-like plain text (no links, no images, no wrapping).
-
-    Block tags become blank lines, headings ``#``, list items ``  * ``, bold
-    ``**``, italics ``_``; other tags vanish; entities are decoded. Then the three
-    whitespace rules: ``\\n\\s*\\n`` -> blank line, ``[ \\t]+`` -> space, strip.
-    NULL and '' pass through unchanged.
-    """
-    c = _c(c)
-    x = F.regexp_replace(c, SCRIPT_STYLE_RE, "")
-    x = F.regexp_replace(x, COMMENT_RE, "")
-    for lvl in range(1, 7):
-        x = F.regexp_replace(x, rf"(?i)<h{lvl}\b[^>]*>", "\n\n" + "#" * lvl + " ")
-    x = F.regexp_replace(x, r"(?i)</h[1-6]\s*>", "\n\n")
-    x = F.regexp_replace(x, r"(?i)<li\b[^>]*>", "\n  * ")
-    x = F.regexp_replace(x, r"(?i)<br\s*/?>", "\n")
-    x = F.regexp_replace(x, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n\n")
-    x = F.regexp_replace(x, r"(?i)</?(b|strong)\b[^>]*>", "**")
-    x = F.regexp_replace(x, r"(?i)</?(i|em)\b[^>]*>", "_")
-    x = F.regexp_replace(x, TAG_RE, "")
-    x = decode_entities(x)
-    x = F.regexp_replace(x, f"\n{WS_CLASS}*\n", "\n\n")
-    x = F.regexp_replace(x, "[ \t]+", " ")
-    x = strip(x)
-    return F.when(c.isNull() | (c == ""), c).otherwise(x)
-
+    return _f(S.clean_html, c)
 
-def html_title(html) -> Column:
-    return F.regexp_extract(_c(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
 
+def clean_content(c):
+    """HTML -> Markdown-like text: block tags -> blank lines, headings ``#``,
+    list items ``  * ``, bold ``**``, italics ``_``, other tags dropped,
+    entities decoded; then ``\\n\\s*\\n`` -> blank line, ``[ \\t]+`` -> space,
+    strip. NULL and '' pass through."""
+    return _f(S.clean_content, c)
 
-# --- names and ids ------------------------------------------------------------
 
-def title_case(c) -> Column:
-    """Python ``str.title()``: every run of letters gets an upper first letter."""
-    runs = F.regexp_extract_all(_c(c), s(LETTER_RUNS_RE), 1)
+def html_title(html):
+    return _f(S.html_title, html)
 
-    def first(w):
-        f = F.substring(w, 1, 1)
-        # titlecase (not uppercase) of the first letter: only 'ß' differs in our texts
-        return F.when(f == "ß", s("Ss")).otherwise(F.upper(f))
 
-    return F.array_join(F.transform(runs, lambda w: F.concat(first(w), F.lower(F.substring(w, 2, 1 << 30)))), "")
+def title_case(c):
+    """Python ``str.title()``."""
+    return _f(S.title_case, c)
 
 
-def slug(c) -> Column:
-    """URL slug: lower, spaces -> '-', quotes dropped, [^a-z0-9-] dropped,
-    dashes squeezed and trimmed."""
-    x = F.lower(F.coalesce(_c(c), s("")))
-    x = F.replace(x, s(" "), s("-"))
-    x = F.replace(F.replace(x, s("'"), s("")), s('"'), s(""))
-    x = F.regexp_replace(x, r"[^a-z0-9\-]", "")
-    x = F.regexp_replace(x, "-+", "-")
-    return F.regexp_replace(x, "^-+|-+$", "")
+def slug(c):
+    """lower, spaces -> '-', quotes dropped, [^a-z0-9-] dropped, dashes
+    squeezed and trimmed."""
+    return _f(S.slug, c)
 
 
-def url_authority(url) -> Column:
-    """``urlparse(url).netloc`` (userinfo and port kept); '' when absent."""
-    return F.regexp_extract(F.coalesce(_c(url), s("")), AUTHORITY_RE, 1)
+def url_authority(url):
+    """``urlparse(url).netloc``; '' when absent."""
+    return _f(S.url_authority, url)
 
 
-def source_name(feed_url) -> Column:
-    """Display name of a feed: host lowered, one leading ``www.`` off, first
-    label title-cased (``https://feeds.bbci.co.uk/...`` -> ``Feeds``)."""
-    host = F.lower(url_authority(feed_url))
-    host = F.when(host.startswith("www."), F.substring(host, 5, 1 << 30)).otherwise(host)
-    return title_case(F.split(host, r"\.").getItem(0))
+def source_name(feed_url):
+    """Host lowered, one leading ``www.`` off, first label title-cased."""
+    return _f(S.source_name, feed_url)
 
 
-def md5_of(*cols) -> Column:
-    return F.md5(F.concat(*[F.coalesce(_c(x), s("")) for x in cols]))
+def md5_of(*cols):
+    return col(S.md5_of(*[sql_of(c) for c in cols]))
 
 
-def dedup_key(title, url) -> Column:
+def dedup_key(title, url):
     """``md5(title + url)``, no separator."""
-    return md5_of(title, url)
-
-
-def article_id(title, link, name) -> Column:
-    """Fetcher id: ``{source_name or 'unknown'}_{md5(title+link)}``."""
-    return F.concat(F.coalesce(nullif_empty(name), s("unknown")), s("_"), md5_of(title, link))
-
-
-def _id_safe(x) -> Column:
-    return F.regexp_replace(x, "[^a-zA-Z0-9_]", "_")
-
-
-def processor_source(feed) -> Column:
-    """Source part of the processor id (host without ``www.``/``.com``, dots to
-    underscores; a path-like feed uses its last segment)."""
-    f = F.coalesce(_c(feed), s("unknown"))
-    host = F.split(F.get(F.split(f, "://"), 1), "/").getItem(0)
-    from_url = F.replace(F.replace(F.replace(host, s("www."), s("")), s(".com"), s("")), s("."), s("_"))
-    last = F.element_at(F.split(f, "/"), -1)
-    from_path = F.replace(F.replace(F.replace(last, s(".xml"), s("")), s(".rss"), s("")), s("."), s("_"))
-    name = _id_safe(F.when(f.contains("://"), from_url).otherwise(from_path))
-    return F.when((f == "unknown") | (name == "") | (name == "_"), s("unknown")).otherwise(name)
+    return _f(S.dedup_key, title, url)
 
 
-def processor_id(title, url, feed) -> Column:
-    return F.concat(processor_source(feed), s("_"), md5_of(title, url))
+def article_id(title, link, name):
+    """``{source_name or 'unknown'}_{md5(title+link)}``."""
+    return _f(S.article_id, title, link, name)
 
 
-def api_source(feed) -> Column:
-    """Source part of the API id: last path segment of the feed url, cleaned;
-    may be empty (``https://pitchfork.com/rss/news/`` -> '')."""
-    f = F.coalesce(_c(feed), s("unknown"))
-    last = F.element_at(F.split(f, "/"), -1)
-    return _id_safe(F.replace(F.replace(F.replace(last, s(".xml"), s("")), s(".rss"), s("")), s("."), s("_")))
+def processor_source(feed):
+    return _f(S.processor_source, feed)
 
 
-def api_id(title, url, feed) -> Column:
-    return F.concat(api_source(feed), s("_"), md5_of(title, url))
+def processor_id(title, url, feed):
+    return _f(S.processor_id, title, url, feed)
 
 
-# --- dates ------------------------------------------------------------------
+def api_source(feed):
+    return _f(S.api_source, feed)
 
-ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss"
 
+def api_id(title, url, feed):
+    return _f(S.api_id, title, url, feed)
 
-def iso_text(ts) -> Column:
-    return F.date_format(_c(ts), ISO_FMT)
 
+def iso_text(ts):
+    return _f(S.iso_text, ts)
 
-def parse_published(text, run_ts: str = C.DEFAULT_RUN_TS) -> Column:
-    """Entry date -> ISO text (UTC, no zone): RFC-822 (weekday optional), else
-    ISO 8601 with ``Z``/offset, else the run timestamp ("now" of the run)."""
-    t = strip(F.coalesce(_c(text), s("")))
-    no_wd = F.regexp_replace(t, r"^[A-Za-z]{3},\s*", "")
-    rfc = F.coalesce(
-        F.try_to_timestamp(no_wd, s("d MMM yyyy HH:mm:ss z")),
-        F.try_to_timestamp(no_wd, s("d MMM yyyy HH:mm:ss Z")),
-        F.try_to_timestamp(no_wd, s("d MMM yyyy HH:mm z")),
-    )
-    iso = F.try_to_timestamp(F.regexp_replace(t, "Z$", "+00:00"))
-    return iso_text(F.coalesce(rfc, iso, F.to_timestamp(s(run_ts))))
 
+def parse_published(text, run_ts: str = C.DEFAULT_RUN_TS):
+    """RFC-822 (weekday optional), else ISO 8601 (``Z``/offset), else the run
+    timestamp; as ISO text (UTC, no zone)."""
+    return _f(S.parse_published, text, run_ts=run_ts)
 
-def rfc822(ts) -> Column:
-    """Timestamp -> ``Mon, 01 Jan 2024 12:00:00 GMT``."""
-    return F.concat(F.date_format(_c(ts), "EEE, dd MMM yyyy HH:mm:ss"), s(" GMT"))
 
+def rfc822(ts):
+    return _f(S.rfc822, ts)
 
-def display_date(c) -> Column:
-    """Browser date text: ``Jan 5, 2024``; empty -> ``Unknown date``;
-    unparsable -> ``Invalid Date``."""
-    c = _c(c)
-    ts = F.try_to_timestamp(c)
-    return (F.when(c.isNull() | (c == ""), s(C.UNKNOWN_DATE_TEXT))
-            .when(ts.isNull(), s(C.INVALID_DATE_TEXT))
-            .otherwise(F.date_format(ts, "MMM d, yyyy")))
 
+def display_date(c):
+    """``Jan 5, 2024``; empty -> ``Unknown date``; unparsable -> ``Invalid Date``."""
+    return _f(S.display_date, c)
 
-def _replace_first(c: Column, needle: str) -> Column:
-    esc = needle.replace(".", r"\.")
-    return F.regexp_replace(c, f"(?s)^(.*?){esc}", "$1")
 
+def display_source(c):
+    """Browser source label (see the SQL builder)."""
+    return _f(S.display_source, c)
 
-def display_source(c) -> Column:
-    """Browser source label: plain names get an upper first letter; urls give the
-    host minus the first ``www.``, ``.com``, ``.org``, ``.net``; a string that is
-    not a url gives its last path segment; empty -> ``Unknown Source``."""
-    c = _c(c)
-    plain = F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
-    auth = F.regexp_extract(c, AUTHORITY_RE, 1)
-    host = F.lower(F.regexp_replace(F.regexp_replace(auth, "^.*@", ""), ":[0-9]*$", ""))
-    for part in ("www.", ".com", ".org", ".net"):
-        host = _replace_first(host, part)
-    last = F.element_at(F.split(c, "/"), -1)
-    last = F.replace(F.replace(last, s(".xml"), s("")), s(".rss"), s(""))
-    return (F.when(c.isNull() | (c == ""), s(C.UNKNOWN_SOURCE_TEXT))
-            .when(~c.contains("http") & ~c.contains("/"), plain)
-            .when(F.regexp_like(c, s(SCHEME_RE)), host)
-            .when(last == "", s(C.UNKNOWN_SOURCE_TEXT))
-            .otherwise(last))
 
+def embedding_text(title, summary, content, limit: int = C.EMBED_TEXT_CHARS):
+    return _f(S.embedding_text, title, summary, content, limit=limit)
 
-# --- texts for the model stages ---------------------------------------------
 
-def embedding_text(title, summary, content, limit: int = C.EMBED_TEXT_CHARS) -> Column:
-    """``Title: t\\n\\nSummary: s\\n\\nContent: c``, capped at ``limit`` + ``...``."""
-    t = F.concat(s("Title: "), F.coalesce(_c(title), s("")), s("\n\nSummary: "), F.coalesce(_c(summary), s("")),
-                 s("\n\nContent: "), F.coalesce(_c(content), s("")))
-    return truncate_ellipsis(t, limit)
+def lead_words(c, n: int = C.SUMMARY_WORDS):
+    return _f(S.lead_words, c, n=n)
 
 
-def lead_words(c, n: int = C.SUMMARY_WORDS) -> Column:
-    """First ``n`` whitespace words joined by one space (the default summary)."""
-    return F.array_join(F.slice(words(c), 1, n), " ")
+def tokens(c):
+    """Lower-case ASCII letter runs."""
+    return _f(S.tokens, c)
 
 
-def tokens(c) -> Column:
-    """Lower-case ASCII letter runs (the default embedder's and re-ranker's tokens)."""
-    x = F.trim(F.regexp_replace(F.lower(F.coalesce(_c(c), s(""))), "[^a-z]+", " "))
-    return F.filter(F.split(x, " "), lambda w: w != "")
+def hash_bucket(word, dim: int = C.EMBED_DIM):
+    """First 32 bits of md5(token), modulo ``dim``."""
+    return _f(S.hash_bucket, word, dim=dim)
 
 
-def hash_bucket(word, dim: int = C.EMBED_DIM) -> Column:
-    """Bucket of a token: first 32 bits of its md5, modulo ``dim``."""
-    return F.pmod(F.conv(F.substring(F.md5(_c(word)), 1, 8), 16, 10).cast("bigint"), F.lit(dim))
+def parse_batch_response(text, n):
+    """Split on the separator, strip, drop blanks, pad with '', cut to ``n``."""
+    return col(S.parse_batch_response(sql_of(text), str(n) if isinstance(n, int) else sql_of(n)))
 
 
-def parse_batch_response(text, n) -> Column:
-    """Split a batch reply on the separator, strip, drop blanks, pad with '' and
-    cut to ``n`` (a blank reply shifts later summaries one slot up)."""
-    parts = F.split(F.coalesce(_c(text), s("")), C.SUMMARY_SEPARATOR)
-    kept = F.filter(F.transform(parts, strip), lambda p: p != "")
-    n = (F.lit(n) if isinstance(n, int) else _c(n)).cast("int")
-    return F.slice(F.concat(kept, F.array_repeat(s(""), n)), 1, n)
+def s(text: str):
+    return col(S.lit(text))

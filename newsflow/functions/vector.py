@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from . import sql as S
+from ._expr import col, sql_of
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def dot(a, b):
+    return col(S.dot(sql_of(a), sql_of(b)))
 
 
-def as_double(v) -> Column:
-    return _c(v).cast("array<double>")
+def norm(v):
+    return col(S.norm(sql_of(v)))
 
 
-def dot(a, b) -> Column:
-    prods = F.zip_with(as_double(a), as_double(b), lambda x, y: x * y)
-    return F.aggregate(prods, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
-def norm(v) -> Column:
-    return F.sqrt(F.aggregate(as_double(v), F.lit(0.0).cast("double"), lambda acc, x: acc + x * x))
-
-
-def cosine_similarity(a, b) -> Column:
-    """cos(a, b); NULL when either norm is zero or either side is NULL."""
-    return F.try_divide(dot(a, b), norm(a) * norm(b))
-
-
-def cosine_with_norms(a, b, norm_a, norm_b) -> Column:
-    """Cosine reusing precomputed norms (saves one pass over each vector)."""
-    return F.try_divide(dot(a, b), _c(norm_a) * _c(norm_b))
+def cosine_similarity(a, b):
+    """cos(a, b); NULL when a norm is zero or a side is NULL."""
+    return col(S.cosine_similarity(sql_of(a), sql_of(b)))

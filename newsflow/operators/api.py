@@ -58,15 +58,16 @@ def api_projection(articles: DataFrame) -> DataFrame:
     source = F.coalesce(_opt(articles, "source_feed"), _opt(articles, "source_url"))
     cat = _opt(articles, "category")
     cats = F.coalesce(_opt(articles, "categories", "array<string>"),
-                      F.when(T.nullif_empty(cat).isNotNull(), F.array(cat)).otherwise(_empty()))
-    return articles.select(
+                      F.when(F.coalesce(cat, F.lit("")) != "", F.array(cat)).otherwise(_empty()))
+    base = articles.withColumn("_t", title).withColumn("_u", url).withColumn("_s", source)
+    return base.select(
         *[c for c in ("page_id", "pos") if c in articles.columns],
-        T.api_id(title, url, source).alias("id"),
-        title.alias("title"),
+        T.api_id("_t", "_u", "_s").alias("id"),
+        F.col("_t").alias("title"),
         F.coalesce(_opt(articles, "content"), F.lit("")).alias("content"),
         F.coalesce(_opt(articles, "date"), _opt(articles, "published"), F.lit("")).alias("date"),
-        url.alias("url"),
-        F.coalesce(source, F.lit("")).alias("source"),
+        F.col("_u").alias("url"),
+        F.coalesce(F.col("_s"), F.lit("")).alias("source"),
         cats.alias("categories"),
         F.coalesce(_opt(articles, "tags", "array<string>"), _empty()).alias("tags"),
         F.coalesce(_opt(articles, "summary"), F.lit("")).alias("summary"),

@@ -33,9 +33,10 @@ from .vectors import blocked_topk, match_projection
 def embed_sparse(df: DataFrame, text_col: str = "text", id_col: str = "id", dim: int = C.EMBED_DIM) -> DataFrame:
     """``(id, idx ARRAY<INT>, val ARRAY<DOUBLE>)``: one entry per token (repeats
     add up when densified). A projection: no shuffle."""
-    idx = F.transform(T.tokens(text_col), lambda w: T.hash_bucket(w, dim).cast("int"))
-    return df.select(F.col(id_col).alias("id"), idx.alias("idx")).withColumn(
-        "val", F.transform("idx", lambda _: F.lit(1.0)))
+    from ..functions import sql as S
+    idx = f"transform({S.tokens(S.ident(text_col))}, w -> CAST({S.hash_bucket('w', dim)} AS INT))"
+    return df.selectExpr(f"{S.ident(id_col)} AS id", f"{idx} AS idx").selectExpr(
+        "id", "idx", "transform(idx, x -> CAST(1.0 AS DOUBLE)) AS val")
 
 
 def sparse_terms(df: DataFrame, text_col: str = "text", id_col: str = "id", dim: int = C.EMBED_DIM) -> DataFrame:

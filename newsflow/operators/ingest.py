@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import entry as E
+from ..functions import sql as S
 from ..functions import text as T
 
 RAW_COLUMNS = ["id", "title", "url", "summary", "content", "date", "author", "slug",
@@ -29,29 +30,27 @@ def parse_entry(entries: DataFrame, run_ts: str = C.DEFAULT_RUN_TS, keep=("page_
     run, so reruns compare equal. Rows whose XML failed to parse are dropped by
     ``drop_unparsed`` before this step.
     """
-    content = E.content_coalesce("content", F.col("description"), F.col("summary"),
-                                 F.col("summary_detail").getField("value"))
-    cats = E.entry_categories("tags", "category")
-    name = T.source_name(F.col("feed_url"))
-    title = F.coalesce(F.col("title"), F.lit(""))
-    link = F.coalesce(F.col("link"), F.lit(""))
-    kept = [c for c in keep if c in entries.columns]
-    return entries.select(
+    content = S.content_coalesce("content", "description", "summary", "summary_detail.value")
+    cats = S.entry_categories("tags", "category")
+    name = S.source_name("feed_url")
+    title, link = "coalesce(title, '')", "coalesce(link, '')"
+    kept = [S.ident(c) for c in keep if c in entries.columns]
+    return entries.selectExpr(
         *kept,
-        T.article_id(title, link, name).alias("id"),
-        title.alias("title"),
-        link.alias("url"),
-        T.clean_html(F.col("summary")).alias("summary"),
-        T.clean_html(content).alias("content"),
-        T.parse_published(F.col("published"), run_ts).alias("date"),
-        E.entry_author(F.col("author"), F.col("author_detail").getField("name")).alias("author"),
-        T.slug(title).alias("slug"),
-        cats.alias("categories"),
-        E.entry_tags("tags", cats).alias("tags"),
-        F.col("feed_url").alias("source_feed"),
-        name.alias("source_name"),
-        F.coalesce(F.col("feed_category"), F.lit(C.DEFAULT_CATEGORY)).alias("category"),
-        F.lit(run_ts).alias("fetched_at"),
+        f"{S.article_id(title, link, name)} AS id",
+        f"{title} AS title",
+        f"{link} AS url",
+        f"{S.clean_html('summary')} AS summary",
+        f"{S.clean_html(content)} AS content",
+        f"{S.parse_published('published', run_ts)} AS date",
+        f"{S.entry_author('author', 'author_detail.name')} AS author",
+        f"{S.slug(title)} AS slug",
+        f"{cats} AS categories",
+        f"{S.entry_tags('tags', cats)} AS tags",
+        "feed_url AS source_feed",
+        f"{name} AS source_name",
+        f"coalesce(feed_category, {S.lit(C.DEFAULT_CATEGORY)}) AS category",
+        f"{S.lit(run_ts)} AS fetched_at",
     )
 
 
@@ -64,17 +63,17 @@ def with_compat_aliases(raw: DataFrame) -> DataFrame:
 def process_article(raw: DataFrame, cleaning: bool = True, keep=("page_id", "entry_pos")) -> DataFrame:
     """RAW_ARTICLE -> PROCESSED_ARTICLE: processor id, stripped title, cleaned
     content; drops summary, link, published, source_name and category."""
-    content = T.clean_content(F.col("content")) if cleaning else F.col("content")
-    kept = [c for c in keep if c in raw.columns]
-    return raw.select(
+    content = S.clean_content("content") if cleaning else "content"
+    kept = [S.ident(c) for c in keep if c in raw.columns]
+    return raw.selectExpr(
         *kept,
-        T.processor_id(F.col("title"), F.col("url"), F.col("source_feed")).alias("id"),
-        T.strip(F.coalesce(F.col("title"), F.lit(""))).alias("title"),
-        content.alias("content"),
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("url", "date", "author", "slug")],
-        F.coalesce(F.col("categories"), F.array().cast("array<string>")).alias("categories"),
-        F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"),
-        F.coalesce(F.col("source_feed"), F.lit("")).alias("source_feed"),
+        f"{S.processor_id('title', 'url', 'source_feed')} AS id",
+        S.strip("coalesce(title, '')") + " AS title",
+        f"{content} AS content",
+        *[f"coalesce({S.ident(c)}, '') AS {S.ident(c)}" for c in ("url", "date", "author", "slug")],
+        "coalesce(categories, CAST(array() AS ARRAY<STRING>)) AS categories",
+        "coalesce(tags, CAST(array() AS ARRAY<STRING>)) AS tags",
+        "coalesce(source_feed, '') AS source_feed",
     )
 
 
@@ -166,7 +165,7 @@ def feed_health(entries: DataFrame, sample: int = 3, preview: int = 100) -> Data
         F.count_if(~has_content).alias("missing_content"),
     )
     w = Window.partitionBy("feed_url").orderBy("entry_pos")
-    content_text = E.content_coalesce("content", F.col("description"), F.lit(""), F.lit(""))
+    content_text = E.content_coalesce("content", "description", "''", "''")
     firsts = (entries.withColumn("sample_pos", F.row_number().over(w)).filter(F.col("sample_pos") <= sample)
               .select("feed_url", "sample_pos",
                       F.coalesce(F.col("title"), F.lit("")).alias("sample_title"),

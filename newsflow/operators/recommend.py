@@ -115,7 +115,7 @@ def category_counts(matches: DataFrame, group: str = "query_id") -> DataFrame:
 def keyword_counts(matches: DataFrame, group: str = "query_id") -> DataFrame:
     """Title words longer than 4 characters, lower-cased, punctuation kept;
     every occurrence counts. ``first_seen`` = (rank, position in title)."""
-    words = matches.select(group, "rank", F.posexplode(T.words(F.lower(F.col("title")))).alias("wpos", "word"))
+    words = matches.select(group, "rank", F.posexplode(T.words("lower(title)")).alias("wpos", "word"))
     return (words.filter(F.length("word") > 4)
             .groupBy(group, "word")
             .agg(F.count(F.lit(1)).alias("mention_count"), F.min(F.struct("rank", "wpos")).alias("first_seen")))

@@ -102,7 +102,7 @@ def batch_prompt(batched: DataFrame, file_col: str = "source_file", content_cap:
     content capped at 1,500 chars + ``...``, footer; plus the token budget
     ``int(175 * n * 1.5)``. Groups hold at most 20 rows."""
     block = _fmt(BATCH_BLOCK, i=F.col("slot").cast("string"), title=F.coalesce(F.col("title"), F.lit("")),
-                 content=T.truncate_ellipsis(F.coalesce(F.col("content"), F.lit("")), content_cap))
+                 content=T.truncate_ellipsis("coalesce(content, '')", content_cap))
     g = (batched.select(file_col, "batch_id", F.struct("slot", block.alias("block")).alias("b"))
          .groupBy(file_col, "batch_id")
          .agg(F.array_sort(F.collect_list("b")).alias("bs")))
@@ -118,7 +118,7 @@ def batch_prompt(batched: DataFrame, file_col: str = "source_file", content_cap:
 def single_prompt(articles: DataFrame, content_cap: int = C.SINGLE_CONTENT_CHARS) -> DataFrame:
     """Per-article prompt (content capped at 3,000 + ``...``), budget int(175*1.5)."""
     p = _fmt(SINGLE_PROMPT, w=F.lit(str(TARGET_WORDS)), title=F.coalesce(F.col("title"), F.lit("")),
-             content=T.truncate_ellipsis(F.coalesce(F.col("content"), F.lit("")), content_cap))
+             content=T.truncate_ellipsis("coalesce(content, '')", content_cap))
     return articles.withColumn("prompt", p).withColumn("max_tokens", F.lit(int(TARGET_WORDS * 1.5)).cast("bigint"))
 
 
@@ -200,9 +200,9 @@ def summary_fallback(summarized: DataFrame, failed_batches: DataFrame,
         fixed = redo.withColumn("ai_summary", F.when(T.lead_words("content") != "", T.lead_words("content")))
     else:
         udf = series_udf(single_fn, "string")
-        fixed = single_prompt(redo).withColumn("_r", T.strip(udf(F.col("prompt"))))
-        fixed = fixed.withColumn("ai_summary", F.when(F.col("_r") != "", F.col("_r"))).drop("_r", "prompt",
-                                                                                          "max_tokens")
+        fixed = single_prompt(redo).withColumn("_r0", udf(F.col("prompt"))).withColumn("_r", T.strip("_r0"))
+        fixed = fixed.withColumn("ai_summary", F.when(F.col("_r") != "", F.col("_r"))).drop(
+            "_r", "_r0", "prompt", "max_tokens")
     return keep.unionByName(fixed)
 
 

@@ -42,24 +42,24 @@ def vector_metadata(articles: DataFrame, run_ts: str = C.DEFAULT_RUN_TS, keep=("
     content_preview = first 500 chars of the *embedding text* (which uses the
     plain summary, not ai_summary).
     """
+    from ..functions import sql as S
     cols = set(articles.columns)
-    ai = F.col("ai_summary") if "ai_summary" in cols else F.lit(None).cast("string")
-    cat = F.col("category") if "category" in cols else F.lit(None).cast("string")
-    enhanced = F.col("ai_enhanced") if "ai_enhanced" in cols else F.lit(False)
-    keep = [c for c in keep if c in cols]
-    return articles.select(
-        *keep,
-        F.substring(F.coalesce(F.col("title"), F.lit("")), 1, C.TITLE_CAP).alias("title"),
-        F.coalesce(F.col("url"), F.lit("")).alias("link"),
-        F.substring(F.coalesce(ai, F.col("summary"), F.lit("")), 1, C.SUMMARY_CAP).alias("summary"),
-        F.coalesce(F.col("date"), F.lit("")).alias("published"),
-        F.coalesce(F.col("source_name"), F.lit("")).alias("source_name"),
-        F.coalesce(F.get(F.col("categories"), 0), cat, F.lit(C.DEFAULT_CATEGORY)).alias("category"),
-        F.slice(F.coalesce(F.col("tags"), F.array().cast("array<string>")), 1, C.TAGS_CAP).alias("tags"),
-        F.coalesce(enhanced, F.lit(False)).alias("ai_enhanced"),
-        F.lit(run_ts).alias("added_to_db"),
-        F.substring(T.embedding_text(F.col("title"), F.col("summary"), F.col("content")), 1, C.PREVIEW_CHARS)
-         .alias("content_preview"),
+    ai = "ai_summary" if "ai_summary" in cols else "CAST(NULL AS STRING)"
+    cat = "category" if "category" in cols else "CAST(NULL AS STRING)"
+    enhanced = "ai_enhanced" if "ai_enhanced" in cols else "false"
+    kept = [S.ident(c) for c in keep if c in cols]
+    return articles.selectExpr(
+        *kept,
+        f"substring(coalesce(title, ''), 1, {C.TITLE_CAP}) AS title",
+        "coalesce(url, '') AS link",
+        f"substring(coalesce({ai}, summary, ''), 1, {C.SUMMARY_CAP}) AS summary",
+        "coalesce(date, '') AS published",
+        "coalesce(source_name, '') AS source_name",
+        f"coalesce(get(categories, 0), {cat}, {S.lit(C.DEFAULT_CATEGORY)}) AS category",
+        f"slice(coalesce(tags, CAST(array() AS ARRAY<STRING>)), 1, {C.TAGS_CAP}) AS tags",
+        f"coalesce({enhanced}, false) AS ai_enhanced",
+        f"{S.lit(run_ts)} AS added_to_db",
+        f"substring({S.embedding_text('title', 'summary', 'content')}, 1, {C.PREVIEW_CHARS}) AS content_preview",
     )
 
 

@@ -148,7 +148,7 @@ def q_processor_id(spark, sf):
     a = TB.raw_articles(spark, sf)
     return a.select("page_id", T.processor_id(F.col("title"), F.col("url"), F.col("source_feed")).alias("id_feed"),
                     T.processor_id(F.col("title"), F.col("url"), F.col("source_name")).alias("id_name"),
-                    T.processor_id(F.col("title"), F.col("url"), F.lit(None).cast("string")).alias("id_missing"))
+                    T.processor_id("title", "url", "CAST(NULL AS STRING)").alias("id_missing"))
 
 
 @register("api_id", A_SQL + f"""
@@ -196,7 +196,7 @@ SELECT page_id, {S.display_date('date')} AS date_label, {S.display_date("''")} A
 def q_display_date(spark, sf):
     p = TB.processed_articles(spark, sf)
     return p.select("page_id", T.display_date(F.col("date")).alias("date_label"),
-                    T.display_date(F.lit("")).alias("empty_label"),
+                    T.display_date("''").alias("empty_label"),
                     T.display_date(F.col("slug")).alias("bad_label"))
 
 
@@ -206,7 +206,7 @@ SELECT page_id, {S.display_source('source_feed')} AS from_url, {S.display_source
   {S.display_source("substr(url, strpos(url, '://') + 3)")} AS from_path FROM articles""")
 def q_display_source(spark, sf):
     a = TB.raw_articles(spark, sf)
-    no_scheme = F.expr("substring(url, instr(url, '://') + 3)")
+    no_scheme = "substring(url, instr(url, '://') + 3)"
     return a.select("page_id", T.display_source(F.col("source_feed")).alias("from_url"),
                     T.display_source(F.col("source_name")).alias("from_name"),
                     T.display_source(T.api_source(F.col("source_feed"))).alias("from_segment"),
@@ -417,7 +417,7 @@ SELECT page_id, wpos, word FROM (
 WHERE length(word) > 4""")
 def q_keyword_length(spark, sf):
     a = TB.raw_articles(spark, sf)
-    w = a.select("page_id", F.posexplode(T.words(F.lower(F.col("title")))).alias("wpos", "word"))
+    w = a.select("page_id", F.posexplode(T.words("lower(title)")).alias("wpos", "word"))
     return w.filter(F.length("word") > 4)
 
 
@@ -776,7 +776,7 @@ from ..operators import summarize as SU  # noqa: E402
 def _doc_articles(spark, sf):
     d = TB.read_table(spark, sf, "documents")
     return d.select("doc_id", F.col("source").alias("source_file"), F.col("doc_id").alias("pos"),
-                    T.strip(F.regexp_extract(F.col("text"), r"^([^\n]*)", 1)).alias("title"),
+                    F.expr(TB.DOC_TITLE_SQL).alias("title"),
                     F.col("text").alias("content"))
 
 
@@ -838,8 +838,8 @@ def q_parse_batch_response(spark, sf):
     g = c.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("role") == "assistant", F.struct("turn", "text")))).alias("a"),
         F.count_if(F.col("role") == "user").alias("n"))
-    reply = F.array_join(F.transform("a", lambda x: x["text"]), CONV_SEP)
-    parsed = g.select("conv_id", T.parse_batch_response(reply, F.col("n")).alias("parts"))
+    reply = g.withColumn("reply", F.array_join(F.transform("a", lambda x: x["text"]), CONV_SEP))
+    parsed = reply.select("conv_id", T.parse_batch_response("reply", "n").alias("parts"))
     return parsed.select("conv_id", F.posexplode("parts").alias("p", "summary")).select(
         "conv_id", (F.col("p") + 1).alias("slot"), "summary")
 

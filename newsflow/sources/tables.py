@@ -79,32 +79,31 @@ def entries_from_pages(p: DataFrame, keep=()) -> DataFrame:
     author <- meta author (absent in the data, so the author_detail fallback
     = host is exercised); published <- RFC-822 text of 2024-01-01 + page_id h.
     """
-    html = F.col("html")
-    link_re = r'<a href="/([^"]*)">([^<]*)</a>'
-    terms = F.regexp_extract_all(html, F.lit(link_re), 1)
-    labels = F.regexp_extract_all(html, F.lit(link_re), 2)
-    article = F.regexp_extract(html, r"(?is)<article[^>]*>(.*?)</article>", 1)
-    category = F.regexp_extract(F.col("url"), FEED_RE, 2)
-    return p.select(
-        *[c for c in keep if c != "page_id"],
-        F.col("page_id"),
-        F.concat(F.regexp_extract(F.col("url"), FEED_RE, 1), category, F.lit("/")).alias("feed_url"),
-        category.alias("feed_category"),
-        F.col("page_id").alias("entry_pos"),
-        T.html_title(html).alias("title"),
-        F.col("url").alias("link"),
-        F.regexp_extract(html, r"(?is)<p(?:\s[^>]*)?>(.*?)</p>", 1).alias("summary"),
-        F.regexp_extract(html, r'(?is)<div class="ad">(.*?)</div>', 1).alias("description"),
-        F.when(article == "", F.array().cast("array<struct<value:string>>"))
-         .otherwise(F.array(F.struct(article.alias("value")))).alias("content"),
-        F.struct(F.regexp_extract(html, r"(?is)<footer[^>]*>(.*?)</footer>", 1).alias("value")).alias("summary_detail"),
-        F.transform(terms, lambda t, i: F.struct(t.alias("term"), F.get(labels, i).alias("label"))).alias("tags"),
-        F.array(category).alias("category"),
-        F.regexp_extract(html, r'<meta name="author" content="([^"]*)"', 1).alias("author"),
-        F.struct(F.lower(T.url_authority(F.col("url"))).alias("name")).alias("author_detail"),
-        T.rfc822(F.timestamp_add("HOUR", F.col("page_id"), F.lit("2024-01-01 00:00:00").cast("timestamp")))
-         .alias("published"),
-    )
+    from ..functions import sql as S
+    link_re = S.lit(r'<a href="/([^"]*)">([^<]*)</a>')
+    article = f"regexp_extract(html, {S.lit(r'(?is)<article[^>]*>(.*?)</article>')}, 1)"
+    category = f"regexp_extract(url, {S.lit(FEED_RE)}, 2)"
+    exprs = [S.ident(c) for c in keep if c != "page_id"] + [
+        "page_id",
+        f"concat(regexp_extract(url, {S.lit(FEED_RE)}, 1), {category}, '/') AS feed_url",
+        f"{category} AS feed_category",
+        "page_id AS entry_pos",
+        f"{S.html_title('html')} AS title",
+        "url AS link",
+        f"regexp_extract(html, {S.lit(r'(?is)<p(?:\s[^>]*)?>(.*?)</p>')}, 1) AS summary",
+        f"regexp_extract(html, {S.lit(r'(?is)<div class="ad">(.*?)</div>')}, 1) AS description",
+        f"CASE WHEN {article} = '' THEN CAST(array() AS ARRAY<STRUCT<value: STRING>>) "
+        f"ELSE array(named_struct('value', {article})) END AS content",
+        f"named_struct('value', regexp_extract(html, {S.lit(r'(?is)<footer[^>]*>(.*?)</footer>')}, 1)) "
+        "AS summary_detail",
+        f"transform(regexp_extract_all(html, {link_re}, 1), (t, i) -> named_struct('term', t, 'label', "
+        f"get(regexp_extract_all(html, {link_re}, 2), i))) AS tags",
+        f"array({category}) AS category",
+        f"regexp_extract(html, {S.lit('<meta name="author" content="([^"]*)"')}, 1) AS author",
+        f"named_struct('name', lower({S.url_authority('url')})) AS author_detail",
+        f"{S.rfc822("timestampadd(HOUR, page_id, TIMESTAMP '2024-01-01 00:00:00')")} AS published",
+    ]
+    return p.selectExpr(*exprs)
 
 
 def raw_articles(spark: SparkSession, sf_dir: str, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
@@ -166,13 +165,21 @@ def vector_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_vector_meta(spark, sf_dir, vector_index(spark, sf_dir))
 
 
+def _doc_title_sql() -> str:
+    from ..functions import sql as S
+    return S.strip(f"regexp_extract(text, {S.lit('^([^' + chr(10) + ']*)')}, 1)")
+
+
+DOC_TITLE_SQL = _doc_title_sql()
+
+
 def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text index over ``documents``: ``(id, category, embed_text)``, with
     title = first line (stripped) inside the embedding text."""
+    from ..functions import sql as S
     d = read_table(spark, sf_dir, "documents")
-    title = T.strip(F.regexp_extract(F.col("text"), r"^([^\n]*)", 1))
-    return d.select(F.col("doc_id").alias("id"), F.col("lang").alias("category"),
-                    T.embedding_text(title, F.lit(""), F.col("text")).alias("embed_text"))
+    return d.selectExpr("doc_id AS id", "lang AS category",
+                        f"{S.embedding_text(DOC_TITLE_SQL, chr(39) * 2, 'text')} AS embed_text")
 
 
 def attach_doc_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
@@ -181,13 +188,12 @@ def attach_doc_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFr
     source_name = source; computed after the join, for the joined rows only."""
     d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
     j = d.join(rows.drop("category"), "id")          # documents streamed, the hits are the build side
-    title = T.strip(F.regexp_extract(F.col("text"), r"^([^\n]*)", 1))
-    return j.select(
-        *[c for c in rows.columns if c != "category"],
-        title.alias("title"), F.lit("").alias("link"), T.lead_words(F.col("text")).alias("summary"),
-        F.lit("").alias("published"), F.col("source").alias("source_name"), F.col("lang").alias("category"),
-        F.array().cast("array<string>").alias("tags"),
-        F.substring(T.embedding_text(title, F.lit(""), F.col("text")), 1, C.PREVIEW_CHARS).alias("content_preview"))
+    from ..functions import sql as S
+    return j.selectExpr(
+        *[S.ident(c) for c in rows.columns if c != "category"],
+        f"{DOC_TITLE_SQL} AS title", "'' AS link", f"{S.lead_words('text')} AS summary",
+        "'' AS published", "source AS source_name", "lang AS category", "CAST(array() AS ARRAY<STRING>) AS tags",
+        f"substring({S.embedding_text(DOC_TITLE_SQL, chr(39) * 2, 'text')}, 1, {C.PREVIEW_CHARS}) AS content_preview")
 
 
 def queries_table(spark: SparkSession, sf_dir: str) -> DataFrame:
