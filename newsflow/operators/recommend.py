@@ -124,31 +124,36 @@ def keyword_counts(matches: DataFrame, group: str = "query_id") -> DataFrame:
 def trending_topics(matches: DataFrame, limit: int = 10, group: str = "query_id") -> DataFrame:
     """``limit // 2`` top categories then ``limit // 2`` top keywords of the
     matches of each query; ties in first-seen order. ``matches`` must already be
-    the top-50 sample (``rank`` 1..50)."""
+    the top-50 sample (``rank`` 1..50).
+
+    One pass over the matches: every match yields one category term and its
+    title keywords, then one grouped count and one ranking window per (query,
+    kind). Groups are bounded by the sample size.
+    """
     half = limit // 2
-    cats = category_counts(matches, group)
-    wc = Window.partitionBy(group).orderBy(F.desc("article_count"), F.asc("first_seen"))
-    cats = (cats.withColumn("pos", F.row_number().over(wc)).filter(F.col("pos") <= half)
-            .select(group, "pos",
-                    T.title_case(F.col("category")).alias("topic"),
-                    F.concat(F.lit("Popular category with "), F.col("article_count").cast("string"),
-                             F.lit(" recent articles")).alias("description"),
-                    F.concat(F.lit("High activity in "), F.col("category"), F.lit(" news")).alias("reason"),
-                    F.col("article_count").cast("bigint").alias("article_count"),
-                    F.lit(None).cast("bigint").alias("mention_count")))
-    kws = keyword_counts(matches, group)
-    wk = Window.partitionBy(group).orderBy(F.desc("mention_count"), F.asc("first_seen"))
-    kws = (kws.withColumn("pos", F.row_number().over(wk)).filter(F.col("pos") <= half)
-           .select(group, (F.col("pos") + half).alias("pos"),
-                   T.title_case(F.col("word")).alias("topic"),
-                   F.concat(F.lit("Frequently mentioned keyword in "), F.col("mention_count").cast("string"),
-                            F.lit(" articles")).alias("description"),
-                   F.lit("High frequency in recent headlines").alias("reason"),
-                   F.lit(None).cast("bigint").alias("article_count"),
-                   F.col("mention_count").cast("bigint").alias("mention_count")))
-    # categories come first; keyword positions are offset by ``half`` so the
-    # pair (group, pos) orders the whole list. Fewer categories leave a gap,
-    # which a dense renumbering closes.
-    out = cats.unionByName(kws)
-    w = Window.partitionBy(group).orderBy("pos")
-    return out.withColumn("topic_pos", F.row_number().over(w)).drop("pos")
+    kw = F.filter(F.transform(T.words("lower(title)"), lambda w, i: F.struct(
+        F.lit(1).alias("kind"), w.alias("term"), i.alias("wpos"))), lambda x: F.length(x["term"]) > 4)
+    cat = F.array(F.struct(F.lit(0).alias("kind"),
+                           F.coalesce(F.col("category"), F.lit(C.DEFAULT_CATEGORY)).alias("term"),
+                           F.lit(0).alias("wpos")))
+    terms = matches.select(group, "rank", F.explode(F.concat(cat, kw)).alias("t")).select(
+        group, "rank", "t.kind", "t.term", "t.wpos")
+    counts = (terms.groupBy(group, "kind", "term")
+              .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rank", "wpos")).alias("first_seen")))
+    w = Window.partitionBy(group, "kind").orderBy(F.desc("n"), F.asc("first_seen"))
+    top = counts.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= half)
+    is_cat = F.col("kind") == 0
+    n = F.col("n").cast("string")
+    out = top.select(
+        group,
+        (F.col("pos") + F.col("kind") * half).alias("pos"),
+        T.title_case("term").alias("topic"),
+        F.when(is_cat, F.concat(F.lit("Popular category with "), n, F.lit(" recent articles")))
+         .otherwise(F.concat(F.lit("Frequently mentioned keyword in "), n, F.lit(" articles"))).alias("description"),
+        F.when(is_cat, F.concat(F.lit("High activity in "), F.col("term"), F.lit(" news")))
+         .otherwise(F.lit("High frequency in recent headlines")).alias("reason"),
+        F.when(is_cat, F.col("n")).cast("bigint").alias("article_count"),
+        F.when(~is_cat, F.col("n")).cast("bigint").alias("mention_count"))
+    # categories first; fewer categories leave a gap that the renumbering closes
+    wp = Window.partitionBy(group).orderBy("pos")
+    return out.withColumn("topic_pos", F.row_number().over(wp)).drop("pos")
