@@ -182,8 +182,14 @@ def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
     every group holds at most ``block_rows`` rows of each side.
     """
     vec_cols = ["vec"] if sparse_dim is None else ["idx", "val"]
-    nb_probe = probe.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).cast("int")).scalar()
-    nb_build = build.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).cast("int")).scalar()
+    # memory bound: <= block_rows rows per block; parallelism: the build side is
+    # cut into at least as many blocks as the cluster has cores (blocks of >= 256
+    # rows), so a single query or a small probe table still uses every core
+    cores = probe.sparkSession.sparkContext.defaultParallelism
+    n = F.count(F.lit(1))
+    nb_probe = probe.agg(F.greatest(F.lit(1), F.ceil(n / block_rows)).cast("int")).scalar()
+    nb_build = build.agg(F.greatest(F.lit(1), F.ceil(n / block_rows),
+                                    F.least(F.lit(cores), F.ceil(n / 256))).cast("int")).scalar()
     p = (probe.select("id", *vec_cols)
          .withColumn("pb", F.pmod(F.xxhash64("id"), nb_probe).cast("int"))
          .withColumn("bb", F.explode(F.sequence(F.lit(0), nb_build - 1))))
