@@ -33,33 +33,46 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fan_out(df: DataFrame, key: str | None) -> DataFrame:
-    """Spread a scan that has fewer input splits than the cluster has cores.
+    """Spread a scan that has fewer input splits than it has cores' worth of
+    bytes.
 
     A parquet file is split by row group; a file with one row group is one
     task, which would run every per-row expression (HTML cleaning, tokenising)
-    on a single core. When the scan has fewer partitions than the default
-    parallelism, hash-partition it on its primary key (deterministic on retry,
-    and later joins/aggregations on that key reuse the partitioning). On a
-    cluster reading many files the scan already has enough splits and this is
-    a no-op: no extra shuffle.
+    on a single core. When the scan has fewer partitions than
+    ``min(cores, bytes / 1 MiB)``, hash-partition it on its primary key to that
+    count (deterministic on retry; later joins and aggregations on the key
+    reuse the partitioning). Small inputs stay as they are (a shuffle would
+    cost more than it spreads), and on a cluster reading many files the scan
+    already has enough splits: no extra shuffle.
     """
     if key is None:
         return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if _num_splits(df) >= target:
+    splits, size = _scan_shape(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = min(cores, size // FAN_OUT_MIN_BYTES)
+    if splits >= target:
         return df
-    return df.repartition(target, key)
-
-
-_SPLITS: dict[tuple, int] = {}
-
-
-def _num_splits(df: DataFrame) -> int:
-    """Input splits of a file scan (planned once per file set and session)."""
-    k = (id(df.sparkSession), tuple(sorted(df.inputFiles())))
-    if k not in _SPLITS:
-        _SPLITS[k] = df.rdd.getNumPartitions()
-    return _SPLITS[k]
+    return df.repartition(int(target), key)
+
+
+FAN_OUT_MIN_BYTES = 1 << 20          # at least 1 MiB of input per fanned-out partition
+_SHAPES: dict[tuple, tuple[int, int]] = {}
+
+
+def _scan_shape(df: DataFrame) -> tuple[int, int]:
+    """(input splits, input bytes) of a file scan; file-system metadata only,
+    looked up once per file set and session."""
+    files = tuple(sorted(df.inputFiles()))
+    k = (id(df.sparkSession), files)
+    if k not in _SHAPES:
+        jvm = df.sparkSession.sparkContext._jvm
+        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        size = 0
+        for f in files:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            size += path.getFileSystem(conf).getFileStatus(path).getLen()
+        _SHAPES[k] = (df.rdd.getNumPartitions(), size)
+    return _SHAPES[k]
 
 
 FEED_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/)([^/?#]*)"
