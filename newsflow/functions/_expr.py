@@ -24,7 +24,10 @@ def sql_of(x) -> str:
     m = _COLREPR.match(str(x))
     if m:
         return ident(m.group(1))
-    raise TypeError(f"pass a column name or SQL text instead of {x!r}")
+    try:                                   # any other Column: its SQL text (one JVM call)
+        return "(" + x._jc.node().sql() + ")"
+    except Exception as e:  # noqa: BLE001
+        raise TypeError(f"pass a column name or SQL text instead of {x!r}") from e
 
 
 def col(sql: str) -> Column:

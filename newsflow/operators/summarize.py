@@ -12,9 +12,9 @@ Here the call is a pluggable, Arrow-batched stage:
 * hook: ``summarize_fn(prompts: pd.Series) -> pd.Series`` of reply texts, run
   with ``mapInPandas`` over one row per batch.
 
-Batches never cross files: batch = floor((position in file - 1) / 20). A
-file is read by a single task in the first place (a JSON array file is not
-splittable), so the per-file window does not concentrate more than one file.
+Batches never cross files: batch = floor((position in file - 1) / 20). The
+position in file is computed without a window over the whole file
+(``dense_position``), so one huge run file is still numbered by many tasks.
 """
 
 from __future__ import annotations
@@ -86,12 +86,34 @@ def _fmt(template: str, **cols) -> F.Column:
     return F.format_string(out, *args)
 
 
+def dense_position(df: DataFrame, group: str, pos_col: str, width: int = 1 << 16) -> DataFrame:
+    """1-based position of each row in ``group`` ordered by the integer
+    ``pos_col`` -- without a window over a whole group.
+
+    Positions are cut into ranges of ``width`` values; rows are counted per
+    (group, range) with a map-side combined aggregate, the counts are
+    prefix-summed per group on that small table, and a ``row_number`` inside
+    each (group, range) adds the rest. Every window holds at most ``width``
+    distinct positions, so a group with a third of all rows is spread over
+    many tasks. Returns ``df`` with a ``_rn`` column.
+    """
+    chunk = F.floor(F.col(pos_col) / width).cast("bigint")
+    d = df.withColumn("_chunk", chunk)
+    counts = d.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
+    wo = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(wo), F.lit(0))).drop("_c")
+    wi = Window.partitionBy(group, "_chunk").orderBy(pos_col)
+    return (d.withColumn("_local", F.row_number().over(wi))
+            .join(offsets, [group, "_chunk"])
+            .withColumn("_rn", F.col("_off") + F.col("_local"))
+            .drop("_chunk", "_off", "_local"))
+
+
 def summary_batches(articles: DataFrame, file_col: str = "source_file", pos_col: str = "pos",
                     size: int = C.SUMMARY_BATCH) -> DataFrame:
-    """Add ``batch_id`` (0-based per file) and ``slot`` (1..size) in file order."""
-    w = Window.partitionBy(file_col).orderBy(pos_col)
-    rn = F.row_number().over(w)
-    return (articles.withColumn("_rn", rn)
+    """Add ``batch_id`` (0-based per file) and ``slot`` (1..size) in file order
+    (``pos_col`` is an integer position)."""
+    return (dense_position(articles, file_col, pos_col)
             .withColumn("batch_id", F.floor((F.col("_rn") - 1) / size).cast("bigint"))
             .withColumn("slot", (((F.col("_rn") - 1) % size) + 1).cast("int")).drop("_rn"))
 

@@ -170,3 +170,34 @@ def land_rss_files(items: DataFrame, path: str, feed_col: str = "feed_url", orde
                                        F.lit("</channel></rss>")).alias("value")))
     docs.write.partitionBy(feed_col).text(path)
     return path
+
+
+def scan_atom(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Landed Atom files -> one row per ``<entry>`` (see ``scan_rss``)."""
+    return scan_rss(spark, paths, ATOM_ENTRY_SCHEMA, row_tag="entry")
+
+
+def atom_items_to_entries(items: DataFrame, feed_url: str = "feed_url", category: str = "feed_category",
+                          entry_pos: str = "entry_pos") -> DataFrame:
+    """Atom entries -> RSS_ENTRY columns: link = the ``alternate`` (or first)
+    href, tags = category term/label, content = ``<content>``, date =
+    published else updated."""
+    links = F.coalesce(F.col("link"), F.array().cast("array<struct<_href:string,_rel:string>>"))
+    alt = F.filter(links, lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
+    href = F.coalesce(F.get(alt, 0)["_href"], F.get(links, 0)["_href"])
+    empty_tags = F.array().cast("array<struct<term:string,label:string>>")
+    return items.select(
+        F.col(feed_url).alias("feed_url"), F.col(category).alias("feed_category"), F.col(entry_pos).alias("entry_pos"),
+        "title", href.alias("link"), "summary",
+        F.lit(None).cast("string").alias("description"),
+        F.when(F.col("content").isNull(), F.array().cast("array<struct<value:string>>"))
+         .otherwise(F.array(F.struct(F.col("content").alias("value")))).alias("content"),
+        F.struct(F.lit(None).cast("string").alias("value")).alias("summary_detail"),
+        F.coalesce(F.transform("category", lambda c: F.struct(c["_term"].alias("term"), c["_label"].alias("label"))),
+                   empty_tags).alias("tags"),
+        F.array().cast("array<string>").alias("category"),
+        F.lit(None).cast("string").alias("author"),
+        F.struct(F.col("author.name").alias("name")).alias("author_detail"),
+        F.coalesce(F.col("published"), F.col("updated")).alias("published"),
+        *[c for c in ("_corrupt_record",) if c in items.columns],
+    )

@@ -81,3 +81,24 @@ def test_seen_missing_table_is_empty(spark):
 def test_schemas_declared():
     assert "ai_summary" in SC.PROCESSED_ARTICLE.fieldNames()
     assert SC.API_ARTICLE.fieldNames()[-1] == "similarity_score"
+
+
+ATOM_XML = """<feed xmlns="http://www.w3.org/2005/Atom"><title>F</title>
+<entry><title>A</title><link rel="alternate" href="http://a.example/1"/><updated>2024-02-03T04:05:06Z</updated>
+<author><name>Ann</name></author><category term="t1" label="L1"/><category term="" label="L2"/>
+<content>&lt;p&gt;hi&lt;/p&gt;</content></entry>
+</feed>
+"""
+
+
+def test_atom_scan_fixture(spark):
+    d = tempfile.mkdtemp()
+    with open(os.path.join(d, "feed.atom"), "w") as f:
+        f.write(ATOM_XML)
+    items = FD.scan_atom(spark, d)
+    ent = FD.atom_items_to_entries(items.withColumn("feed_url", F.lit("http://a.example/atom"))
+                                   .withColumn("feed_category", F.lit("general")).withColumn("entry_pos", F.lit(0)))
+    r = IN.parse_entry(IN.drop_unparsed(ent)).first()
+    assert r["url"] == "http://a.example/1" and r["date"] == "2024-02-03T04:05:06"
+    assert r["author"] == "Ann" and r["content"] == "hi"
+    assert list(r["categories"]) == ["t1", ""] and list(r["tags"]) == ["t1", "L2"]

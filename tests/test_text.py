@@ -129,3 +129,12 @@ def test_summary_batches_sizes(spark):
     sizes = [r["n"] for r in summary_batches(df).groupBy("batch_id").count()
              .withColumnRenamed("count", "n").orderBy("batch_id").collect()]
     assert sizes == [20, 20, 5]
+
+
+def test_dense_position_crosses_ranges(spark):
+    from newsflow.operators.summarize import dense_position
+    pos = [3, 5, 8, 13, 21, 34, 55, 89, 144, 233, 377]
+    df = spark.createDataFrame([("a", p) for p in pos] + [("b", p * 2) for p in pos[:4]], "f string, pos long")
+    got = {(r["f"], r["pos"]): r["_rn"] for r in dense_position(df, "f", "pos", width=7).collect()}
+    assert [got[("a", p)] for p in pos] == list(range(1, len(pos) + 1))
+    assert [got[("b", p * 2)] for p in pos[:4]] == [1, 2, 3, 4]
