@@ -81,8 +81,12 @@ def collapse_ws(x: str) -> str:
     return f"trim({rr(x, WS_CLASS + '+', ' ')})"
 
 
+NON_WS_RUN = "[^" + WS_CLASS[1:] + "+"        # a maximal run of non-whitespace characters
+
+
 def words(x: str) -> str:
-    return f"filter(split({collapse_ws(nz(x))}, ' '), w -> w != '')"
+    """Python ``x.split()``: the runs of non-whitespace (one regex pass)."""
+    return f"regexp_extract_all({nz(x)}, {lit(NON_WS_RUN)}, 0)"
 
 
 def word_count(x: str) -> str:
@@ -267,7 +271,8 @@ def lead_words(x: str, n: int = C.SUMMARY_WORDS) -> str:
 
 
 def tokens(x: str) -> str:
-    return f"filter(split(trim({rr(f'lower({nz(x)})', '[^a-z]+', ' ')}), ' '), w -> w != '')"
+    """The runs of ASCII letters of the lower-cased text (one regex pass)."""
+    return f"regexp_extract_all(lower({nz(x)}), '[a-z]+', 0)"
 
 
 def hash_bucket(w: str, dim: int = C.EMBED_DIM) -> str:
