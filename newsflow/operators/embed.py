@@ -84,3 +84,18 @@ def search_matches(queries: DataFrame, index: DataFrame, n: int = C.MAX_RESULTS,
     top = search_text(queries, index.select("id", F.col("embed_text").alias("text")), n=n,
                       threshold=threshold, **kw)
     return match_projection(top.join(index.drop("embed_text"), "id"))
+
+
+def search_text_with(queries: DataFrame, docs: DataFrame, embed_fn: Callable[[pd.Series], pd.Series],
+                     query_embed_fn: Callable[[pd.Series], pd.Series] | None = None, n: int = C.MAX_RESULTS,
+                     threshold: float = C.SIMILARITY_THRESHOLD, query_text: str = "text", doc_text: str = "text",
+                     block_rows: int = 4096) -> DataFrame:
+    """Text search with a user embedding model: documents through
+    ``embed_fn``, queries through ``query_embed_fn`` (asymmetric models embed
+    queries with another input type; defaults to ``embed_fn``). Both run as
+    Arrow-batched pandas UDFs; scoring is the same exact blocked top-k."""
+    q = embed_with(queries, query_embed_fn or embed_fn, query_text)
+    d = embed_with(docs, embed_fn, doc_text)
+    top = blocked_topk(q, d, k=n, threshold=threshold, exclude_self=False, block_rows=block_rows)
+    return top.select(F.col("id").alias("query_id"), F.col("neighbor_id").alias("id"),
+                      F.col("score").alias("similarity_score"), "rank")
