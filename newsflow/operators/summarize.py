@@ -87,26 +87,27 @@ def _fmt(template: str, **cols) -> F.Column:
 
 
 def dense_position(df: DataFrame, group: str, pos_col: str, width: int = 1 << 16) -> DataFrame:
-    """1-based position of each row in ``group`` ordered by the integer
-    ``pos_col`` -- without a window over a whole group.
-
-    Positions are cut into ranges of ``width`` values; rows are counted per
-    (group, range) with a map-side combined aggregate, the counts are
-    prefix-summed per group on that small table, and a ``row_number`` inside
-    each (group, range) adds the rest. Every window holds at most ``width``
-    distinct positions, so a group with a third of all rows is spread over
-    many tasks. Returns ``df`` with a ``_rn`` column.
+    """Add ``_rn``: the 1-based position of each row in ``group`` ordered by
+    the integer ``pos_col`` (unique within a group) -- without a window over a
+    whole group.
+
+    Works on the (group, position) keys only: positions are cut into ranges of
+    ``width`` values, rows are counted per (group, range) with a map-side
+    combined aggregate, the counts are prefix-summed per group on that small
+    table, and a ``row_number`` inside each (group, range) adds the rest. Every
+    window holds at most ``width`` positions, so a group with a third of all
+    rows is spread over many tasks. The full rows are shuffled once, by the
+    unique (group, position) key, to take their number.
     """
-    chunk = F.floor(F.col(pos_col) / width).cast("bigint")
-    d = df.withColumn("_chunk", chunk)
-    counts = d.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
+    keys = df.select(group, pos_col).withColumn("_chunk", F.floor(F.col(pos_col) / width).cast("bigint"))
+    counts = keys.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
     wo = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(wo), F.lit(0))).drop("_c")
     wi = Window.partitionBy(group, "_chunk").orderBy(pos_col)
-    return (d.withColumn("_local", F.row_number().over(wi))
-            .join(offsets, [group, "_chunk"])
-            .withColumn("_rn", F.col("_off") + F.col("_local"))
-            .drop("_chunk", "_off", "_local"))
+    ranks = (keys.withColumn("_local", F.row_number().over(wi))
+             .join(offsets, [group, "_chunk"])
+             .select(group, pos_col, (F.col("_off") + F.col("_local")).alias("_rn")))
+    return df.join(ranks, [group, pos_col])
 
 
 def summary_batches(articles: DataFrame, file_col: str = "source_file", pos_col: str = "pos",

@@ -59,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="newsflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

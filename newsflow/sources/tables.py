@@ -28,51 +28,55 @@ TABLE_KEYS = {"pages": "page_id", "documents": "doc_id", "embeddings": "vec_id",
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return fan_out(df, TABLE_KEYS.get(name))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return fan_out(spark.read.parquet(path), TABLE_KEYS.get(name), cache_key=path)
 
 
-def fan_out(df: DataFrame, key: str | None) -> DataFrame:
-    """Spread a scan that has fewer input splits than it has cores' worth of
-    bytes.
+def fan_out(df: DataFrame, key: str | None, cache_key: str | None = None) -> DataFrame:
+    """Spread a scan that has fewer input splits than cores' worth of bytes.
 
     A parquet file is split by row group; a file with one row group is one
     task, which would run every per-row expression (HTML cleaning, tokenising)
     on a single core. When the scan has fewer partitions than
-    ``min(cores, bytes / 1 MiB)``, hash-partition it on its primary key to that
-    count (deterministic on retry; later joins and aggregations on the key
-    reuse the partitioning). Small inputs stay as they are (a shuffle would
-    cost more than it spreads), and on a cluster reading many files the scan
-    already has enough splits: no extra shuffle.
+    ``min(cores, bytes / 512 KiB)`` (on-disk bytes, from the optimizer's
+    statistics of the file index -- no extra listing), hash-partition it on its
+    primary key to that count (deterministic on retry; later joins and
+    aggregations on the key reuse the partitioning). Small inputs stay as they
+    are. A large input (at least ``target x maxPartitionBytes``) is assumed to
+    be split by the reader already and is not planned at all: on a cluster this
+    is a no-op with no driver-side work beyond the statistics.
     """
     if key is None:
         return df
-    splits, size = _scan_shape(df)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    target = min(cores, size // FAN_OUT_MIN_BYTES)
-    if splits >= target:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    ck = (id(spark), cores, cache_key) if cache_key else None
+    shape = _SHAPES.get(ck) if ck else None
+    if shape is None:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        target = int(min(cores, size // FAN_OUT_MIN_BYTES))
+        max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+        if target <= 1 or size >= target * max_split:
+            splits = target
+        else:
+            splits = df.rdd.getNumPartitions()
+        shape = (splits, target)
+        if ck:
+            _SHAPES[ck] = shape
+    splits, target = shape
+    if target <= 1 or splits >= target:
         return df
-    return df.repartition(int(target), key)
+    return df.repartition(target, key)
 
 
-FAN_OUT_MIN_BYTES = 1 << 20          # at least 1 MiB of input per fanned-out partition
+FAN_OUT_MIN_BYTES = 512 << 10        # at least 512 KiB of (compressed) input per fanned-out partition
 _SHAPES: dict[tuple, tuple[int, int]] = {}
 
 
-def _scan_shape(df: DataFrame) -> tuple[int, int]:
-    """(input splits, input bytes) of a file scan; file-system metadata only,
-    looked up once per file set and session."""
-    files = tuple(sorted(df.inputFiles()))
-    k = (id(df.sparkSession), files)
-    if k not in _SHAPES:
-        jvm = df.sparkSession.sparkContext._jvm
-        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-        size = 0
-        for f in files:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            size += path.getFileSystem(conf).getFileStatus(path).getLen()
-        _SHAPES[k] = (df.rdd.getNumPartitions(), size)
-    return _SHAPES[k]
+def _bytes(v: str) -> int:
+    v = str(v).strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)
 
 
 FEED_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/)([^/?#]*)"
