@@ -24,7 +24,7 @@ from pyspark.sql import types as Ty
 from .. import config as C
 from ..functions import text as T
 from ..functions.udf import series2_udf
-from .vectors import similar_by_id, source_vector
+from .vectors import similar_by_id
 
 
 def doc_text(title="title", summary="summary"):

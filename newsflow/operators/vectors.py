@@ -17,8 +17,6 @@ Physical choices (see README "Similarity search"):
 
 from __future__ import annotations
 
-from typing import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -26,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from .. import config as C
-from ..functions import text as T
 from ..functions import vector as V
 
 MATCH_COLUMNS = ["id", "title", "link", "summary", "published", "source_name", "category", "tags",

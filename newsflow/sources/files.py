@@ -28,7 +28,6 @@ def latest_files(spark: SparkSession, out_dir: str, patterns=("processed_news_*.
     ``total_articles`` (all computed in the plan: a max over file metadata, then
     a semi-join on the winning path)."""
     schema = schema or SC.SNAPSHOT_ARTICLE
-    from py4j.protocol import Py4JJavaError  # noqa: F401
     frames = []
     for p in patterns:
         frames.append(spark.read.option("multiLine", True).option("pathGlobFilter", p).schema(schema).json(out_dir)
