@@ -320,7 +320,7 @@ def q_seen_union(spark, sf):
 
 
 @register("fetch_stats", A_SQL + CAPPED_SQL + """
-SELECT CASE GROUPING(category, source_feed) WHEN 3 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS level,
+SELECT (CASE GROUPING(category, source_feed) WHEN 3 THEN 0 WHEN 1 THEN 1 ELSE 2 END)::BIGINT AS level,
   coalesce(category, '') AS category, coalesce(source_feed, '') AS source_feed, count(*) AS new_articles
 FROM new GROUP BY ROLLUP (category, source_feed)""")
 def q_fetch_stats(spark, sf):
@@ -1042,7 +1042,7 @@ u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY versi
 
 
 @register("upsert_vectors", "WITH x AS (SELECT 1)" + UPSERT_SQL + f"""
-SELECT {S.q(C.NAMESPACE)} AS namespace, id, version::BIGINT AS version, round(x, 6) AS first_value FROM u""")
+SELECT {S.q(C.NAMESPACE)} AS namespace, id, version::BIGINT AS version, round(x::DOUBLE, 6) AS first_value FROM u""")
 def q_upsert_vectors(spark, sf):
     e = TB.read_table(spark, sf, "embeddings")
     a = e.select(F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("category"))
@@ -1051,7 +1051,7 @@ def q_upsert_vectors(spark, sf):
     t1, _ = SK.upsert_vectors(None, a, scratch_path(spark, "vectors-v1"), 1)
     t2, _ = SK.upsert_vectors(t1, upd, scratch_path(spark, "vectors-v2"), 2)
     return t2.select("namespace", "id", F.col("version").cast("bigint").alias("version"),
-                     R(F.col("embedding")[0]).alias("first_value"))
+                     R(F.col("embedding")[0].cast("double")).alias("first_value"))
 
 
 @register("clear_namespace", f"""

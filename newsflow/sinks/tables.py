@@ -16,12 +16,20 @@ from .. import config as C
 from ..operators import ingest as IN
 
 
+def read_back(spark: SparkSession, path: str, written: DataFrame) -> DataFrame:
+    """Read a partitioned table with the schema it was written with: partition
+    discovery would otherwise infer types from directory names (a namespace
+    "3" would come back as an integer, "007" as 7)."""
+    return spark.read.schema(written.schema).parquet(path)
+
+
 def write_raw(raw: DataFrame, path: str, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
     """Append one run of raw articles (partition ``run_ts``) and return the
     table as written. Two runs never overwrite each other (the reference's
     minute-stamped file did)."""
-    raw.withColumn("run_ts", F.lit(run_ts)).write.mode("append").partitionBy("run_ts").parquet(path)
-    return raw.sparkSession.read.parquet(path)
+    out = raw.withColumn("run_ts", F.lit(run_ts))
+    out.write.mode("append").partitionBy("run_ts").parquet(path)
+    return read_back(raw.sparkSession, path, out)
 
 
 def write_processed(processed: DataFrame, path: str, run_ts: str = C.DEFAULT_RUN_TS,
@@ -30,8 +38,9 @@ def write_processed(processed: DataFrame, path: str, run_ts: str = C.DEFAULT_RUN
     output per input file, and two files processed in the same second do not
     collide."""
     out = processed if file_col in processed.columns else processed.withColumn(file_col, F.lit(""))
-    out.withColumn("run_ts", F.lit(run_ts)).write.mode("append").partitionBy("run_ts").parquet(path)
-    return processed.sparkSession.read.parquet(path)
+    out = out.withColumn("run_ts", F.lit(run_ts))
+    out.write.mode("append").partitionBy("run_ts").parquet(path)
+    return read_back(processed.sparkSession, path, out)
 
 
 def write_seen(new_hashes: DataFrame, path: str) -> DataFrame:
@@ -62,7 +71,7 @@ def upsert_vectors(current: DataFrame | None, batch: DataFrame, path: str, versi
                             F.struct("version", "seq")).alias("_r"))
               .select("namespace", "id", "_r.*"))
     merged.write.mode("errorifexists").partitionBy("namespace").parquet(path)
-    return batch.sparkSession.read.parquet(path), batch.count()
+    return read_back(batch.sparkSession, path, merged), batch.count()
 
 
 def clear_namespace(current: DataFrame, namespace: str, path: str) -> DataFrame:
@@ -70,7 +79,7 @@ def clear_namespace(current: DataFrame, namespace: str, path: str) -> DataFrame:
     partition (the filter is a partition filter, so it prunes files)."""
     current.filter(F.col("namespace") != F.lit(namespace)).write.mode("errorifexists") \
         .partitionBy("namespace").parquet(path)
-    return current.sparkSession.read.parquet(path)
+    return read_back(current.sparkSession, path, current)
 
 
 def seen_from_articles(articles: DataFrame) -> DataFrame:

@@ -35,13 +35,18 @@ def test_every_key_has_a_query():
     assert len(QUERIES) >= 80
 
 
+TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(SQLS))
 def test_oracle(spark, duck, key):
     if SF != SF_SMALL:
         pytest.skip("oracle views are registered for sf0.001")
-    got = QUERIES[key](spark, SF).toPandas()
-    exp = duck.execute(SQLS[key]).df()
-    assert _rows(got) == _rows(exp)
+    df = QUERIES[key](spark, SF)
+    rel = duck.sql(SQLS[key])
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert _rows(df.toPandas()) == _rows(rel.df())
 
 
 def test_entry_smoke(spark):
