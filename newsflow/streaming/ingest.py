@@ -94,13 +94,14 @@ def land_events(events: DataFrame, landing_dir: str, by: str = "day") -> str:
     return landing_dir
 
 
-def ingest_events(spark: SparkSession, events: DataFrame, keys: list[str], mode: str = "state") -> DataFrame:
+def ingest_events(spark: SparkSession, events: DataFrame, keys: list[str], mode: str = "state",
+                  files_per_trigger: int = 100) -> DataFrame:
     """Land ``events``, stream them through the dedup and return the table the
     stream wrote (whole run: availableNow)."""
     landing = land_events(events, scratch_path(spark, "landing"))
     schema = spark.read.parquet(landing).schema
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    s = event_stream(spark, landing, schema)
+    s = event_stream(spark, landing, schema, files_per_trigger)
     if mode == "table":
         run_with_seen_table(s, keys, out, scratch_path(spark, "seen"), ckpt)
     else:
