@@ -167,7 +167,7 @@ def _block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int
 
 def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
                  threshold: float | None = C.SIMILARITY_THRESHOLD, exclude_self: bool = True,
-                 block_rows: int = 4096, sparse_dim: int | None = None) -> DataFrame:
+                 block_rows: int = 4096, sparse_dim: int | None = None, within: str | None = None) -> DataFrame:
     """Exact top-``k`` cosine neighbours in ``build`` for every row of ``probe``.
 
     Dense inputs: ``(id BIGINT, vec ARRAY<numeric>)``. Sparse inputs (set
@@ -177,6 +177,12 @@ def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
     Block counts come from scalar subqueries over the inputs (lazy, no driver
     round trip). Each side is replicated once per block of the other side and
     every group holds at most ``block_rows`` rows of each side.
+
+    ``within``: a column present on both sides (namespace, category); only
+    pairs with equal values are scored (groups are (value, probe block, build
+    block)), so the work is the sum of the squared partition sizes instead of
+    N squared, and a partition holding a third of the rows still splits into
+    bounded groups.
     """
     vec_cols = ["vec"] if sparse_dim is None else ["idx", "val"]
     # memory bound: <= block_rows rows per block; parallelism: the build side is
@@ -187,26 +193,29 @@ def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
     nb_probe = probe.agg(F.greatest(F.lit(1), F.ceil(n / block_rows)).cast("int")).scalar()
     nb_build = build.agg(F.greatest(F.lit(1), F.ceil(n / block_rows),
                                     F.least(F.lit(cores), F.ceil(n / 256))).cast("int")).scalar()
-    p = (probe.select("id", *vec_cols)
+    part = [within] if within else []
+    p = (probe.select("id", *vec_cols, *part)
          .withColumn("pb", F.pmod(F.xxhash64("id"), nb_probe).cast("int"))
          .withColumn("bb", F.explode(F.sequence(F.lit(0), nb_build - 1))))
     # the build side gets its own column names: a self-cogroup (probe is build)
     # must not resolve both sides to the same attributes
-    b = (build.select(F.col("id").alias("b_id"), *[F.col(c).alias("b_" + c) for c in vec_cols])
+    b = (build.select(F.col("id").alias("b_id"), *[F.col(c).alias("b_" + c) for c in vec_cols], *part)
          .withColumn("bb", F.pmod(F.xxhash64("b_id"), nb_build).cast("int"))
          .withColumn("pb", F.explode(F.sequence(F.lit(0), nb_probe - 1)))
-         .select("b_id", *["b_" + c for c in vec_cols], "pb", "bb"))
+         .select("b_id", *["b_" + c for c in vec_cols], "pb", "bb", *part))
     fn = _block_topk_fn(k, threshold, exclude_self, sparse_dim)
-    pairs = p.groupBy("pb", "bb").cogroup(b.groupBy("pb", "bb")).applyInPandas(fn, PAIR_SCHEMA)
+    p = p.select("id", *vec_cols, "pb", "bb", *part)
+    pairs = p.groupBy(*part, "pb", "bb").cogroup(b.groupBy(*part, "pb", "bb")).applyInPandas(fn, PAIR_SCHEMA)
     w = Window.partitionBy("id").orderBy(F.round("score", 9).desc(), F.asc("neighbor_id"))
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def knn_all(vectors: DataFrame, k: int = C.MAX_RESULTS, threshold: float | None = C.SIMILARITY_THRESHOLD,
-            block_rows: int = 4096) -> DataFrame:
-    """For every vector, its top ``k`` most similar other vectors (exact)."""
-    v = vectors.select("id", F.col("embedding").alias("vec"))
-    return blocked_topk(v, v, k=k, threshold=threshold, exclude_self=True, block_rows=block_rows)
+            block_rows: int = 4096, within: str | None = None) -> DataFrame:
+    """For every vector, its top ``k`` most similar other vectors (exact);
+    with ``within``, only among vectors with the same value of that column."""
+    v = vectors.select("id", F.col("embedding").alias("vec"), *([within] if within else []))
+    return blocked_topk(v, v, k=k, threshold=threshold, exclude_self=True, block_rows=block_rows, within=within)
 
 
 def attach_embeddings(texts: DataFrame, embedded: DataFrame) -> DataFrame:

@@ -118,3 +118,23 @@ def test_rerank_hook_orders_by_model_score(spark):
         "query_id long, id long, rank int, query_text string, doc_text string")
     order = [r["id"] for r in rerank(cands, rerank_fn=model).orderBy("rerank_pos").collect()]
     assert order == [11, 12, 10]
+
+
+def test_knn_within_category_equals_brute_force(spark):
+    import numpy as np
+    v = TB.vector_index(spark, SF_SMALL)
+    rows = v.collect()
+    ids = np.array([r["id"] for r in rows])
+    cat = np.array([r["category"] for r in rows])
+    m = np.array([np.asarray(r["embedding"], dtype=float) for r in rows])
+    m = m / np.linalg.norm(m, axis=1, keepdims=True)
+    s = m @ m.T
+    expect = {}
+    for i in range(len(ids)):
+        cand = [(-s[i, j], ids[j]) for j in range(len(ids))
+                if j != i and cat[j] == cat[i] and s[i, j] >= 0.25]
+        expect[ids[i]] = [b for _, b in sorted(cand)[:10]]
+    got = {}
+    for r in VE.knn_all(v, within="category", block_rows=64).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["neighbor_id"])
+    assert {k: v for k, v in expect.items() if v} == got
