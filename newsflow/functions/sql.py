@@ -105,13 +105,26 @@ def entity_map() -> str:
     return "map(" + ", ".join(f"{lit(e[1:-1])}, {lit(ch)}" for e, ch in HTML_ENTITIES) + ")"
 
 
+def entity_code_point(name: str) -> str:
+    """Code point of a numeric entity name (``#233``, ``#xE9``); NULL when not
+    numeric or not a valid scalar value (0, surrogates, > U+10FFFF)."""
+    cp = (f"(CASE WHEN {name} RLIKE '^#[0-9]{{1,7}}$' THEN CAST(substring({name}, 2) AS BIGINT) "
+          f"WHEN {name} RLIKE '^#[xX][0-9a-fA-F]{{1,6}}$' THEN CAST(conv(substring({name}, 3), 16, 10) AS BIGINT) END)")
+    return f"(CASE WHEN {cp} BETWEEN 1 AND 1114111 AND NOT ({cp} BETWEEN 55296 AND 57343) THEN {cp} END)"
+
+
 def decode_entities(x: str) -> str:
-    """One pass: split on '&'; a piece starting with a known ``name;`` has it
-    replaced (``&amp;lt;`` -> ``&lt;``, as an HTML parser does)."""
+    """One pass: split on '&'; a piece starting with a known ``name;`` or a
+    numeric ``#NNN;`` / ``#xHH;`` has it replaced (``&amp;lt;`` -> ``&lt;``, as
+    an HTML parser does). A code point becomes its character via UTF-32."""
     name = f"regexp_extract(p, {lit(ENTITY_RE)}, 1)"
     hit = f"try_element_at({entity_map()}, {name})"
+    cp = entity_code_point(name)
+    ch = f"decode(unhex(lpad(hex({cp}), 8, '0')), 'UTF-32')"
+    rest = f"substring(p, length({name}) + 2, {BIG})"
     return (f"array_join(transform(split({x}, '&', -1), (p, i) -> CASE WHEN i = 0 THEN p "
-            f"WHEN {name} != '' AND {hit} IS NOT NULL THEN concat({hit}, substring(p, length({name}) + 2, {BIG})) "
+            f"WHEN {name} != '' AND {hit} IS NOT NULL THEN concat({hit}, {rest}) "
+            f"WHEN {cp} IS NOT NULL THEN concat({ch}, {rest}) "
             f"ELSE concat('&', p) END), '')")
 
 

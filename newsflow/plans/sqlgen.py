@@ -55,8 +55,13 @@ def decode_entities(x: str) -> str:
     name = f"regexp_extract(p, {q(T.ENTITY_RE)}, 1)"
     case = " ".join(f"WHEN {q(ent[1:-1])} THEN {q(ch)}" for ent, ch in T.HTML_ENTITIES)
     hit = f"(CASE {name} {case} END)"
+    num = (f"(CASE WHEN regexp_matches({name}, '^#[0-9]{{1,7}}$') THEN CAST(substr({name}, 2) AS BIGINT) "
+           f"WHEN regexp_matches({name}, '^#[xX][0-9a-fA-F]{{1,6}}$') THEN CAST('0x' || substr({name}, 3) AS BIGINT) END)")
+    cp = f"(CASE WHEN {num} BETWEEN 1 AND 1114111 AND NOT ({num} BETWEEN 55296 AND 57343) THEN {num} END)"
     piece = (f"CASE WHEN i = 1 THEN p WHEN {name} <> '' AND {hit} IS NOT NULL "
-             f"THEN {hit} || substr(p, length({name}) + 2) ELSE '&' || p END")
+             f"THEN {hit} || substr(p, length({name}) + 2) "
+             f"WHEN {cp} IS NOT NULL THEN chr(CAST({cp} AS INTEGER)) || substr(p, length({name}) + 2) "
+             f"ELSE '&' || p END")
     return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {piece}), '')"
 
 

@@ -54,6 +54,11 @@ def test_clean_html(spark):
         == "t &lt; u"
 
 
+def test_numeric_entities(spark):
+    assert one(spark, T.decode_entities(F.col("x")), x="&#233;t&#xE9; &#x1F600; &#0; &#xD800; &amp;#65;") \
+        == "été 😀 &#0; &#xD800; &#65;"
+
+
 def test_clean_content_passthrough_and_rules(spark):
     assert one(spark, T.clean_content(F.col("x")), x="") == ""
     assert one(spark, T.clean_content(F.lit(None).cast("string"))) is None
