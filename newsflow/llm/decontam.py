@@ -28,7 +28,7 @@ from . import words as W
 
 MIN_WORDS = 5                    # shorter items match ordinary prose by chance and are not searched for
 SIMILARITY = 0.8                 # 1 - edit distance / words of the item
-REPEATS, SAMPLED = 32, 2         # walks, and steps of a walk in one key; recall above 0.99 at a fifth of the words edited (see the tests)
+REPEATS, SAMPLED = 40, 3         # walks, and steps of a walk in one key; recall above 0.99 at a fifth of the words edited (see the tests)
 BLOCK_CHARS = 8_000_000          # characters of items searched for in one pass over the documents
 RATIO = 1.25                     # longest to shortest item of one window size
 _U = np.uint64
@@ -47,27 +47,34 @@ class Items:
         hashes, _, _, off = W.word_spans(_lower(pa.array([t for _, t in rows], pa.string())), W.ALNUM)
         self.words = np.unique(hashes)
         self.repeats, self.sampled = repeats, sampled
-        self.items = []
+        self.items = []                        # (item, word ids, most edits)
         for (item, _), a, b in zip(rows, off[:-1], off[1:], strict=True):
             if b - a >= MIN_WORDS:
                 self.items.append((item, self.ids(hashes[a:b]), int((1 - similarity) * (b - a) + 1e-9)))
+        self.masks = [_masks(w.tolist()) for _, w, _ in self.items]
         self.pairs = np.unique(np.concatenate([_pairs(w) for _, w, _ in self.items])) if self.items else np.zeros(0, np.uint64)
-        self.classes = []                      # (window words, most edits, {key: items})
+        self.classes = []                      # window words, most edits, [walk key: items], which pairs its items have
         for size in sorted({len(w) for _, w, _ in self.items}):
-            if not self.classes or size > RATIO * self.classes[-1][0]:
-                self.classes.append([size, 0, defaultdict(set)])
-            self.classes[-1][1] = max(d for _, w, d in self.items if len(w) == size)      # sizes ascend, and so do the edits
+            if not self.classes or size > RATIO * self.classes[-1].size:
+                self.classes.append(Class(size, len(self.pairs) + 1))
+            self.classes[-1].edits = max(d for _, w, d in self.items if len(w) == size)      # sizes ascend, and so do the edits
+        self.own_pairs = [frozenset(self.pair_ids(w).tolist()) for _, w, _ in self.items]
         for k, (_, w, _) in enumerate(self.items):
-            own = next(c for c in reversed(self.classes) if c[0] <= len(w))
+            own = next(c for c in reversed(self.classes) if c.size <= len(w))
+            own.has_pair[self.pair_ids(w)] = True
             for r in range(repeats):
                 start = np.array([len(w) - 1 if r % 2 else 0])
-                own[2][int(self.keys(w, start, 0, len(w), own[0], r)[0])].add(k)
+                own.items[int(self.keys(w, start, 0, len(w), own.size, r)[0])].add(k)
+        for c in self.classes:
+            c.keys = np.sort(np.fromiter(c.items, np.uint64, len(c.items)))
+
+    def pair_ids(self, ids: np.ndarray) -> np.ndarray:
+        """1.. for word pairs of the items, 0 for all others."""
+        return _find(self.pairs, _pairs(ids))
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """1.. for words of the items, 0 for all others."""
-        at = np.searchsorted(self.words, hashes)
-        at[at == len(self.words)] = 0
-        return np.where(self.words[at] == hashes, at + 1, 0).astype(np.int64) if len(self.words) else np.zeros(len(hashes), np.int64)
+        return _find(self.words, hashes)
 
     def keys(self, ids: np.ndarray, start: np.ndarray, lo, hi, size: int, r: int) -> np.ndarray:
         """The key of walk ``r`` from every start; ``[lo, hi)`` is the text's part of ``ids``."""
@@ -86,24 +93,44 @@ class Items:
         return key
 
 
+class Class:
+    def __init__(self, size: int, pairs: int):
+        self.size, self.edits = size, 0
+        self.items: dict[int, set[int]] = defaultdict(set)
+        self.keys = np.zeros(0, np.uint64)
+        self.has_pair = np.zeros(pairs, bool)
+
+
+def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """1 + the place of each value in a sorted table, 0 if it isn't there."""
+    if not len(table):
+        return np.zeros(len(values), np.int64)
+    at = np.searchsorted(table, values)
+    at[at == len(table)] = 0
+    return np.where(table[at] == values, at + 1, 0)
+
+
 def _pairs(ids: np.ndarray) -> np.ndarray:
     w = ids.astype(np.uint64)
     return W.mix(w[:-1] * W.SEEDS[24] + w[1:])
 
 
-def edit_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """``(distance, first, end)`` of the part of ``text`` nearest to ``item`` in word edits.
+def _masks(words: list[int]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for i, w in enumerate(words):
+        out[w] = out.get(w, 0) | 1 << i
+    return out
+
+
+def edit_match(words: list[int], text: list[int], most: int, masks: dict[int, int] | None = None) -> tuple[int, int, int] | None:
+    """``(distance, first, end)`` of the part of ``text`` nearest to ``words``, or None if that is over ``most`` word edits.
 
     Ties go to the earliest end, then to the shortest part."""
-    masks: dict[int, int] = {}
-    for i, w in enumerate(item.tolist()):
-        masks[w] = masks.get(w, 0) | 1 << i
-    m = len(item)
-    best, end = _scan(masks, m, text.tolist())
-    back: dict[int, int] = {}
-    for w, bits in masks.items():
-        back[w] = int(format(bits, f"0{m}b")[::-1], 2)
-    _, length = _scan(back, m, text[:end][::-1].tolist(), target=best)
+    m = len(words)
+    best, end = _scan(masks or _masks(words), m, text)
+    if best > most:
+        return None
+    _, length = _scan(_masks(words[::-1]), m, text[:end][::-1], target=best)
     return best, end - length, end
 
 
@@ -139,20 +166,20 @@ def _search(items: Items):
         for b in W.slices(batches, "text"):
             hashes, _, _, off = W.word_spans(_lower(b.column("text")), W.ALNUM)
             ids = items.ids(hashes)
-            known = np.concatenate([[0], np.cumsum(np.isin(_pairs(ids), items.pairs) if len(ids) > 1 and len(items.pairs) else np.zeros(0, np.int64))])
-            doc_of = np.repeat(np.arange(len(off) - 1), np.diff(off))
+            pairs = items.pair_ids(ids)
+            ends = np.repeat(off[1:], np.diff(off))      # of the text of each word
             found: dict[tuple[int, int], tuple[int, int, int]] = {}
             tried: set[tuple[int, int]] = set()
-            for size, edits, keys in items.classes:
-                found_here = _windows(ids, known, off, doc_of, size, edits)
-                for r in range(items.repeats):
-                    if not len(found_here):
-                        break
-                    lo, hi = off[:-1][doc_of[found_here]], off[1:][doc_of[found_here]]
-                    start = np.minimum(found_here + size, hi) - 1 if r % 2 else found_here
-                    for w, key in zip(found_here.tolist(), items.keys(ids, start, lo, hi, size, r).tolist(), strict=True):
-                        for k in keys.get(key, ()):
-                            _confirm(items, k, ids, off, int(doc_of[w]), w, found, tried)
+            for c in items.classes:
+                windows = _windows(ids, pairs, ends, c)
+                doc = np.searchsorted(off, windows, "right") - 1
+                lo, hi = off[doc], off[doc + 1]
+                for r in range(items.repeats if len(windows) else 0):
+                    start = np.minimum(windows + c.size, hi) - 1 if r % 2 else windows
+                    keys = items.keys(ids, start, lo, hi, c.size, r)
+                    for i in np.flatnonzero(_find(c.keys, keys)).tolist():
+                        for k in c.items[int(keys[i])]:
+                            _confirm(items, k, ids, pairs, int(lo[i]), int(hi[i]), int(windows[i]), int(doc[i]), found, tried)
             hits = sorted((d, k, *part) for (d, k), part in found.items())
             doc_ids = b.column("doc_id").to_pylist() if hits else []
             yield pa.RecordBatch.from_pylist(
@@ -163,28 +190,31 @@ def _search(items: Items):
     return run
 
 
-def _windows(ids, known, off, doc_of, size: int, edits: int) -> np.ndarray:
-    """Window starts that have enough of the items' word pairs (see the q-gram lemma above)."""
-    if not len(ids):
+def _windows(ids, pairs, ends, c: Class) -> np.ndarray:
+    """Window starts that have enough of the class's word pairs (see the q-gram lemma above)."""
+    if len(ids) < 2:
         return np.zeros(0, np.int64)
-    start = np.arange(len(ids))
-    end = np.minimum(start + size, off[1:][doc_of])
-    have = known[np.maximum(end - 1, start)] - known[start]
-    return start[(ids > 0) & (have >= max(1, size - 1 - 2 * edits))]
+    known = np.concatenate([[0], np.cumsum(c.has_pair[pairs], dtype=np.int32)])      # pairs that begin before a word
+    end = np.minimum(np.arange(c.size - 1, len(ids) + c.size - 1), ends - 1)
+    return np.flatnonzero(known[end] - known >= max(1, c.size - 1 - 2 * c.edits))
 
 
-def _confirm(items: Items, k: int, ids, off, doc: int, window: int, found: dict, tried: set) -> None:
+def _confirm(items: Items, k: int, ids, pairs, lo: int, hi: int, window: int, doc: int, found: dict, tried: set) -> None:
     """Keep the best part of the text near ``window`` for item ``k``, if near enough; each place is tried once."""
-    _, words, most = items.items[k]
+    item, words, most = items.items[k]
     best = found.get((doc, k))
     if (k, window) in tried or best is not None and best[0] == 0:
         return
     tried.add((k, window))
-    a, z = max(int(off[doc]), window - most), min(int(off[doc + 1]), window + len(words) + most)
-    dist, first, end = edit_match(words, ids[a:z])
-    part = (dist, first + a - int(off[doc]), end + a - int(off[doc]))
-    if dist <= most and (best is None or part < best):
-        found[doc, k] = part
+    a, z = max(lo, window - most), min(hi, window + len(words) + most)
+    own = items.own_pairs[k]
+    if sum(p in own for p in pairs[a:z - 1].tolist()) < len(words) - 1 - 2 * most:      # the q-gram lemma again, for this item alone
+        return
+    match = edit_match(words.tolist(), ids[a:z].tolist(), most, items.masks[k])
+    if match is not None:
+        part = (match[0], match[1] + a - lo, match[2] + a - lo)
+        if best is None or part < best:
+            found[doc, k] = part
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, repeats: int = REPEATS, sampled: int = SAMPLED,
