@@ -7,10 +7,11 @@ goes to bin i - t, so that after 2t rounds every bin is full. Large sets need
 one round. Equal bands make candidates, which are confirmed on the full sets.
 
 Equal sets are folded into one class first. A class then has to be compared
-with the smallest class of a shared band only (one pair a class); where members
-of a band still lie in different components, all their pairs across components
-are compared. So a group of thousands of copies costs one comparison each, and
-no pair that could join two components is left out.
+with the smallest class of a shared band only (one pair a class). Where members
+of a band still lie in different components, they are compared with a drawn
+member of the band, a few times over, and what is then still apart is compared
+in all its pairs across components. So a group of thousands of copies costs a
+few comparisons each, and no pair that could join two components is left out.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from . import words as W
 from .common import stored, with_ids
 from .graph import components
 
+TURNS = 3                        # times that members of a band are compared with a drawn one before all are
 BANDS, ROWS = 40, 6              # a pair of similarity 0.8 shares no band with probability 5e-6
 _U = np.uint64
 
@@ -130,6 +132,14 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) ->
             .select("a", "b").distinct())
 
 
+def _undecided(members: DataFrame, part: DataFrame) -> DataFrame:
+    """The members of bands that lie in several components: ``key, rep, n, component``."""
+    placed = (members.select("key", "rep", "n").join(part.withColumnRenamed("id", "rep"), "rep", "left")
+              .withColumn("component", F.coalesce("component", "rep")))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return placed.join(mixed, "key").select("key", "rep", "n", "component").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row for each row of ``docs(doc_id, text, ...)``.
 
@@ -155,19 +165,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     links = _confirmed(docs, first, shingle, percent).checkpoint()
     part = components(links)
 
-    placed = (members.select("key", "rep", "n").distinct().join(part.withColumnRenamed("id", "rep"), "rep", "left")
-              .withColumn("component", F.coalesce("component", "rep")))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = stored(placed.join(mixed, "key"), "minhash-rest")
-    x = rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    second = (x.join(y, "key").where("a < b AND ca <> cb")
-              .where(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
-              .select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
-    second = stored(second, "minhash-pairs")
-    more = _confirmed(docs, second, shingle, percent).checkpoint()
-    if not more.isEmpty():
-        part = components(links.union(more))
+    tested = first
+    for turn in range(TURNS + 1):
+        rest = stored(_undecided(members, part), "minhash-rest")
+        if rest.isEmpty():
+            break
+        if turn < TURNS:                      # every member of another component against one drawn member of the band
+            drawn = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "component")).alias("c"))
+            other = drawn.select("key", F.col("c.rep").alias("b"), F.col("c.n").alias("nb"), F.col("c.component").alias("cb"))
+        else:                                 # and what is left against all members of other components
+            other = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+        pairs = (rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")).join(other, "key")
+                 .where("ca <> cb" if turn < TURNS else "a < b AND ca <> cb")
+                 .where(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
+                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        more = _confirmed(docs, pairs, shingle, percent).checkpoint()
+        tested = tested.union(pairs)
+        if not more.isEmpty():
+            links = links.union(more)
+            part = components(links)
 
     named = (classes.join(part.withColumnRenamed("id", "rep"), "rep", "left")
              .select("s1", "s2", F.coalesce("component", "rep").alias("component_id")))
