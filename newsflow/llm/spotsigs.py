@@ -35,7 +35,7 @@ def signatures(text: Column, chain: int = CHAIN):
                      lambda x: x["k"] + chain <= F.size("_content"))
     spots = F.transform(whole, lambda x: F.concat_ws(" ", F.array(x["w"]), F.slice(F.col("_content"), x["k"] + 1, chain)))
     lone = F.when(F.size("_words") > 0, F.array(F.concat_ws(" ", "_words"))).when(text != "", F.array(text)).otherwise(F.array().cast("array<string>"))
-    hashed = F.transform(F.when(F.size("_spots") > 0, F.col("_spots")).otherwise(lone), lambda s: F.xxhash64(s).bitwiseAND(F.lit(0xFFFFFFFF)))
+    hashed = F.transform(F.when(F.size("_spots") > 0, F.col("_spots")).otherwise(lone), lambda s: (F.xxhash64(s).bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
     return [("_words", words), ("_marked", marked), ("_content", content), ("_spots", spots), ("_set", F.array_sort(F.array_distinct(hashed)))]
 
 
@@ -49,7 +49,7 @@ def with_set(df: DataFrame, text: str, name: str, chain: int = CHAIN) -> DataFra
 
 def as_string(a_set: str) -> Column:
     """Eight hex digits a signature, in order."""
-    return F.array_join(F.transform(a_set, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return F.array_join(F.transform(a_set, lambda x: F.lpad(F.lower(F.hex(x.cast("bigint") + F.lit(1 << 31))), 8, "0")), "")
 
 
 def likeness(a: str, b: str, least: float = 0.0) -> Column:
@@ -61,26 +61,27 @@ def likeness(a: str, b: str, least: float = 0.0) -> Column:
 
 
 def followers(docs: DataFrame, rows_per_bucket: int = 100_000) -> DataFrame:
-    """``(doc_id, prev_id)`` for every distinct doc_id but nulls: prev_id is the document that this one follows in
-    descending order, round the end. Ids are dealt to buckets by approximate quantiles, so no task holds
-    all of them; only one row a bucket (1,000 at most) meets in one place."""
+    """``(doc_id, prev_id, prev_chars)`` for every distinct ``doc_id`` of ``docs(doc_id, n_chars)`` but nulls: ``prev_id`` is
+    the document that this one follows in descending order, round the end, ``prev_chars`` its (largest) n_chars. Ids are
+    dealt to buckets by approximate quantiles, so no task holds all of them; only one row a bucket (1,000 at most)
+    meets in one place."""
     from pyspark.sql import Window
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    n = ids.count()
-    buckets = max(1, min(1_000, n // rows_per_bucket))
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("n_chars").alias("n"))
+    buckets = max(1, min(1_000, ids.count() // rows_per_bucket))
     cuts = ids.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)])).first()[0] if buckets > 1 else []
     bucket = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
     ids = ids.withColumn("bucket", bucket)
-    inside = ids.withColumn("prev_id", F.lead("doc_id").over(Window.partitionBy("bucket").orderBy("doc_id")))
-    ends = ids.groupBy("bucket").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    after = Window.partitionBy("bucket").orderBy("doc_id")
+    inside = ids.withColumn("prev_id", F.lead("doc_id").over(after)).withColumn("prev_n", F.lead("n").over(after))
+    ends = ids.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("lo"), F.max("doc_id").alias("hi"))
     order = Window.orderBy("bucket")
-    ends = ends.select(F.col("hi").alias("end_id"), F.coalesce(F.lead("lo").over(order), F.min("lo").over(Window.partitionBy())).alias("next_lo"))
+    ends = ends.select(F.col("hi").alias("end_id"), F.coalesce(F.lead("lo").over(order), F.min("lo").over(Window.partitionBy())).alias("next"))
     return (inside.join(F.broadcast(ends), F.col("doc_id") == F.col("end_id"), "left")
-            .select("doc_id", F.coalesce("prev_id", "next_lo").alias("prev_id")))
+            .select("doc_id", F.coalesce("prev_id", "next.doc_id").alias("prev_id"), F.coalesce("prev_n", "next.n").alias("prev_chars")))
 
 
 def fingerprints(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
-    """``docs(doc_id, text, ...)`` as ``(doc_id, text, signatures array<bigint>)``; null text is empty."""
+    """``docs(doc_id, text, ...)`` as ``(doc_id, text, signatures array<int>)``; null text is empty."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return with_set(rows, "text", "signatures", chain)
 
@@ -95,17 +96,23 @@ def against_edits(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
     """
     from pyspark.sql import Window
-    whole = fingerprints(docs, chain)
-    first = Window.partitionBy("doc_id").orderBy("text")
-    follow = followers(docs)
-    # a document goes to the one before it in descending order, that is the next larger id
-    sent = (whole.withColumn("_n", F.row_number().over(first)).where("_n = 1 AND doc_id IS NOT NULL")
-            .join(follow, "doc_id").select(F.col("prev_id").alias("doc_id"), F.col("text").alias("_next"), F.col("signatures").alias("_next_set")))
-    rows = whole.join(sent, "doc_id", "left").withColumn("n_chars", F.length("text").cast("bigint"))
+
+    from .common import BROADCAST_IDS, stored
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    sizes = rows.select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
+    follow = stored(followers(sizes), "spotsigs-order")
+    once, named = rows.where("doc_id IS NOT NULL"), follow.count()
+    if once.count() > named:                  # several rows have one doc_id
+        once = once.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("_n = 1").drop("_n")
+    # a document goes to the one that it follows: as much of its text as that one takes, and its fingerprint
+    sent = once.join(F.broadcast(follow) if named <= BROADCAST_IDS else follow, "doc_id")
+    sent = with_set(sent, "text", "_next_set", chain).select(
+        F.col("prev_id").alias("doc_id"), F.substring(F.col("text"), F.lit(1), F.floor(F.col("prev_chars") / 2).cast("int")).alias("_next"), "_next_set")
+    both = rows.join(sent, "doc_id", "left").withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.coalesce("_next", F.lit("")), F.lit(1), half))
-    rows = (rows.withColumn("_edited", edited).withColumn("_hex", F.sha2("_edited", 256)))
-    rows = with_set(rows.select("doc_id", "n_chars", "signatures", "_next_set", "_edited", "_hex"), "_edited", "_edited_set", chain)
-    return rows.select("doc_id", "n_chars", F.col("_hex").alias("edited_sha256"), as_string("signatures").alias("fingerprint"),
+    both = with_set(both.withColumn("_edited", edited), "text", "signatures", chain)
+    both = with_set(both.select("doc_id", "n_chars", "signatures", "_next_set", "_edited", F.sha2("_edited", 256).alias("_hex")), "_edited", "_edited_set", chain)
+    return both.select("doc_id", "n_chars", F.col("_hex").alias("edited_sha256"), as_string("signatures").alias("fingerprint"),
                        as_string("_edited_set").alias("edited_fingerprint"), likeness("signatures", "_edited_set").alias("near_edited"),
                        F.when(F.col("_next_set").isNotNull(), likeness("signatures", "_next_set")).alias("near_next"))
