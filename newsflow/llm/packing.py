@@ -110,7 +110,7 @@ class Packer:
         # change of the sum of squares, less a constant, if a window of level h takes the piece
         change = -2 * n[:self.window - size + 1]
         change[:self.window - size] += 2 * n[size:self.window] + 1
-        change[0] = 2 * n[size] + 2                       # a new window
+        change[0] = 2 * n[size]                           # a new window
         change[1:][n[1:self.window - size + 1] == 0] = np.iinfo(np.int64).max
         level = len(change) - 1 - int(np.argmin(change[::-1]))      # ties: the fullest window
         pieces = self.open[level].popleft() if level else []
