@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     first = (members.where("rep <> center").groupBy("rep").agg(F.min("center").alias("center"))
              .select(F.col("center").alias("a"), F.col("rep").alias("b")))
     first = stored(first, "minhash-pairs")
-    links = _confirmed(docs, first, shingle, percent).checkpoint()
+    links = stored(_confirmed(docs, first, shingle, percent), "minhash-links")
     part = components(links)
 
     tested = first
@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
                  .where(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        more = _confirmed(docs, pairs, shingle, percent).checkpoint()
+        more = stored(_confirmed(docs, pairs, shingle, percent), "minhash-links")
         tested = tested.union(pairs)
         if not more.isEmpty():
             links = links.union(more)

@@ -114,7 +114,8 @@ def dictionary_of(pages: DataFrame, records: int = SAMPLE_RECORDS, size: int = D
             made = b""
         yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["dictionary"])
 
-    return bytes(drawn.repartition(1).mapInArrow(train, "dictionary binary").first()[0])
+    row = drawn.repartition(1).mapInArrow(train, "dictionary binary").first()
+    return bytes(row[0]) if row else b""
 
 
 def roles(pages: DataFrame, least: int = 0) -> DataFrame:
