@@ -31,14 +31,5 @@ UNKNOWN_SOURCE_TEXT = "Unknown Source"
 INDEX_NAME = "news-articles"
 NAMESPACE = "default"
 
-# The one feed registry that ships with the reference configuration.
-FEED_REGISTRY = {
-    "general": [
-        "https://kotaku.com/rss",
-        "https://pitchfork.com/rss/news/",
-        "https://www.allrecipes.com/rss/daily-dish/",
-    ]
-}
-
 # A fixed run timestamp used by the registered queries so reruns compare equal.
 DEFAULT_RUN_TS = "2024-06-01T00:00:00"

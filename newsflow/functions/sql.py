@@ -13,6 +13,8 @@ Every builder takes SQL expression strings and returns one.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from .. import config as C
 
 # --- fixed values -------------------------------------------------------------
@@ -32,6 +34,8 @@ HTML_ENTITIES = [
     ("&bull;", "•"), ("&euro;", "€"), ("&pound;", "£"),
     ("&amp;", "&"),
 ]
+# ... and all other names of the standard library's table
+HTML_ENTITIES += [(f"&{name};", chr(code)) for name, code in sorted(name2codepoint.items()) if f"&{name};" not in dict(HTML_ENTITIES)]
 
 # Block-level tags that the Markdown-like converter turns into paragraph breaks.
 BLOCK_TAGS = ("p|div|article|section|ul|ol|table|tr|blockquote|header|footer|nav|"
@@ -39,7 +43,7 @@ BLOCK_TAGS = ("p|div|article|section|ul|ol|table|tr|blockquote|header|footer|nav
 
 SCRIPT_STYLE_RE = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
 COMMENT_RE = r"(?s)<!--.*?-->"
-TAG_RE = r"<[^>]*>"
+TAG_RE = r"<[a-zA-Z/!?][^>]*>"            # a bare "<" is text
 AUTHORITY_RE = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)"   # urllib's netloc
 SCHEME_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://"
 LETTER_RUNS_RE = r"(\p{L}+|\P{L}+)"
@@ -271,10 +275,10 @@ def display_source(x: str) -> str:
 
 # --- texts for the model stages -------------------------------------------------------
 
-def embedding_text(title: str, summary: str, content: str, limit: int = C.EMBED_TEXT_CHARS) -> str:
+def embedding_text(title: str, summary: str, content: str, limit: int | None = C.EMBED_TEXT_CHARS) -> str:
     t = (f"concat('Title: ', {nz(title)}, {lit(chr(10) * 2 + 'Summary: ')}, {nz(summary)}, "
          f"{lit(chr(10) * 2 + 'Content: ')}, {nz(content)})")
-    return truncate_ellipsis(t, limit)
+    return t if limit is None else truncate_ellipsis(t, limit)
 
 
 def lead_words(x: str, n: int = C.SUMMARY_WORDS) -> str:

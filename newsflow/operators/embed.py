@@ -27,16 +27,19 @@ from pyspark.sql import types as Ty
 from .. import config as C
 from ..functions import text as T
 from ..functions.udf import series_udf
-from .vectors import blocked_topk, match_projection
+from .vectors import blocked_topk
 
 
 def embed_sparse(df: DataFrame, text_col: str = "text", id_col: str = "id", dim: int = C.EMBED_DIM) -> DataFrame:
-    """``(id, idx ARRAY<INT>, val ARRAY<DOUBLE>)``: one entry per token (repeats
-    add up when densified). A projection: no shuffle."""
+    """``(id, idx ARRAY<INT>, val ARRAY<DOUBLE>)``: one entry per bucket with its
+    token count. A projection: no shuffle."""
     from ..functions import sql as S
     idx = f"transform({S.tokens(S.ident(text_col))}, w -> CAST({S.hash_bucket('w', dim)} AS INT))"
-    return df.selectExpr(f"{S.ident(id_col)} AS id", f"{idx} AS idx").selectExpr(
-        "id", "idx", "transform(idx, x -> CAST(1.0 AS DOUBLE)) AS val")
+    # sorted, a bucket's first place and count are where it begins and its next one begins
+    return df.selectExpr(f"{S.ident(id_col)} AS id", f"array_sort({idx}) AS _all").selectExpr(
+        "id", "filter(transform(_all, (x, i) -> IF(i = 0 OR _all[i - 1] <> x, i, -1)), i -> i >= 0) AS _at", "_all").selectExpr(
+        "id", "transform(_at, i -> _all[i]) AS idx",
+        "transform(_at, (i, k) -> CAST(IF(k + 1 < size(_at), get(_at, k + 1), size(_all)) - i AS DOUBLE)) AS val")
 
 
 def sparse_terms(df: DataFrame, text_col: str = "text", id_col: str = "id", dim: int = C.EMBED_DIM) -> DataFrame:
@@ -77,15 +80,6 @@ def search_category(queries: DataFrame, docs: DataFrame, category: str, n: int =
                        threshold=threshold, **kw)
 
 
-def search_matches(queries: DataFrame, index: DataFrame, n: int = C.MAX_RESULTS,
-                   threshold: float = C.SIMILARITY_THRESHOLD, **kw) -> DataFrame:
-    """``search_text`` over an article index, projected to MATCH rows.
-    ``index`` holds the MATCH metadata and an ``embed_text`` column."""
-    top = search_text(queries, index.select("id", F.col("embed_text").alias("text")), n=n,
-                      threshold=threshold, **kw)
-    return match_projection(top.join(index.drop("embed_text"), "id"))
-
-
 def search_text_with(queries: DataFrame, docs: DataFrame, embed_fn: Callable[[pd.Series], pd.Series],
                      query_embed_fn: Callable[[pd.Series], pd.Series] | None = None, n: int = C.MAX_RESULTS,
                      threshold: float = C.SIMILARITY_THRESHOLD, query_text: str = "text", doc_text: str = "text",

@@ -54,11 +54,6 @@ def parse_entry(entries: DataFrame, run_ts: str = C.DEFAULT_RUN_TS, keep=("page_
     )
 
 
-def with_compat_aliases(raw: DataFrame) -> DataFrame:
-    """Add the duplicate RAW_ARTICLE fields kept "for compatibility"."""
-    return (raw.withColumn("link", F.col("url")).withColumn("published", F.col("date"))
-            .withColumn("source_url", F.col("source_feed")))
-
 
 def process_article(raw: DataFrame, cleaning: bool = True, keep=("page_id", "entry_pos")) -> DataFrame:
     """RAW_ARTICLE -> PROCESSED_ARTICLE: processor id, stripped title, cleaned

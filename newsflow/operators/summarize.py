@@ -48,10 +48,6 @@ BATCH_HEADER = (
 BATCH_BLOCK = "\nARTICLE {i}:\nTitle: {title}\nContent: {content}\n\n"
 BATCH_FOOTER = ("\nNow provide exactly {w} words for each of the {n} articles above, "
                 "separated by '---SUMMARY_SEPARATOR---':")
-BATCH_SYSTEM = ("You are a professional news summarizer. Create exactly {w} words for each summary. "
-                "Respond with summaries separated by '---SUMMARY_SEPARATOR---' in the exact order requested.")
-SINGLE_SYSTEM = ("You are a professional news summarizer. You MUST create summaries that are exactly {w} words "
-                 "long. Count your words carefully and ensure the exact word count.")
 _I = " " * 12
 SINGLE_PROMPT = (
     "\n"
@@ -199,14 +195,17 @@ def attach_summaries(batched: DataFrame, summaries: DataFrame, file_col: str = "
 def summarize(articles: DataFrame, file_col: str = "source_file", pos_col: str = "pos",
               summarize_fn: Callable[[pd.Series], pd.Series] | None = None,
               single_fn: Callable[[pd.Series], pd.Series] | None = None) -> DataFrame:
-    """Fill ``ai_summary`` for every article (batch path, then per-article
-    fallback for batches whose call raised)."""
+    """Fill ``ai_summary`` for every article: by default its lead; with a model, batch
+    by batch, then article by article for batches whose call raised (this adds
+    ``batch_id`` and ``slot``)."""
+    if summarize_fn is None:                     # the lead of each article: a projection
+        return articles.withColumn("ai_summary", F.when(T.lead_words("content", TARGET_WORDS) != "", T.lead_words("content", TARGET_WORDS)))
+    from ..session import scratch_path
     batched = summary_batches(articles, file_col, pos_col)
-    if summarize_fn is None:
-        replies = default_batch_reply(batched, file_col)
-        return attach_summaries(batched, parse_replies(replies, file_col), file_col)
-    prompts = batch_prompt(batched, file_col)
-    replies = hook_batch_reply(prompts, summarize_fn)
+    # written once: the model sees each batch once, whatever reads the replies
+    path, replies = scratch_path(articles.sparkSession, "replies"), hook_batch_reply(batch_prompt(batched, file_col), summarize_fn)
+    replies.write.parquet(path)
+    replies = articles.sparkSession.read.schema(replies.schema).parquet(path)
     ok = parse_replies(replies.filter(F.col("error").isNull()), file_col)
     out = attach_summaries(batched, ok, file_col)
     failed = replies.filter(F.col("error").isNotNull()).select(file_col, "batch_id")

@@ -30,12 +30,13 @@ MATCH_COLUMNS = ["id", "title", "link", "summary", "published", "source_name", "
                  "similarity_score", "content_preview"]
 
 
-def vector_metadata(articles: DataFrame, run_ts: str = C.DEFAULT_RUN_TS, keep=("page_id", "article_id")
-                    ) -> DataFrame:
+def vector_metadata(articles: DataFrame, run_ts: str = C.DEFAULT_RUN_TS, keep=("page_id", "article_id"),
+                    caps: bool = True) -> DataFrame:
     """Article rows -> the metadata stored with each vector.
 
-    title <= 1000 chars; summary = ai_summary when present else summary, <= 2000;
-    tags <= 10; category = first of categories, else category, else 'general';
+    With ``caps`` title <= 1000 chars, summary <= 2000, tags <= 10; without, whole values.
+    summary = ai_summary when present else summary; tags = enhanced_tags when present else tags;
+    categories = enhanced_categories when present; category = first of categories, else category, else 'general';
     content_preview = first 500 chars of the *embedding text* (which uses the
     plain summary, not ai_summary).
     """
@@ -45,15 +46,19 @@ def vector_metadata(articles: DataFrame, run_ts: str = C.DEFAULT_RUN_TS, keep=("
     cat = "category" if "category" in cols else "CAST(NULL AS STRING)"
     enhanced = "ai_enhanced" if "ai_enhanced" in cols else "false"
     kept = [S.ident(c) for c in keep if c in cols]
+    no_text = "CAST(NULL AS ARRAY<STRING>)"
+    tags = f"coalesce({'enhanced_tags' if 'enhanced_tags' in cols else no_text}, tags, CAST(array() AS ARRAY<STRING>))"
+    categories = f"coalesce({'enhanced_categories' if 'enhanced_categories' in cols else no_text}, categories)"
+    cut = (lambda x, n: f"substring({x}, 1, {n})") if caps else (lambda x, n: x)
     return articles.selectExpr(
         *kept,
-        f"substring(coalesce(title, ''), 1, {C.TITLE_CAP}) AS title",
+        f"{cut("coalesce(title, '')", C.TITLE_CAP)} AS title",
         "coalesce(url, '') AS link",
-        f"substring(coalesce({ai}, summary, ''), 1, {C.SUMMARY_CAP}) AS summary",
+        f"{cut(f"coalesce({ai}, summary, '')", C.SUMMARY_CAP)} AS summary",
         "coalesce(date, '') AS published",
         "coalesce(source_name, '') AS source_name",
-        f"coalesce(get(categories, 0), {cat}, {S.lit(C.DEFAULT_CATEGORY)}) AS category",
-        f"slice(coalesce(tags, CAST(array() AS ARRAY<STRING>)), 1, {C.TAGS_CAP}) AS tags",
+        f"coalesce(get({categories}, 0), {cat}, {S.lit(C.DEFAULT_CATEGORY)}) AS category",
+        f"slice({tags}, 1, {C.TAGS_CAP}) AS tags" if caps else f"{tags} AS tags",
         f"coalesce({enhanced}, false) AS ai_enhanced",
         f"{S.lit(run_ts)} AS added_to_db",
         f"substring({S.embedding_text('title', 'summary', 'content')}, 1, {C.PREVIEW_CHARS}) AS content_preview",
@@ -109,11 +114,9 @@ def similar_by_id(vectors: DataFrame, source_id, n: int = C.MAX_RESULTS, exclude
 
 # --- blocked exact top-k ------------------------------------------------------
 
-PAIR_SCHEMA = Ty.StructType([
-    Ty.StructField("id", Ty.LongType()),
-    Ty.StructField("neighbor_id", Ty.LongType()),
-    Ty.StructField("score", Ty.DoubleType()),
-])
+def _pair_schema(probe: DataFrame, build: DataFrame) -> Ty.StructType:
+    return Ty.StructType([Ty.StructField("id", probe.schema["id"].dataType), Ty.StructField("neighbor_id", build.schema["id"].dataType),
+                          Ty.StructField("score", Ty.DoubleType())])
 
 
 def _block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int | None, chunk: int = 1024):
@@ -125,18 +128,20 @@ def _block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int
             if len(pdf) == 0:
                 return np.zeros((0, 0))
             return np.stack([np.asarray(v, dtype=np.float64) for v in pdf.iloc[:, 1].values])
-        m = np.zeros((len(pdf), dim))                      # sparse (idx, val) -> dense
-        for r, (idx, val) in enumerate(zip(pdf.iloc[:, 1].values, pdf.iloc[:, 2].values)):
-            np.add.at(m[r], np.asarray(idx, dtype=np.int64), np.asarray(val, dtype=np.float64))
-        return m
+        if len(pdf) == 0:                                  # sparse (idx, val) -> dense, all rows at once
+            return np.zeros((0, dim))
+        idx, val = pdf.iloc[:, 1].values, pdf.iloc[:, 2].values
+        row = np.repeat(np.arange(len(pdf)), [len(x) for x in idx])
+        cell = row * dim + np.concatenate([np.asarray(x, dtype=np.int64) for x in idx])
+        return np.bincount(cell, np.concatenate([np.asarray(v, dtype=np.float64) for v in val]), len(pdf) * dim).reshape(-1, dim)
 
     def fn(probe: pd.DataFrame, build: pd.DataFrame) -> pd.DataFrame:
         if len(probe) == 0 or len(build) == 0:
-            return pd.DataFrame({"id": pd.Series([], dtype="int64"), "neighbor_id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
+            return pd.DataFrame({"id": probe.iloc[:0, 0], "neighbor_id": build.iloc[:0, 0], "score": pd.Series([], dtype="float64")})
+        build = build.sort_values(build.columns[0])        # ties: the smaller id
         P, B = to_matrix(probe), to_matrix(build)
         pn, bn = np.linalg.norm(P, axis=1), np.linalg.norm(B, axis=1)
-        pid, bid = probe.iloc[:, 0].to_numpy(np.int64), build.iloc[:, 0].to_numpy(np.int64)
+        pid, bid = probe.iloc[:, 0].to_numpy(), build.iloc[:, 0].to_numpy()
         out_i, out_j, out_s = [], [], []
         kk = min(k, len(bid))
         for lo in range(0, len(pid), chunk):            # bounded memory: chunk x |build| scores
@@ -149,12 +154,10 @@ def _block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int
                 S[pid[lo:lo + chunk, None] == bid[None, :]] = -np.inf
             if threshold is not None:
                 S[S < threshold] = -np.inf
-            # top kk per row; ties resolved later by (score desc, id asc) in the merge,
-            # so keep every column that ties the kk-th score
-            part = np.argpartition(-S, kk - 1, axis=1)[:, :kk] if kk < S.shape[1] else np.tile(
-                np.arange(S.shape[1]), (S.shape[0], 1))
-            kth = np.take_along_axis(S, part, axis=1).min(axis=1)
-            keep = (S >= kth[:, None]) & np.isfinite(S)
+            # exactly kk per row: all above the kk-th score, then the first (by id) that tie it
+            kth = np.partition(S, S.shape[1] - kk, axis=1)[:, S.shape[1] - kk][:, None]
+            above, tied = S > kth, S == kth
+            keep = (above | tied & (np.cumsum(tied, axis=1) <= kk - above.sum(axis=1, keepdims=True))) & np.isfinite(S)
             r, c = np.nonzero(keep)
             out_i.append(pid[lo + r])
             out_j.append(bid[c])
@@ -170,8 +173,8 @@ def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
                  block_rows: int = 4096, sparse_dim: int | None = None, within: str | None = None) -> DataFrame:
     """Exact top-``k`` cosine neighbours in ``build`` for every row of ``probe``.
 
-    Dense inputs: ``(id BIGINT, vec ARRAY<numeric>)``. Sparse inputs (set
-    ``sparse_dim``): ``(id BIGINT, idx ARRAY<INT>, val ARRAY<DOUBLE>)``.
+    Dense inputs: ``(id, vec ARRAY<numeric>)`` with ids of any type. Sparse inputs (set
+    ``sparse_dim``): ``(id, idx ARRAY<INT>, val ARRAY<DOUBLE>)``.
     Output ``(id, neighbor_id, score, rank)``; ties broken by ``neighbor_id``.
 
     Block counts come from scalar subqueries over the inputs (lazy, no driver
@@ -205,7 +208,7 @@ def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
          .select("b_id", *["b_" + c for c in vec_cols], "pb", "bb", *part))
     fn = _block_topk_fn(k, threshold, exclude_self, sparse_dim)
     p = p.select("id", *vec_cols, "pb", "bb", *part)
-    pairs = p.groupBy(*part, "pb", "bb").cogroup(b.groupBy(*part, "pb", "bb")).applyInPandas(fn, PAIR_SCHEMA)
+    pairs = p.groupBy(*part, "pb", "bb").cogroup(b.groupBy(*part, "pb", "bb")).applyInPandas(fn, _pair_schema(probe, build))
     w = Window.partitionBy("id").orderBy(F.round("score", 9).desc(), F.asc("neighbor_id"))
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

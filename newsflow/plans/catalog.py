@@ -181,11 +181,11 @@ def q_embedding_text(spark, sf):
     return a.select("page_id", T.embedding_text(F.col("title"), F.col("summary"), F.col("content")).alias("text"))
 
 
-@register("vector_metadata", V_SQL + """
+@register("vector_metadata", "WITH " + S.vectors_cte(caps=True) + """
 SELECT id, title, link, summary, published, source_name, category, array_to_string(tags, '|') AS tags,
   content_preview FROM vectors""")
 def q_vector_metadata(spark, sf):
-    v = TB.vector_records(spark, sf)
+    v = TB.vector_records(spark, sf, caps=True)
     return v.select("id", "title", "link", "summary", "published", "source_name", "category",
                     J("tags").alias("tags"), "content_preview")
 
@@ -268,25 +268,18 @@ def q_strip(spark, sf):
 E_SQL = "WITH " + S.entries_cte()
 
 
-def _capped_entries(spark, sf):
-    return IN.cap_per_feed(TB.page_entries(spark, sf))
-
-
 def _seen_prev(spark, sf):
     """``seen`` of the previous run: hashes of the articles published before it."""
     prev = TB.raw_articles(spark, sf).filter(F.col("date") < PREV_RUN_CUTOFF)
     return IN.seen_hashes(prev)
 
 
-CAPPED_SQL = f""",
-capped AS (SELECT a.* FROM articles a JOIN (
-    SELECT page_id FROM (SELECT page_id, row_number() OVER (PARTITION BY feed_url ORDER BY entry_pos) AS rn
-                         FROM entries) WHERE rn <= {C.MAX_PER_FEED}) c USING (page_id)),
+NEW_SQL = f""",
 seen AS (SELECT DISTINCT {S.md5_of('title', 'url')} AS article_hash FROM articles
          WHERE date < {S.q(PREV_RUN_CUTOFF)}),
 firsts AS (SELECT * FROM (SELECT *, {S.md5_of('title', 'url')} AS dedup_key,
     row_number() OVER (PARTITION BY {S.md5_of('title', 'url')} ORDER BY source_feed, entry_pos) AS r
-    FROM capped) WHERE r = 1),
+    FROM articles) WHERE r = 1),
 new AS (SELECT * FROM firsts WHERE dedup_key NOT IN (SELECT article_hash FROM seen))"""
 
 
@@ -302,29 +295,29 @@ def q_cap_per_feed(spark, sf):
             .select("feed_url", "page_id", "feed_rank"))
 
 
-@register("new_articles", A_SQL + CAPPED_SQL + """
+@register("new_articles", A_SQL + NEW_SQL + """
 SELECT dedup_key, id, page_id, source_feed, title, url FROM new""")
 def q_new_articles(spark, sf):
-    raw = IN.parse_entry(_capped_entries(spark, sf))
+    raw = TB.raw_articles(spark, sf)
     new = IN.new_articles(raw, _seen_prev(spark, sf))
     return new.select("dedup_key", "id", "page_id", "source_feed", "title", "url")
 
 
-@register("seen_union", A_SQL + CAPPED_SQL + """
+@register("seen_union", A_SQL + NEW_SQL + """
 SELECT article_hash FROM seen UNION SELECT dedup_key FROM new""")
 def q_seen_union(spark, sf):
-    raw = IN.parse_entry(_capped_entries(spark, sf))
+    raw = TB.raw_articles(spark, sf)
     seen = _seen_prev(spark, sf)
     new = IN.new_articles(raw, seen)
     return IN.seen_union(seen, new.select(F.col("dedup_key").alias("article_hash")))
 
 
-@register("fetch_stats", A_SQL + CAPPED_SQL + """
+@register("fetch_stats", A_SQL + NEW_SQL + """
 SELECT (CASE GROUPING(category, source_feed) WHEN 3 THEN 0 WHEN 1 THEN 1 ELSE 2 END)::BIGINT AS level,
   coalesce(category, '') AS category, coalesce(source_feed, '') AS source_feed, count(*) AS new_articles
 FROM new GROUP BY ROLLUP (category, source_feed)""")
 def q_fetch_stats(spark, sf):
-    raw = IN.parse_entry(_capped_entries(spark, sf))
+    raw = TB.raw_articles(spark, sf)
     return IN.fetch_stats(IN.new_articles(raw, _seen_prev(spark, sf)))
 
 
@@ -368,15 +361,12 @@ def q_available_categories(spark, sf):
 FETCH_SQL = f""",
 reg AS (SELECT category, row_number() OVER (PARTITION BY category ORDER BY feed_url) - 1 AS feed_pos, feed_url
         FROM (SELECT DISTINCT feed_category AS category, feed_url FROM entries)),
-capped AS (SELECT a.*, reg.feed_pos FROM articles a JOIN (
-    SELECT page_id FROM (SELECT page_id, row_number() OVER (PARTITION BY feed_url ORDER BY entry_pos) AS rn
-                         FROM entries) WHERE rn <= {C.MAX_PER_FEED}) c USING (page_id)
-    JOIN reg ON reg.feed_url = a.source_feed),
+fetched AS (SELECT a.*, reg.feed_pos FROM articles a JOIN reg ON reg.feed_url = a.source_feed),
 seen AS (SELECT DISTINCT {S.md5_of('title', 'url')} AS article_hash FROM articles
          WHERE date < {S.q(PREV_RUN_CUTOFF)}),
 firsts AS (SELECT * FROM (SELECT *, {S.md5_of('title', 'url')} AS dedup_key,
     row_number() OVER (PARTITION BY {S.md5_of('title', 'url')} ORDER BY category, feed_pos, entry_pos) AS r
-    FROM capped) WHERE r = 1),
+    FROM fetched) WHERE r = 1),
 new AS (SELECT * FROM firsts WHERE dedup_key NOT IN (SELECT article_hash FROM seen))"""
 
 
@@ -391,7 +381,7 @@ def q_fetch_all_feeds(spark, sf):
 @register("fetch_by_category", A_SQL + FETCH_SQL + f"""
 SELECT dedup_key, id, page_id, category, feed_pos, source_feed, title FROM (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY feed_pos, entry_pos) AS r2
-                 FROM (SELECT c.*, {S.md5_of('title', 'url')} AS dedup_key FROM capped c
+                 FROM (SELECT c.*, {S.md5_of('title', 'url')} AS dedup_key FROM fetched c
                        WHERE category = {S.q(FEED_CATEGORY)})) WHERE r2 = 1)
 WHERE dedup_key NOT IN (SELECT article_hash FROM seen)""")
 def q_fetch_by_category(spark, sf):
@@ -475,10 +465,10 @@ def q_topk_search(spark, sf):
     return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
 
 
-@register("exclude_source", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, False)
+@register("exclude_source", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True)
           + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
 def q_exclude_source(spark, sf):
-    r = VE.similar_by_id(_vindex(spark, sf), SEED_ID, exclude_source=False)
+    r = VE.similar_by_id(_vindex(spark, sf), SEED_ID, exclude_source=True)
     return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
 
 
@@ -844,7 +834,8 @@ def q_parse_batch_response(spark, sf):
         "conv_id", (F.col("p") + 1).alias("slot"), "summary")
 
 
-@register("summarize", SUMMARY_SQL + f"""
+@register("summarize", BATCH_SQL + f""",
+s AS (SELECT doc_id, nullif({S.lead_words('content', SU.TARGET_WORDS)}, '') AS ai_summary FROM b)
 SELECT doc_id, ai_summary, {S.word_count('ai_summary')} AS summary_words FROM s""")
 def q_summarize(spark, sf):
     s = SU.summarize(_doc_articles(spark, sf))
@@ -853,7 +844,8 @@ def q_summarize(spark, sf):
 
 @register("attach_summaries", SUMMARY_SQL + "\nSELECT doc_id, source_file, batch_id, slot, ai_summary FROM s")
 def q_attach_summaries(spark, sf):
-    s = SU.summarize(_doc_articles(spark, sf))
+    b = SU.summary_batches(_doc_articles(spark, sf))
+    s = SU.attach_summaries(b, SU.parse_replies(SU.default_batch_reply(b)))
     return s.select("doc_id", "source_file", "batch_id", "slot", "ai_summary")
 
 
@@ -867,54 +859,28 @@ def q_summary_stats(spark, sf):
     return SU.summary_stats(parsed)
 
 
-def _flaky_model(limit: int):
-    """A deterministic stand-in model for the fallback path: a batch prompt
-    longer than ``limit`` characters fails (like an over-budget call); single
-    prompts answer with the first 175 words of their Content section."""
-    import re as _re
-
-    import pandas as pd
-
-    def batch(prompts: pd.Series) -> pd.Series:
-        if (prompts.str.len() > limit).any():
-            raise ValueError("request too large")
-        out = []
-        for p in prompts:
-            parts = _re.findall(r"\nARTICLE \d+:\nTitle: .*?\nContent: (.*?)\n\n(?=\nARTICLE|\nNow provide)", p, _re.S)
-            out.append(CONV_SEP.join(" ".join(x.split()[:SU.TARGET_WORDS]) for x in parts))
-        return pd.Series(out)
-
-    def single(prompts: pd.Series) -> pd.Series:
-        return prompts.map(lambda p: " ".join(p.split("Content: ", 1)[-1].split("Requirements:")[0].split()
-                                             [:SU.TARGET_WORDS]))
-    return batch, single
+FAILED_EVERY = 3               # in summary_fallback, the call of every third batch of a file has failed
 
 
-@register("summary_fallback", None, note="model hook that fails on large batches; rows-only")
+@register("summary_fallback", SUMMARY_SQL + f"""
+SELECT doc_id, source_file, batch_id, slot, CASE WHEN batch_id % {FAILED_EVERY} = 0
+  THEN nullif({S.lead_words('content', SU.TARGET_WORDS)}, '') ELSE ai_summary END AS ai_summary FROM s""")
 def q_summary_fallback(spark, sf):
-    batch, single = _flaky_model(20000)
-    s = SU.summarize(_doc_articles(spark, sf), summarize_fn=batch, single_fn=single)
-    return s.select("doc_id", "source_file", "batch_id", "slot", "ai_summary")
-
-
-PROC_SUM_SQL = P_SQL + f""",
-b AS (SELECT page_id, id, title, content, source_feed AS source_file,
-        (row_number() OVER (PARTITION BY source_feed ORDER BY entry_pos) - 1) // {C.SUMMARY_BATCH} AS batch_id,
-        ((row_number() OVER (PARTITION BY source_feed ORDER BY entry_pos) - 1) % {C.SUMMARY_BATCH}) + 1 AS slot
-      FROM processed),
-r AS (SELECT source_file, batch_id, count(*) AS n,
-        list_filter(list({S.lead_words('content', SU.TARGET_WORDS)} ORDER BY slot), lambda x: x <> '') AS kept
-      FROM b GROUP BY ALL),
-s AS (SELECT b.*, nullif(coalesce(list_concat(r.kept, list_transform(range(r.n), lambda i: ''))[b.slot], ''), '')
-        AS ai_summary FROM b JOIN r USING (source_file, batch_id))"""
+    b = SU.summary_batches(_doc_articles(spark, sf))
+    replies = SU.default_batch_reply(b)
+    failed = replies.filter(F.col("batch_id") % FAILED_EVERY == 0).select("source_file", "batch_id")
+    done = SU.attach_summaries(b, SU.parse_replies(replies.filter(F.col("batch_id") % FAILED_EVERY != 0)))
+    return SU.summary_fallback(done, failed, None).select("doc_id", "source_file", "batch_id", "slot", "ai_summary")
 
 
-@register("process_raw", PROC_SUM_SQL + "\nSELECT page_id, id, title, source_file, batch_id, slot, ai_summary FROM s")
+@register("process_raw", P_SQL + f"""
+SELECT page_id, id, title, source_feed AS source_file, nullif({S.lead_words('content', SU.TARGET_WORDS)}, '') AS ai_summary
+FROM processed""")
 def q_process_raw(spark, sf):
     from ..operators import pipeline as PL
     out = PL.process_raw(TB.raw_articles(spark, sf).withColumn("source_file", F.col("source_feed"))
                          .withColumn("pos", F.col("entry_pos")))
-    return out.select("page_id", "id", "title", "source_file", "batch_id", "slot", "ai_summary")
+    return out.select("page_id", "id", "title", "source_file", "ai_summary")
 
 
 # ======================================================================================
@@ -1011,7 +977,7 @@ def q_latest_snapshot(spark, sf):
 
 
 def _seen_sql() -> str:
-    return A_SQL + CAPPED_SQL
+    return A_SQL + NEW_SQL
 
 
 @register("write_seen", _seen_sql() + "\nSELECT article_hash FROM seen UNION SELECT dedup_key FROM new")
@@ -1019,7 +985,7 @@ def q_write_seen(spark, sf):
     path = scratch_path(spark, "seen")
     seen = _seen_prev(spark, sf)
     SK.write_seen(seen, path)
-    raw = IN.parse_entry(_capped_entries(spark, sf))
+    raw = TB.raw_articles(spark, sf)
     new = IN.new_articles(raw, FS.read_seen(spark, path))
     SK.write_seen(new.select(F.col("dedup_key").alias("article_hash")), path)
     return FS.read_seen(spark, path).distinct()

@@ -69,7 +69,7 @@ def clean_html(x: str) -> str:
     e = f"coalesce({x}, '')"
     e = f"regexp_replace({e}, {q(T.SCRIPT_STYLE_RE)}, ' ', 'g')"
     e = f"regexp_replace({e}, {q(T.COMMENT_RE)}, ' ', 'g')"
-    e = f"regexp_replace({e}, {q(T.TAG_RE)}, ' ', 'g')"
+    e = f"regexp_replace({e}, {q('</?[A-Za-z!?/][^>]*>')}, ' ', 'g')"
     return collapse_ws(decode_entities(e))
 
 
@@ -87,7 +87,7 @@ def clean_content(x: str) -> str:
     e = f"regexp_replace({e}, {q('(?i)</?(' + T.BLOCK_TAGS + ')' + chr(92) + 'b[^>]*>')}, {NL} || {NL}, 'g')"
     e = f"regexp_replace({e}, {q('(?i)</?(b|strong)' + chr(92) + 'b[^>]*>')}, '**', 'g')"
     e = f"regexp_replace({e}, {q('(?i)</?(i|em)' + chr(92) + 'b[^>]*>')}, '_', 'g')"
-    e = f"regexp_replace({e}, {q(T.TAG_RE)}, '', 'g')"
+    e = f"regexp_replace({e}, {q('</?[A-Za-z!?/][^>]*>')}, '', 'g')"
     e = decode_entities(e)
     e = f"regexp_replace({e}, {q(chr(92) + 'n' + WS + '*' + chr(92) + 'n')}, {NL} || {NL}, 'g')"
     e = f"regexp_replace({e}, {q('[ ' + chr(92) + 't]+')}, ' ', 'g')"
@@ -177,10 +177,10 @@ def display_source(x: str) -> str:
             f"WHEN {last} = '' THEN {q(C.UNKNOWN_SOURCE_TEXT)} ELSE {last} END)")
 
 
-def embedding_text(title: str, summary: str, content: str, limit: int = C.EMBED_TEXT_CHARS) -> str:
+def embedding_text(title: str, summary: str, content: str, limit: int | None = C.EMBED_TEXT_CHARS) -> str:
     t = (f"('Title: ' || coalesce({title}, '') || chr(10) || chr(10) || 'Summary: ' || coalesce({summary}, '') "
          f"|| chr(10) || chr(10) || 'Content: ' || coalesce({content}, ''))")
-    return truncate_ellipsis(t, limit)
+    return t if limit is None else truncate_ellipsis(t, limit)
 
 
 def lead_words(x: str, n: int = C.SUMMARY_WORDS) -> str:
@@ -272,13 +272,15 @@ processed AS (
   FROM articles)"""
 
 
-def vectors_cte(run_ts: str = C.DEFAULT_RUN_TS) -> str:
+def vectors_cte(run_ts: str = C.DEFAULT_RUN_TS, caps: bool = False) -> str:
     """vector_records: embeddings + metadata of the article with page_id = vec_id."""
+    title, summary, tags = ("title", "summary", "tags") if not caps else (
+        f"left(title, {C.TITLE_CAP})", f"left(summary, {C.SUMMARY_CAP})", f"tags[1:{C.TAGS_CAP}]")
     return f"""{articles_cte(run_ts)},
 meta AS (
   SELECT page_id,
-    left(title, {C.TITLE_CAP}) AS title, url AS link, left(summary, {C.SUMMARY_CAP}) AS summary,
-    date AS published, source_name, tags[1:{C.TAGS_CAP}] AS tags,
+    {title} AS title, url AS link, {summary} AS summary,
+    date AS published, source_name, {tags} AS tags,
     left({embedding_text('title', 'summary', 'content')}, {C.PREVIEW_CHARS}) AS content_preview
   FROM articles),
 vectors AS (
@@ -300,7 +302,7 @@ def doc_index_cte() -> str:
   FROM documents),
 doc_index AS (
   SELECT id, title, summary, category, source_name,
-    {embedding_text('title', "''", 'text')} AS embed_text
+    {embedding_text('title', "''", 'text', None)} AS embed_text
   FROM docs)"""
 
 

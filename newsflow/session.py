@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,11 +74,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+    return spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")

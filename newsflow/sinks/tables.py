@@ -80,15 +80,3 @@ def clear_namespace(current: DataFrame, namespace: str, path: str) -> DataFrame:
     current.filter(F.col("namespace") != F.lit(namespace)).write.mode("errorifexists") \
         .partitionBy("namespace").parquet(path)
     return read_back(current.sparkSession, path, current)
-
-
-def seen_from_articles(articles: DataFrame) -> DataFrame:
-    return IN.seen_hashes(articles)
-
-
-def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Reliable checkpoint into the cluster's shared checkpoint folder
-    (``spark.checkpoint.dir``); survives executor loss, unlike a local one."""
-    from ..session import shared_dir
-    shared_dir(spark or df.sparkSession)
-    return df.checkpoint(eager=True)

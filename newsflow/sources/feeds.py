@@ -46,12 +46,11 @@ ATOM_ENTRY_SCHEMA = Ty.StructType([
 ])
 
 
-def registry_frame(spark: SparkSession, registry: dict[str, list[str]] | None = None,
+def registry_frame(spark: SparkSession, registry: dict[str, list[str]],
                    landing_root: str | None = None) -> DataFrame:
     """The configured registry ``category -> [feed urls]`` as rows
     ``(category, category_pos, feed_pos, feed_url, landing_path)``. The registry
     is configuration (a handful of feeds), so it is created from the driver."""
-    registry = registry or C.FEED_REGISTRY
     rows = [(cat, ci, urls) for ci, (cat, urls) in enumerate(registry.items())]
     df = spark.createDataFrame(rows, "category string, category_pos int, feed_urls array<string>")
     out = df.select("category", "category_pos", F.posexplode("feed_urls").alias("feed_pos", "feed_url"))
@@ -113,25 +112,24 @@ def rss_items_to_entries(items: DataFrame, feed_url: str = "feed_url", category:
 
 
 def fetch_all_feeds(entries: DataFrame, registry: DataFrame, seen: DataFrame | None,
-                    cap: int = C.MAX_PER_FEED, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
-    """All feeds of all categories in registry order: cap per feed, parse, drop
+                    cap: int | None = None, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
+    """All feeds of all categories in registry order: cap per feed (if given), parse, drop
     entries seen before or earlier in the run (first wins in (category,
     feed_pos, entry_pos) order).
 
-    The registry is a small configuration table (bounded by the number of
-    configured feeds) and is broadcast to the entry scan.
+    The registry may itself be derived from data, so how it is joined is left to the planner.
     """
-    reg = F.broadcast(registry.select(F.col("category").alias("_reg_category"), "feed_pos",
-                                      F.col("feed_url").alias("_feed")))
+    reg = registry.select(F.col("category").alias("_reg_category"), "feed_pos", F.col("feed_url").alias("_feed"))
     e = (entries.join(reg, entries["feed_url"] == reg["_feed"])
          .withColumn("feed_category", F.col("_reg_category")).drop("_feed", "_reg_category"))
-    capped = IN.cap_per_feed(e, cap)
-    raw = IN.parse_entry(capped, run_ts=run_ts, keep=("page_id", "entry_pos", "feed_pos"))
+    if cap is not None:
+        e = IN.cap_per_feed(e, cap)
+    raw = IN.parse_entry(e, run_ts=run_ts, keep=("page_id", "entry_pos", "feed_pos"))
     return IN.new_articles(raw, seen, order=("category", "feed_pos", "entry_pos"))
 
 
 def fetch_by_category(entries: DataFrame, registry: DataFrame, category: str, seen: DataFrame | None,
-                      cap: int = C.MAX_PER_FEED, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
+                      cap: int | None = None, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
     """Feeds of one category only; an unknown category gives an empty result.
     The category filter is applied to the registry (and, through the join, to
     the entries)."""

@@ -22,26 +22,32 @@ def scan_raw(spark: SparkSession, raw_dir: str, pattern: str = "raw_news_*.json"
 
 def latest_files(spark: SparkSession, out_dir: str, patterns=("processed_news_*.json", "api_articles_*.json"),
                  legacy: str = "latest_articles.json", schema: Ty.StructType | None = None) -> DataFrame:
-    """Rows of the newest file (by modification time) among the processed and
+    """Rows of the newest file (by modification time, then path) among the processed and
     API snapshot files, or of the legacy ``latest_articles.json`` when there is
-    none. Adds ``source_file``, ``last_processed``, ``available_files`` and
-    ``total_articles`` (all computed in the plan: a max over file metadata, then
-    a semi-join on the winning path)."""
+    none. Adds ``source_file``, ``mtime``, ``last_processed``, ``available_files`` and
+    ``total_articles``. Files are found by listing, so a newest file without
+    articles counts (and gives no rows); only the newest is read."""
     schema = schema or SC.SNAPSHOT_ARTICLE
-    frames = []
-    for p in patterns:
-        frames.append(spark.read.option("multiLine", True).option("pathGlobFilter", p).schema(schema).json(out_dir)
-                      .withColumn("source_file", F.col("_metadata.file_path"))
-                      .withColumn("mtime", F.col("_metadata.file_modification_time")))
-    rows = frames[0]
-    for f in frames[1:]:
-        rows = rows.unionByName(f)
-    files = rows.select("source_file", "mtime").distinct()
-    newest = files.agg(F.max(F.struct("mtime", "source_file")).alias("m")).select("m.*")
-    pick = rows.join(F.broadcast(newest.select("source_file")), "source_file", "left_semi")
-    return (pick.withColumn("last_processed", F.date_format(F.col("mtime"), "yyyy-MM-dd'T'HH:mm:ss"))
-            .withColumn("available_files", files.agg(F.count(F.lit(1))).scalar())
-            .withColumn("total_articles", pick.agg(F.count(F.lit(1))).scalar()))
+
+    def listed(pattern: str) -> DataFrame:
+        return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(out_dir).select("path", "modificationTime")
+
+    files = listed(patterns[0])
+    for p in patterns[1:]:
+        files = files.union(listed(p))
+    by_age = [F.desc("modificationTime"), F.desc("path")]
+    newest, found = files.orderBy(*by_age).first(), files.count()
+    if newest is None:
+        files = listed(legacy)
+        newest, found = files.orderBy(*by_age).first(), files.count()
+    rows = spark.read.option("multiLine", True).schema(schema)
+    rows = rows.json(newest["path"]) if newest else spark.createDataFrame([], schema)
+    meta = (F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")) if newest else (
+        F.lit(None).cast("string"), F.lit(None).cast("timestamp"))
+    rows = rows.withColumn("source_file", meta[0]).withColumn("mtime", meta[1])
+    return (rows.withColumn("last_processed", F.date_format(F.col("mtime"), "yyyy-MM-dd'T'HH:mm:ss"))
+            .withColumn("available_files", F.lit(found).cast("bigint"))
+            .withColumn("total_articles", rows.agg(F.count(F.lit(1))).scalar()))
 
 
 def latest_run(table: DataFrame, run_col: str = "run_ts") -> DataFrame:
@@ -52,11 +58,16 @@ def latest_run(table: DataFrame, run_col: str = "run_ts") -> DataFrame:
 
 
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
-    """The seen-hash table; an empty table when it does not exist yet."""
-    try:
-        return spark.read.parquet(path).select("article_hash")
-    except Exception:  # noqa: BLE001 -- a missing table means nothing was seen
+    """The seen-hash table; an empty table when it does not exist yet. A table
+    that exists but cannot be read is an error."""
+    if not exists(spark, path):
         return spark.createDataFrame([], "article_hash string")
+    return spark.read.parquet(path).select("article_hash")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def article_by_id(vectors: DataFrame, article_id) -> DataFrame:
@@ -66,10 +77,6 @@ def article_by_id(vectors: DataFrame, article_id) -> DataFrame:
         "id", "title", "link", "summary", F.col("content_preview").alias("content"), "published", "source_name")
 
 
-def articles_by_ids(vectors: DataFrame, ids: DataFrame) -> DataFrame:
-    return vectors.join(ids.select("id"), "id", "left_semi")
-
-
 def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, prefix: str = "raw_news_") -> str:
     """Write one JSON-array file per group (the reference's file layout: one
     array of article objects per file), named ``{prefix}{n}.json``.

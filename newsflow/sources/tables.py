@@ -21,61 +21,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# primary key of each driver table: the key a scan is fanned out on
-TABLE_KEYS = {"pages": "page_id", "documents": "doc_id", "embeddings": "vec_id", "events": "event_id",
-              "conversations": "conv_id", "benchmark": "item_id", "labels": "doc_id"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return fan_out(spark.read.parquet(path), TABLE_KEYS.get(name), cache_key=path)
-
-
-def fan_out(df: DataFrame, key: str | None, cache_key: str | None = None) -> DataFrame:
-    """Spread a scan that has fewer input splits than cores' worth of bytes.
-
-    A parquet file is split by row group; a file with one row group is one
-    task, which would run every per-row expression (HTML cleaning, tokenising)
-    on a single core. When the scan has fewer partitions than
-    ``min(cores, bytes / 512 KiB)`` (on-disk bytes, from the optimizer's
-    statistics of the file index -- no extra listing), hash-partition it on its
-    primary key to that count (deterministic on retry; later joins and
-    aggregations on the key reuse the partitioning). Small inputs stay as they
-    are. A large input (at least ``target x maxPartitionBytes``) is assumed to
-    be split by the reader already and is not planned at all: on a cluster this
-    is a no-op with no driver-side work beyond the statistics.
-    """
-    if key is None:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    ck = (id(spark), cores, cache_key) if cache_key else None
-    shape = _SHAPES.get(ck) if ck else None
-    if shape is None:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        target = int(min(cores, size // FAN_OUT_MIN_BYTES))
-        max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-        if target <= 1 or size >= target * max_split:
-            splits = target
-        else:
-            splits = df.rdd.getNumPartitions()
-        shape = (splits, target)
-        if ck:
-            _SHAPES[ck] = shape
-    splits, target = shape
-    if target <= 1 or splits >= target:
-        return df
-    return df.repartition(target, key)
-
-
-FAN_OUT_MIN_BYTES = 512 << 10        # at least 512 KiB of (compressed) input per fanned-out partition
-_SHAPES: dict[tuple, tuple[int, int]] = {}
-
-
-def _bytes(v: str) -> int:
-    v = str(v).strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 FEED_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/)([^/?#]*)"
@@ -141,7 +88,7 @@ def vector_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 META_COLUMNS = ("title", "link", "summary", "published", "source_name", "tags", "ai_enhanced", "content_preview")
 
 
-def attach_vector_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+def attach_vector_meta(spark: SparkSession, sf_dir: str, rows: DataFrame, caps: bool = False) -> DataFrame:
     """Add the vector metadata to rows keyed by ``id`` (a vector id).
 
     The raw page is joined to the rows first and the metadata (HTML parsing,
@@ -156,7 +103,7 @@ def attach_vector_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> Dat
     # only matched pages are parsed
     matched = pages.join(rows.select("id").distinct(), "id")
     e = entries_from_pages(matched.withColumn("page_id", F.col("id")))
-    meta = vector_metadata(parse_entry(e, keep=("page_id",)), keep=("page_id",)).withColumnRenamed("page_id", "id")
+    meta = vector_metadata(parse_entry(e, keep=("page_id",)), keep=("page_id",), caps=caps).withColumnRenamed("page_id", "id")
     j = rows.join(meta.select("id", *[F.col(c).alias("_m_" + c) for c in META_COLUMNS if c != "ai_enhanced"]),
                   "id", "left")
     has = F.col("_m_title").isNotNull()
@@ -171,14 +118,14 @@ def attach_vector_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> Dat
     )
 
 
-def vector_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vector_records(spark: SparkSession, sf_dir: str, caps: bool = False) -> DataFrame:
     """Every vector of the index with its metadata (VECTOR + MATCH fields).
 
     ``category`` = the vector's label; title/link/summary/... come from the
     article with ``page_id = vec_id`` (left join: vectors without an article keep
     empty metadata). ``content_preview`` = first 500 chars of the embedding text.
     """
-    return attach_vector_meta(spark, sf_dir, vector_index(spark, sf_dir))
+    return attach_vector_meta(spark, sf_dir, vector_index(spark, sf_dir), caps)
 
 
 def _doc_title_sql() -> str:
@@ -195,7 +142,7 @@ def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions import sql as S
     d = read_table(spark, sf_dir, "documents")
     return d.selectExpr("doc_id AS id", "lang AS category",
-                        f"{S.embedding_text(DOC_TITLE_SQL, chr(39) * 2, 'text')} AS embed_text")
+                        f"{S.embedding_text(DOC_TITLE_SQL, chr(39) * 2, 'text', None)} AS embed_text")
 
 
 def attach_doc_meta(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from ..session import scratch_path
+from ..sources.files import exists
 
 
 def event_stream(spark: SparkSession, landing_dir: str, schema: Ty.StructType, files_per_trigger: int = 100
@@ -66,18 +67,17 @@ def run_with_seen_table(stream: DataFrame, keys: list[str], out_path: str, seen_
     spark = stream.sparkSession
 
     def batch(df: DataFrame, epoch: int):
-        key = F.md5(F.concat_ws("\u0001", *[F.col(k).cast("string") for k in keys]))
+        key = F.md5(F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)])))      # a null is no empty text
         b = df.withColumn("_key", key)
         first = b.dropDuplicates(["_key"])       # first of the micro-batch (any copy: keys are compared)
-        try:
-            seen = spark.read.parquet(seen_path)
+        new = first
+        if exists(spark, seen_path):             # else: first batch. What this batch itself wrote before a crash is not "seen"
+            seen = spark.read.parquet(seen_path).filter(F.col("_batch") != epoch)
             new = first.join(seen, first["_key"] == seen["article_hash"], "left_anti")
-        except Exception:  # noqa: BLE001 -- first batch: nothing seen yet
-            new = first
-        new = new.persist()                      # used by the two appends below
-        new.drop("_key").withColumn("_batch", F.lit(epoch)).write.mode("append").parquet(out_path)
-        new.select(F.col("_key").alias("article_hash")).write.mode("append").parquet(seen_path)
-        new.unpersist()
+        # a replayed batch replaces its own folder; the hashes come from what was written
+        new.write.mode("overwrite").parquet(f"{out_path}/_batch={epoch}")
+        (spark.read.schema(new.schema).parquet(f"{out_path}/_batch={epoch}").select(F.col("_key").alias("article_hash"))
+         .write.mode("overwrite").parquet(f"{seen_path}/_batch={epoch}"))
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime=interval or "6 hours")

@@ -138,3 +138,17 @@ def test_knn_within_category_equals_brute_force(spark):
     for r in VE.knn_all(v, within="category", block_rows=64).orderBy("id", "rank").collect():
         got.setdefault(r["id"], []).append(r["neighbor_id"])
     assert {k: v for k, v in expect.items() if v} == got
+
+
+def test_topk_takes_any_ids_and_no_more_than_k_of_equal_scores(spark):
+    import pandas as pd
+    from newsflow.operators import vectors as VE
+    fn = VE._block_topk_fn(10, None, True, None)
+    n = 2000
+    block = pd.DataFrame({"id": [f"v{i:05d}" for i in range(n)], "vec": [[1.0, 0.0]] * n})
+    out = fn(block, block)
+    assert len(out) == n * 10 and set(out.groupby("id").size()) == {10}
+    assert list(out[out["id"] == "v00003"]["neighbor_id"])[:3] == ["v00000", "v00001", "v00002"]
+    df = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [1.0, 0.1]), ("z", [0.0, 1.0])], "id string, embedding array<float>")
+    got = {(r["id"], r["neighbor_id"]) for r in VE.knn_all(df, k=1, threshold=None).collect()}
+    assert got == {("x", "y"), ("y", "x"), ("z", "y")}

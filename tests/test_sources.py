@@ -10,6 +10,8 @@ from newsflow import schemas as SC
 from newsflow.operators import ingest as IN
 from newsflow.sources import feeds as FD
 from newsflow.sources import files as FS
+from newsflow.sources import tables as TB
+from conftest import SF_SMALL
 
 FEED_XML = """<rss xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:content="http://purl.org/rss/1.0/modules/content/">
 <channel><title>F</title>
@@ -69,11 +71,68 @@ def test_latest_files_by_mtime(spark):
 
 
 def test_registry_frame_keeps_feed_order(spark):
-    reg = FD.registry_frame(spark).orderBy("category_pos", "feed_pos").collect()
-    assert [r["feed_url"] for r in reg][0] == "https://kotaku.com/rss"
+    urls = ["https://b.example/rss", "https://a.example/feed", "https://c.example/rss/"]
+    reg = FD.registry_frame(spark, {"general": urls}).orderBy("category_pos", "feed_pos").collect()
+    assert [r["feed_url"] for r in reg] == urls
     assert [r["feed_pos"] for r in reg] == [0, 1, 2]
 
 
+def test_latest_file_may_be_empty_and_legacy_is_the_fallback(spark):
+    d = tempfile.mkdtemp()
+
+    def put(name, text, age):
+        path = os.path.join(d, name)
+        with open(path, "w") as f:
+            f.write(text)
+        os.utime(path, (1_700_000_000 + age, 1_700_000_000 + age))
+    assert FS.latest_files(spark, d).count() == 0
+    put("latest_articles.json", '[{"id": "old"}]', 0)
+    assert [r["id"] for r in FS.latest_files(spark, d).collect()] == ["old"]
+    put("processed_news_1.json", '[{"id": "n1"}]', 1)
+    assert [(r["id"], r["available_files"]) for r in FS.latest_files(spark, d).collect()] == [("n1", 1)]
+    put("processed_news_2.json", "[]", 2)
+    assert FS.latest_files(spark, d).count() == 0
+
+
+def test_unreadable_seen_table_is_an_error(spark):
+    d = tempfile.mkdtemp()
+    with open(os.path.join(d, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    import pytest
+    with pytest.raises(Exception):
+        FS.read_seen(spark, d).count()
+
+
+def test_all_entries_of_a_feed_are_fetched_unless_capped(spark):
+    e = TB.page_entries(spark, SF_SMALL).withColumn("feed_url", F.lit("http://one.example/f/")).withColumn("feed_category", F.lit("c"))
+    more = e.unionByName(e.withColumn("title", F.concat("title", F.lit(" again"))).withColumn("entry_pos", F.col("entry_pos") + 1000))
+    reg = FD.registry_from_entries(more)
+    n = more.select("title", "link").distinct().count()
+    assert n > 50 and FD.fetch_all_feeds(more, reg, None).count() == n
+    assert FD.fetch_all_feeds(more, reg, None, cap=50).count() <= 50
+
+
+def test_broken_items_are_dropped(spark):
+    d = tempfile.mkdtemp()
+    with open(os.path.join(d, "f.xml"), "w") as f:
+        f.write("<rss><channel><item><title>good</title></item><item><title>fine</title></item><item><title>bad</wrong></item></channel></rss>")
+    items = FD.scan_rss(spark, d).cache()
+    assert items.filter("_corrupt_record IS NOT NULL").count() == 1
+    assert sorted(r["title"] for r in IN.drop_unparsed(items).collect()) == ["fine", "good"]
+
+
+def test_stream_keeps_null_keys_apart_and_replays_without_copies(spark):
+    from newsflow.streaming import ingest as ST
+    d = tempfile.mkdtemp()
+    rows = [(None, "a"), ("a", None), ("", "a"), ("a", "b"), ("a", "b")]
+    spark.createDataFrame(rows, "k1 string, k2 string").write.parquet(d + "/in")
+    for run in (1, 2):           # the second run has lost its checkpoint: the same batch again
+        s = ST.event_stream(spark, d + "/in", spark.read.parquet(d + "/in").schema)
+        ST.run_with_seen_table(s, ["k1", "k2"], d + "/out", d + "/seen", d + f"/ckpt{run}")
+        got = spark.read.parquet(d + "/out").select("k1", "k2").collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, set(rows)))
+
+
 def test_seen_missing_table_is_empty(spark):
     assert FS.read_seen(spark, tempfile.mkdtemp() + "/nope").count() == 0
 

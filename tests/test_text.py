@@ -143,3 +143,9 @@ def test_dense_position_crosses_ranges(spark):
     got = {(r["f"], r["pos"]): r["_rn"] for r in dense_position(df, "f", "pos", width=7).collect()}
     assert [got[("a", p)] for p in pos] == list(range(1, len(pos) + 1))
     assert [got[("b", p * 2)] for p in pos[:4]] == [1, 2, 3, 4]
+
+
+def test_bare_less_than_is_text_and_all_named_entities_decode(spark):
+    src = "if a < b and c > d then caf&eacute; &agrave; &sum; <b>x</b><!-- y --></p>"
+    assert one(spark, T.clean_html(F.col("t")), t=src) == "if a < b and c > d then café à ∑ x"
+    assert one(spark, T.clean_content(F.col("t")), t="1 < 2 &eacute;<br>z") == "1 < 2 é\nz"
