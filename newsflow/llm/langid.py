@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from . import words as W
 
 FIT_DOCS = 8_000                 # about so many labelled documents are learned from
-MAX_LANGS, MAX_WORDS, MAX_GRAMS = 200, 300_000, 200_000      # the most frequent ones make the model
+MAX_LANGS, MAX_WORDS, MAX_GRAMS = 200, 150_000, 100_000      # the most frequent ones make the model
 ORDERS = (4, 3, 2, 1)
-CACHED = 300_000                 # words whose scores a task keeps at hand
+CACHED = 200_000                 # words whose scores a task keeps at hand
 WORD = re.compile(r"[^\W\d_]+")
 SMOOTH = 0.5
 
@@ -31,7 +31,7 @@ def _grams(word: str, n: int) -> list[str]:
 
 
 def _counts(batches):
-    for b in W.slices(batches, "text"):
+    for b in W.slices(batches, "text", W.SMALL):
         seen: dict[str, Counter] = {}
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
             seen.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
@@ -133,7 +133,7 @@ def predict(docs: DataFrame, model: dict, lang_column: str = "lang_pred", score_
 
     def run(batches):
         scorer = Scorer(sent.value)
-        for b in W.slices(batches, text):
+        for b in W.slices(batches, text, W.SMALL):
             got = [scorer(t) for t in b.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                                              [*b.schema.names, lang_column, score_column])

@@ -84,7 +84,7 @@ def sketches(h: np.ndarray, starts: np.ndarray, t: int) -> np.ndarray:
 
 def _signatures(shingle: int, bands: int, rows: int):
     def run(batches):
-        for b in W.slices(batches, "text"):
+        for b in W.slices(batches, "text", W.SMALL):
             h, starts = shingle_sets(b.column("text"), shingle)
             size = np.diff(starts)
             some = np.flatnonzero(size)
@@ -109,7 +109,7 @@ def _signatures(shingle: int, bands: int, rows: int):
 
 def _sets(shingle: int):
     def run(batches):
-        for b in W.slices(batches, "text"):
+        for b in W.slices(batches, "text", W.SMALL):
             h, starts = shingle_sets(b.column("text"), shingle)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(W.signed(h)))],

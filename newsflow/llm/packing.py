@@ -26,7 +26,7 @@ WINDOW = 4096
 END_ID = 2
 END = END_ID.to_bytes(4, "little")
 MAX_OPEN = 2048                  # open windows a task keeps; their ids are all that is in memory
-CACHED = 1_000_000               # chunks, and words, whose ids a Python worker keeps (about 300 MB)
+CACHED = 500_000                 # chunks, and words, whose ids a Python worker keeps (about 150 MB)
 CHUNK_CHARS = 256                # longer chunks are not kept
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -186,7 +186,7 @@ def _pack(tokenizer: str, window: int, with_ids: bool):
             return pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padding",
                                                        *["ids"] * with_ids])
 
-        for b in W.slices(batches, "text", 4 << 20):
+        for b in W.slices(batches, "text", W.SMALL):
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 for sequence in packer.add(doc_id, encode(text)):
                     take(sequence)

@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20                  # bytes hashed at a time
-SLICE = 8 << 20                  # bytes of text handled at a time by the operators
+SLICE = 8 << 20                  # bytes of text handled at a time, if not told otherwise
+SMALL = 2 << 20                  # where work does not get cheaper in larger slices
 BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 _random = np.random.default_rng(20240101)
@@ -128,6 +129,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE) ->
             to = min(batch.num_rows, max(at + 1, to))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()      # Python workers live on between tasks
 
 
 def signed(x: np.ndarray) -> np.ndarray:
