@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import bounded_batches
 
 MIN_WORDS = 5                    # shorter items match ordinary prose by chance and are not searched for
 SIMILARITY = 0.8                 # 1 - edit distance / words of the item
@@ -227,6 +228,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     items of fewer than ``MIN_WORDS`` words are not searched for; repeated rows repeat
     their results. Empty tables: no rows.
     """
+    bounded_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))

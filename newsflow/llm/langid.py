@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import bounded_batches
 
 FIT_DOCS = 8_000                 # about so many labelled documents are learned from
 MAX_LANGS, MAX_WORDS, MAX_GRAMS = 200, 150_000, 100_000      # the most frequent ones make the model
@@ -56,6 +57,7 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
     has fewer. The model is bounded by ``MAX_LANGS``, ``MAX_WORDS`` and ``MAX_GRAMS``.
     Null lang or text: not learned from. Nothing to learn from: a model without languages.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
     langs = sorted(r["lang"] for r in sizes)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import stored, with_ids
+from .common import bounded_batches, stored, with_ids
 from .graph import components
 
 TURNS = 3                        # times that members of a band are compared with a drawn one before all are
@@ -150,6 +150,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     doc_id joins the class of its equal texts, but links no others; alone its
     component is null and it is kept. Empty table: no rows.
     """
+    bounded_batches(docs.sparkSession)
     percent = round(similarity * 100)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sig = stored(docs.mapInArrow(_signatures(shingle, bands, rows), "doc_id bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>"),

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import bounded_batches
 
 WINDOW = 4096
 END_ID = 2
@@ -208,6 +209,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, with_ids: bool =
     two). Sequence ids are unique over the tasks. Repeated rows are packed each for itself.
     Empty table: no rows.
     """
+    bounded_batches(docs.sparkSession)
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(_pack(tokenizer, window, with_ids), schema))
