@@ -10,16 +10,14 @@ from ..session import scratch_path
 BROADCAST_IDS = 500_000          # ids (8 bytes each) that may be broadcast; more are joined by a shuffle
 
 
-BATCH_ROWS, BATCH_BYTES = 2_500, 8 << 20      # of an Arrow batch of texts: what a task holds of them on either side
+BATCH_ROWS = 2_500               # rows of an Arrow batch of texts: what a task holds of them on either side
 
 
 def bounded_batches(spark: SparkSession) -> None:
     """Smaller Arrow batches than Spark's usual ones, unless the session has its own setting."""
-    for key, usual, ours in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", BATCH_ROWS),
-                             ("spark.sql.execution.arrow.maxBytesPerBatch", None, BATCH_BYTES)):
-        now = spark.conf.get(key, None)
-        if now is not None and (now == usual or usual is None and int("".join(c for c in now if c.isdigit()) or 0) > ours):
-            spark.conf.set(key, str(ours))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
