@@ -10,8 +10,12 @@ Equal sets are folded into one class first. A class then has to be compared
 with the smallest class of a shared band only (one pair a class). Where members
 of a band still lie in different components, they are compared with a drawn
 member of the band, a few times over, and what is then still apart is compared
-in all its pairs across components. So a group of thousands of copies costs a
-few comparisons each, and no pair that could join two components is left out.
+in pairs across components. Before the full sets are read for that, such a pair
+has to pass a bound: each bin that holds an odd number of one set's elements and
+an even number of the other's has an element that only one of them has. So a
+group of thousands of copies costs a few comparisons each, documents that are
+only somewhat like all of them are ruled out by words of bits, and no pair that
+could join two components is left out.
 """
 
 from __future__ import annotations
@@ -26,7 +30,9 @@ from .common import bounded_batches, stored, with_ids
 from .graph import components
 
 TURNS = 3                        # times that members of a band are compared with a drawn one before all are
+BITS = 2048                      # bins of the parities that rule out pairs (more elements than bins: they rule out less)
 BANDS, ROWS = 40, 6              # a pair of similarity 0.8 shares no band with probability 5e-6
+_PARITIES = [f"w{i}" for i in range(BITS // 64)]
 _U = np.uint64
 
 
@@ -117,6 +123,23 @@ def _sets(shingle: int):
     return run
 
 
+def _parities(shingle: int):
+    """For every text the parity of its number of elements in each of ``BITS`` hashed bins."""
+    def run(batches):
+        for b in W.slices(batches, "text", W.SMALL):
+            h, starts = shingle_sets(b.column("text"), shingle)
+            size = np.diff(starts)
+            words = np.zeros((len(size), BITS // 64), np.int64)
+            for at in range(0, len(size), 256):
+                to = min(at + 256, len(size))
+                cell = np.repeat(np.arange(to - at), size[at:to]) * BITS + (W.mix(h[starts[at]:starts[to]] ^ W.SEEDS[14]) % _U(BITS)).astype(np.int64)
+                odd = np.bincount(cell, minlength=(to - at) * BITS).astype(np.uint8) & 1
+                words[at:to] = np.packbits(odd).view(np.int64).reshape(to - at, -1)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(size.astype(np.int64)), *map(pa.array, words.T.copy())],
+                                             ["rep", "n", *_PARITIES])
+    return run
+
+
 def _confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The ``pairs(a, b)`` whose full sets have 100 * intersection >= percent * union."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -167,17 +190,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     part = components(links)
 
     tested = first
-    for turn in range(TURNS + 1):
+    for turn in range(TURNS):                 # every member of another component against one drawn member of the band
         rest = stored(_undecided(members, part), "minhash-rest")
         if rest.isEmpty():
             break
-        if turn < TURNS:                      # every member of another component against one drawn member of the band
-            drawn = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "component")).alias("c"))
-            other = drawn.select("key", F.col("c.rep").alias("b"), F.col("c.n").alias("nb"), F.col("c.component").alias("cb"))
-        else:                                 # and what is left against all members of other components
-            other = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+        drawn = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "component")).alias("c"))
+        other = drawn.select("key", F.col("c.rep").alias("b"), F.col("c.n").alias("nb"), F.col("c.component").alias("cb"))
         pairs = (rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")).join(other, "key")
-                 .where("ca <> cb" if turn < TURNS else "a < b AND ca <> cb")
+                 .where("ca <> cb")
                  .where(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb"))
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
@@ -187,6 +207,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             links = links.union(more)
             part = components(links)
 
+    rest = stored(_undecided(members, part), "minhash-rest")
+    if not rest.isEmpty():                    # and what is left against all members of other components that the parities don't rule out
+        parities = stored(with_ids(docs, rest.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                          .mapInArrow(_parities(shingle), "rep bigint, n bigint, " + ", ".join(f"{w} bigint" for w in _PARITIES)), "minhash-parities")
+        rest = rest.join(parities, ["rep", "n"])
+        one, two = (rest.select("key", *[F.coalesce(c, F.lit(0)).alias(f"{c}_{side}") for c in ("rep", "n", "component", *_PARITIES)]) for side in "ab")
+        differ = F.expr(" + ".join(f"bit_count({w}_a ^ {w}_b)" for w in _PARITIES))
+        both = F.col("n_a") + F.col("n_b")
+        pairs = (one.join(two, "key").where("rep_a < rep_b AND component_a <> component_b")
+                 .where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+                 .where(F.lit(100 + percent) * (both - differ) >= F.lit(2 * percent) * both)
+                 .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        more = stored(_confirmed(docs, pairs, shingle, percent), "minhash-links")
+        if not more.isEmpty():
+            part = components(links.union(more))
+
     named = (classes.join(part.withColumnRenamed("id", "rep"), "rep", "left")
              .select("s1", "s2", F.coalesce("component", "rep").alias("component_id")))
     out = sig.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
