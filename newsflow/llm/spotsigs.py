@@ -86,6 +86,45 @@ def fingerprints(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     return with_set(rows, "text", "signatures", chain)
 
 
+def near_pairs(sets: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """All documents of ``sets(doc_id, signatures)`` against each other: ``(classes, pairs)``.
+
+    ``classes(doc_id, rep)``: for each document the smallest doc_id with an equal set. ``pairs(a, b,
+    similarity)``: every two representatives, a < b, with a Jaccard similarity of ``least`` (over 0,
+    under 1) or more; none is lost. Empty sets are a class without pairs, rows without a doc_id are
+    left out, and of the sets of one doc_id the smallest is taken. Empty table: no rows.
+
+    Representatives are partitioned by the length of their sets, with bounds that grow by 1/least, so
+    that like sets lie in one partition or in neighbours. There, sets meet by their rarest signatures
+    only: as many as one may have beyond the other, and one more. Lengths rule out pairs before
+    the sets themselves are compared.
+    """
+    from .common import stored
+    from math import log
+    rows = sets.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("signatures").alias("signatures"))
+    rows = stored(rows.withColumn("digest", F.sha2(as_string("signatures"), 256)), "spotsigs-sets")
+    named = rows.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    classes = rows.select("doc_id", "digest").join(named, "digest").select("doc_id", "rep")
+    # a hair over 1/least, so that rounding cannot put like sets two partitions apart
+    step = log(1 / least) * (1 + 1e-9)
+    reps = (rows.join(named.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").where(F.size("signatures") > 0)
+            .select("doc_id", "signatures", F.size("signatures").alias("n")))
+    said = reps.select("doc_id", "n", F.explode("signatures").alias("s"))
+    common = said.groupBy("s").agg(F.count(F.lit(1)).alias("docs"))
+    prefix = F.col("n") - F.ceil(F.col("n") * least - 1e-9).cast("int") + 1
+    index = (said.join(common, "s").groupBy("doc_id", "n").agg(F.array_sort(F.collect_list(F.struct("docs", "s"))).alias("rare"))
+             .select("doc_id", "n", F.floor(F.log("n") / step).alias("part"), F.explode(F.slice("rare", F.lit(1), prefix)["s"]).alias("s")))
+    index = stored(index, "spotsigs-index")
+    one = index.select("s", "part", F.col("doc_id").alias("x"), F.col("n").alias("nx"))
+    two = index.select("s", F.explode(F.array("part", F.col("part") + 1)).alias("part"), F.col("part").alias("own"), F.col("doc_id").alias("y"), F.col("n").alias("ny"))
+    met = (one.join(two, ["s", "part"]).where("own < part OR x < y").where(F.least("nx", "ny") >= F.greatest("nx", "ny") * least - 1e-9)
+           .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    pairs = (met.join(reps.select(F.col("doc_id").alias("a"), F.col("signatures").alias("sa")), "a")
+             .join(reps.select(F.col("doc_id").alias("b"), F.col("signatures").alias("sb")), "b")
+             .select("a", "b", likeness("sa", "sb", least).alias("similarity")).where(F.col("similarity") >= least))
+    return classes, pairs
+
+
 def against_edits(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     """Each document's fingerprint beside that of its edited text and of the next document.
 

@@ -242,6 +242,28 @@ def test_fingerprints_beside_edits(spark):
     assert spotsigs.against_edits(many.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("least", [0.5, 0.8])
+def test_near_fingerprints_against_all_pairs(spark, least):
+    r = random.Random(11)
+    sets = []
+    for group in range(12):
+        base = r.sample(range(group * 60, group * 60 + 90), r.randrange(1, 60))
+        for _ in range(12):
+            keep = [x for x in base if r.random() > r.choice([0, 0.02, 0.1, 0.3])]
+            sets.append(sorted({*keep, *r.sample(range(5_000, 5_030), r.randrange(0, 3))}))
+    sets += [[], [], [1], list(range(4)), list(range(5)), list(range(28)), list(range(35)), sets[0]]
+    table = spark.createDataFrame([*enumerate(sets), (None, [1])], "doc_id bigint, signatures array<int>").withColumn("rep", F.lit("clash"))
+    classes, pairs = spotsigs.near_pairs(table, least)
+    reps = {i: min(j for j, t in enumerate(sets) if t == s) for i, s in enumerate(sets)}
+    assert {c.doc_id: c.rep for c in classes.collect()} == reps
+    want = {(a, b): len({*sets[a]} & {*sets[b]}) / len({*sets[a]} | {*sets[b]})
+            for a, b in itertools.combinations(sorted(set(reps.values())), 2) if sets[a] and sets[b]}
+    want = {k: v for k, v in want.items() if v >= least}
+    got = pairs.collect()
+    assert len(got) == len(want) > 20 and {(p.a, p.b): p.similarity for p in got} == pytest.approx(want)
+    assert [x.count() for x in spotsigs.near_pairs(table.where("false"), least)] == [0, 0]
+
+
 def test_signatures_are_chains_after_anchors(spark):
     row = spotsigs.with_set(spark.createDataFrame([("The Cat and the big dog, of course",)], "t string"), "t", "s").first()
     chains = ["the cat big", "and big dog", "the big dog"]      # "of course" has no second word
