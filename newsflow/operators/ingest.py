@@ -106,19 +106,31 @@ def first_wins(df: DataFrame, key: Column | str, order: list[str]) -> DataFrame:
 
 
 def new_articles(raw: DataFrame, seen: DataFrame | None, dedup: bool = True,
-                 order=("source_feed", "entry_pos")) -> DataFrame:
+                 order=("source_feed", "entry_pos"), row_id=None) -> DataFrame:
     """Articles of this run not seen before (anti join on ``md5(title+url)``),
     first-wins inside the run. ``seen`` has one column ``article_hash``.
 
+    ``row_id`` names non-null columns that together tell all rows apart. With
+    them only keys, order and row ids are aggregated (map-side combined) and the
+    articles are semi-joined on the row ids of the winners, a join that the
+    optimizer moves below the cleaning of texts. Without them whole rows go
+    through the aggregate.
+
     Cap the entries per feed *before* this step (the cap applies before dedup).
     """
     with_key = raw.withColumn("dedup_key", T.dedup_key(F.col("title"), F.col("url")))
     if not dedup:
         return with_key
-    firsts = first_wins(with_key, "dedup_key", list(order))
-    if seen is None:
+    if row_id is None:
+        firsts = first_wins(with_key, "dedup_key", list(order))
+    else:
+        narrow = [*order, *[c for c in row_id if c not in order]]
+        firsts = with_key.groupBy("dedup_key").agg(F.min(F.struct(*narrow)).alias("_first"))
+    if seen is not None:
+        firsts = firsts.join(seen.select(F.col("article_hash").alias("dedup_key")), "dedup_key", "left_anti")
+    if row_id is None:
         return firsts
-    return firsts.join(seen.select(F.col("article_hash").alias("dedup_key")), "dedup_key", "left_anti")
+    return with_key.join(firsts.select(*[F.col("_first")[c].alias(c) for c in row_id]), list(row_id), "left_semi")
 
 
 def seen_hashes(articles: DataFrame) -> DataFrame:
@@ -142,23 +154,32 @@ def fetch_stats(new: DataFrame) -> DataFrame:
                     "new_articles"))
 
 
-def feed_health(entries: DataFrame, sample: int = 3, preview: int = 100) -> DataFrame:
+def feed_health(entries: DataFrame, sample: int = 3, preview: int = 100, registry: DataFrame | None = None) -> DataFrame:
     """Per feed: entry count, how many entries lack a title / link / summary /
-    date / content, and the first ``sample`` entries with 100-char previews.
+    date / content, whether an item of it could not be parsed (``malformed``),
+    and the first ``sample`` entries with 100-char previews.
+
+    Entries with a ``_corrupt_record`` only set the flag. With a ``registry``
+    its feeds without entries are listed too, with counts of 0; a feed without
+    (parsed) entries has null samples.
 
     Counts are a grouped aggregate (partial + final); the sample is a
     ``row_number() <= 3`` per feed (partial WindowGroupLimit), joined back on the
     feed key. No per-feed driver loop.
     """
+    broken = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in entries.columns else F.lit(False)
     has_content = (F.coalesce(F.size("content"), F.lit(0)) > 0) | (F.coalesce(F.col("description"), F.lit("")) != "")
     counts = entries.groupBy("feed_url").agg(
-        F.count(F.lit(1)).alias("entries"),
-        F.count_if(F.coalesce(F.col("title"), F.lit("")) == "").alias("missing_title"),
-        F.count_if(F.coalesce(F.col("link"), F.lit("")) == "").alias("missing_link"),
-        F.count_if(F.coalesce(F.col("summary"), F.lit("")) == "").alias("missing_summary"),
-        F.count_if(F.coalesce(F.col("published"), F.lit("")) == "").alias("missing_date"),
-        F.count_if(~has_content).alias("missing_content"),
+        F.count_if(~broken).alias("entries"),
+        *[F.count_if(~broken & (F.coalesce(F.col(c), F.lit("")) == "")).alias(f"missing_{name}")
+          for c, name in (("title", "title"), ("link", "link"), ("summary", "summary"), ("published", "date"))],
+        F.count_if(~broken & ~has_content).alias("missing_content"),
+        F.coalesce(F.bool_or(broken), F.lit(False)).alias("malformed"),
     )
+    if registry is not None:
+        zeros = {c: False if c == "malformed" else 0 for c in counts.columns if c != "feed_url"}
+        counts = registry.select("feed_url").distinct().join(counts, "feed_url", "full_outer").na.fill(zeros)
+    entries = drop_unparsed(entries)
     w = Window.partitionBy("feed_url").orderBy("entry_pos")
     content_text = E.content_coalesce("content", "description", "''", "''")
     firsts = (entries.withColumn("sample_pos", F.row_number().over(w)).filter(F.col("sample_pos") <= sample)
@@ -167,7 +188,7 @@ def feed_health(entries: DataFrame, sample: int = 3, preview: int = 100) -> Data
                       F.coalesce(F.col("link"), F.lit("")).alias("sample_link"),
                       F.substring(F.coalesce(F.col("summary"), F.lit("")), 1, preview).alias("summary_preview"),
                       F.substring(content_text, 1, preview).alias("content_preview")))
-    return counts.join(firsts, "feed_url")
+    return counts.join(firsts, "feed_url", "left")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

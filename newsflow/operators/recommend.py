@@ -24,7 +24,8 @@ from pyspark.sql import types as Ty
 from .. import config as C
 from ..functions import text as T
 from ..functions.udf import series2_udf
-from .vectors import similar_by_id
+from .embed import search_text
+from .vectors import match_projection, similar_by_id
 
 
 def doc_text(title="title", summary="summary"):
@@ -157,3 +158,13 @@ def trending_topics(matches: DataFrame, limit: int = 10, group: str = "query_id"
     # categories first; fewer categories leave a gap that the renumbering closes
     wp = Window.partitionBy(group).orderBy("pos")
     return out.withColumn("topic_pos", F.row_number().over(wp)).drop("pos")
+
+
+def trending_now(docs: DataFrame, attach: Callable[[DataFrame], DataFrame], seed: str = C.TRENDING_QUERY,
+                 sample: int = C.TRENDING_SAMPLE, limit: int = 10, threshold: float = C.SIMILARITY_THRESHOLD) -> DataFrame:
+    """Trending topics of a text index ``docs(id, text)``: the topics among the
+    ``sample`` best matches of the fixed ``seed`` text. ``attach`` adds title and
+    category to matches keyed by ``id``. No match, no topics."""
+    query = docs.sparkSession.createDataFrame([(0, seed)], "id bigint, text string")
+    hits = search_text(query, docs, n=sample, threshold=threshold)
+    return trending_topics(match_projection(attach(hits)), limit).drop("query_id")

@@ -299,7 +299,7 @@ def q_cap_per_feed(spark, sf):
 SELECT dedup_key, id, page_id, source_feed, title, url FROM new""")
 def q_new_articles(spark, sf):
     raw = TB.raw_articles(spark, sf)
-    new = IN.new_articles(raw, _seen_prev(spark, sf))
+    new = IN.new_articles(raw, _seen_prev(spark, sf), row_id=("page_id",))
     return new.select("dedup_key", "id", "page_id", "source_feed", "title", "url")
 
 
@@ -308,7 +308,7 @@ SELECT article_hash FROM seen UNION SELECT dedup_key FROM new""")
 def q_seen_union(spark, sf):
     raw = TB.raw_articles(spark, sf)
     seen = _seen_prev(spark, sf)
-    new = IN.new_articles(raw, seen)
+    new = IN.new_articles(raw, seen, row_id=("page_id",))
     return IN.seen_union(seen, new.select(F.col("dedup_key").alias("article_hash")))
 
 
@@ -318,7 +318,7 @@ SELECT (CASE GROUPING(category, source_feed) WHEN 3 THEN 0 WHEN 1 THEN 1 ELSE 2
 FROM new GROUP BY ROLLUP (category, source_feed)""")
 def q_fetch_stats(spark, sf):
     raw = TB.raw_articles(spark, sf)
-    return IN.fetch_stats(IN.new_articles(raw, _seen_prev(spark, sf)))
+    return IN.fetch_stats(IN.new_articles(raw, _seen_prev(spark, sf), row_id=("page_id",)))
 
 
 @register("feed_health", E_SQL + """,
@@ -327,7 +327,8 @@ cnt AS (SELECT feed_url, count(*) AS entries,
     count(*) FILTER (WHERE coalesce(link, '') = '') AS missing_link,
     count(*) FILTER (WHERE coalesce(summary, '') = '') AS missing_summary,
     count(*) FILTER (WHERE coalesce(published, '') = '') AS missing_date,
-    count(*) FILTER (WHERE NOT (article_html <> '' OR coalesce(description, '') <> '')) AS missing_content
+    count(*) FILTER (WHERE NOT (article_html <> '' OR coalesce(description, '') <> '')) AS missing_content,
+    false AS malformed
   FROM entries GROUP BY feed_url),
 smp AS (SELECT * FROM (SELECT feed_url, row_number() OVER (PARTITION BY feed_url ORDER BY entry_pos) AS sample_pos,
     coalesce(title, '') AS sample_title, coalesce(link, '') AS sample_link,
@@ -337,7 +338,8 @@ smp AS (SELECT * FROM (SELECT feed_url, row_number() OVER (PARTITION BY feed_url
   FROM entries) WHERE sample_pos <= 3)
 SELECT * FROM cnt JOIN smp USING (feed_url)""")
 def q_feed_health(spark, sf):
-    return IN.feed_health(TB.page_entries(spark, sf))
+    e = TB.page_entries(spark, sf)
+    return IN.feed_health(e, registry=_registry(spark, sf))
 
 
 def _registry(spark, sf):
@@ -358,6 +360,9 @@ def q_available_categories(spark, sf):
     return FD.available_categories(_registry(spark, sf))
 
 
+FETCH_ROW = ("category", "feed_pos", "page_id")      # an entry of a feed, as listed under a category
+
+
 FETCH_SQL = f""",
 reg AS (SELECT category, row_number() OVER (PARTITION BY category ORDER BY feed_url) - 1 AS feed_pos, feed_url
         FROM (SELECT DISTINCT feed_category AS category, feed_url FROM entries)),
@@ -374,7 +379,7 @@ new AS (SELECT * FROM firsts WHERE dedup_key NOT IN (SELECT article_hash FROM se
 SELECT dedup_key, id, page_id, category, feed_pos, source_feed, title FROM new""")
 def q_fetch_all_feeds(spark, sf):
     from ..sources import feeds as FD
-    new = FD.fetch_all_feeds(TB.page_entries(spark, sf), _registry(spark, sf), _seen_prev(spark, sf))
+    new = FD.fetch_all_feeds(TB.page_entries(spark, sf), _registry(spark, sf), _seen_prev(spark, sf), row_id=FETCH_ROW)
     return new.select("dedup_key", "id", "page_id", "category", "feed_pos", "source_feed", "title")
 
 
@@ -387,7 +392,7 @@ WHERE dedup_key NOT IN (SELECT article_hash FROM seen)""")
 def q_fetch_by_category(spark, sf):
     from ..sources import feeds as FD
     new = FD.fetch_by_category(TB.page_entries(spark, sf), _registry(spark, sf), FEED_CATEGORY,
-                               _seen_prev(spark, sf))
+                               _seen_prev(spark, sf), row_id=FETCH_ROW)
     return new.select("dedup_key", "id", "page_id", "category", "feed_pos", "source_feed", "title")
 
 
@@ -622,9 +627,10 @@ def q_embed_query(spark, sf):
         "id", F.col("bucket").cast("bigint").alias("bucket"), "weight")
 
 
-def _text_sql(n: int, category: str | None = None) -> str:
+def _text_sql(n: int, category: str | None = None, queries: str = "benchmark",
+              threshold: float = C.SIMILARITY_THRESHOLD) -> str:
     src = "doc_index" if category is None else f"(SELECT * FROM doc_index WHERE category = {S.q(category)})"
-    return DOC_SQL + ",\n" + S.text_search_cte("benchmark", "item_id", "text", src, "id", "embed_text", n)
+    return DOC_SQL + ",\n" + S.text_search_cte(queries, "item_id", "text", src, "id", "embed_text", n, threshold)
 
 
 @register("search_text", _text_sql(C.MAX_RESULTS) + """
@@ -698,7 +704,7 @@ def q_recommend_query(spark, sf):
                     R("rerank_score").alias("rerank_score"))
 
 
-TREND_SQL = _text_sql(C.TRENDING_SAMPLE) + """,
+TREND_STEPS = """,
 m AS (SELECT h.query_id, h.rank, d.title, coalesce(d.category, 'general') AS category
       FROM hits h JOIN doc_index d ON d.id = h.id),
 cats AS (SELECT query_id, category, count(*) AS article_count, min(rank) AS first_seen FROM m GROUP BY ALL),
@@ -706,6 +712,7 @@ kw AS (SELECT query_id, word, count(*) AS mention_count, min(rank::BIGINT * 1000
        FROM (SELECT query_id, rank, unnest(ws) AS word, unnest(range(len(ws))) AS wpos
              FROM (SELECT query_id, rank, """ + S.words("lower(title)") + """ AS ws FROM m))
        WHERE length(word) > 4 GROUP BY ALL)"""
+TREND_SQL = _text_sql(C.TRENDING_SAMPLE) + TREND_STEPS
 
 
 @register("category_counts", TREND_SQL + "\nSELECT query_id, category, article_count, first_seen FROM cats")
@@ -721,7 +728,7 @@ def q_keyword_counts(spark, sf):
                     F.col("first_seen.wpos").cast("bigint").alias("first_wpos"))
 
 
-@register("trending_topics", TREND_SQL + f""",
+TOPICS_SQL = f""",
 c5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY article_count DESC, first_seen)
                       AS pos FROM cats) WHERE pos <= 5),
 k5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY mention_count DESC, first_seen)
@@ -736,15 +743,32 @@ u AS (
     'High frequency in recent headlines', NULL::BIGINT, mention_count FROM k5)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY pos) AS topic_pos, topic, description, reason,
   coalesce(article_count, mention_count) AS topic_count,
-  CASE WHEN article_count IS NOT NULL THEN 'article_count' ELSE 'mention_count' END AS count_kind FROM u""")
-def q_trending_topics(spark, sf):
-    t = RC.trending_topics(_doc_matches(spark, sf, C.TRENDING_SAMPLE), limit=10)
-    return t.select("query_id", "topic_pos", "topic", "description", "reason",
+  CASE WHEN article_count IS NOT NULL THEN 'article_count' ELSE 'mention_count' END AS count_kind FROM u"""
+
+
+def _topic_cols(t, *first):
+    return t.select(*first, "topic_pos", "topic", "description", "reason",
                     F.coalesce("article_count", "mention_count").alias("topic_count"),
                     F.when(F.col("article_count").isNotNull(), "article_count").otherwise("mention_count")
                     .alias("count_kind"))
 
 
+@register("trending_topics", TREND_SQL + TOPICS_SQL)
+def q_trending_topics(spark, sf):
+    return _topic_cols(RC.trending_topics(_doc_matches(spark, sf, C.TRENDING_SAMPLE), limit=10), "query_id")
+
+
+SEED_THRESHOLD = 0.05          # the given texts are no news: none reaches the usual threshold for the seed
+SEED_QUERY_SQL = f"(SELECT 0::BIGINT AS item_id, {S.q(C.TRENDING_QUERY)} AS text)"
+
+
+@register("trending_seed", _text_sql(C.TRENDING_SAMPLE, queries=SEED_QUERY_SQL, threshold=SEED_THRESHOLD) + TREND_STEPS
+          + TOPICS_SQL.replace("SELECT query_id, row_number()", "SELECT row_number()"))
+def q_trending_seed(spark, sf):
+    docs = TB.doc_index(spark, sf).select("id", F.col("embed_text").alias("text"), "category")
+    return _topic_cols(RC.trending_now(docs, lambda hits: TB.attach_doc_meta(spark, sf, hits), threshold=SEED_THRESHOLD))
+
+
 @register("match_projection", _text_sql(C.MAX_RESULTS) + """
 SELECT h.query_id, h.id, d.title, '' AS link, d.summary, '' AS published, d.source_name, d.category, '' AS tags,
   round(h.score, 6) AS similarity_score, left(d.embed_text, 500) AS content_preview, h.rank
@@ -986,7 +1010,7 @@ def q_write_seen(spark, sf):
     seen = _seen_prev(spark, sf)
     SK.write_seen(seen, path)
     raw = TB.raw_articles(spark, sf)
-    new = IN.new_articles(raw, FS.read_seen(spark, path))
+    new = IN.new_articles(raw, FS.read_seen(spark, path), row_id=("page_id",))
     SK.write_seen(new.select(F.col("dedup_key").alias("article_hash")), path)
     return FS.read_seen(spark, path).distinct()
 
@@ -1125,8 +1149,8 @@ def q_archive_old(spark, sf):
     return RT.archive_split(_runs(spark, sf)).select("page_id", "tier")
 
 
-@register("run_status", RUNS_SQL + """,
-p AS (SELECT run_ts, count(*) AS processed FROM runs GROUP BY run_ts),
+@register("run_status", P_SQL + RUNS_SQL.removeprefix(A_SQL) + """,
+p AS (SELECT run_ts, count(*) AS processed FROM processed JOIN runs USING (page_id) GROUP BY run_ts),
 r AS (SELECT run_ts, count(*) AS raw FROM runs GROUP BY run_ts),
 v AS (SELECT r2.run_ts, count(*) AS vectors FROM runs r2 JOIN embeddings e ON e.vec_id = r2.page_id GROUP BY r2.run_ts)
 SELECT coalesce(r.run_ts, p.run_ts, v.run_ts) AS run_ts, coalesce(raw, 0) AS raw, coalesce(processed, 0) AS processed,
@@ -1136,4 +1160,7 @@ def q_run_status(spark, sf):
     runs = _runs(spark, sf)
     e = TB.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("page_id"))
     vec = runs.join(e, "page_id").select("run_ts")
-    return RT.run_status(runs.select("run_ts"), runs.select("run_ts"), vec)
+    path = scratch_path(spark, "processed-runs")
+    done = IN.process_article(runs, keep=("page_id", "run_ts"))
+    done.write.partitionBy("run_ts").parquet(path)
+    return RT.run_status(runs.select("run_ts"), SK.read_back(spark, path, done).select("run_ts"), vec)

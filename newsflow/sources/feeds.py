@@ -112,10 +112,10 @@ def rss_items_to_entries(items: DataFrame, feed_url: str = "feed_url", category:
 
 
 def fetch_all_feeds(entries: DataFrame, registry: DataFrame, seen: DataFrame | None,
-                    cap: int | None = None, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
+                    cap: int | None = None, run_ts: str = C.DEFAULT_RUN_TS, row_id=None) -> DataFrame:
     """All feeds of all categories in registry order: cap per feed (if given), parse, drop
     entries seen before or earlier in the run (first wins in (category,
-    feed_pos, entry_pos) order).
+    feed_pos, entry_pos) order). ``row_id``: see ``new_articles``.
 
     The registry may itself be derived from data, so how it is joined is left to the planner.
     """
@@ -125,15 +125,15 @@ def fetch_all_feeds(entries: DataFrame, registry: DataFrame, seen: DataFrame | N
     if cap is not None:
         e = IN.cap_per_feed(e, cap)
     raw = IN.parse_entry(e, run_ts=run_ts, keep=("page_id", "entry_pos", "feed_pos"))
-    return IN.new_articles(raw, seen, order=("category", "feed_pos", "entry_pos"))
+    return IN.new_articles(raw, seen, order=("category", "feed_pos", "entry_pos"), row_id=row_id)
 
 
 def fetch_by_category(entries: DataFrame, registry: DataFrame, category: str, seen: DataFrame | None,
-                      cap: int | None = None, run_ts: str = C.DEFAULT_RUN_TS) -> DataFrame:
+                      cap: int | None = None, run_ts: str = C.DEFAULT_RUN_TS, row_id=None) -> DataFrame:
     """Feeds of one category only; an unknown category gives an empty result.
     The category filter is applied to the registry (and, through the join, to
     the entries)."""
-    return fetch_all_feeds(entries, registry.filter(F.col("category") == F.lit(category)), seen, cap, run_ts)
+    return fetch_all_feeds(entries, registry.filter(F.col("category") == F.lit(category)), seen, cap, run_ts, row_id)
 
 
 def _xml_escape(c):

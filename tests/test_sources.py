@@ -121,6 +121,37 @@ def test_broken_items_are_dropped(spark):
     assert sorted(r["title"] for r in IN.drop_unparsed(items).collect()) == ["fine", "good"]
 
 
+def test_feed_health_of_broken_and_silent_feeds(spark):
+    e = TB.page_entries(spark, SF_SMALL).limit(3).withColumn("feed_url", F.lit("http://a.example/f"))
+    broken = e.limit(1).withColumn("_corrupt_record", F.lit("<item>")).withColumn("title", F.lit(None).cast("string"))
+    entries = e.withColumn("_corrupt_record", F.lit(None).cast("string")).unionByName(broken).unionByName(
+        broken.withColumn("feed_url", F.lit("http://b.example/f")))
+    reg = spark.createDataFrame([(f"http://{x}.example/f",) for x in "abc"], "feed_url string")
+    rows = IN.feed_health(entries, registry=reg).select("feed_url", "entries", "missing_title", "malformed", "sample_pos").collect()
+    assert len(rows) == 5 and {tuple(r) for r in rows} == {
+        *[("http://a.example/f", 3, 0, True, i) for i in (1, 2, 3)],
+        ("http://b.example/f", 0, 0, True, None), ("http://c.example/f", 0, 0, False, None)}
+
+
+def test_first_wins_by_row_ids_equals_whole_rows(spark):
+    rows = [(i, f"f{i % 3}", i // 3, f"t{i % 7}", f"u{i % 2}") for i in range(60)]
+    raw = spark.createDataFrame(rows, "page_id bigint, source_feed string, entry_pos int, title string, url string")
+    seen = IN.seen_hashes(raw.limit(2))
+    narrow, whole = IN.new_articles(raw, seen, row_id=("page_id",)), IN.new_articles(raw, seen)
+    assert 0 < whole.count() < 14
+    assert sorted(narrow.select(*whole.columns).collect()) == sorted(whole.collect())
+
+
+def test_trending_over_its_seed(spark):
+    from newsflow.operators import recommend as RC
+    texts = {1: "news today", 2: "current events today", 3: "a recipe for plain bread and butter"}
+    docs = spark.createDataFrame(list(texts.items()), "id bigint, text string")
+    meta = spark.createDataFrame([(i, f"Election {t}", "c") for i, t in texts.items()], "id bigint, title string, category string")
+    full = meta.selectExpr("*", "'' link", "'' summary", "'' published", "'' source_name", "array('t') tags", "'' content_preview")
+    topics = RC.trending_now(docs, lambda hits: hits.join(full, "id")).orderBy("topic_pos").collect()
+    assert [(t.topic, t.article_count, t.mention_count) for t in topics][:2] == [("C", 2, None), ("Election", None, 2)]
+
+
 def test_stream_keeps_null_keys_apart_and_replays_without_copies(spark):
     from newsflow.streaming import ingest as ST
     d = tempfile.mkdtemp()
