@@ -923,8 +923,9 @@ from .. import schemas as SC  # noqa: E402
 RUN_A, RUN_B = "2024-06-01T00:00:00", "2024-06-01T06:00:00"
 
 
-def _land_rss(spark, sf) -> str:
-    """Land the page entries as RSS feed files, one file per feed."""
+def _land_rss(spark, sf, broken=None) -> str:
+    """Land the page entries as RSS feed files, a directory per feed; the items
+    for which ``broken`` holds are not well-formed."""
     e = TB.page_entries(spark, sf)
     items = e.select(
         "feed_url", "title", "link", "description", F.col("published").alias("pubDate"),
@@ -932,7 +933,10 @@ def _land_rss(spark, sf) -> str:
         F.col("author_detail.name").alias("creator"),
         F.col("content")[0]["value"].alias("content"),
         F.col("page_id").alias("guid"))
-    return FDS.land_rss_files(items, scratch_path(spark, "feeds"))
+    item = FDS.rss_item()
+    if broken is not None:
+        item = F.when(broken, F.replace(item, F.lit("</title>"), F.lit("</broken>"))).otherwise(item)
+    return FDS.land_rss_files(items, scratch_path(spark, "feeds"), item=item)
 
 
 @register("rss_scan", E_SQL + """
@@ -950,9 +954,13 @@ def q_rss_scan(spark, sf):
                         F.col("`dc:creator`").alias("creator"), F.col("`content:encoded`").alias("content"))
 
 
-@register("drop_unparsed", None, note="XML scan in PERMISSIVE mode, corrupt items filtered; rows-only")
+BROKEN_ENDING = "n"            # in drop_unparsed, items whose title ends so arrive broken
+
+
+@register("drop_unparsed", E_SQL + f"""
+SELECT title, link FROM entries WHERE right(coalesce(title, ''), 1) <> {S.q(BROKEN_ENDING)}""")
 def q_drop_unparsed(spark, sf):
-    path = _land_rss(spark, sf)
+    path = _land_rss(spark, sf, broken=F.coalesce(F.col("title"), F.lit("")).endswith(BROKEN_ENDING))
     return IN.drop_unparsed(FDS.scan_rss(spark, path)).select("title", "link")
 
 

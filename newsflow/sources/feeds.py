@@ -78,9 +78,12 @@ def scan_rss(spark: SparkSession, paths: list[str] | str, schema: Ty.StructType
     """Landed RSS files -> one row per item, with the file path.
 
     PERMISSIVE mode keeps malformed items as ``_corrupt_record`` (a malformed
-    feed only warns in the reference); ``drop_unparsed`` removes them.
+    feed only warns in the reference); ``drop_unparsed`` removes them. Files are
+    cut at the row tag: a large file is read by several tasks, and a broken item
+    costs only itself (Spark's other XML parser ends the file there).
     """
     r = (spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
+         .option("useLegacyXMLParser", True)
          .option("ignoreSurroundingSpaces", False)
          .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema))
     df = r.load(paths)
@@ -145,28 +148,24 @@ def _el(name: str, c):
     return F.concat(F.lit(f"<{name}>"), _xml_escape(c), F.lit(f"</{name}>"))
 
 
-def land_rss_files(items: DataFrame, path: str, feed_col: str = "feed_url", order_col: str = "guid") -> str:
-    """Write RSS 2.0 documents, one file per feed (directory ``feed_url=...``).
-
-    ``items`` columns: title, link, description, pubDate, category (array),
-    creator, content, guid. Item XML is built and escaped on the executors;
-    one feed document is one group (a fetch of one feed, bounded by the feed's
-    size) and becomes one file.
-    """
-    item = F.concat(
+def rss_item():
+    """An ``<item>`` from the columns title, link, description, pubDate, category
+    (array), creator, content, guid."""
+    return F.concat(
         F.lit("<item>"), _el("guid", F.col("guid").cast("string")), _el("title", F.col("title")),
         _el("link", F.col("link")), _el("description", F.col("description")), _el("pubDate", F.col("pubDate")),
         F.array_join(F.transform(F.coalesce(F.col("category"), F.array().cast("array<string>")),
                                  lambda c: _el("category", c)), ""),
         _el("dc:creator", F.col("creator")), _el("content:encoded", F.col("content")), F.lit("</item>"))
-    head = ('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0" '
-            'xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:content="http://purl.org/rss/1.0/modules/content/">'
-            '<channel><title>feed</title>')
-    docs = (items.groupBy(feed_col)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), item.alias("x")))).alias("xs"))
-            .select(feed_col, F.concat(F.lit(head), F.array_join(F.transform("xs", lambda s: s["x"]), ""),
-                                       F.lit("</channel></rss>")).alias("value")))
-    docs.write.partitionBy(feed_col).text(path)
+
+
+def land_rss_files(items: DataFrame, path: str, feed_col: str = "feed_url", item=None) -> str:
+    """Write feeds as RSS items, a directory per feed (``feed_url=...``).
+
+    An item (``rss_item`` unless given) is a row of a text file: no feed is
+    gathered in one place, and a feed of any size is written by many tasks.
+    """
+    items.select(feed_col, (rss_item() if item is None else item).alias("value")).write.partitionBy(feed_col).text(path)
     return path
 
 

@@ -77,22 +77,24 @@ def article_by_id(vectors: DataFrame, article_id) -> DataFrame:
         "id", "title", "link", "summary", F.col("content_preview").alias("content"), "published", "source_name")
 
 
-def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, prefix: str = "raw_news_") -> str:
-    """Write one JSON-array file per group (the reference's file layout: one
-    array of article objects per file), named ``{prefix}{n}.json``.
-
-    Each group is one run file of one feed, bounded by the per-feed cap; the
-    array is built on an executor (``to_json(collect_list)``) and written by
-    the text writer, one directory per group. Only the renames run on the
-    driver (file-system metadata).
+def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, prefix: str = "raw_news_",
+                     per_file: int = 1000) -> str:
+    """Write JSON-array files (the reference's file layout: one array of article
+    objects per file), named ``{prefix}{n}.json``.
+
+    A file holds the rows of a group within ``per_file`` values of the integer
+    ``order_col`` (at most ``per_file`` rows if its values differ), so a
+    large group becomes many files. The array is built on an executor
+    (``to_json(collect_list)``) and written by the text writer, one directory per
+    file. Only the renames run on the driver (file-system metadata).
     """
     cols = [c for c in df.columns]
-    g = (df.groupBy(group_col)
+    g = (df.groupBy(group_col, F.floor(F.col(order_col) / per_file).alias("_c"))
          .agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("_o"), F.struct(*cols).alias("r"))))
               .alias("xs"))
-         .select(F.col(group_col).alias("_g"), F.to_json(F.transform("xs", lambda x: x["r"])).alias("value")))
+         .select(F.col(group_col).alias("_g"), "_c", F.to_json(F.transform("xs", lambda x: x["r"])).alias("value")))
     tmp = path.rstrip("/") + "/_staging"
-    g.write.partitionBy("_g").text(tmp)
+    g.write.partitionBy("_g", "_c").text(tmp)
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -115,7 +115,7 @@ def test_all_entries_of_a_feed_are_fetched_unless_capped(spark):
 def test_broken_items_are_dropped(spark):
     d = tempfile.mkdtemp()
     with open(os.path.join(d, "f.xml"), "w") as f:
-        f.write("<rss><channel><item><title>good</title></item><item><title>fine</title></item><item><title>bad</wrong></item></channel></rss>")
+        f.write("<rss><channel><item><title>good</title></item><item><title>bad</wrong></item><item><title>fine</title></item></channel></rss>")
     items = FD.scan_rss(spark, d).cache()
     assert items.filter("_corrupt_record IS NOT NULL").count() == 1
     assert sorted(r["title"] for r in IN.drop_unparsed(items).collect()) == ["fine", "good"]
@@ -164,6 +164,16 @@ def test_stream_keeps_null_keys_apart_and_replays_without_copies(spark):
         assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, set(rows)))
 
 
+def test_large_groups_become_several_files(spark):
+    d = tempfile.mkdtemp() + "/raw"
+    rows = [(f"id{i}", "hot" if i % 3 else "cold", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, feed string, pos bigint")
+    FS.land_json_arrays(df, d, "feed", "pos", per_file=10)
+    got = FS.scan_raw(spark, d, schema=df.schema)
+    assert sorted(r[:3] for r in map(tuple, got.collect())) == sorted(rows)
+    assert got.select("source_file").distinct().count() == 12
+
+
 def test_seen_missing_table_is_empty(spark):
     assert FS.read_seen(spark, tempfile.mkdtemp() + "/nope").count() == 0
 
