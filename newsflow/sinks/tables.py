@@ -52,9 +52,12 @@ def write_seen(new_hashes: DataFrame, path: str) -> DataFrame:
 
 
 def upsert_vectors(current: DataFrame | None, batch: DataFrame, path: str, version: int,
-                   namespace: str = C.NAMESPACE) -> tuple[DataFrame, int]:
+                   namespace: str = C.NAMESPACE, order: str | None = None) -> tuple[DataFrame, int]:
     """Latest-wins upsert by ``(namespace, id)``; returns the new table and the
     count of upserted records (repeats included, as the reference counts).
+    Of a batch's records with one id the one with the largest ``order`` value
+    stays; without ``order`` the ids in a batch have to differ, or which record
+    stays is only sure for a batch in file order.
 
     The merge is a grouped ``max_by`` over (version, seq): combined map-side,
     so an id repeated millions of times is reduced before the shuffle. The new
@@ -62,8 +65,8 @@ def upsert_vectors(current: DataFrame | None, batch: DataFrame, path: str, versi
     """
     b = batch.withColumn("namespace", F.coalesce(F.col("namespace"), F.lit(namespace))
                          if "namespace" in batch.columns else F.lit(namespace))
-    b = b.withColumn("version", F.lit(version)).withColumn("seq", F.monotonically_increasing_id())
-    allv = b if current is None else current.withColumn("seq", F.lit(-1).cast("bigint")).unionByName(
+    b = b.withColumn("version", F.lit(version)).withColumn("seq", F.col(order) if order else F.monotonically_increasing_id())
+    allv = b if current is None else current.withColumn("seq", F.lit(None).cast(b.schema["seq"].dataType)).unionByName(
         b, allowMissingColumns=True)
     cols = [c for c in allv.columns if c != "seq"]
     merged = (allv.groupBy("namespace", "id")

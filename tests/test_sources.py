@@ -1,5 +1,6 @@
 """Sources and sinks on small fixture files written to a temp directory."""
 
+import datetime
 import os
 import tempfile
 import time
@@ -174,6 +175,18 @@ def test_large_groups_become_several_files(spark):
     assert got.select("source_file").distinct().count() == 12
 
 
+def test_upsert_takes_the_latest_of_a_batch(spark):
+    from newsflow.sinks import tables as SK
+    d = tempfile.mkdtemp()
+    schema = "id string, embedding array<double>, at timestamp_ntz"
+    times = [datetime.datetime(2024, 1, day) for day in range(1, 10)]
+    first = spark.createDataFrame([("a", [float(i)], t) for i, t in enumerate(times)] + [("b", [0.5], times[0])], schema)
+    one, n1 = SK.upsert_vectors(None, first.repartition(4, "embedding"), d + "/v1", 1, order="at")
+    two, n2 = SK.upsert_vectors(one, spark.createDataFrame([("b", [7.0], times[0])], schema), d + "/v2", 2, order="at")
+    assert (n1, n2) == (10, 1)
+    assert sorted((r.id, r.embedding[0], r.version) for r in two.collect()) == [("a", 8.0, 1), ("b", 7.0, 2)]
+
+
 def test_seen_missing_table_is_empty(spark):
     assert FS.read_seen(spark, tempfile.mkdtemp() + "/nope").count() == 0
 
