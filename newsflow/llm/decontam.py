@@ -9,6 +9,11 @@ them forward from a window's first word and half backward from its last, give th
 keys of each item-sized window, looked up among the keys of the items.
 Candidates are confirmed by their exact edit distance to the item.
 
+A walk over many words seldom survives their edits, so items of more than ``WHOLE``
+words are looked up by parts of at most ``PART`` words: edits over all parts are at most
+the item's share of edits, so some part has at most its own share. A part's candidate
+is confirmed on the whole item.
+
 Windows that cannot be confirmed are not walked: an edit destroys two word pairs
 at most, so a window within distance d of an item has all but 2d of the item's
 word pairs (the q-gram lemma). This loses nothing.
@@ -29,7 +34,8 @@ from .common import bounded_batches
 
 MIN_WORDS = 5                    # shorter items match ordinary prose by chance and are not searched for
 SIMILARITY = 0.8                 # 1 - edit distance / words of the item
-REPEATS, SAMPLED = 40, 3         # walks, and steps of a walk in one key; recall above 0.99 at a fifth of the words edited (see the tests)
+REPEATS, SAMPLED = 40, 3         # walks, and steps of a walk in one key
+WHOLE, PART = 60, 50             # longest item that is looked up as a whole, and words of a part of a longer one
 BLOCK_CHARS = 8_000_000          # characters of items searched for in one pass over the documents
 RATIO = 1.25                     # longest to shortest item of one window size
 _U = np.uint64
@@ -52,20 +58,22 @@ class Items:
         for (item, _), a, b in zip(rows, off[:-1], off[1:], strict=True):
             if b - a >= MIN_WORDS:
                 self.items.append((item, self.ids(hashes[a:b]), int((1 - similarity) * (b - a) + 1e-9)))
+        self.units = [(k, at, part, int((1 - similarity) * len(part) + 1e-9)) for k, (_, w, _) in enumerate(self.items) for at, part in _parts(w)]
         self.masks = [_masks(w.tolist()) for _, w, _ in self.items]
         self.pairs = np.unique(np.concatenate([_pairs(w) for _, w, _ in self.items])) if self.items else np.zeros(0, np.uint64)
-        self.classes = []                      # window words, most edits, [walk key: items], which pairs its items have
-        for size in sorted({len(w) for _, w, _ in self.items}):
+        self.classes = []                      # window words, most edits, [walk key: units], which pairs its units have
+        most = {len(w): d for _, _, w, d in self.units}
+        for size in sorted(most):
             if not self.classes or size > RATIO * self.classes[-1].size:
                 self.classes.append(Class(size, len(self.pairs) + 1))
-            self.classes[-1].edits = max(d for _, w, d in self.items if len(w) == size)      # sizes ascend, and so do the edits
+            self.classes[-1].edits = most[size]      # sizes ascend, and so do the edits
         self.own_pairs = [frozenset(self.pair_ids(w).tolist()) for _, w, _ in self.items]
-        for k, (_, w, _) in enumerate(self.items):
+        for u, (_, _, w, _) in enumerate(self.units):
             own = next(c for c in reversed(self.classes) if c.size <= len(w))
             own.has_pair[self.pair_ids(w)] = True
             for r in range(repeats):
                 start = np.array([len(w) - 1 if r % 2 else 0])
-                own.items[int(self.keys(w, start, 0, len(w), own.size, r)[0])].add(k)
+                own.items[int(self.keys(w, start, 0, len(w), own.size, r)[0])].add(u)
         for c in self.classes:
             c.keys = np.sort(np.fromiter(c.items, np.uint64, len(c.items)))
 
@@ -111,6 +119,13 @@ def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at + 1, 0)
 
 
+def _parts(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The first word and the words of each part by which an item is looked up."""
+    n = 1 if len(ids) <= WHOLE else -(-len(ids) // PART)
+    cuts = [len(ids) * i // n for i in range(n + 1)]
+    return [(a, ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def _pairs(ids: np.ndarray) -> np.ndarray:
     w = ids.astype(np.uint64)
     return W.mix(w[:-1] * W.SEEDS[24] + w[1:])
@@ -170,7 +185,7 @@ def _search(items: Items):
             pairs = items.pair_ids(ids)
             ends = np.repeat(off[1:], np.diff(off))      # of the text of each word
             found: dict[tuple[int, int], tuple[int, int, int]] = {}
-            tried: set[tuple[int, int]] = set()
+            tried: set[tuple[int, int, int]] = set()
             for c in items.classes:
                 windows = _windows(ids, pairs, ends, c)
                 doc = np.searchsorted(off, windows, "right") - 1
@@ -179,8 +194,8 @@ def _search(items: Items):
                     start = np.minimum(windows + c.size, hi) - 1 if r % 2 else windows
                     keys = items.keys(ids, start, lo, hi, c.size, r)
                     for i in np.flatnonzero(_find(c.keys, keys)).tolist():
-                        for k in c.items[int(keys[i])]:
-                            _confirm(items, k, ids, pairs, int(lo[i]), int(hi[i]), int(windows[i]), int(doc[i]), found, tried)
+                        for u in c.items[int(keys[i])]:
+                            _confirm(items, u, ids, pairs, int(lo[i]), int(hi[i]), int(windows[i]), int(doc[i]), found, tried)
             hits = sorted((d, k, *part) for (d, k), part in found.items())
             doc_ids = b.column("doc_id").to_pylist() if hits else []
             yield pa.RecordBatch.from_pylist(
@@ -200,22 +215,34 @@ def _windows(ids, pairs, ends, c: Class) -> np.ndarray:
     return np.flatnonzero(known[end] - known >= max(1, c.size - 1 - 2 * c.edits))
 
 
-def _confirm(items: Items, k: int, ids, pairs, lo: int, hi: int, window: int, doc: int, found: dict, tried: set) -> None:
-    """Keep the best part of the text near ``window`` for item ``k``, if near enough; each place is tried once."""
+def _confirm(items: Items, u: int, ids, pairs, lo: int, hi: int, window: int, doc: int, found: dict, tried: set) -> None:
+    """Keep the best part of the text near ``window`` for the item of unit ``u``, if near enough; each place is tried once."""
+    k, at, part, edits = items.units[u]
     item, words, most = items.items[k]
     best = found.get((doc, k))
-    if (k, window) in tried or best is not None and best[0] == 0:
+    if best is not None and best[0] == 0:
+        return
+    if len(part) == len(words):
+        first, last = window, window
+    else:
+        # where the item would begin, give or take the part's edits, its class and the item's edits: one try for each stretch of such places
+        size = most + len(part)
+        first = (window - at) // size * size
+        last = first + size
+        first -= edits + len(part)
+        last += edits + len(part)
+    if (doc, k, first) in tried:
         return
-    tried.add((k, window))
-    a, z = max(lo, window - most), min(hi, window + len(words) + most)
+    tried.add((doc, k, first))
+    a, z = max(lo, first - most), min(hi, last + len(words) + most)
     own = items.own_pairs[k]
     if sum(p in own for p in pairs[a:z - 1].tolist()) < len(words) - 1 - 2 * most:      # the q-gram lemma again, for this item alone
         return
     match = edit_match(words.tolist(), ids[a:z].tolist(), most, items.masks[k])
     if match is not None:
-        part = (match[0], match[1] + a - lo, match[2] + a - lo)
-        if best is None or part < best:
-            found[doc, k] = part
+        nearest = (match[0], match[1] + a - lo, match[2] + a - lo)
+        if best is None or nearest < best:
+            found[doc, k] = nearest
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, repeats: int = REPEATS, sampled: int = SAMPLED,

@@ -158,6 +158,24 @@ def test_leaks_recall_and_precision(spark):
     assert {(x.doc_id, x.item_id) for x in blocks if x.distance == 0} == {(x.doc_id, x.item_id) for x in exact}
 
 
+@pytest.mark.parametrize("n", [100, 300, 1200])
+def test_leaks_of_long_items(spark, n):
+    r = random.Random(n)
+    vocab = [f"w{i}" for i in range(3000)]
+    items = [prose(2000 * n + i, n, vocab) for i in range(8)]
+    texts, want = [], {}
+    for i, item in enumerate(items):
+        for edits in (0, n // 10, n // 5):
+            want[len(texts), i] = edits
+            texts.append(prose(i, 90, vocab) + " " + " ".join(edited(item.split(), edits, r)) + " " + prose(n + i, 70, vocab))
+        texts.append(prose(n * 7 + i, n, vocab))
+    got = {(x.doc_id, x.item_id): x for x in decontam.leaks(frame(spark, texts), spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")).collect()}
+    assert set(got) == set(want)
+    for k, x in got.items():
+        words = texts[k[0]].split()[x.first_word:x.first_word + x.n_words]
+        assert x.distance <= want[k] and (n > 300 or x.distance == distance(items[k[1]].split(), words))
+
+
 def test_language_of_held_out_texts(spark):
     vocab = {"aa": ["the", "ship", "sails", "north", "wind"], "bb": ["das", "schiff", "segelt", "nordwind", "weht"], "cc": ["le", "navire", "vogue", "vent", "nord"]}
     rows = [(i, prose(i, 30, v), lang, "s", 0) for k, (lang, v) in enumerate(vocab.items()) for i in range(k * 100, k * 100 + 40)]
