@@ -1,6 +1,7 @@
 """Benchmark passages in documents, also with small edits.
 
-Words are the alphabet (lower-cased runs of letters and digits). The random walk
+Words are the alphabet: lower-cased runs of letters, marks and digits, and each
+character of a script that is written without spaces. The random walk
 of Chakraborty, Goldenberg and Koucky copies a word sequence, at every step
 staying on the current word or moving on by a random bit of (step, word), so a
 small edit distance becomes a small Hamming distance. A locality-sensitive key
@@ -12,7 +13,8 @@ Candidates are confirmed by their exact edit distance to the item.
 A walk over many words seldom survives their edits, so items of more than ``WHOLE``
 words are looked up by parts of at most ``PART`` words: edits over all parts are at most
 the item's share of edits, so some part has at most its own share. A part's candidate
-is confirmed on the whole item.
+is confirmed on the whole item. Items of fewer than ``MIN_WORDS`` words have no
+room for an edit; their word sequences are looked up as they are.
 
 Windows that cannot be confirmed are not walked: an edit destroys two word pairs
 at most, so a window within distance d of an item has all but 2d of the item's
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import bounded_batches
 
-MIN_WORDS = 5                    # shorter items match ordinary prose by chance and are not searched for
+MIN_WORDS = 5                    # shorter items are searched for exactly
 SIMILARITY = 0.8                 # 1 - edit distance / words of the item
 REPEATS, SAMPLED = 40, 3         # walks, and steps of a walk in one key
 WHOLE, PART = 60, 50             # longest item that is looked up as a whole, and words of a part of a longer one
@@ -43,8 +45,22 @@ _U = np.uint64
 SCHEMA = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint, distance bigint, similarity double"
 
 
+# What parts words beside ASCII, and the scripts without spaces between words.
+PARTING = r"[^\x00-\x7f\p{L}\p{M}\p{N}]"
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Yi}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tai_Le}\p{New_Tai_Lue}\p{Tai_Tham}\p{Tai_Viet}])"
+_LEADS = np.zeros(256, bool)     # first bytes of the characters of UNSPACED
+_LEADS[[0xE0, 0xE1, 0xE2, *range(0xE3, 0xEB), 0xEF, 0xF0]] = True
+
+
 def _lower(texts: pa.Array) -> pa.Array:
-    return pc.utf8_lower(texts)
+    """The texts lower-cased, with spaces for all but letters, marks and digits outside ASCII and around characters of unspaced scripts."""
+    low = pc.utf8_lower(texts)
+    raw, _ = W.text_bytes(low)
+    if len(raw) and raw.max() >= 0x80:
+        low = pc.replace_substring_regex(low, PARTING, " ")
+        if _LEADS[W.text_bytes(low)[0]].any():
+            low = pc.replace_substring_regex(low, UNSPACED, r" \1 ")
+    return low
 
 
 class Items:
@@ -55,9 +71,13 @@ class Items:
         self.words = np.unique(hashes)
         self.repeats, self.sampled = repeats, sampled
         self.items = []                        # (item, word ids, most edits)
+        self.short: dict[int, dict[tuple, list]] = defaultdict(lambda: defaultdict(list))      # words: [word ids: items]
         for (item, _), a, b in zip(rows, off[:-1], off[1:], strict=True):
             if b - a >= MIN_WORDS:
                 self.items.append((item, self.ids(hashes[a:b]), int((1 - similarity) * (b - a) + 1e-9)))
+            elif b > a:
+                self.short[int(b - a)][tuple(self.ids(hashes[a:b]).tolist())].append(item)
+        self.short_keys = {n: np.unique(_runs(np.array([*table], np.int64).ravel(), n)[::n]) for n, table in self.short.items()}
         self.units = [(k, at, part, int((1 - similarity) * len(part) + 1e-9)) for k, (_, w, _) in enumerate(self.items) for at, part in _parts(w)]
         self.masks = [_masks(w.tolist()) for _, w, _ in self.items]
         self.pairs = np.unique(np.concatenate([_pairs(w) for _, w, _ in self.items])) if self.items else np.zeros(0, np.uint64)
@@ -119,6 +139,16 @@ def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at + 1, 0)
 
 
+def _runs(ids: np.ndarray, n: int) -> np.ndarray:
+    """A key for each run of ``n`` words."""
+    w = ids.astype(np.uint64)
+    count = max(0, len(w) - n + 1)
+    key = np.full(count, n, np.uint64) * W.SEEDS[25]
+    for i in range(n):
+        key = W.mix(key * W.SEEDS[26] + w[i:i + count])
+    return key
+
+
 def _parts(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """The first word and the words of each part by which an item is looked up."""
     n = 1 if len(ids) <= WHOLE else -(-len(ids) // PART)
@@ -197,15 +227,32 @@ def _search(items: Items):
                         for u in c.items[int(keys[i])]:
                             _confirm(items, u, ids, pairs, int(lo[i]), int(hi[i]), int(windows[i]), int(doc[i]), found, tried)
             hits = sorted((d, k, *part) for (d, k), part in found.items())
+            hits = [(d, items.items[k][0], len(items.items[k][1]), *part) for d, k, *part in hits] + _exact(items, ids, ends, off)
             doc_ids = b.column("doc_id").to_pylist() if hits else []
             yield pa.RecordBatch.from_pylist(
-                [{"doc_id": doc_ids[d], "item_id": items.items[k][0], "first_word": first, "n_words": end - first, "distance": dist,
-                  "similarity": 1 - dist / len(items.items[k][1])} for d, k, dist, first, end in hits],
+                [{"doc_id": doc_ids[d], "item_id": item, "first_word": first, "n_words": end - first, "distance": dist,
+                  "similarity": 1 - dist / n} for d, item, n, dist, first, end in hits],
                 schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()),
                                   ("distance", pa.int64()), ("similarity", pa.float64())]))
     return run
 
 
+def _exact(items: Items, ids: np.ndarray, ends: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
+    """``(doc, item, words, 0, first, end)``: the first place of every short item in each text that has it."""
+    out = []
+    for n, table in items.short.items():
+        keys = _runs(ids, n)
+        at = np.flatnonzero(_find(items.short_keys[n], keys))
+        at = at[at + n <= ends[at]]
+        doc = np.searchsorted(off, at, "right") - 1
+        _, one = np.unique(np.stack([doc, keys[at].view(np.int64)]), axis=1, return_index=True)      # the first of equal ones
+        for i in one.tolist():
+            a, d = int(at[i]), int(doc[i])
+            first = a - int(off[d])
+            out += [(d, item, n, 0, first, first + n) for item in table.get(tuple(ids[a:a + n].tolist()), ())]
+    return out
+
+
 def _windows(ids, pairs, ends, c: Class) -> np.ndarray:
     """Window starts that have enough of the class's word pairs (see the q-gram lemma above)."""
     if len(ids) < 2:
@@ -252,8 +299,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     ``docs(doc_id, text, ...)`` are read once for each block of items; a block holds
     about ``block_chars`` characters of items and travels with the tasks. ``first_word``
     counts from 0. Ties go to the earliest part. Null or empty texts contain nothing;
-    items of fewer than ``MIN_WORDS`` words are not searched for; repeated rows repeat
-    their results. Empty tables: no rows.
+    items of fewer than ``MIN_WORDS`` words are found where all their words stand in
+    order, and items without a word nowhere; repeated rows repeat their results. Empty
+    tables: no rows.
     """
     bounded_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")

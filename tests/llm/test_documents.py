@@ -176,6 +176,14 @@ def test_leaks_of_long_items(spark, n):
         assert x.distance <= want[k] and (n > 300 or x.distance == distance(items[k[1]].split(), words))
 
 
+def test_leaks_of_short_items_and_unspaced_scripts(spark):
+    items = ["Blue whale.", "yes", "一只敏捷的棕色狐狸跳过了那只懒惰的狗。", "สวัสดีครับผมชื่อสมชาย", "東京は日本の首都です", "forty two", "", "?!", "the Łódź “free” état", "blue whale"]
+    texts = ["a BLUE\nwhale swims; blue whale", "whale blue, yesterday", "他说：“一只敏捷的红色狐狸跳过了那只懒惰的狗”，然后走了。", "x สวัสดีครับผมชื่อสมชาย y", "いま東京は、日本の首都です！", None,
+             "no. Yes", "forty", "two", "see THE łódź—free état", "一只狗"]
+    got = decontam.leaks(frame(spark, texts), spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")).collect()
+    assert sorted(tuple(x)[:5] for x in got) == [(0, 0, 1, 2, 0), (0, 9, 1, 2, 0), (2, 2, 2, 18, 1), (3, 3, 1, 21, 0), (4, 4, 2, 10, 0), (6, 1, 1, 1, 0), (9, 8, 1, 4, 0)]
+
+
 def test_language_of_held_out_texts(spark):
     vocab = {"aa": ["the", "ship", "sails", "north", "wind"], "bb": ["das", "schiff", "segelt", "nordwind", "weht"], "cc": ["le", "navire", "vogue", "vent", "nord"]}
     rows = [(i, prose(i, 30, v), lang, "s", 0) for k, (lang, v) in enumerate(vocab.items()) for i in range(k * 100, k * 100 + 40)]
