@@ -17,9 +17,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The form of a candidate.
-ASSIGNED = r"""(?<=[A-Za-z0-9_]["']?\s?(?:=|:|=>|:=)\s?["']?)[^\s"'<>,;(){}\[\]]{8,512}"""
-TOKEN = r"(?<![A-Za-z0-9+/_=.~-])(?=[A-Za-z+/_=.~-]{0,64}[0-9])(?=[0-9+/_=.~-]{0,64}[A-Za-z])[A-Za-z0-9+/_=.~-]{16,512}"
+# The form of a candidate, which goes on to the end of its run. (The first look-behind of ASSIGNED only tells soon where none begins.)
+ASSIGNED = r"""(?<=[=:>\s"'])(?<=[A-Za-z0-9_]["']?\s?(?:=|:|=>|:=)\s?["']?)[^\s"'<>,;(){}\[\]]{8,}+"""
+TOKEN = r"(?<![A-Za-z0-9+/_=.~-])(?=[A-Za-z+/_=.~-]*+[0-9])(?=[0-9+/_=.~-]*+[A-Za-z])[A-Za-z0-9+/_=.~-]{16,}+"
 CANDIDATE = f"{ASSIGNED}|{TOKEN}"
 
 CONTEXT = 48                     # characters looked at on each side
@@ -54,16 +54,20 @@ def _entropy(value: Column) -> Column:
     return F.aggregate(counts, F.lit(0.0), lambda a, k: a - F.when(k > 0, k / n * F.log2(k / n)).otherwise(0.0))
 
 
-def _pair_index(word: Column, i: Column) -> Column:
+def _pair_index(one: Column, two: Column) -> Column:
     # instr is 0 for characters without a code: they share one
-    one = F.instr(F.lit(CODES), F.substring(word, i, F.lit(1)))
-    two = F.instr(F.lit(CODES), F.substring(word, i + 1, F.lit(1)))
-    return one * (len(CODES) + 1) + two + 1
+    return F.instr(F.lit(CODES), one) * (len(CODES) + 1) + F.instr(F.lit(CODES), two) + 1
+
+
+def _pair_indexes(value: Column) -> Column:
+    """The index of each pair of neighbours in ``value``, in time linear in its length."""
+    chars = F.split(value, "")
+    return F.zip_with(F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0))), F.slice(chars, 2, F.size(chars)), _pair_index)
 
 
 def _pair_score(value: Column, pairs: list[float]) -> Column:
-    table, low = F.array(*[F.lit(float(p)) for p in pairs]), F.lower(value)
-    got = F.transform(F.sequence(F.lit(1), F.length(value) - 1), lambda i: F.element_at(table, _pair_index(low, i)))
+    table = F.array(*[F.lit(float(p)) for p in pairs])
+    got = F.transform(_pair_indexes(F.lower(value)), lambda p: F.element_at(table, p))
     return F.when(F.length(value) > 1, F.aggregate(got, F.lit(0.0), lambda a, x: a + x) / (F.length(value) - 1)).otherwise(0.0)
 
 
@@ -162,8 +166,7 @@ def train(labelled: DataFrame, docs: DataFrame, fit_docs: int = FIT_DOCS) -> Mod
     from .common import stored
     words = _sample(docs, fit_docs).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\b([a-z]{3,12})\b"), 1)).alias("word")).groupBy("word").count()
     words = stored(words.where("count >= 2").orderBy(F.desc("count"), "word").limit(DICTIONARY), "secret-dictionary")
-    i = F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("i")
-    counts = dict(words.select("word", "count", i).groupBy(_pair_index(F.col("word"), F.col("i")).alias("p")).agg(F.sum("count")).collect())
+    counts = dict(words.select("count", F.explode(_pair_indexes(F.col("word"))).alias("p")).groupBy("p").agg(F.sum("count")).collect())
     import math
     size, total = (len(CODES) + 1) ** 2, sum(counts.values())
     pairs = [math.log((counts.get(k + 1, 0) + 0.5) / (total + 0.5 * size)) for k in range(size)]

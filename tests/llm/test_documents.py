@@ -331,3 +331,19 @@ def test_secrets_are_told_from_lookalikes(spark):
     assert secretscan.train(secretscan.labelled_findings(docs, 200).where("false"), docs, 200) is None
     assert secretscan.scan(asked.where("false"), model).count() == 0
     assert secretscan.scan(asked, None).where("is_secret").count() == len(got)
+
+
+def test_long_secrets_are_masked_to_their_end(spark):
+    key = "".join(hashlib.sha256(bytes([i])).hexdigest() for i in range(32))[:2000]
+    late = "abcdefghijklmnopqrstuvwxyz" * 4 + "7" * 3
+    huge = key * 150
+    texts = [f'token = "{key}" end', f"see {key}. end", f"see {late} end", f"see {late[::-1]} end", f"key: {key}%end", f"see {huge} end"]
+    docs = frame(spark, texts)
+    values = {r.doc_id: r.value for r in secretscan.candidates(docs).collect()}
+    assert values == {0: key, 1: key + ".", 2: late, 3: late[::-1], 4: key + "%end", 5: huge}
+    clean = {r.doc_id: r.text for r in secretscan.redact(docs, secretscan.scan(docs, None)).collect()}
+    assert clean == {0: 'token = "[SECRET]" end', 1: "see [SECRET] end", 2: "see [SECRET] end", 3: "see [SECRET] end", 4: "key: [SECRET]", 5: "see [SECRET] end"}
+    prose_docs = frame(spark, [prose(i, 100) for i in range(100)])
+    model = secretscan.train(secretscan.labelled_findings(prose_docs, 100), prose_docs, 100)
+    judged = {r.doc_id: r for r in secretscan.scan(docs, model).collect()}
+    assert judged[0].is_secret and {i: r.n_chars for i, r in judged.items()} == {i: len(v) for i, v in values.items()}
