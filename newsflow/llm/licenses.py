@@ -65,6 +65,9 @@ LICENSES = [
 KEYWORDS = ["licen", "copyright", "rights reserved", "public domain", "redistribut", "permission", "warrant", "under the terms", "creative commons", "cc0",
             "to endorse", " under "]
 
+# single words, one of which is in every text with one of KEYWORDS, whatever white space or punctuation parts them there
+WORDS = ["licen", "copyright", "reserved", "domain", "redistribut", "permission", "warrant", "terms", "commons", "cc0", "endorse", "under"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -93,7 +96,7 @@ def scan(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     low = F.translate(text, UPPER, LOWER)
     maybe = F.lit(False)
-    for k in KEYWORDS:
+    for k in WORDS:
         maybe = maybe | F.col("_low").contains(k)
     rows = docs.select("doc_id", text.alias("text"), low.alias("_low")).where(maybe).select("doc_id", sentences(F.col("text")).alias("_all"))
     # the identifier rules are only tried on sentences that have a keyword

@@ -313,6 +313,16 @@ def test_licenses_in_order(spark):
     assert licenses.scan(frame(spark, texts).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("gap", ["\n", "  ", "\t", " \r\n * "])
+def test_licenses_across_line_breaks(spark, gap):
+    want = {"All rights reserved.": "Reserved", "Released into the public domain.": "PublicDomain", "Distributed under CC BY 4.0.": "CC-BY-4.0",
+            "Under the terms of it": "Unknown", "Given to the creative commons zero": "CC0",
+            "Neither the name of X may be used to endorse or promote products": "BSDname"}
+    texts = [t.replace(" ", gap) for t in want]
+    got = {r.doc_id: r.sentence_ids for r in licenses.scan(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(want.values()))
+
+
 def test_secrets_are_told_from_lookalikes(spark):
     key = hashlib.sha1(b"k").hexdigest()
     real = [f'the token = "{key}" was here', f"export API_KEY={hashlib.sha256(b'q').hexdigest()[:32]} now"]
