@@ -4,7 +4,8 @@ Candidates are long tokens that mix letters and digits, and values assigned to a
 A forest trained from labelled findings judges each by its length, entropy and character
 transitions, the share of it that dictionary words cover, how usual its letter pairs are
 in prose, the path (or source) of the document, and the words beside it. The dictionary
-and the letter pairs are learned, with the forest, from a bounded sample of documents.
+and the letter pairs are counted over all documents; the findings that the forest is
+trained from are made of a bounded sample.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ SECRET_NAMES = r"(token|secret|passw(or)?d|passwd|pwd|api[ _-]?key|apikey|access
 OTHER_NAMES = r"(commit|sha-?1|sha-?256|md5|checksum|hash|digest|uuid|guid|version|revision|etag|build|example|sample|dummy|placeholder|test|id)"
 EXAMPLE_PATH = r"(test|example|sample|mock|fixture|demo|docs?/)"
 
-FIT_DOCS = 600                   # about so many documents make labelled findings (eight each), dictionary and letter pairs
-DICTIONARY = 20_000              # most frequent words kept
+FIT_DOCS = 600                   # about so many documents make labelled findings (eight each)
+WORD_COUNT = 2                   # times that a word stands in the documents to be in the dictionary
+BROADCAST_CHARS = 4_000_000      # characters of a dictionary that may be broadcast; a larger one is joined by a shuffle
 TREES, DEPTH, SEED = 24, 6, 11
 THRESHOLD = 0.5
 
@@ -40,7 +42,7 @@ CODES = "abcdefghijklmnopqrstuvwxyz0123456789"
 @dataclass
 class Model:
     forest: RandomForestClassificationModel
-    dictionary: DataFrame        # word; DICTIONARY rows at most
+    dictionary: DataFrame        # word
     pairs: list[float]           # log frequency of each pair of CODES (others: the last code) in prose
 
 
@@ -80,8 +82,9 @@ def described(findings: DataFrame, dictionary: DataFrame, pairs: list[float]) ->
     findings = findings.where("length(value) > 0")
     v = F.col("value")
     values = findings.select("value").distinct()
-    runs = F.array_distinct(F.regexp_extract_all(F.lower(v), F.lit("([a-z]{3,})"), 1))
-    known = (values.select("value", F.explode(runs).alias("word")).join(F.broadcast(dictionary.limit(DICTIONARY)), "word")      # bounded
+    runs = F.array_distinct(F.regexp_extract_all(F.lower(v), F.lit(r"([\p{L}\p{M}]{3,}+)"), 1))
+    few = (dictionary.agg(F.sum(F.length("word"))).first()[0] or 0) <= BROADCAST_CHARS
+    known = (values.select("value", F.explode(runs).alias("word")).join(F.broadcast(dictionary) if few else dictionary, "word")
              .groupBy("value").agg(F.collect_set("word").alias("words")))
     # characters of the value that lie in dictionary words
     gone = F.aggregate(F.sort_array("words", asc=False), F.lower(v), lambda a, w: F.replace(a, w, F.lit("")))
@@ -159,23 +162,29 @@ def _sample(docs: DataFrame, n: int) -> DataFrame:
             .select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
 
 
+def _words(docs: DataFrame) -> DataFrame:
+    """``(word, count)``: the lower-cased words of three or more letters in all documents."""
+    parts = F.split(F.lower(F.col("text").cast("string")), r"[^\p{L}\p{M}\p{N}_]+")
+    return docs.select(F.explode(parts).alias("word")).groupBy("word").count().where(F.col("word").rlike(r"^[\p{L}\p{M}]{3,}+$"))
+
+
 def train(labelled: DataFrame, docs: DataFrame, fit_docs: int = FIT_DOCS) -> Model | None:
-    """A model from ``labelled(value, before, after, path, label)``; dictionary and letter pairs come from about ``fit_docs``
-    of ``docs``. The labelled rows are bounded by their maker; they are put in order in one task, so that the same rows
-    make the same forest. None without both labels."""
+    """A model from ``labelled(value, before, after, path, label)``; dictionary and letter pairs come from all of ``docs``
+    (``fit_docs`` bounds neither). The labelled rows are bounded by their maker; they are put in order in one task, so that
+    the same rows make the same forest. None without both labels."""
     from .common import stored
-    words = _sample(docs, fit_docs).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\b([a-z]{3,12})\b"), 1)).alias("word")).groupBy("word").count()
-    words = stored(words.where("count >= 2").orderBy(F.desc("count"), "word").limit(DICTIONARY), "secret-dictionary")
+    words = stored(_words(docs), "secret-words")
+    dictionary = words.where(F.col("count") >= WORD_COUNT).select("word")
     counts = dict(words.select("count", F.explode(_pair_indexes(F.col("word"))).alias("p")).groupBy("p").agg(F.sum("count")).collect())
     import math
     size, total = (len(CODES) + 1) ** 2, sum(counts.values())
     pairs = [math.log((counts.get(k + 1, 0) + 0.5) / (total + 0.5 * size)) for k in range(size)]
-    rows = described(labelled, words.select("word"), pairs).select(*FEATURES, F.col("label").cast("double").alias("label"))
+    rows = described(labelled, dictionary, pairs).select(*FEATURES, F.col("label").cast("double").alias("label"))
     rows = stored(rows.repartition(1).sortWithinPartitions(*FEATURES, "label"), "secret-findings")
     if rows.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
-    return Model(forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)), words.select("word"), pairs)
+    return Model(forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)), dictionary, pairs)
 
 
 def scan(docs: DataFrame, model: Model | None, path: str = "source", threshold: float = THRESHOLD) -> DataFrame:

@@ -357,3 +357,21 @@ def test_long_secrets_are_masked_to_their_end(spark):
     model = secretscan.train(secretscan.labelled_findings(prose_docs, 100), prose_docs, 100)
     judged = {r.doc_id: r for r in secretscan.scan(docs, model).collect()}
     assert judged[0].is_secret and {i: r.n_chars for i, r in judged.items()} == {i: len(v) for i, v in values.items()}
+
+
+def test_dictionary_of_all_documents(spark, monkeypatch):
+    rare = ["déjàvécu", "incomprehensibilities", "zyxwvu"]
+    texts = [prose(i, 30) for i in range(300)] + [f"The {w} and the {w.upper()}, x{w}9 once{i}x" for i, w in enumerate(rare)]
+    docs = frame(spark, texts)
+    model = secretscan.train(secretscan.labelled_findings(docs, 20), docs, 20)
+    words = {r.word for r in model.dictionary.collect()}
+    assert words == {w for t in texts[:300] for w in t.split()} | {"the", "and", *rare}
+    counted = sum(len(w) - 1 for t in texts for w in re.split(r"[^\w]+", t) if len(w) > 2 and w.isalpha())
+    size = (len(secretscan.CODES) + 1) ** 2
+    import math
+    assert sum(math.exp(p) for p in model.pairs) == pytest.approx(1) and min(model.pairs) == pytest.approx(math.log(0.5 / (counted + 0.5 * size)))
+    asked = spark.createDataFrame([(w + "/" + w, "", "", "") for w in rare], "value string, before string, after string, path string")
+    for most in (secretscan.BROADCAST_CHARS, 0):      # broadcast, shuffled
+        monkeypatch.setattr(secretscan, "BROADCAST_CHARS", most)
+        got = {r.value: r.covered for r in secretscan.described(asked, model.dictionary, model.pairs).collect()}
+        assert got == {w + "/" + w: pytest.approx(1 - 1 / (2 * len(w) + 1)) for w in rare}
