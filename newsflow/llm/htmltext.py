@@ -4,7 +4,8 @@ Markup is stripped to lines: one for each block of the page, with the text that
 lies inside menus, headers, footers, sidebars, notices, adverts, forms, comments,
 scripts and styles left out. Over the lines, lengths are summed in sliding windows;
 the text begins where the sums surge and ends where they dive, and the lines between
-are kept. Where the page marks its article, the distribution is taken inside it.
+are kept. Where the page marks its article and most of the longest such text lies in
+it, the distribution is taken inside it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ SURGE = 60                       # characters in a block at which text may begin
 LINKED = 0.5                     # share of a line's characters inside links from which it is a menu
 
 # Elements of HTML.
-RAW = {"script", "style", "noscript", "template", "iframe", "object", "svg", "math", "textarea", "title", "select", "canvas", "audio", "video"}
+RAW = {"script", "style", "iframe", "textarea", "title"}
+EMBEDDED = {"noscript", "template", "object", "svg", "math", "select", "canvas", "audio", "video"}
 CUT = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "head", "noindex"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark",
@@ -50,10 +52,10 @@ class Line:
         self.text, self.linked, self.article = text, linked, article
 
 
-def _unwanted(name: str, attributes: str) -> bool:
-    if name in CUT:
+def _unwanted(name: str, attributes: str, cards: bool) -> bool:
+    if name in CUT or name in EMBEDDED:
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not attributes or name in ("html", "body", "main") or name == "article" and not cards:
         return False
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
@@ -65,8 +67,8 @@ def _unwanted(name: str, attributes: str) -> bool:
     return False
 
 
-def lines(page: str) -> list[Line]:
-    """The blocks of a page, without the text of unwanted elements."""
+def lines(page: str, cards: bool = True) -> list[Line]:
+    """The blocks of a page, without the text of unwanted elements (with ``cards``, an article may be one)."""
     out: list[Line] = []
     text: list[str] = []
     linked = 0
@@ -88,7 +90,7 @@ def lines(page: str) -> list[Line]:
         while len(stack) > down_to:
             name, bad = stack.pop()
             cut -= bad
-            if bad and not cut:
+            if bad and not cut and name not in EMBEDDED:
                 out.append(Line("", 0, False))      # an empty line where something was cut out
             links -= name == "a"
             if name in ("article", "main"):
@@ -120,7 +122,7 @@ def lines(page: str) -> list[Line]:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else n
             continue
-        if name in VOID:
+        if name in VOID or name in EMBEDDED and m[3].rstrip().endswith("/"):
             continue
         closes = CLOSES.get(name) or ({"p"} if name in BOUNDS else set())
         for k in range(len(stack) - 1, -1, -1):
@@ -131,7 +133,7 @@ def lines(page: str) -> list[Line]:
                 break
             if stack[k][0] in BOUNDS:
                 break
-        bad = _unwanted(name, m[3])
+        bad = _unwanted(name, m[3], cards)
         if bad and not cut:
             end_block()
         stack.append((name, bad))
@@ -146,12 +148,15 @@ def lines(page: str) -> list[Line]:
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text of one page; ``''`` for null, empty or text-free pages.
 
-    Menu lines count as empty, and so does all outside the article where the page marks one;
-    a marked article may be short, so there any text is a surge.
+    Outside articles menu lines count as empty, and so does all outside the article where the
+    page marks the one with its main text; a marked article may be short, so there any text is a surge.
     """
     found = lines(page) if page else []
-    marked = any(x.article for x in found)
-    size = [0 if _menu(x) or marked and not x.article else len(x.text) for x in found]
+    if page and not any(x.text for x in found):
+        found = lines(page, cards=False)      # all of its text is in an article that looks like a card
+    size = [0 if _menu(x) and not x.article else len(x.text) for x in found]
+    marked = _marked(found, size, window, surge)
+    size = [0 if marked and not x.article else s for x, s in zip(found, size, strict=True)]
     blocks = [sum(size[i:i + window]) for i in range(len(size))]
     keep = _between(size, blocks, 1 if marked else surge)
     if not any(keep):                         # no surge on the page: it is one short text
@@ -159,6 +164,23 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     return " ".join(x.text for x, k in zip(found, keep, strict=True) if k)
 
 
+def _marked(found: list[Line], size: list[int], window: int, surge: int) -> bool:
+    """Whether the page has a marked article, and most of its longest text from surge to dive is in one."""
+    if not any(x.article for x in found):
+        return False
+    best = inner = total = marked = 0
+    kept = _between(size, [sum(size[i:i + window]) for i in range(len(size))], surge)
+    for i, (x, k) in enumerate(zip(found, kept, strict=True)):
+        if k:
+            total += size[i]
+            marked += size[i] if x.article else 0
+        if total > best:
+            best, inner = total, marked
+        if not any(size[i + 1:i + 1 + window]):      # the dive
+            total = marked = 0
+    return 2 * inner >= best
+
+
 def _between(size: list[int], blocks: list[int], surge: int) -> list[bool]:
     """The lines with text from a surge (a block of ``surge`` characters) to the next dive (an empty block)."""
     keep, inside = [], False

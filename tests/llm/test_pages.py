@@ -91,3 +91,19 @@ def test_archives_of_odd_tables(spark, tmp_path):
     got = sorted(((x.page_id, x.record_type, x.refers_to) for x in warc.archive(spark, pages, str(tmp_path / "a")).collect()), key=repr)
     assert got == sorted([(None, "response", None), (None, "revisit", 4), (4, "response", None), (4, "response", None), (2**62, "revisit", -5), (-5, "response", None)], key=repr)
     assert warc.archive(spark, pages.where("false"), str(tmp_path / "b")).count() == 0
+
+
+def test_text_of_linked_and_unclosed_parts_stays():
+    from newsflow.llm.htmltext import main_text
+    body = "The council met on Monday and agreed to the plan for the bridge, which is to be built next year. " * 3
+    text = body.strip()
+    assert main_text(f"<article><h1><a href=x>Title</a></h1><p>{body}</p><p>Read <a>the full announcement</a>.</p><ul><li><a>Ref one</a><li><a>Ref two</a></ul></article>") \
+        == f"Title {text} Read the full announcement . Ref one Ref two".replace("announcement .", "announcement.")
+    cards = "<article class=teaser><p>See this too</p></article>" * 3
+    assert text in main_text(f"<div><p>{body}</p></div>{cards}")
+    assert main_text(f"<div><p>{body}</p></div><article class=comment><p>{body.upper() * 3}</p></article>") == text
+    assert main_text(f"<article class='post related'><p>{body}</p></article>") == text
+    for name in ("select", "object", "svg", "canvas", "audio", "video"):
+        assert main_text(f"<body><div><{name}>lost</div><p>{body}</p></body>") == text
+        assert main_text(f"<body><div><{name}>lost</div><p>{body}</p><{name}>x</{name}></body>") == text
+    assert main_text(f"<p>{body}</p><nav>menu</nav><article><p>{body.upper()}</p></article>") == text.upper()
