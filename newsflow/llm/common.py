@@ -20,6 +20,17 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+BATCH_BYTES = 4 << 20            # bytes of an Arrow batch on its way to Python
+
+
+def byte_batches(spark: SparkSession) -> None:
+    """Arrow batches bounded by bytes too (a few long texts fill one), unless the session has its own settings."""
+    bounded_batches(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "64MB", "67108864"):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

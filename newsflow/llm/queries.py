@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, htmltext, langid, licenses, minhash, packing, secretscan, spotsigs, urlfilter, warc
+from . import bpe, decontam, fim, htmltext, langid, licenses, minhash, packing, secretscan, spotsigs, urlfilter, warc, whiten
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +63,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_chars", F.sha2("value", 256).alias("value_sha256"), F.round("score", 6).alias("score"), "is_secret")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), str(public_tokenizers.path(BYTE_TOKENIZER)))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whiten.apply(rows, whiten.fit(rows))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_url_filter, op3_language_id, op4_fingerprints, op5_license_scan, op6_near_dedup, op7_html_text,
-                                   op8_warc, op9_packing, op10_secret_scan)}
+                                   op8_warc, op9_packing, op10_secret_scan, op11_byte_bpe, op12_fill_in_middle, op13_whitening)}
 
 _LOW = f"'{urlfilter.UPPER}', '{urlfilter.LOWER}'"
 
@@ -83,4 +97,13 @@ reach(id, c) AS (SELECT doc_id, doc_id FROM sets UNION SELECT links.b, reach.c F
 named AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id, doc_id = c AS kept FROM sets JOIN named ON id = doc_id"""
 
-ORACLES = {"op2_url_filter": URL_SQL, "op5_license_scan": licenses.oracle(), "op6_near_dedup": NEAR_SQL}
+FIM_SQL = """WITH cut AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS y,
+  ('0x' || substr(h, 17, 8))::BIGINT % 100 AS p, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS q FROM cut),
+formed AS (SELECT doc_id, t, n::BIGINT AS n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR p >= 90 THEN 'plain' WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form,
+  array_to_string(u[1:least(x, y)], '') AS a, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(u[greatest(x, y) + 1:], '') AS z FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM formed"""
+
+ORACLES = {"op2_url_filter": URL_SQL, "op5_license_scan": licenses.oracle(), "op6_near_dedup": NEAR_SQL, "op12_fill_in_middle": FIM_SQL}
