@@ -18,16 +18,14 @@ QUERIES = entry.queries()
 
 
 def _norm(v):
-    if v is None:
-        return "NULL"
     if isinstance(v, float):
         return "NULL" if math.isnan(v) else repr(round(v, 6))
-    return str(v)
+    return "NULL" if v is None else str(v)
 
 
-def _rows(pdf):
-    cols = sorted(pdf.columns)
-    return cols, sorted(tuple(_norm(x) for x in r) for r in pdf[cols].itertuples(index=False, name=None))
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
 def test_every_key_has_a_query():
@@ -46,7 +44,7 @@ def test_oracle(spark, duck, key):
     rel = duck.sql(SQLS[key])
     spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
-    assert _rows(df.toPandas()) == _rows(rel.df())
+    assert _rows(df.columns, df.collect()) == _rows(rel.columns, rel.fetchall())
 
 
 def test_entry_smoke(spark):
