@@ -40,11 +40,11 @@ def recommend_projection(matches: DataFrame) -> DataFrame:
     )
 
 
-def recommend_endpoint(vectors: DataFrame, article_id, max_results: int = C.MAX_RESULTS, attach=None
-                       ) -> DataFrame:
+def recommend_endpoint(vectors: DataFrame, article_id, max_results: int = C.MAX_RESULTS, attach=None,
+                       source: DataFrame | None = None) -> DataFrame:
     """``/recommend-news``: similar articles of one id projected for the API,
     with ``total_results``. Unknown id -> empty (the caller maps it to 404)."""
-    sim = similar_articles(vectors, article_id, max_results, attach=attach)
+    sim = similar_articles(vectors, article_id, max_results, attach=attach, source=source)
     out = recommend_projection(match_projection(sim))
     return out.withColumn("total_results", F.count(F.lit(1)).over(Window.partitionBy(F.lit(article_id))))
 
@@ -70,7 +70,7 @@ def api_projection(articles: DataFrame) -> DataFrame:
         F.coalesce(F.col("_s"), F.lit("")).alias("source"),
         cats.alias("categories"),
         F.coalesce(_opt(articles, "tags", "array<string>"), _empty()).alias("tags"),
-        F.coalesce(_opt(articles, "summary"), F.lit("")).alias("summary"),
+        F.coalesce(_opt(articles, "ai_summary"), _opt(articles, "summary"), F.lit("")).alias("summary"),
         F.coalesce(_opt(articles, "author"), F.lit("")).alias("author"),
         F.coalesce(_opt(articles, "slug"), F.lit("")).alias("slug"),
     )

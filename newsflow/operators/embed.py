@@ -30,18 +30,29 @@ from ..functions.udf import series_udf
 from .vectors import blocked_topk
 
 
-def embed_sparse(df: DataFrame, text_col: str = "text", id_col: str = "id", dim: int = C.EMBED_DIM) -> DataFrame:
+def embed_sparse(df: DataFrame, text_col: str = "text", id_col: str = "id", dim: int = C.EMBED_DIM, keep=()) -> DataFrame:
     """``(id, idx ARRAY<INT>, val ARRAY<DOUBLE>)``: one entry per bucket with its
-    token count. A projection: no shuffle."""
+    token count; ``keep`` names further columns to carry along. A projection: no shuffle."""
     from ..functions import sql as S
     idx = f"transform({S.tokens(S.ident(text_col))}, w -> CAST({S.hash_bucket('w', dim)} AS INT))"
+    kept = [S.ident(c) for c in keep]
     # sorted, a bucket's first place and count are where it begins and its next one begins
-    return df.selectExpr(f"{S.ident(id_col)} AS id", f"array_sort({idx}) AS _all").selectExpr(
-        "id", "filter(transform(_all, (x, i) -> IF(i = 0 OR _all[i - 1] <> x, i, -1)), i -> i >= 0) AS _at", "_all").selectExpr(
-        "id", "transform(_at, i -> _all[i]) AS idx",
+    return df.selectExpr(*kept, f"{S.ident(id_col)} AS id", f"array_sort({idx}) AS _all").selectExpr(
+        *kept, "id", "filter(transform(_all, (x, i) -> IF(i = 0 OR _all[i - 1] <> x, i, -1)), i -> i >= 0) AS _at", "_all").selectExpr(
+        *kept, "id", "transform(_at, i -> _all[i]) AS idx",
         "transform(_at, (i, k) -> CAST(IF(k + 1 < size(_at), get(_at, k + 1), size(_all)) - i AS DOUBLE)) AS val")
 
 
+def with_dense_vector(df: DataFrame, text_col: str = "text", out: str = "embedding", dim: int = C.EMBED_DIM) -> DataFrame:
+    """The rows with the same embedding as ``out ARRAY<FLOAT>`` of ``dim`` counts: the sorted entries with zeros between them."""
+    rows = df.withColumn("_nf_id", F.lit(0))
+    sparse = embed_sparse(rows, text_col, "_nf_id", dim, keep=df.columns).drop("id")
+    between = "array_repeat(CAST(0 AS FLOAT), idx[i] - IF(i = 0, -1, get(idx, i - 1)) - 1)"
+    tail = f"array_repeat(CAST(0 AS FLOAT), {int(dim)} - 1 - coalesce(get(idx, size(idx) - 1), -1))"
+    return sparse.withColumn(out, F.expr(
+        f"concat(flatten(transform(val, (v, i) -> concat({between}, array(CAST(v AS FLOAT))))), {tail})")).drop("idx", "val")
+
+
 def sparse_terms(df: DataFrame, text_col: str = "text", id_col: str = "id", dim: int = C.EMBED_DIM) -> DataFrame:
     """Long form ``(id, bucket, weight)`` of the same embedding."""
     return (df.select(F.col(id_col).alias("id"), F.explode(T.tokens(text_col)).alias("tok"))

@@ -24,7 +24,7 @@ from pyspark.sql import types as Ty
 from .. import config as C
 from ..functions import text as T
 from ..functions.udf import series2_udf
-from .embed import search_text
+from .textindex import TextIndex
 from .vectors import match_projection, similar_by_id
 
 
@@ -63,7 +63,7 @@ def rerank(cands: DataFrame, query_col: str = "query_text", doc_col: str = "doc_
 
 def similar_articles(vectors: DataFrame, source_id, max_results: int = C.MAX_RESULTS,
                      threshold: float = C.SIMILARITY_THRESHOLD, rerank_fn=None,
-                     attach: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                     attach: Callable[[DataFrame], DataFrame] | None = None, source: DataFrame | None = None) -> DataFrame:
     """Similar articles of one vector: 2 x max candidates by cosine; re-ranked
     only when there are more candidates than ``max_results`` (query = source
     title + ' ' + source summary); cut to ``max_results``.
@@ -72,13 +72,16 @@ def similar_articles(vectors: DataFrame, source_id, max_results: int = C.MAX_RES
     window count over the bounded candidate set), not on the driver.
     ``attach`` adds title/summary/... to rows keyed by ``id`` (default: join
     the metadata columns of ``vectors``); it runs on the candidates only.
+    ``source`` is the stored record of ``source_id`` (vector, title, summary),
+    where it can be had without a scan.
     """
     if max_results < 1:
         raise ValueError("max_results must be >= 1")
-    attach = attach or (lambda d: d.join(vectors.drop("embedding", "category"), "id"))
-    cands = attach(similar_by_id(vectors, source_id, n=2 * max_results, threshold=threshold))
-    src = attach(vectors.filter(F.col("id") == F.lit(source_id)).select("id")).select(
-        F.concat(F.col("title"), F.lit(" "), F.col("summary")).alias("query_text"))
+    narrow = [c for c in ("id", "embedding", "category") if c in vectors.columns]
+    attach = attach or (lambda d: vectors.drop("embedding", *[c for c in d.columns if c != "id"]).join(F.broadcast(d), "id"))
+    cands = attach(similar_by_id(vectors.select(*narrow), source_id, n=2 * max_results, threshold=threshold, source=source))
+    own = attach(vectors.filter(F.col("id") == F.lit(source_id)).select("id")) if source is None else source
+    src = own.select(F.concat(F.col("title"), F.lit(" "), F.col("summary")).alias("query_text"))
     cands = (cands.withColumn("query_id", F.lit(source_id))
              .withColumn("query_text", src.scalar())
              .withColumn("doc_text", doc_text())
@@ -160,11 +163,10 @@ def trending_topics(matches: DataFrame, limit: int = 10, group: str = "query_id"
     return out.withColumn("topic_pos", F.row_number().over(wp)).drop("pos")
 
 
-def trending_now(docs: DataFrame, attach: Callable[[DataFrame], DataFrame], seed: str = C.TRENDING_QUERY,
-                 sample: int = C.TRENDING_SAMPLE, limit: int = 10, threshold: float = C.SIMILARITY_THRESHOLD) -> DataFrame:
-    """Trending topics of a text index ``docs(id, text)``: the topics among the
-    ``sample`` best matches of the fixed ``seed`` text. ``attach`` adds title and
-    category to matches keyed by ``id``. No match, no topics."""
-    query = docs.sparkSession.createDataFrame([(0, seed)], "id bigint, text string")
-    hits = search_text(query, docs, n=sample, threshold=threshold)
-    return trending_topics(match_projection(attach(hits)), limit).drop("query_id")
+def trending_now(index: TextIndex, seed: str = C.TRENDING_QUERY, sample: int = C.TRENDING_SAMPLE, limit: int = 10,
+                 threshold: float = C.SIMILARITY_THRESHOLD) -> DataFrame:
+    """Trending topics of a stored text index: the topics among the ``sample`` best
+    matches of the fixed ``seed`` text. No match, no topics."""
+    query = index.spark.createDataFrame([(0, seed)], "id bigint, text string")
+    hits = index.search(query, sample, threshold)
+    return trending_topics(match_projection(index.with_meta(hits)), limit).drop("query_id")

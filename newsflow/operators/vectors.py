@@ -79,7 +79,8 @@ def match_projection(matches: DataFrame) -> DataFrame:
 
 
 def source_vector(vectors: DataFrame, source_id, vec_col: str = "embedding"):
-    """The vector of one id as a scalar-subquery column (NULL if unknown)."""
+    """The vector of one id as a scalar-subquery column (NULL if unknown). ``vectors`` holds one namespace:
+    an id stands in it once."""
     return vectors.filter(F.col("id") == F.lit(source_id)).select(F.col(vec_col)).scalar()
 
 
@@ -102,10 +103,16 @@ def topk_search(scored: DataFrame, n: int, threshold: float | None = C.SIMILARIT
 
 
 def similar_by_id(vectors: DataFrame, source_id, n: int = C.MAX_RESULTS, exclude_source: bool = True,
-                  threshold: float = C.SIMILARITY_THRESHOLD) -> DataFrame:
+                  threshold: float = C.SIMILARITY_THRESHOLD, namespace: str | None = None, source: DataFrame | None = None) -> DataFrame:
     """Top ``n`` vectors most similar to the vector of ``source_id`` (cosine),
-    without the source itself, score >= threshold. Unknown id -> empty."""
-    q = source_vector(vectors, source_id)
+    without the source itself, score >= threshold. Unknown id -> empty.
+
+    ``namespace``: search this one only; needed where an id may stand in several.
+    ``source``: the record of ``source_id``, where it can be had without a scan
+    (``VectorTable.fetch``)."""
+    if namespace is not None:
+        vectors = vectors.filter(F.col("namespace") == F.lit(namespace))
+    q = source_vector(vectors if source is None else source, source_id)
     cands = vectors.filter(F.col("id") != F.lit(source_id)) if exclude_source else vectors
     scored = cands.withColumn("_q", q).withColumn(
         "similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q"))).drop("_q")

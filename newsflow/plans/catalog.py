@@ -23,6 +23,7 @@ from ..operators import embed as EM
 from ..operators import ingest as IN
 from ..operators import recommend as RC
 from ..operators import vectors as VE
+from ..sources import stored as SD
 from ..sources import tables as TB
 from . import sqlgen as S
 
@@ -64,7 +65,7 @@ PREV_RUN_CUTOFF = "2024-01-03T00:00:00"   # entries published before it were fet
 
 A_SQL = "WITH " + S.articles_cte()
 P_SQL = "WITH " + S.processed_cte()
-V_SQL = "WITH " + S.vectors_cte()
+V_SQL = "WITH " + S.vectors_cte(caps=True)       # the stored metadata is capped
 
 
 @register("parse_entry", A_SQL + """
@@ -421,11 +422,20 @@ def q_keyword_length(spark, sf):
 # ======================================================================================
 
 def _vindex(spark, sf):
-    return TB.vector_index(spark, sf)
+    """The stored vectors of the default namespace, with their metadata."""
+    return SD.vector_table(spark, sf).read()
 
 
 def _vmeta(spark, sf, rows):
-    return TB.attach_vector_meta(spark, sf, rows)
+    return SD.with_stored_meta(_vindex(spark, sf), rows)
+
+
+def _source(spark, sf):
+    return SD.vector_table(spark, sf).fetch(SEED_ID)
+
+
+def _narrow(spark, sf):
+    return _vindex(spark, sf).select("id", "embedding", "category")
 
 
 def _match_cols(df):
@@ -452,28 +462,28 @@ SELECT id, title, link, summary, published, source_name, category, array_to_stri
 
 @register("similar_by_id", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True) + MATCH_SELECT)
 def q_similar_by_id(spark, sf):
-    top = VE.similar_by_id(_vindex(spark, sf), SEED_ID)
+    top = VE.similar_by_id(_narrow(spark, sf), SEED_ID, source=_source(spark, sf))
     return _match_cols(VE.match_projection(_vmeta(spark, sf, top)))
 
 
 @register("knn_single", V_SQL + _vec_search_sql(C.MAX_RESULTS, None, False)
           + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
 def q_knn_single(spark, sf):
-    r = VE.similar_by_id(_vindex(spark, sf), SEED_ID, exclude_source=False, threshold=None)
+    r = VE.similar_by_id(_narrow(spark, sf), SEED_ID, exclude_source=False, threshold=None, source=_source(spark, sf))
     return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
 
 
 @register("topk_search", V_SQL + _vec_search_sql(25, C.SIMILARITY_THRESHOLD, True)
           + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
 def q_topk_search(spark, sf):
-    r = VE.similar_by_id(_vindex(spark, sf), SEED_ID, n=25)
+    r = VE.similar_by_id(_narrow(spark, sf), SEED_ID, n=25, source=_source(spark, sf))
     return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
 
 
 @register("exclude_source", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True)
           + "\nSELECT id, round(score, 6) AS similarity_score, rank FROM top")
 def q_exclude_source(spark, sf):
-    r = VE.similar_by_id(_vindex(spark, sf), SEED_ID, exclude_source=True)
+    r = VE.similar_by_id(_narrow(spark, sf), SEED_ID, exclude_source=True, source=_source(spark, sf))
     return r.select("id", R("similarity_score").alias("similarity_score"), "rank")
 
 
@@ -482,8 +492,8 @@ scored AS (SELECT v.id, list_cosine_similarity(v.embedding, src.embedding) AS sc
            FROM vectors v, (SELECT embedding FROM vectors WHERE id = {SEED_ID}) src WHERE v.id <> {SEED_ID})
 SELECT id, round(score, 6) AS similarity_score FROM scored WHERE score >= {C.SIMILARITY_THRESHOLD}""")
 def q_similarity_threshold(spark, sf):
-    v = _vindex(spark, sf)
-    q = VE.source_vector(v, SEED_ID)
+    v = _narrow(spark, sf)
+    q = VE.source_vector(_source(spark, sf), SEED_ID)
     s = (v.filter(F.col("id") != SEED_ID).withColumn("_q", q)
          .withColumn("similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q"))))
     return s.filter(F.col("similarity_score") >= C.SIMILARITY_THRESHOLD).select(
@@ -493,8 +503,8 @@ def q_similarity_threshold(spark, sf):
 @register("category_filter", V_SQL + _vec_search_sql(C.MAX_RESULTS, C.SIMILARITY_THRESHOLD, True,
                                                      f"AND v.category = {S.q(SEED_CATEGORY)}") + MATCH_SELECT)
 def q_category_filter(spark, sf):
-    v = _vindex(spark, sf)
-    q = VE.source_vector(v, SEED_ID)
+    v = _narrow(spark, sf)
+    q = VE.source_vector(_source(spark, sf), SEED_ID)
     cands = v.filter((F.col("category") == SEED_CATEGORY) & (F.col("id") != SEED_ID)).withColumn("_q", q)
     scored = cands.withColumn("similarity_score", V.cosine_similarity(F.col("embedding"), F.col("_q")))
     top = VE.topk_search(scored.drop("_q", "embedding"), C.MAX_RESULTS)
@@ -530,7 +540,7 @@ def q_attach_embeddings(spark, sf):
 SELECT {S.q(C.NAMESPACE)} AS namespace, count(*) AS total_articles, {S.q(C.INDEX_NAME)} AS index_name
 FROM embeddings""")
 def q_collection_stats(spark, sf):
-    return VE.collection_stats(_vindex(spark, sf))
+    return SD.vector_table(spark, sf).namespaces().withColumn("index_name", F.lit(C.INDEX_NAME))
 
 
 @register("article_by_id", V_SQL + f"""
@@ -538,8 +548,7 @@ SELECT id, title, link, summary, content_preview AS content, published, source_n
 WHERE id = {SEED_ID}""")
 def q_article_by_id(spark, sf):
     from ..sources import files as FS
-    one = _vindex(spark, sf).filter(F.col("id") == SEED_ID).select("id")
-    return FS.article_by_id(_vmeta(spark, sf, one), SEED_ID)
+    return FS.article_by_id(_source(spark, sf), SEED_ID)
 
 
 def _similar_sql(max_results: int) -> str:
@@ -562,7 +571,7 @@ fin AS (SELECT *, CASE WHEN cnt > {max_results} THEN rs0 END AS rerank_score,
 SELECT id, rank, final_pos, round(score, 6) AS similarity_score, round(rerank_score, 6) AS rerank_score
 FROM fin WHERE final_pos <= {C.MAX_RESULTS}""")
 def q_similar_articles(spark, sf):
-    r = RC.similar_articles(_vindex(spark, sf), SEED_ID, attach=lambda d: _vmeta(spark, sf, d))
+    r = RC.similar_articles(_vindex(spark, sf), SEED_ID, attach=lambda d: _vmeta(spark, sf, d), source=_source(spark, sf))
     return r.select("id", "rank", "final_pos", R("similarity_score").alias("similarity_score"),
                     R("rerank_score").alias("rerank_score"))
 
@@ -578,7 +587,7 @@ FROM (SELECT *, content_preview AS content, published AS date, link AS url, sour
       FROM fin WHERE final_pos <= {C.MAX_RESULTS})""")
 def q_recommend_endpoint(spark, sf):
     from ..operators import api as AP
-    r = AP.recommend_endpoint(_vindex(spark, sf), SEED_ID, attach=lambda d: _vmeta(spark, sf, d))
+    r = AP.recommend_endpoint(_vindex(spark, sf), SEED_ID, attach=lambda d: _vmeta(spark, sf, d), source=_source(spark, sf))
     return r.select("id", "title", "content", "date", "url", "source", J("categories").alias("categories"),
                     J("tags").alias("tags"), "summary", "author", "slug", "final_pos", "total_results",
                     R("similarity_score").alias("similarity_score"))
@@ -590,7 +599,7 @@ FROM (SELECT *, content_preview AS content, published AS date, link AS url, sour
         [coalesce(category, 'general')] AS categories, '' AS author, '' AS slug FROM top)""")
 def q_recommend_projection(spark, sf):
     from ..operators import api as AP
-    m = VE.match_projection(_vmeta(spark, sf, VE.similar_by_id(_vindex(spark, sf), SEED_ID)))
+    m = VE.match_projection(_vmeta(spark, sf, VE.similar_by_id(_narrow(spark, sf), SEED_ID, source=_source(spark, sf))))
     r = AP.recommend_projection(m)
     return r.select("id", "title", "content", "date", "url", "source", J("categories").alias("categories"),
                     J("tags").alias("tags"), "summary", "author", "slug",
@@ -605,12 +614,11 @@ DOC_SQL = "WITH " + S.doc_index_cte()
 
 
 def _text_hits(spark, sf, n, category=None):
-    idx = TB.doc_index(spark, sf)
-    docs = idx.select("id", F.col("embed_text").alias("text"), "category")
-    qs = TB.queries_table(spark, sf)
-    if category is None:
-        return EM.search_text(qs, docs, n=n)
-    return EM.search_category(qs, docs, category, n=n)
+    return SD.text_index(spark, sf).search(TB.queries_table(spark, sf), n, category=category)
+
+
+def _hit_meta(spark, sf, hits):
+    return SD.text_index(spark, sf).with_meta(hits)
 
 
 @register("embed_documents", DOC_SQL + ",\n" + S.sparse_cte("dv", "doc_index", "id", "embed_text")
@@ -638,7 +646,7 @@ SELECT h.query_id, h.id, d.title, d.category, round(h.score, 6) AS similarity_sc
 FROM hits h JOIN doc_index d ON d.id = h.id""")
 def q_search_text(spark, sf):
     hits = _text_hits(spark, sf, C.MAX_RESULTS)
-    return TB.attach_doc_meta(spark, sf, hits).select("query_id", "id", "title", "category",
+    return _hit_meta(spark, sf, hits).select("query_id", "id", "title", "category",
                                                       R("similarity_score").alias("similarity_score"), "rank")
 
 
@@ -647,14 +655,13 @@ SELECT h.query_id, h.id, d.category, round(h.score, 6) AS similarity_score, h.ra
 FROM hits h JOIN doc_index d ON d.id = h.id""")
 def q_search_category(spark, sf):
     hits = _text_hits(spark, sf, C.MAX_RESULTS, TEXT_CATEGORY)
-    idx = TB.doc_index(spark, sf).select("id", "category")
-    return hits.join(idx, "id").select("query_id", "id", "category",
-                                       R("similarity_score").alias("similarity_score"), "rank")
+    return _hit_meta(spark, sf, hits).select("query_id", "id", "category",
+                                             R("similarity_score").alias("similarity_score"), "rank")
 
 
 def _doc_matches(spark, sf, n):
     hits = _text_hits(spark, sf, n)
-    return VE.match_projection(TB.attach_doc_meta(spark, sf, hits))
+    return VE.match_projection(_hit_meta(spark, sf, hits))
 
 
 RERANK_SQL = f""",
@@ -765,8 +772,7 @@ SEED_QUERY_SQL = f"(SELECT 0::BIGINT AS item_id, {S.q(C.TRENDING_QUERY)} AS text
 @register("trending_seed", _text_sql(C.TRENDING_SAMPLE, queries=SEED_QUERY_SQL, threshold=SEED_THRESHOLD) + TREND_STEPS
           + TOPICS_SQL.replace("SELECT query_id, row_number()", "SELECT row_number()"))
 def q_trending_seed(spark, sf):
-    docs = TB.doc_index(spark, sf).select("id", F.col("embed_text").alias("text"), "category")
-    return _topic_cols(RC.trending_now(docs, lambda hits: TB.attach_doc_meta(spark, sf, hits), threshold=SEED_THRESHOLD))
+    return _topic_cols(RC.trending_now(SD.text_index(spark, sf), threshold=SEED_THRESHOLD))
 
 
 @register("match_projection", _text_sql(C.MAX_RESULTS) + """
@@ -913,6 +919,8 @@ def q_process_raw(spark, sf):
 
 from ..session import scratch_path  # noqa: E402
 from ..sinks import tables as SK  # noqa: E402
+from ..sinks import vectors as SV  # noqa: E402
+from ..sinks import versions as SVT  # noqa: E402
 from ..sources import feeds as FDS  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 from ..operators import api as AP  # noqa: E402
@@ -1046,10 +1054,11 @@ def q_upsert_vectors(spark, sf):
     a = e.select(F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("category"))
     upd = a.filter(F.col("category") == SEED_CATEGORY).withColumn(
         "embedding", F.transform("embedding", lambda v: -v))
-    t1, _ = SK.upsert_vectors(None, a, scratch_path(spark, "vectors-v1"), 1)
-    t2, _ = SK.upsert_vectors(t1, upd, scratch_path(spark, "vectors-v2"), 2)
-    return t2.select("namespace", "id", F.col("version").cast("bigint").alias("version"),
-                     R(F.col("embedding")[0].cast("double")).alias("first_value"))
+    table = SV.VectorTable(spark, scratch_path(spark, "vectors"))
+    table.upsert(a)
+    table.upsert(upd)
+    return table.read().select("namespace", "id", F.col("version").cast("bigint").alias("version"),
+                               R(F.col("embedding")[0].cast("double")).alias("first_value"))
 
 
 @register("clear_namespace", f"""
@@ -1058,9 +1067,26 @@ WHERE CAST(label AS VARCHAR) <> {S.q(SEED_CATEGORY)} GROUP BY label""")
 def q_clear_namespace(spark, sf):
     e = TB.read_table(spark, sf, "embeddings")
     v = e.select(F.col("label").cast("string").alias("namespace"), F.col("vec_id").alias("id"), "embedding")
-    t1, _ = SK.upsert_vectors(None, v, scratch_path(spark, "vectors-v1"), 1)
-    t2 = SK.clear_namespace(t1, SEED_CATEGORY, scratch_path(spark, "vectors-v2"))
-    return t2.groupBy("namespace").agg(F.count(F.lit(1)).alias("vectors"))
+    table = SV.VectorTable(spark, scratch_path(spark, "vectors"), buckets=4)
+    table.upsert(v)
+    table.clear(SEED_CATEGORY)
+    return table.read(None).groupBy("namespace").agg(F.count(F.lit(1)).alias("vectors"))
+
+
+@register("add_articles", A_SQL + f""",
+t AS (SELECT id, left(title, {C.TITLE_CAP}) AS title, url AS link, left(summary, {C.SUMMARY_CAP}) AS summary, date AS published, source_name,
+        categories[1] AS category, array_to_string(tags[1:{C.TAGS_CAP}], '|') AS tags, fetched_at AS added_to_db,
+        {S.embedding_text('title', 'summary', 'content')} AS txt FROM articles)
+SELECT id, title, link, summary, published, source_name, category, tags, added_to_db, left(txt, {C.PREVIEW_CHARS}) AS content_preview,
+  {C.EMBED_DIM}::BIGINT AS dims, len({S.tokens('txt')})::DOUBLE AS words,
+  len(list_distinct(list_transform({S.tokens('txt')}, lambda w: {S.hash_bucket('w')})))::BIGINT AS buckets FROM t""")
+def q_add_articles(spark, sf):
+    table = SV.VectorTable(spark, scratch_path(spark, "articles"))
+    table.add_articles(TB.raw_articles(spark, sf))
+    return table.read().select("id", "title", "link", "summary", "published", "source_name", "category", J("tags").alias("tags"), "added_to_db",
+                               "content_preview", F.size("embedding").cast("bigint").alias("dims"),
+                               F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v).alias("words"),
+                               F.size(F.filter("embedding", lambda v: v > 0)).cast("bigint").alias("buckets"))
 
 
 @register("ingest_stream", f"""
@@ -1147,14 +1173,24 @@ def _runs(spark, sf):
 keep AS (SELECT run_ts FROM (SELECT DISTINCT run_ts FROM runs) ORDER BY run_ts DESC LIMIT {C.KEEP_RUNS})
 SELECT page_id, run_ts FROM runs WHERE run_ts IN (SELECT run_ts FROM keep)""")
 def q_retain_newest_runs(spark, sf):
-    return RT.retain_newest_runs(_runs(spark, sf)).select("page_id", "run_ts")
+    """What is on disk after the old runs are gone."""
+    table = SVT.VersionedTable(spark, scratch_path(spark, "runs"), ("run_ts",))
+    table.replace(_runs(spark, sf).select("page_id", "run_ts"))
+    RT.drop_old_runs(table)
+    return table.read().select("page_id", "run_ts")
 
 
 @register("archive_old", RUNS_SQL + f"""
 SELECT page_id, CASE WHEN date < strftime(TIMESTAMP '{C.DEFAULT_RUN_TS.replace('T', ' ')}'
     - INTERVAL {C.ARCHIVE_AFTER_DAYS} DAY, '%Y-%m-%dT%H:%M:%S') THEN 'archive' ELSE 'live' END AS tier FROM runs""")
 def q_archive_old(spark, sf):
-    return RT.archive_split(_runs(spark, sf)).select("page_id", "tier")
+    """What is on disk in the live and the archive table afterwards."""
+    live = SVT.VersionedTable(spark, scratch_path(spark, "runs"), ("run_ts",))
+    archive = SVT.VersionedTable(spark, scratch_path(spark, "archive"), ("run_ts",))
+    live.replace(_runs(spark, sf).select("page_id", "date", "run_ts"))
+    RT.archive_old_runs(live, archive)
+    left = [t.read().withColumn("tier", F.lit(name)) for t, name in ((live, "live"), (archive, "archive")) if t.version()]
+    return IN.union_all(left).select("page_id", "tier")
 
 
 @register("run_status", P_SQL + RUNS_SQL.removeprefix(A_SQL) + """,
