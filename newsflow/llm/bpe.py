@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import byte_batches
 
-CACHED = 300_000                 # words whose ids a Python worker keeps (about 60 MB)
+CACHED = 800_000                 # words whose ids a Python worker keeps (about 160 MB)
 CACHED_CHARS = 64                # longer words are not kept
 TOGETHER = 1 << 18               # bytes of new words that are encoded together
-LONG = 192                       # tokens from which a failing word is merged on arrays
+NONE = np.iinfo(np.int64).max    # no merge
 
 # The pattern of the byte-level tokenizers, and the bytes that stand for themselves in their files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -69,7 +69,6 @@ class Vocabulary:
         key = self.left[256:] * _PAIR + self.right[256:]
         order = np.argsort(key)
         self.pairs, self.made = np.append(key[order], np.iinfo(np.int64).max), np.append(order + 256, -1)
-        self.merge_of = dict(zip(zip(left[256:], right[256:], strict=True), range(256, len(left)), strict=True))
         # a token that its own bytes don't give is never speculated on
         every = np.arange(256, len(left))
         sound = np.append(np.ones(256, bool), ~self.crossed(self.left[256:], self.right[256:], every))
@@ -137,32 +136,47 @@ class Vocabulary:
             t = self.token_at[node]
             token[at[t >= 0]], size[at[t >= 0]] = t[t >= 0], depth
 
-    def merge(self, word: bytes) -> list[int]:
-        """The merges' result, by the rules: the oldest merge that fits, leftmost first, until none fits."""
-        ids = list(word)
-        while len(ids) > 1:
-            if len(ids) >= LONG:
-                return self._merge_long(np.array(ids, np.int64)).tolist()
-            get = self.merge_of.get
-            best, at = min(((get(p, _PAIR), i) for i, p in enumerate(zip(ids[:-1], ids[1:], strict=True))))
-            if best == _PAIR:
-                break
-            ids[at:at + 2] = [best]
-        return ids
-
-    def _merge_long(self, ids: np.ndarray) -> np.ndarray:
-        """The same, all places of a merge at a time: what a merge makes only takes part in younger ones."""
-        while len(ids) > 1:
-            made = self.merged(ids[:-1], ids[1:])
-            if made.max() < 0:
-                break
-            best = made[made >= 0].min()
-            at = np.flatnonzero(made == best)
+    def merge(self, words: list[bytes]) -> list[list[int]]:
+        """The merges' result for each word, by the rules: the oldest merge that fits, leftmost first, until none fits.
+
+        All words take a step together. A step applies the oldest merge of each word at all its places: what a merge
+        makes only takes part in younger ones, so none of these places would have been lost."""
+        out: list[list[int]] = [[] for _ in words]
+        ids = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        which = np.arange(len(words))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        made = self._neighbours(ids, np.repeat(which, sizes), np.arange(len(ids)))
+        while len(which):
+            starts = np.cumsum(sizes) - sizes
+            best = np.minimum.reduceat(made, starts)
+            done = best == NONE
+            if done.any():
+                for w, a, n in zip(which[done].tolist(), starts[done].tolist(), sizes[done].tolist(), strict=True):
+                    out[w] = ids[a:a + n].tolist()
+                left = np.repeat(~done, sizes)
+                ids, made, which, sizes, best = ids[left], made[left], which[~done], sizes[~done], best[~done]
+                if not len(which):
+                    break
+            row = np.repeat(np.arange(len(which)), sizes)
+            at = np.flatnonzero(made == best[row])
             run = np.cumsum(np.diff(at, prepend=-2) > 1)      # overlapping places: each second one of a run
             at = at[(np.arange(len(at)) - np.searchsorted(run, run)) % 2 == 0]
-            ids[at] = best
-            ids = np.delete(ids, at + 1)
-        return ids
+            ids[at] = made[at]
+            left = np.ones(len(ids), bool)
+            left[at + 1] = False
+            sizes = sizes - np.bincount(row[at], minlength=len(sizes))
+            ids, made, row = ids[left], made[left], row[left]
+            at = at - np.arange(len(at))
+            at = np.concatenate([at, at[at > 0] - 1])
+            made[at] = self._neighbours(ids, row, at)
+        return out
+
+    def _neighbours(self, ids: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """What the tokens at ``at`` and after them merge to, ``NONE`` at the end of a word."""
+        after = np.minimum(at + 1, len(ids) - 1)
+        m = self.merged(ids[at], ids[after])
+        m[(m < 0) | (row[at] != row[after]) | (at == after)] = NONE
+        return m
 
     def encode(self, new: list[bytes]) -> list[list[int]]:
         """The tokens of all words, by speculation, verification and, where that fails, by the merges."""
@@ -182,8 +196,9 @@ class Vocabulary:
         pairs, where = np.unique(ids[inner] * _PAIR + ids[inner + 1], return_inverse=True)
         bad = self.crossed(pairs // _PAIR, pairs % _PAIR)[where]
         out = [flat[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        for i in np.unique(word[inner[bad]]).tolist():
-            out[i] = self.merge(new[i])
+        failed = np.unique(word[inner[bad]]).tolist()
+        for i, tokens in zip(failed, self.merge([new[i] for i in failed]), strict=True):
+            out[i] = tokens
         return out
 
 
@@ -213,7 +228,8 @@ class Coder:
         number = {raw(t): i for t, i in model["vocab"].items()}
         self.ids = [number[t].to_bytes(4, "little") for t in self.vocabulary.bytes]
         self.special = {t["content"]: t["id"].to_bytes(4, "little") for t in spec["added_tokens"]}
-        self.pieces = {i: t for t, i in number.items()} | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        pieces = {i: t for t, i in number.items()} | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        self.pieces = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
         self.parts = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.cut = regex.compile(PATTERN)
         self.library = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None})).pre_tokenizer
@@ -263,8 +279,10 @@ class Coder:
 
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens as they are written; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
-        pieces = self.pieces
-        return b"".join([pieces.get(i, b"") for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        known = np.frombuffer(ids, "<u4")
+        if len(known) and known.max() >= len(self.pieces):
+            known = known[known < len(self.pieces)]
+        return b"".join(map(self.pieces.__getitem__, known.tolist())).decode("utf-8", "replace")
 
 
 _coders: dict[str, Coder] = {}
