@@ -126,7 +126,7 @@ def _pair_schema(probe: DataFrame, build: DataFrame) -> Ty.StructType:
                           Ty.StructField("score", Ty.DoubleType())])
 
 
-def _block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int | None, chunk: int = 1024):
+def block_topk_fn(k: int, threshold: float | None, exclude_self: bool, dim: int | None, chunk: int = 1024):
     """pandas function for one (probe block, build block) group."""
 
     # columns arrive by position: id, vec | (idx, val), pb, bb
@@ -213,7 +213,7 @@ def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
          .withColumn("bb", F.pmod(F.xxhash64("b_id"), nb_build).cast("int"))
          .withColumn("pb", F.explode(F.sequence(F.lit(0), nb_probe - 1)))
          .select("b_id", *["b_" + c for c in vec_cols], "pb", "bb", *part))
-    fn = _block_topk_fn(k, threshold, exclude_self, sparse_dim)
+    fn = block_topk_fn(k, threshold, exclude_self, sparse_dim)
     p = p.select("id", *vec_cols, "pb", "bb", *part)
     pairs = p.groupBy(*part, "pb", "bb").cogroup(b.groupBy(*part, "pb", "bb")).applyInPandas(fn, _pair_schema(probe, build))
     w = Window.partitionBy("id").orderBy(F.round("score", 9).desc(), F.asc("neighbor_id"))
@@ -223,8 +223,12 @@ def blocked_topk(probe: DataFrame, build: DataFrame, k: int = C.MAX_RESULTS,
 def knn_all(vectors: DataFrame, k: int = C.MAX_RESULTS, threshold: float | None = C.SIMILARITY_THRESHOLD,
             block_rows: int = 4096, within: str | None = None) -> DataFrame:
     """For every vector, its top ``k`` most similar other vectors (exact);
-    with ``within``, only among vectors with the same value of that column."""
-    v = vectors.select("id", F.col("embedding").alias("vec"), *([within] if within else []))
+    with ``within``, only among vectors with the same value of that column.
+    Without it, cells of near vectors keep pairs apart that cannot matter (``cells``)."""
+    if within is None:
+        from .cells import knn_all_pruned
+        return knn_all_pruned(vectors, k, threshold, block_rows)
+    v = vectors.select("id", F.col("embedding").alias("vec"), within)
     return blocked_topk(v, v, k=k, threshold=threshold, exclude_self=True, block_rows=block_rows, within=within)
 
 
