@@ -155,20 +155,24 @@ class TextIndex:
         if n < 1 or threshold <= 0:
             raise ValueError("n must be >= 1 and threshold positive")
         vectors = embed_sparse(queries, text, dim=self.dim).where("size(idx) > 0")
+        kind = vectors.schema["id"].dataType
+        rows = vectors.limit(GROUP + 1).collect()
+        if len(rows) <= GROUP:
+            return self._search(rows, kind, n, threshold, category, report)
         at = scratch_path(self.spark, "queries")
         vectors.withColumn("_n", F.monotonically_increasing_id()).write.parquet(at)
         vectors = self.spark.read.schema(vectors.withColumn("_n", F.lit(0).cast("bigint")).schema).parquet(at)
-        groups = max(1, -(-vectors.count() // GROUP))
+        groups = -(-vectors.count() * 5 // (4 * GROUP))       # a hash deals unevenly
         out = None
         for g in range(groups):
-            rows = vectors.where(F.pmod(F.xxhash64("_n"), F.lit(groups)) == g).collect() if groups > 1 else vectors.collect()
-            part = self._search(rows, vectors.schema["id"].dataType, n, threshold, category, report)
+            rows = vectors.where(F.pmod(F.xxhash64("_n"), F.lit(groups)) == g).collect()
+            part = self._search(rows, kind, n, threshold, category, report)
             out = part if out is None else out.unionByName(part)
         return out
 
     def _wanted(self, buckets: list[int], category: str | None) -> DataFrame:
         parts = {b // PART_BUCKETS for b in buckets}
-        rows = self.postings.read(lambda k: k["part"] in parts).where(F.col("bucket").isin(buckets))
+        rows = self.postings.read(lambda k: k["part"] in parts).where(f"bucket IN ({', '.join(map(str, buckets))})")
         return rows if category is None else rows.where(F.col("category") == category)
 
     def _search(self, rows, query_type, n, threshold, category, report) -> DataFrame:
