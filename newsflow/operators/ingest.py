@@ -79,7 +79,7 @@ def drop_unparsed(df: DataFrame, corrupt_col: str = "_corrupt_record") -> DataFr
     return df
 
 
-def cap_per_feed(entries: DataFrame, n: int = C.MAX_PER_FEED, feed: str = "feed_url",
+def cap_per_feed(entries: DataFrame, n: int = C.MAX_PER_FEED, feed: str | list[str] = "feed_url",
                  order: str = "entry_pos") -> DataFrame:
     """First ``n`` entries of every feed, in feed order.
 

@@ -376,11 +376,24 @@ firsts AS (SELECT * FROM (SELECT *, {S.md5_of('title', 'url')} AS dedup_key,
 new AS (SELECT * FROM firsts WHERE dedup_key NOT IN (SELECT article_hash FROM seen))"""
 
 
+def _landed_entries(spark, sf, category=None):
+    """The entries of landed feed documents, read for the feeds of the stored registry (of one category) only."""
+    from ..session import scratch_path
+    from ..sources import feeds as FD
+    root, path = _land_feeds(spark, sf), scratch_path(spark, "registry")
+    _registry(spark, sf).withColumnRenamed("category", "feed_category").write.parquet(path)
+    registry = spark.read.parquet(path)
+    if category is not None:
+        registry = registry.filter(F.col("feed_category") == category)
+    items = FD.scan_items(spark, root, _guid_schema(), registry=registry)
+    return FD.rss_items_to_entries(IN.drop_unparsed(items).withColumnRenamed("guid", "page_id"))
+
+
 @register("fetch_all_feeds", A_SQL + FETCH_SQL + """
 SELECT dedup_key, id, page_id, category, feed_pos, source_feed, title FROM new""")
 def q_fetch_all_feeds(spark, sf):
     from ..sources import feeds as FD
-    new = FD.fetch_all_feeds(TB.page_entries(spark, sf), _registry(spark, sf), _seen_prev(spark, sf), row_id=FETCH_ROW)
+    new = FD.fetch_entries(_landed_entries(spark, sf), _seen_prev(spark, sf), row_id=FETCH_ROW)
     return new.select("dedup_key", "id", "page_id", "category", "feed_pos", "source_feed", "title")
 
 
@@ -392,8 +405,7 @@ SELECT dedup_key, id, page_id, category, feed_pos, source_feed, title FROM (
 WHERE dedup_key NOT IN (SELECT article_hash FROM seen)""")
 def q_fetch_by_category(spark, sf):
     from ..sources import feeds as FD
-    new = FD.fetch_by_category(TB.page_entries(spark, sf), _registry(spark, sf), FEED_CATEGORY,
-                               _seen_prev(spark, sf), row_id=FETCH_ROW)
+    new = FD.fetch_entries(_landed_entries(spark, sf, FEED_CATEGORY), _seen_prev(spark, sf), row_id=FETCH_ROW)
     return new.select("dedup_key", "id", "page_id", "category", "feed_pos", "source_feed", "title")
 
 
@@ -931,9 +943,8 @@ from .. import schemas as SC  # noqa: E402
 RUN_A, RUN_B = "2024-06-01T00:00:00", "2024-06-01T06:00:00"
 
 
-def _land_rss(spark, sf, broken=None) -> str:
-    """Land the page entries as RSS feed files, a directory per feed; the items
-    for which ``broken`` holds are not well-formed."""
+def _land_feeds(spark, sf, broken=None) -> str:
+    """Land the page entries as RSS documents, one for each feed; the items for which ``broken`` holds are not well-formed."""
     e = TB.page_entries(spark, sf)
     items = e.select(
         "feed_url", "title", "link", "description", F.col("published").alias("pubDate"),
@@ -944,22 +955,24 @@ def _land_rss(spark, sf, broken=None) -> str:
     item = FDS.rss_item()
     if broken is not None:
         item = F.when(broken, F.replace(item, F.lit("</title>"), F.lit("</broken>"))).otherwise(item)
-    return FDS.land_rss_files(items, scratch_path(spark, "feeds"), item=item)
+    return FDS.land_feed_documents(items, scratch_path(spark, "feeds"), item=item)
+
+
+def _guid_schema():
+    from pyspark.sql import types as Ty
+    return Ty.StructType([*FDS.RSS_ITEM_SCHEMA.fields[:-1], Ty.StructField("guid", Ty.LongType()), FDS.RSS_ITEM_SCHEMA.fields[-1]])
 
 
 @register("rss_scan", E_SQL + """
-SELECT page_id AS guid, feed_url, title, link, description, published AS pubDate,
-  array_to_string(tag_terms, '|') AS category, author_name AS creator, article_html AS content
+SELECT page_id AS guid, feed_url, row_number() OVER (PARTITION BY feed_url ORDER BY page_id) - 1 AS entry_pos, false AS malformed, title, link,
+  description, published AS pubDate, array_to_string(tag_terms, '|') AS category, author_name AS creator, article_html AS content
 FROM entries""")
 def q_rss_scan(spark, sf):
-    from pyspark.sql import types as Ty
-    path = _land_rss(spark, sf)
-    schema = Ty.StructType(FDS.RSS_ITEM_SCHEMA.fields[:-1] + [Ty.StructField("guid", Ty.LongType()),
-                                                              Ty.StructField("feed_url", Ty.StringType()),
-                                                              Ty.StructField("_corrupt_record", Ty.StringType())])
-    items = IN.drop_unparsed(FDS.scan_rss(spark, path, schema))
-    return items.select("guid", "feed_url", "title", "link", "description", "pubDate", J("category").alias("category"),
-                        F.col("`dc:creator`").alias("creator"), F.col("`content:encoded`").alias("content"))
+    path = _land_feeds(spark, sf)
+    items = FDS.with_feed_flag(FDS.scan_items(spark, path, _guid_schema()), FDS.feed_documents(spark, path))
+    return IN.drop_unparsed(items).select(
+        "guid", "feed_url", "entry_pos", "malformed", "title", "link", "description", "pubDate", J("category").alias("category"),
+        F.col("`dc:creator`").alias("creator"), F.col("`content:encoded`").alias("content"))
 
 
 BROKEN_ENDING = "n"            # in drop_unparsed, items whose title ends so arrive broken
@@ -968,8 +981,8 @@ BROKEN_ENDING = "n"            # in drop_unparsed, items whose title ends so arr
 @register("drop_unparsed", E_SQL + f"""
 SELECT title, link FROM entries WHERE right(coalesce(title, ''), 1) <> {S.q(BROKEN_ENDING)}""")
 def q_drop_unparsed(spark, sf):
-    path = _land_rss(spark, sf, broken=F.coalesce(F.col("title"), F.lit("")).endswith(BROKEN_ENDING))
-    return IN.drop_unparsed(FDS.scan_rss(spark, path)).select("title", "link")
+    path = _land_feeds(spark, sf, broken=F.coalesce(F.col("title"), F.lit("")).endswith(BROKEN_ENDING))
+    return IN.drop_unparsed(FDS.scan_items(spark, path)).select("title", "link")
 
 
 @register("write_raw", A_SQL + f"""

@@ -143,13 +143,14 @@ def test_first_wins_by_row_ids_equals_whole_rows(spark):
     assert sorted(narrow.select(*whole.columns).collect()) == sorted(whole.collect())
 
 
-def test_trending_over_its_seed(spark):
+def test_trending_over_its_seed(spark, tmp_path):
     from newsflow.operators import recommend as RC
+    from newsflow.operators.textindex import TextIndex
     texts = {1: "news today", 2: "current events today", 3: "a recipe for plain bread and butter"}
-    docs = spark.createDataFrame(list(texts.items()), "id bigint, text string")
-    meta = spark.createDataFrame([(i, f"Election {t}", "c") for i, t in texts.items()], "id bigint, title string, category string")
-    full = meta.selectExpr("*", "'' link", "'' summary", "'' published", "'' source_name", "array('t') tags", "'' content_preview")
-    topics = RC.trending_now(docs, lambda hits: hits.join(full, "id")).orderBy("topic_pos").collect()
+    docs = spark.createDataFrame([(i, t, f"Election {t}", "c") for i, t in texts.items()], "id bigint, text string, title string, category string")
+    index = TextIndex(spark, str(tmp_path / "index"))
+    index.add(docs.selectExpr("*", "'' link", "'' summary", "'' published", "'' source_name", "array('t') tags", "'' content_preview"))
+    topics = RC.trending_now(index).orderBy("topic_pos").collect()
     assert [(t.topic, t.article_count, t.mention_count) for t in topics][:2] == [("C", 2, None), ("Election", None, 2)]
 
 
