@@ -82,28 +82,26 @@ def _fmt(template: str, **cols) -> F.Column:
     return F.format_string(out, *args)
 
 
-def dense_position(df: DataFrame, group: str, pos_col: str, width: int = 1 << 16) -> DataFrame:
+def dense_position(df: DataFrame, group: str, pos_col: str, width: int = 4096) -> DataFrame:
     """Add ``_rn``: the 1-based position of each row in ``group`` ordered by
-    the integer ``pos_col`` (unique within a group) -- without a window over a
-    whole group.
-
-    Works on the (group, position) keys only: positions are cut into ranges of
-    ``width`` values, rows are counted per (group, range) with a map-side
-    combined aggregate, the counts are prefix-summed per group on that small
-    table, and a ``row_number`` inside each (group, range) adds the rest. Every
-    window holds at most ``width`` positions, so a group with a third of all
-    rows is spread over many tasks. The full rows are shuffled once, by the
-    unique (group, position) key, to take their number.
+    the integer ``pos_col`` -- without a window over a whole group. Rows with one
+    position are ordered by a hash of their values; each keeps a number of its own.
+
+    Positions are cut into ranges of ``width`` values, rows are counted per
+    (group, range) with a map-side combined aggregate, the counts are
+    prefix-summed per group on that small table, and a ``row_number`` inside each
+    (group, range) adds the rest. So a group with a third of all rows is spread
+    over many tasks; only rows that share a range of positions meet.
     """
-    keys = df.select(group, pos_col).withColumn("_chunk", F.floor(F.col(pos_col) / width).cast("bigint"))
-    counts = keys.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
+    rows = df.withColumn("_chunk", F.floor(F.col(pos_col) / width).cast("bigint"))
+    counts = rows.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_c"))
     wo = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(wo), F.lit(0))).drop("_c")
-    wi = Window.partitionBy(group, "_chunk").orderBy(pos_col)
-    ranks = (keys.withColumn("_local", F.row_number().over(wi))
-             .join(offsets, [group, "_chunk"])
-             .select(group, pos_col, (F.col("_off") + F.col("_local")).alias("_rn")))
-    return df.join(ranks, [group, pos_col])
+    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, Ty.MapType)])
+    wi = Window.partitionBy(group, "_chunk").orderBy(pos_col, tie)
+    same = [F.col("l." + c).eqNullSafe(F.col("o." + c)) for c in (group, "_chunk")]
+    joined = rows.alias("l").join(offsets.alias("o"), same).select("l.*", "o._off")
+    return joined.withColumn("_rn", F.row_number().over(wi) + F.col("_off")).drop("_chunk", "_off")
 
 
 def summary_batches(articles: DataFrame, file_col: str = "source_file", pos_col: str = "pos",
@@ -199,7 +197,7 @@ def summarize(articles: DataFrame, file_col: str = "source_file", pos_col: str =
     by batch, then article by article for batches whose call raised (this adds
     ``batch_id`` and ``slot``)."""
     if summarize_fn is None:                     # the lead of each article: a projection
-        return articles.withColumn("ai_summary", F.when(T.lead_words("content", TARGET_WORDS) != "", T.lead_words("content", TARGET_WORDS)))
+        return articles.withColumn("ai_summary", F.nullif(T.lead_words("content", TARGET_WORDS), F.lit("")))
     from ..session import scratch_path
     batched = summary_batches(articles, file_col, pos_col)
     # written once: the model sees each batch once, whatever reads the replies
@@ -219,7 +217,7 @@ def summary_fallback(summarized: DataFrame, failed_batches: DataFrame,
     redo = summarized.join(failed_batches, [file_col, "batch_id"], "left_semi")
     keep = summarized.join(failed_batches, [file_col, "batch_id"], "left_anti")
     if single_fn is None:
-        fixed = redo.withColumn("ai_summary", F.when(T.lead_words("content") != "", T.lead_words("content")))
+        fixed = redo.withColumn("ai_summary", F.nullif(T.lead_words("content"), F.lit("")))
     else:
         udf = series_udf(single_fn, "string")
         fixed = single_prompt(redo).withColumn("_r0", udf(F.col("prompt"))).withColumn("_r", T.strip("_r0"))

@@ -915,14 +915,26 @@ def q_summary_fallback(spark, sf):
     return SU.summary_fallback(done, failed, None).select("doc_id", "source_file", "batch_id", "slot", "ai_summary")
 
 
-@register("process_raw", P_SQL + f"""
-SELECT page_id, id, title, source_feed AS source_file, nullif({S.lead_words('content', SU.TARGET_WORDS)}, '') AS ai_summary
-FROM processed""")
+PER_FILE = 40                  # landed articles of a raw file, by ranges of page_id
+BROKEN_RANGE = 2               # in process_raw, the files of every third range arrive broken
+
+
+@register("process_raw", P_SQL + f""",
+f AS (SELECT page_id, source_feed, row_number() OVER (PARTITION BY source_feed, page_id // {PER_FILE} ORDER BY page_id) - 1 AS pos FROM processed)
+SELECT p.page_id, p.id, p.title, p.source_feed, f.pos, nullif({S.lead_words('content', SU.TARGET_WORDS)}, '') AS ai_summary
+FROM processed p JOIN f USING (page_id) WHERE (p.page_id // {PER_FILE}) % 3 <> {BROKEN_RANGE}""")
 def q_process_raw(spark, sf):
+    """Landed raw files, some broken and one empty, to the written table of processed runs."""
+    from pyspark.sql import types as Ty
     from ..operators import pipeline as PL
-    out = PL.process_raw(TB.raw_articles(spark, sf).withColumn("source_file", F.col("source_feed"))
-                         .withColumn("pos", F.col("entry_pos")))
-    return out.select("page_id", "id", "title", "source_file", "ai_summary")
+    raw, path = TB.raw_articles(spark, sf), scratch_path(spark, "rawjson")
+    FS.land_json_arrays(raw, path, group_col="source_feed", order_col="page_id", per_file=PER_FILE,
+                        spoil=F.col("_c") % 3 == BROKEN_RANGE)
+    spark.range(1).select(F.lit("").alias("value")).write.text(path + "/empty")       # files without an article
+    schema = Ty.StructType([*SC.RAW_ARTICLE.fields, Ty.StructField("page_id", Ty.LongType())])
+    processed = SVT.VersionedTable(spark, scratch_path(spark, "processed"), ("source_file",))
+    PL.process_raw_files(spark, path, processed, SVT.VersionedTable(spark, scratch_path(spark, "done"), ("source_file",)), schema)
+    return processed.read().select("page_id", "id", "title", "source_feed", "pos", "ai_summary")
 
 
 # ======================================================================================

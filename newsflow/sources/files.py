@@ -20,6 +20,29 @@ def scan_raw(spark: SparkSession, raw_dir: str, pattern: str = "raw_news_*.json"
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def scan_raw_files(spark: SparkSession, raw_dir: str, pattern: str = "raw_news_*.json") -> DataFrame:
+    """One row for each raw file: ``source_file`` (its name), ``changed``, ``status`` and ``articles``, the file's JSON as a variant.
+
+    ``ok``: a non-empty array; ``empty``: no article; ``broken``: no JSON, or no array. Files are read whole by the tasks,
+    as JSON arrays are; they are landed with a bounded number of articles. A file without a byte gives no row: Spark's readers pass it over."""
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(raw_dir)
+    text = F.col("content").cast("string")
+    parsed = whole.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), F.col("modificationTime").alias("changed"),
+                          F.try_parse_json(text).alias("articles"), (~text.rlike(r"\S")).alias("_blank"))
+    kind = F.schema_of_variant("articles")
+    status = (F.when(F.col("_blank") | kind.isin("ARRAY<VOID>", "ARRAY<>"), "empty").when(F.col("articles").isNull() | ~kind.startswith("ARRAY"), "broken").otherwise("ok"))
+    return parsed.select("source_file", "changed", status.alias("status"), "articles")
+
+
+def raw_articles_of(files: DataFrame, schema: Ty.StructType = SC.RAW_ARTICLE) -> DataFrame:
+    """The articles of the ``ok`` files of ``scan_raw_files`` in the order of their file: ``source_file``, ``pos`` (from 0) and the
+    fields of ``schema``; a missing field, or one of another type, is null. Elements that are no objects are left out."""
+    spark = files.sparkSession
+    rows = spark.sql("SELECT f.source_file, e.pos, e.value FROM {files} f, LATERAL variant_explode(f.articles) e WHERE f.status = 'ok'", files=files)
+    fields = [F.try_variant_get("value", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    return rows.where(F.schema_of_variant("value").startswith("OBJECT")).select("source_file", F.col("pos").cast("bigint").alias("pos"), *fields)
+
+
 def latest_files(spark: SparkSession, out_dir: str, patterns=("processed_news_*.json", "api_articles_*.json"),
                  legacy: str = "latest_articles.json", schema: Ty.StructType | None = None) -> DataFrame:
     """Rows of the newest file (by modification time, then path) among the processed and
@@ -78,7 +101,7 @@ def article_by_id(vectors: DataFrame, article_id) -> DataFrame:
 
 
 def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, prefix: str = "raw_news_",
-                     per_file: int = 1000) -> str:
+                     per_file: int = 1000, spoil=None) -> str:
     """Write JSON-array files (the reference's file layout: one array of article
     objects per file), named ``{prefix}{n}.json``.
 
@@ -93,6 +116,8 @@ def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, p
          .agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("_o"), F.struct(*cols).alias("r"))))
               .alias("xs"))
          .select(F.col(group_col).alias("_g"), "_c", F.to_json(F.transform("xs", lambda x: x["r"])).alias("value")))
+    if spoil is not None:                                     # files that arrive cut off, by group (_g) and range (_c)
+        g = g.withColumn("value", F.when(spoil, F.expr("substring(value, 1, length(value) - 2)")).otherwise(F.col("value")))
     tmp = path.rstrip("/") + "/_staging"
     g.write.partitionBy("_g", "_c").text(tmp)
     spark = df.sparkSession
