@@ -104,14 +104,19 @@ class VersionedTable:
             raise ValueError(f"{self.root}: over {LISTED} partitions in a commit")
         return [{"keys": list(r[:-2]), "path": f"{commit}/_p={r[-2]}", "rows": r[-1]} for r in counts]
 
-    def commit(self, new: list[dict], drop: Callable[[dict], bool], schema: Ty.StructType, base: int) -> int:
-        """Version ``base + 1``: the partitions of ``base`` that ``drop`` does not name (nor ``new`` replaces), and the ``new`` ones."""
+    def commit(self, new: list[dict], drop: Callable[[dict], bool], schema: Ty.StructType, base: int, notes: dict | None = None) -> int:
+        """Version ``base + 1``: the partitions of ``base`` that ``drop`` does not name (nor ``new`` replaces), and the ``new`` ones.
+
+        ``notes`` is a small dictionary that the manifests carry on (None: as in ``base``)."""
         replaced = {json.dumps(p["keys"]) for p in new}
-        kept = [p for p in (self.manifest(base)["partitions"] if base else [])
-                if json.dumps(p["keys"]) not in replaced and not drop(dict(zip(self.keys, p["keys"], strict=True)))]
-        self._publish(base + 1, {"schema": schema.jsonValue(), "partitions": kept + new})
+        old = self.manifest(base) if base else {"partitions": []}
+        kept = [p for p in old["partitions"] if json.dumps(p["keys"]) not in replaced and not drop(dict(zip(self.keys, p["keys"], strict=True)))]
+        self._publish(base + 1, {"schema": schema.jsonValue(), "partitions": kept + new, "notes": old.get("notes", {}) if notes is None else notes})
         return base + 1
 
+    def notes(self) -> dict:
+        return self.manifest().get("notes", {})
+
     def replace(self, rows: DataFrame, drop: Callable[[dict], bool] = lambda k: False) -> int:
         """Commit ``rows`` as the new contents of their partitions (and drop others, if told so)."""
         base = self.version()

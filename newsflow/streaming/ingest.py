@@ -7,12 +7,11 @@ Streaming forms of that:
 * ``mode="state"``: ``dropDuplicates(keys)`` -- exact, the state store holds
   every key ever seen (unbounded, like the reference). Fine while the key set
   fits the state store.
-* ``mode="table"`` (the one to prefer at scale): ``foreachBatch`` anti-joins
-  each micro-batch against the ``seen`` parquet table, appends the new rows,
-  then appends their keys to ``seen``. State lives in files, not executor
-  memory; the append order (rows first, keys second) means a crash re-delivers
-  rather than loses articles, and rows carry their batch id, so a replayed
-  batch is recognisable.
+* ``mode="table"`` (the one to prefer at scale): ``foreachBatch`` looks each
+  micro-batch up in the stored seen set (``sinks.seen``: filters first, then only
+  the buckets that may hold its keys), commits the new rows, then their keys.
+  State lives in files, not executor memory; the order (rows first, keys second)
+  loses no article, and what a crash left between both is made good by the next batch.
 * ``dropDuplicatesWithinWatermark`` is offered as a bounded-state option that
   *changes* the semantics (keys expire after the watermark delay).
 
@@ -23,12 +22,15 @@ shared folder, so a lost executor or driver restarts from the last batch.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from ..session import scratch_path
-from ..sources.files import exists
+from ..sinks.seen import SeenTable
+from ..sinks.versions import VersionedTable
 
 
 def event_stream(spark: SparkSession, landing_dir: str, schema: Ty.StructType, files_per_trigger: int = 100
@@ -61,23 +63,31 @@ def run_to_table(stream: DataFrame, out_path: str, checkpoint: str, trigger_once
     return q
 
 
-def run_with_seen_table(stream: DataFrame, keys: list[str], out_path: str, seen_path: str, checkpoint: str,
+def run_with_seen_table(stream: DataFrame, keys: list[str], out: VersionedTable, seen: SeenTable, checkpoint: str,
                         trigger_once: bool = True, interval: str | None = None):
-    """``foreachBatch`` dedup against an on-disk seen table (see module doc)."""
+    """``foreachBatch`` dedup against a stored seen set (see module doc).
+
+    A batch is named by the checkpoint's own id and its epoch: a replay replaces what its first attempt wrote, and a
+    stream on a new checkpoint starts new batches. The rows are committed to ``out`` (partitioned by ``_batch``) before
+    their hashes go to ``seen``; rows whose hashes were lost in between are added by the next batch, whosever it is."""
     spark = stream.sparkSession
+    key = F.md5(F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)])))      # a null is no empty text
 
     def batch(df: DataFrame, epoch: int):
-        key = F.md5(F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)])))      # a null is no empty text
-        b = df.withColumn("_key", key)
-        first = b.dropDuplicates(["_key"])       # first of the micro-batch (any copy: keys are compared)
-        new = first
-        if exists(spark, seen_path):             # else: first batch. What this batch itself wrote before a crash is not "seen"
-            seen = spark.read.parquet(seen_path).filter(F.col("_batch") != epoch)
-            new = first.join(seen, first["_key"] == seen["article_hash"], "left_anti")
-        # a replayed batch replaces its own folder; the hashes come from what was written
-        new.write.mode("overwrite").parquet(f"{out_path}/_batch={epoch}")
-        (spark.read.schema(new.schema).parquet(f"{out_path}/_batch={epoch}").select(F.col("_key").alias("article_hash"))
-         .write.mode("overwrite").parquet(f"{seen_path}/_batch={epoch}"))
+        name = f"{json.loads(spark.read.text(f'{checkpoint}/metadata').first()[0])['id']}-{epoch}"
+        for lost in sorted({p["keys"][0] for p in out.partitions()} - {name}):
+            if seen.has(lost):
+                continue
+            seen.add(out.read(lambda k, lost=lost: k["_batch"] == lost).select(F.col("_key").alias("article_hash")), lost)
+        firsts = df.withColumn("_key", key).dropDuplicates(["_key"])       # first of the micro-batch (any copy: keys are compared)
+        staged_at = scratch_path(spark, "stream-batch")
+        firsts.write.parquet(staged_at)
+        firsts = spark.read.schema(firsts.schema).parquet(staged_at)
+        known = seen.seen(firsts.select(F.col("_key").alias("article_hash")), but=name)
+        new = firsts.join(known.withColumnRenamed("article_hash", "_key"), "_key", "left_anti").withColumn("_batch", F.lit(name))
+        out.replace(new, drop=lambda k: k["_batch"] == name)
+        seen.add(out.read(lambda k: k["_batch"] == name).select(F.col("_key").alias("article_hash")), name)
+        seen.compact()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime=interval or "6 hours")
@@ -103,7 +113,8 @@ def ingest_events(spark: SparkSession, events: DataFrame, keys: list[str], mode:
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     s = event_stream(spark, landing, schema, files_per_trigger)
     if mode == "table":
-        run_with_seen_table(s, keys, out, scratch_path(spark, "seen"), ckpt)
-    else:
-        run_to_table(dedup_stream(s, keys, mode, watermark_col="ts"), out, ckpt)
+        table = VersionedTable(spark, out, ("_batch",))
+        run_with_seen_table(s, keys, table, SeenTable(spark, scratch_path(spark, "seen"), digits=1), ckpt)
+        return table.read()
+    run_to_table(dedup_stream(s, keys, mode, watermark_col="ts"), out, ckpt)
     return spark.read.parquet(out)

@@ -155,17 +155,56 @@ def test_trending_over_its_seed(spark, tmp_path):
 
 
 def test_stream_keeps_null_keys_apart_and_replays_without_copies(spark):
+    from newsflow.sinks.seen import SeenTable
+    from newsflow.sinks.versions import VersionedTable
     from newsflow.streaming import ingest as ST
     d = tempfile.mkdtemp()
     rows = [(None, "a"), ("a", None), ("", "a"), ("a", "b"), ("a", "b")]
     spark.createDataFrame(rows, "k1 string, k2 string").write.parquet(d + "/in")
-    for run in (1, 2):           # the second run has lost its checkpoint: the same batch again
+    out, seen = VersionedTable(spark, d + "/out", ("_batch",)), SeenTable(spark, d + "/seen", digits=1)
+    for run in (1, 2):           # the second run has lost its checkpoint: the same rows again
         s = ST.event_stream(spark, d + "/in", spark.read.parquet(d + "/in").schema)
-        ST.run_with_seen_table(s, ["k1", "k2"], d + "/out", d + "/seen", d + f"/ckpt{run}")
-        got = spark.read.parquet(d + "/out").select("k1", "k2").collect()
+        ST.run_with_seen_table(s, ["k1", "k2"], out, seen, d + f"/ckpt{run}")
+        got = out.read().select("k1", "k2").collect()
         assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, set(rows)))
 
 
+def test_stream_on_a_new_checkpoint_loses_nothing(spark):
+    import glob
+    import shutil
+
+    from newsflow.sinks.seen import SeenTable
+    from newsflow.sinks.versions import VersionedTable
+    from newsflow.streaming import ingest as ST
+    d = tempfile.mkdtemp()
+    out, seen = VersionedTable(spark, d + "/out", ("_batch",)), SeenTable(spark, d + "/seen", digits=1)
+
+    def land(name, keys):
+        spark.createDataFrame([(k,) for k in keys], "k string").coalesce(1).write.mode("append").parquet(d + "/" + name)
+
+    def run(folder, checkpoint):
+        ST.run_with_seen_table(ST.event_stream(spark, d + "/" + folder, spark.read.parquet(d + "/" + folder).schema, 1), ["k"], out, seen, d + "/" + checkpoint)
+        return sorted(r.k for r in out.read().collect())
+    land("one", "ab")
+    assert run("one", "c1") == ["a", "b"]
+    land("two", "bcd")
+    assert run("two", "c2") == ["a", "b", "c", "d"]              # both streams begin at epoch 0
+    land("one", "ae")
+    assert run("one", "c1") == ["a", "b", "c", "d", "e"]
+    offsets = max(glob.glob(d + "/c1/commits/[0-9]*"))
+    os.remove(offsets)                                        # the batch was written, but not marked as done
+    for f in glob.glob(d + "/c1/commits/.*.crc"):
+        os.remove(f)
+    assert run("one", "c1") == ["a", "b", "c", "d", "e"]
+    shutil.copytree(d + "/seen", d + "/old")
+    land("three", "f")
+    assert run("three", "c3")[-1] == "f"
+    stale = SeenTable(spark, d + "/old", digits=1)            # the hashes of the last batch were lost
+    land("four", "fg")
+    ST.run_with_seen_table(ST.event_stream(spark, d + "/four", spark.read.parquet(d + "/four").schema), ["k"], out, stale, d + "/c4")
+    assert sorted(r.k for r in out.read().collect()) == list("abcdefg")
+
+
 def test_large_groups_become_several_files(spark):
     d = tempfile.mkdtemp() + "/raw"
     rows = [(f"id{i}", "hot" if i % 3 else "cold", i) for i in range(60)]
