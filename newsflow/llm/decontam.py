@@ -40,6 +40,7 @@ REPEATS, SAMPLED = 40, 3         # walks, and steps of a walk in one key
 WHOLE, PART = 60, 50             # longest item that is looked up as a whole, and words of a part of a longer one
 BLOCK_CHARS = 8_000_000          # characters of items searched for in one pass over the documents
 RATIO = 1.25                     # longest to shortest item of one window size
+WALKED = 2048                    # windows that are walked together
 _U = np.uint64
 
 SCHEMA = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint, distance bigint, similarity double"
@@ -81,21 +82,29 @@ class Items:
         self.units = [(k, at, part, int((1 - similarity) * len(part) + 1e-9)) for k, (_, w, _) in enumerate(self.items) for at, part in _parts(w)]
         self.masks = [_masks(w.tolist()) for _, w, _ in self.items]
         self.pairs = np.unique(np.concatenate([_pairs(w) for _, w, _ in self.items])) if self.items else np.zeros(0, np.uint64)
-        self.classes = []                      # window words, most edits, [walk key: units], which pairs its units have
+        self.classes = []                      # window words, most edits, walk keys and their units, which pairs its units have
         most = {len(w): d for _, _, w, d in self.units}
         for size in sorted(most):
             if not self.classes or size > RATIO * self.classes[-1].size:
                 self.classes.append(Class(size, len(self.pairs) + 1))
             self.classes[-1].edits = most[size]      # sizes ascend, and so do the edits
         self.own_pairs = [frozenset(self.pair_ids(w).tolist()) for _, w, _ in self.items]
+        by_class: dict[int, list[int]] = defaultdict(list)
         for u, (_, _, w, _) in enumerate(self.units):
-            own = next(c for c in reversed(self.classes) if c.size <= len(w))
-            own.has_pair[self.pair_ids(w)] = True
-            for r in range(repeats):
-                start = np.array([len(w) - 1 if r % 2 else 0])
-                own.items[int(self.keys(w, start, 0, len(w), own.size, r)[0])].add(u)
-        for c in self.classes:
-            c.keys = np.sort(np.fromiter(c.items, np.uint64, len(c.items)))
+            own = next(i for i in range(len(self.classes) - 1, -1, -1) if self.classes[i].size <= len(w))
+            self.classes[own].has_pair[self.pair_ids(w)] = True
+            by_class[own].append(u)
+        for i, c in enumerate(self.classes):
+            keys, units = [], []
+            for at in range(0, len(by_class[i]), WALKED):
+                some = by_class[i][at:at + WALKED]
+                lengths = np.array([len(self.units[u][2]) for u in some])
+                hi = np.cumsum(lengths)
+                keys.append(self.keys(np.concatenate([self.units[u][2] for u in some]), hi - lengths, hi, hi - lengths, hi, c.size))
+                units.append(np.broadcast_to(np.array(some), keys[-1].shape))
+            keys, units = (np.concatenate([x.ravel() for x in xs]) for xs in (keys, units))
+            order = np.argsort(keys, kind="stable")
+            c.keys, c.units = keys[order], units[order].astype(np.int32)
 
     def pair_ids(self, ids: np.ndarray) -> np.ndarray:
         """1.. for word pairs of the items, 0 for all others."""
@@ -105,28 +114,40 @@ class Items:
         """1.. for words of the items, 0 for all others."""
         return _find(self.words, hashes)
 
-    def keys(self, ids: np.ndarray, start: np.ndarray, lo, hi, size: int, r: int) -> np.ndarray:
-        """The key of walk ``r`` from every start; ``[lo, hi)`` is the text's part of ``ids``."""
-        draw = np.random.default_rng((size, r))
-        steps = np.sort(draw.choice(2 * size, self.sampled, replace=False))
-        at, move = start.copy(), (-1 if r % 2 else 1)
-        key = np.full(len(start), r + 1, np.uint64) * W.SEEDS[20]
-        for step in range(int(steps[-1]) + 1):
-            inside = (at >= lo) & (at < hi)
-            word = np.where(inside, ids[np.clip(at, 0, len(ids) - 1)], -1).astype(np.int64).view(np.uint64)
-            if step in steps:
-                key = W.mix(key * W.SEEDS[21] + word)
-            salt = np.array([step * 1009 + r], np.uint64) * W.SEEDS[23]
-            bit = W.mix(word * W.SEEDS[22] + salt) >> _U(63)
-            at = at + move * bit.astype(np.int64)
-        return key
+    def keys(self, ids: np.ndarray, first: np.ndarray, end: np.ndarray, lo, hi, size: int) -> np.ndarray:
+        """The keys of all walks (a row each) for windows ``[first, end)`` of texts ``[lo, hi)`` of ``ids``; each second walk goes backward from the end.
+
+        All walks take a step together. They are ordered by their last sampled step, so those that have ended are left out."""
+        steps = [np.sort(np.random.default_rng((size, r)).choice(2 * size, self.sampled, replace=False)) for r in range(self.repeats)]
+        walks = sorted(range(self.repeats), key=lambda r: -steps[r][-1])
+        back = np.array([r % 2 == 1 for r in walks])[:, None]
+        move = np.where(back, -1, 1).astype(np.int64)
+        salts = W.mix(np.arange(2 * size * self.repeats, dtype=np.uint64).reshape(2 * size, -1) * W.SEEDS[23] + _U(size))
+        at = np.where(back, end - 1, first)
+        key = np.broadcast_to(W.mix((np.array(walks, np.uint64) + _U(1)) * W.SEEDS[20])[:, None], at.shape).copy()
+        mixed = W.mix((ids + 1).astype(np.uint64) * W.SEEDS[22])      # a word's random bits come from its mixed id
+        nothing = W.mix(np.array([0], np.uint64))[0]
+        last, n = len(ids) - 1, len(walks)
+        for step in range(int(steps[walks[0]][-1]) + 1):
+            while steps[walks[n - 1]][-1] < step:
+                n -= 1
+            here = at[:n]
+            word = np.where((here >= lo) & (here < hi), mixed[np.clip(here, 0, last)], nothing)
+            for i in range(n):
+                if step in steps[walks[i]]:
+                    key[i] = W.mix(key[i] * W.SEEDS[21] + word[i])
+            salt = salts[step, walks[:n]][:, None]
+            bit = ((word ^ salt) * (salt | _U(1))) >> _U(63)
+            here += move[:n] * bit.astype(np.int64)
+        out = np.empty_like(key)
+        out[walks] = key
+        return out
 
 
 class Class:
     def __init__(self, size: int, pairs: int):
         self.size, self.edits = size, 0
-        self.items: dict[int, set[int]] = defaultdict(set)
-        self.keys = np.zeros(0, np.uint64)
+        self.keys, self.units = np.zeros(0, np.uint64), np.zeros(0, np.int32)      # sorted by key; a key may have several units
         self.has_pair = np.zeros(pairs, bool)
 
 
@@ -220,12 +241,16 @@ def _search(items: Items):
                 windows = _windows(ids, pairs, ends, c)
                 doc = np.searchsorted(off, windows, "right") - 1
                 lo, hi = off[doc], off[doc + 1]
-                for r in range(items.repeats if len(windows) else 0):
-                    start = np.minimum(windows + c.size, hi) - 1 if r % 2 else windows
-                    keys = items.keys(ids, start, lo, hi, c.size, r)
-                    for i in np.flatnonzero(_find(c.keys, keys)).tolist():
-                        for u in c.items[int(keys[i])]:
-                            _confirm(items, u, ids, pairs, int(lo[i]), int(hi[i]), int(windows[i]), int(doc[i]), found, tried)
+                for at in range(0, len(windows), WALKED):
+                    part = slice(at, at + WALKED)
+                    first, its = windows[part], doc[part]
+                    keys = items.keys(ids, first, np.minimum(first + c.size, hi[part]), lo[part], hi[part], c.size)
+                    a = np.searchsorted(c.keys, keys)
+                    walk, i = np.nonzero((a < len(c.keys)) & (c.keys[np.minimum(a, len(c.keys) - 1)] == keys))
+                    z = np.searchsorted(c.keys, keys[walk, i], "right")
+                    near = {(int(x), int(u)) for x, p, q in zip(i, a[walk, i], z, strict=True) for u in c.units[p:q]}
+                    for x, u in sorted(near):
+                        _confirm(items, u, ids, pairs, int(lo[at + x]), int(hi[at + x]), int(first[x]), int(its[x]), found, tried)
             hits = sorted((d, k, *part) for (d, k), part in found.items())
             hits = [(d, items.items[k][0], len(items.items[k][1]), *part) for d, k, *part in hits] + _exact(items, ids, ends, off)
             doc_ids = b.column("doc_id").to_pylist() if hits else []
