@@ -13,7 +13,7 @@ Every builder takes SQL expression strings and returns one.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5              # the public table of named references
 
 from .. import config as C
 
@@ -23,19 +23,8 @@ from .. import config as C
 WS_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
-# Named HTML entities decoded by the cleaners (decoded in one pass).
-HTML_ENTITIES = [
-    ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-    ("&apos;", "'"), ("&#39;", "'"), ("&#34;", '"'), ("&copy;", "©"),
-    ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"),
-    ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-    ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"),
-    ("&bull;", "•"), ("&euro;", "€"), ("&pound;", "£"),
-    ("&amp;", "&"),
-]
-# ... and all other names of the standard library's table
-HTML_ENTITIES += [(f"&{name};", chr(code)) for name, code in sorted(name2codepoint.items()) if f"&{name};" not in dict(HTML_ENTITIES)]
+# How HTML reads numeric character references that name no character: C1 controls as windows-1252, the rest as they say.
+ODD_REFERENCES = {0: "\ufffd", 13: "\r", **{n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}}
 
 # Block-level tags that the Markdown-like converter turns into paragraph breaks.
 BLOCK_TAGS = ("p|div|article|section|ul|ol|table|tr|blockquote|header|footer|nav|"
@@ -47,7 +36,6 @@ TAG_RE = r"<[a-zA-Z/!?][^>]*>"            # a bare "<" is text
 AUTHORITY_RE = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)"   # urllib's netloc
 SCHEME_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://"
 LETTER_RUNS_RE = r"(\p{L}+|\P{L}+)"
-ENTITY_RE = r"^(#?[A-Za-z0-9]+);"
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss"
 BIG = 1 << 30
 
@@ -105,31 +93,53 @@ def nullif_empty(x: str) -> str:
 
 # --- HTML -------------------------------------------------------------------------
 
-def entity_map() -> str:
-    return "map(" + ", ".join(f"{lit(e[1:-1])}, {lit(ch)}" for e, ch in HTML_ENTITIES) + ")"
+CELLS = 64                       # strings that the table of references is dealt into
 
 
-def entity_code_point(name: str) -> str:
-    """Code point of a numeric entity name (``#233``, ``#xE9``); NULL when not
-    numeric or not a valid scalar value (0, surrogates, > U+10FFFF)."""
-    cp = (f"(CASE WHEN {name} RLIKE '^#[0-9]{{1,7}}$' THEN CAST(substring({name}, 2) AS BIGINT) "
-          f"WHEN {name} RLIKE '^#[xX][0-9a-fA-F]{{1,6}}$' THEN CAST(conv(substring({name}, 3), 16, 10) AS BIGINT) END)")
-    return f"(CASE WHEN {cp} BETWEEN 1 AND 1114111 AND NOT ({cp} BETWEEN 55296 AND 57343) THEN {cp} END)"
+def _cell(name: str) -> int:
+    return (ord(name[0]) * 7 + ord(name[1:2] or "\0")) % CELLS
+
+
+def reference_table() -> str:
+    """The table as an array of strings ``\\1 name \\2 text \\1 name ...``; a name is looked for in one of them."""
+    cells = ["\1"] * CELLS
+    for name, text in sorted(html5.items()):
+        cells[_cell(name)] += f"{name}\2{text}\1"
+    return "array(" + ", ".join(lit(c) for c in cells) + ")"
+
+
+def reference_text(table: str, name: str) -> str:
+    """What ``name`` (with or without its semicolon) stands for; empty if it is not in the table."""
+    cell = f"element_at({table}, pmod(ascii({name}) * 7 + ascii(substring({name}, 2, 1)), {CELLS}) + 1)"
+    return f"substring_index(split_part({cell}, concat('\1', {name}, '\2'), 2), '\1', 1)"
+
+
+def numeric_reference(r: str) -> str:
+    """The character of ``#65;``, ``#x41`` and so on."""
+    many = 1 << 21
+    dec, hexa = f"regexp_extract({r}, '^#0*([0-9]*)', 1)", f"regexp_extract({r}, '^#[xX]0*([0-9a-fA-F]*)', 1)"
+    num = (f"CASE WHEN {r} RLIKE '^#[xX]' THEN IF(length({hexa}) > 6, {many}, CAST(conv(concat('0', {hexa}), 16, 10) AS BIGINT)) "
+           f"WHEN length({dec}) > 7 THEN {many} ELSE CAST(concat('0', {dec}) AS BIGINT) END")
+    odd = "map(" + ", ".join(f"{n}L, {lit(c)}" for n, c in ODD_REFERENCES.items()) + ")"
+    out = (f"CASE WHEN n < 160 AND map_contains_key({odd}, n) THEN try_element_at({odd}, n) "
+           f"WHEN n > 1114111 OR n BETWEEN 55296 AND 57343 THEN '\ufffd' "
+           f"WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR (n & 65534) = 65534 THEN '' "
+           f"ELSE decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32') END")
+    return f"transform(array({num}), n -> {out})[0]"
 
 
 def decode_entities(x: str) -> str:
-    """One pass: split on '&'; a piece starting with a known ``name;`` or a
-    numeric ``#NNN;`` / ``#xHH;`` has it replaced (``&amp;lt;`` -> ``&lt;``, as
-    an HTML parser does). A code point becomes its character via UTF-32."""
-    name = f"regexp_extract(p, {lit(ENTITY_RE)}, 1)"
-    hit = f"try_element_at({entity_map()}, {name})"
-    cp = entity_code_point(name)
-    ch = f"decode(unhex(lpad(hex({cp}), 8, '0')), 'UTF-32')"
-    rest = f"substring(p, length({name}) + 2, {BIG})"
-    return (f"array_join(transform(split({x}, '&', -1), (p, i) -> CASE WHEN i = 0 THEN p "
-            f"WHEN {name} != '' AND {hit} IS NOT NULL THEN concat({hit}, {rest}) "
-            f"WHEN {cp} IS NOT NULL THEN concat({ch}, {rest}) "
-            f"ELSE concat('&', p) END), '')")
+    """Character references, in one pass, as HTML reads them: ``&name;``, ``&name`` where the standard's table has it without
+    the semicolon (the longest such name, ``&notit`` -> ``¬it``), ``&#65;`` and ``&#x41``. What is none stays as it is."""
+    short = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+    prefix = f"regexp_extract(name, '^({short})', 1)"
+    named = (f"transform(array({reference_text('t', 'name')}), hit -> CASE WHEN hit != '' THEN concat(hit, substring(p, length(name) + 1, {BIG})) "
+             f"ELSE transform(array({prefix}), pre -> IF(pre = '', concat('&', p), concat({reference_text('t', 'pre')}, substring(p, length(pre) + 1, {BIG}))))[0] END)[0]")
+    number = f"concat({numeric_reference('name')}, substring(p, length(name) + 1, {BIG}))"
+    name = r"regexp_extract(p, '^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)', 1)"
+    piece = f"transform(array({name}), name -> CASE WHEN name = '' THEN concat('&', p) WHEN startswith(name, '#') THEN {number} ELSE {named} END)[0]"
+    whole = f"array_join(transform(split(x, '&', -1), (p, i) -> IF(i = 0, p, {piece})), '')"
+    return f"transform(array({x}), x -> IF(x IS NULL OR NOT contains(x, '&'), x, transform(array({reference_table()}), t -> {whole})[0]))[0]"
 
 
 def clean_html(x: str) -> str:

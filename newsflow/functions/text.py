@@ -19,7 +19,6 @@ from ._expr import col, sql_of
 
 # fixed values live in sql.py; re-exported for the oracle generator
 WS_CLASS = S.WS_CLASS
-HTML_ENTITIES = S.HTML_ENTITIES
 BLOCK_TAGS = S.BLOCK_TAGS
 SCRIPT_STYLE_RE = S.SCRIPT_STYLE_RE
 COMMENT_RE = S.COMMENT_RE
@@ -27,7 +26,6 @@ TAG_RE = S.TAG_RE
 AUTHORITY_RE = S.AUTHORITY_RE
 SCHEME_RE = S.SCHEME_RE
 LETTER_RUNS_RE = S.LETTER_RUNS_RE
-ENTITY_RE = S.ENTITY_RE
 ISO_FMT = S.ISO_FMT
 
 

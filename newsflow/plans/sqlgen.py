@@ -52,19 +52,31 @@ def nullif_empty(x: str) -> str:
 
 
 def decode_entities(x: str) -> str:
-    name = f"regexp_extract(p, {q(T.ENTITY_RE)}, 1)"
-    case = " ".join(f"WHEN {q(ent[1:-1])} THEN {q(ch)}" for ent, ch in T.HTML_ENTITIES)
-    hit = f"(CASE {name} {case} END)"
-    num = (f"(CASE WHEN regexp_matches({name}, '^#[0-9]{{1,7}}$') THEN CAST(substr({name}, 2) AS BIGINT) "
-           f"WHEN regexp_matches({name}, '^#[xX][0-9a-fA-F]{{1,6}}$') THEN CAST('0x' || substr({name}, 3) AS BIGINT) END)")
-    cp = f"(CASE WHEN {num} BETWEEN 1 AND 1114111 AND NOT ({num} BETWEEN 55296 AND 57343) THEN {num} END)"
-    piece = (f"CASE WHEN i = 1 THEN p WHEN {name} <> '' AND {hit} IS NOT NULL "
-             f"THEN {hit} || substr(p, length({name}) + 2) "
-             f"WHEN {cp} IS NOT NULL THEN chr(CAST({cp} AS INTEGER)) || substr(p, length({name}) + 2) "
-             f"ELSE '&' || p END")
+    """Character references by the standard's rules, over a copy of the public table of this module's own."""
+    from html.entities import html5 as public
+    names = "MAP {" + ", ".join(f"{lit_any(k)}: {lit_any(v)}" for k, v in public.items()) + "}"
+    bare = "|".join(sorted((k for k in public if k[-1] != ";"), key=len, reverse=True))
+    whole = "regexp_extract(p, '^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)', 1)"
+    digits = f"ltrim(rtrim(ltrim({whole}, '#xX'), ';'), '0')"
+    is_hex = f"regexp_matches({whole}, '^#[xX]')"
+    num = (f"(CASE WHEN length({digits}) > 7 THEN 9999999 WHEN {digits} = '' THEN 0 WHEN {is_hex} THEN CAST('0x' || {digits} AS BIGINT) "
+           f"ELSE CAST({digits} AS BIGINT) END)")
+    c1 = " ".join(f"WHEN {n} THEN {lit_any(bytes([n]).decode('cp1252', 'ignore') or chr(n))}" for n in range(128, 160))
+    char = (f"(CASE {num} WHEN 0 THEN chr(65533) WHEN 13 THEN chr(13) {c1} ELSE CASE WHEN {num} > 1114111 OR ({num} >= 55296 AND {num} <= 57343) THEN chr(65533) "
+            f"WHEN {num} < 9 OR {num} = 11 OR ({num} > 13 AND {num} < 32) OR {num} = 127 OR ({num} >= 64976 AND {num} < 65008) OR {num} % 65536 >= 65534 THEN '' "
+            f"ELSE chr(CAST({num} AS INTEGER)) END END)")
+    first = f"regexp_extract({whole}, '^(' || {q(bare)} || ')', 1)"
+    piece = (f"CASE WHEN i = 1 THEN p WHEN {whole} = '' THEN '&' || p WHEN starts_with({whole}, '#') THEN {char} || substr(p, length({whole}) + 1) "
+             f"WHEN map_contains({names}, {whole}) THEN {names}[{whole}] || substr(p, length({whole}) + 1) "
+             f"WHEN {first} <> '' THEN {names}[{first}] || substr(p, length({first}) + 1) ELSE '&' || p END")
     return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {piece}), '')"
 
 
+def lit_any(s: str) -> str:
+    """SQL text literal of any characters."""
+    return "(" + " || ".join(q(c) if ord(c) >= 32 and ord(c) != 127 else f"chr({ord(c)})" for c in s) + ")" if any(ord(c) < 32 or ord(c) == 127 for c in s) else q(s)
+
+
 def clean_html(x: str) -> str:
     e = f"coalesce({x}, '')"
     e = f"regexp_replace({e}, {q(T.SCRIPT_STYLE_RE)}, ' ', 'g')"

@@ -56,7 +56,7 @@ def test_clean_html(spark):
 
 def test_numeric_entities(spark):
     assert one(spark, T.decode_entities(F.col("x")), x="&#233;t&#xE9; &#x1F600; &#0; &#xD800; &amp;#65;") \
-        == "été 😀 &#0; &#xD800; &#65;"
+        == "été 😀 \ufffd \ufffd &#65;"          # no such characters: as HTML reads them
 
 
 def test_clean_content_passthrough_and_rules(spark):
