@@ -26,10 +26,6 @@ WS_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
 # How HTML reads numeric character references that name no character: C1 controls as windows-1252, the rest as they say.
 ODD_REFERENCES = {0: "\ufffd", 13: "\r", **{n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}}
 
-# Block-level tags that the Markdown-like converter turns into paragraph breaks.
-BLOCK_TAGS = ("p|div|article|section|ul|ol|table|tr|blockquote|header|footer|nav|"
-              "main|aside|pre|figure|figcaption|dl|dd|dt|hr")
-
 SCRIPT_STYLE_RE = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
 COMMENT_RE = r"(?s)<!--.*?-->"
 TAG_RE = r"<[a-zA-Z/!?][^>]*>"            # a bare "<" is text
@@ -151,18 +147,9 @@ def clean_html(x: str) -> str:
 
 
 def clean_content(x: str) -> str:
-    e = rr(x, SCRIPT_STYLE_RE, "")
-    e = rr(e, COMMENT_RE, "")
-    for lvl in range(1, 7):
-        e = rr(e, rf"(?i)<h{lvl}\b[^>]*>", "\n\n" + "#" * lvl + " ")
-    e = rr(e, r"(?i)</h[1-6]\s*>", "\n\n")
-    e = rr(e, r"(?i)<li\b[^>]*>", "\n  * ")
-    e = rr(e, r"(?i)<br\s*/?>", "\n")
-    e = rr(e, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n\n")
-    e = rr(e, r"(?i)</?(b|strong)\b[^>]*>", "**")
-    e = rr(e, r"(?i)</?(i|em)\b[^>]*>", "_")
-    e = rr(e, TAG_RE, "")
-    e = decode_entities(e)
+    """HTML -> Markdown (``markdown.to_markdown``), then runs of blank lines and of blanks are made one."""
+    from .markdown import to_markdown
+    e = to_markdown(rr(rr(x, SCRIPT_STYLE_RE, ""), COMMENT_RE, ""))
     e = rr(e, f"\n{WS_CLASS}*\n", "\n\n")
     e = rr(e, "[ \t]+", " ")
     e = strip(e)

@@ -19,7 +19,6 @@ from ._expr import col, sql_of
 
 # fixed values live in sql.py; re-exported for the oracle generator
 WS_CLASS = S.WS_CLASS
-BLOCK_TAGS = S.BLOCK_TAGS
 SCRIPT_STYLE_RE = S.SCRIPT_STYLE_RE
 COMMENT_RE = S.COMMENT_RE
 TAG_RE = S.TAG_RE

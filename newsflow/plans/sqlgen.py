@@ -24,7 +24,12 @@ def lit_text(s: str) -> str:
     return " || chr(10) || ".join(q(p) for p in parts) if len(parts) > 1 else q(s)
 
 
-WS = T.WS_CLASS
+def _spaces() -> str:
+    """The characters that ``str.isspace`` knows, as a class."""
+    return "[" + "".join(f"{chr(92)}x{{{n:x}}}" for n in range(0x10000) if chr(n).isspace()) + "]"
+
+
+WS = _spaces()
 
 
 def strip(x: str) -> str:
@@ -88,19 +93,87 @@ def clean_html(x: str) -> str:
 NL = "chr(10)"
 
 
+def _let(name: str, x: str, body: str) -> str:
+    return f"(list_transform([{x}], lambda {name}: {body}))[1]"
+
+
+def markdown(x: str) -> str:
+    """The Markdown converter's rules as a fold over the tags (links and images ignored, lines not wrapped).
+
+    ``a`` is the state: text ``o``, breaks due ``p``, blanks at their ends ``b``, nothing yet on the line ``f``, a space due ``g``,
+    quotes ``q``, preformatted ``k`` and its beginning ``k1``, code ``c``, left out ``h``, lists ``l`` (0 and up: a counter), a list just
+    closed ``lc``, cells ``n``, in a row ``r``, first row ``t``, after a word ``w``, emphasis just opened ``e``, its text just ended ``z``.
+    ``u`` is a piece: tag name ``v``, closing ``x``, number ``s`` of the first item, text ``d``."""
+    keys = "o p b f g q k k1 c h l lc n r t w e z".split()
+
+    def upd(a: str, **new: str) -> str:
+        return "{" + ", ".join(f"'{k}': {new.get(k, f'{a}.{k}')}" for k in keys) + "}"
+
+    def among(*names: str) -> str:
+        return f"list_contains([{', '.join(q(n) for n in names)}], u.v)"
+    nl = "chr(10)"
+    edge = "repeat('>', a.q)"
+
+    def write(d: str, force: str) -> str:
+        """The state after the non-empty text ``d``."""
+        side = f"({edge} || CASE WHEN a.q > 0 AND NOT {force} THEN ' ' ELSE '' END || CASE WHEN a.k THEN repeat('    ', greatest(1, len(a.l))) ELSE '' END)"
+        body = f"(CASE WHEN a.k THEN replace((CASE WHEN a.k1 AND NOT starts_with({d}, {nl}) THEN {nl} ELSE '' END) || {d}, {nl}, {nl} || {side}) ELSE {d} END)"
+        body = f"(CASE WHEN a.k1 AND len(a.l) > 0 THEN ltrim({body}, {nl}) ELSE {body} END)"
+        lead = f"(CASE WHEN a.f THEN '' WHEN a.p > 0 THEN repeat(a.b || {nl} || {side}, a.p) WHEN a.g AND NOT ends_with(a.o, {nl}) THEN ' ' ELSE '' END)"
+        return upd("a", o=f"a.o || {lead} || {body}", p="0", b="(CASE WHEN a.p > 0 AND NOT a.f THEN '' ELSE a.b END)", f="false", g="false", k1="false")
+    open_, shut = "NOT u.x", "u.x"
+    emph = {"em": "_", "i": "_", "u": "_", "strong": "**", "b": "**", "del": "~~", "strike": "~~", "s": "~~"}
+    code = among("code", "tt", "kbd")
+    two = (f"({among('p', 'div', 'h1', 'h2', 'h3', 'h4', 'h5', 'h6', 'hr', 'pre', 'blockquote')} OR (u.v = 'dl' AND {open_}) "
+           f"OR ({among('ul', 'ol')} AND {open_} AND len(a.l) = 0 AND NOT a.lc))")
+    one = f"(u.v = 'li' OR ({among('tr', 'dt', 'dd')} AND {shut}))"
+    lists = (f"(CASE WHEN u.v = 'ul' AND {open_} THEN list_append(a.l, -1) WHEN u.v = 'ol' AND {open_} THEN list_append(a.l, u.s - 1) WHEN {among('ul', 'ol')} THEN a.l[1:greatest(len(a.l) - 1, 0)] "
+             f"WHEN u.v = 'li' AND {open_} AND len(a.l) > 0 AND a.l[len(a.l)] >= 0 THEN list_append(a.l[1:len(a.l) - 1], a.l[len(a.l)] + 1) ELSE a.l END)")
+    asked = upd("a", p=f"(CASE WHEN {two} THEN 2 WHEN {one} THEN greatest(a.p, 1) ELSE a.p END)", b=f"(CASE WHEN u.v = 'tr' AND {shut} THEN '  ' ELSE a.b END)", l=lists,
+                lc=f"({among('ul', 'ol')} AND {shut})", q=f"(CASE WHEN u.v = 'blockquote' AND {shut} THEN greatest(a.q - 1, 0) ELSE a.q END)",
+                k=f"(CASE WHEN u.v = 'pre' THEN {open_} ELSE a.k END)", k1=f"(CASE WHEN u.v = 'pre' THEN {open_} ELSE a.k1 END)",
+                h=f"(CASE WHEN u.v = 'head' THEN greatest(a.h + CASE WHEN {shut} THEN -1 ELSE 1 END, 0) WHEN u.v = 'body' AND {open_} THEN 0 ELSE a.h END)",
+                t=f"(CASE WHEN u.v = 'table' THEN {open_} ELSE a.t END)", n=f"(CASE WHEN u.v = 'tr' AND {open_} THEN 0 ELSE a.n END)")
+    marks = "CASE u.v " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in emph.items()) + " END"
+    mark = (f"(CASE WHEN {among('h1', 'h2', 'h3', 'h4', 'h5', 'h6')} AND {open_} THEN repeat('#', CAST(u.v[2] AS INTEGER)) || ' ' "
+            f"WHEN u.v = 'br' AND {open_} THEN '  ' || {nl} || CASE WHEN a.q > 0 THEN '> ' ELSE '' END WHEN u.v = 'hr' AND {open_} THEN '* * *' WHEN u.v = 'blockquote' AND {open_} THEN '> ' "
+            f"WHEN u.v = 'li' AND {open_} THEN repeat('  ', len(a.l)) || CASE WHEN len(a.l) > 0 AND a.l[len(a.l)] >= 0 THEN a.l[len(a.l)] || '. ' ELSE '* ' END "
+            f"WHEN u.v = 'dd' AND {open_} THEN '    ' WHEN {among('td', 'th')} AND {open_} AND a.r THEN '| ' WHEN u.v = 'tr' AND {shut} AND a.t THEN rtrim(repeat('---|', a.n), '|') "
+            f"WHEN {among('ul', 'ol')} AND {shut} AND len(a.l) = 0 THEN {nl} WHEN {among(*emph)} THEN CASE WHEN {open_} AND a.w THEN ' ' ELSE '' END || {marks} "
+            f"WHEN {code} AND NOT a.k THEN chr(96) WHEN u.v = 'q' THEN chr(34) ELSE '' END)")
+    ruled, begun = f"(u.v = 'tr' AND {shut} AND a.t)", f"({among(*emph)} AND {open_})"
+    settled = upd("a", f=f"(a.f OR ({among('li', 'blockquote')} AND {open_}))", q=f"(a.q + CASE WHEN u.v = 'blockquote' AND {open_} THEN 1 ELSE 0 END)",
+                  p=f"(CASE WHEN u.v = 'hr' THEN 2 WHEN {ruled} THEN 1 ELSE a.p END)", b=f"(CASE WHEN {ruled} THEN '  ' ELSE a.b END)", t=f"(a.t AND NOT {ruled})",
+                  r=f"((a.r OR ({among('td', 'th')} AND {open_})) AND NOT (u.v = 'tr' AND {shut}))", n=f"(a.n + CASE WHEN {among('td', 'th')} AND {open_} THEN 1 ELSE 0 END)",
+                  c=f"(CASE WHEN {code} AND NOT a.k THEN NOT a.c ELSE a.c END)", e=f"(a.e OR {begun})", w=f"(a.w AND NOT {begun})")
+    space = f"regexp_matches(u.d, {q('^(' + WS + '|[.!?])')})"
+    shown = f"(CASE WHEN a.e THEN {strip('u.d')} WHEN a.z AND NOT a.k AND NOT a.c AND NOT {space} THEN ' ' || u.d ELSE u.d END)"
+    bs = chr(92)
+    safe = f"regexp_replace(y, {q('(?m)^(' + WS + '*[0-9]+)[.](' + WS + ')')}, {q(bs + '1' + bs * 2 + '.' + bs + '2')}, 'g')"
+    safe = f"regexp_replace({safe}, {q('(?m)^(' + WS + '*)[+](' + WS + ')')}, {q(bs + '1' + bs * 2 + '+' + bs + '2')}, 'g')"
+    safe = f"regexp_replace({safe}, {q('(?m)^(' + WS + '*)-(' + WS + '|-)')}, {q(bs + '1' + bs * 2 + '-' + bs + '2')}, 'g')"
+    told = upd("a", e="false", z="a.e", w=f"(CASE WHEN y = '' THEN a.w ELSE NOT regexp_matches(y, {q(WS + '$')}) END)")
+    joined = f"(CASE WHEN a.k THEN y ELSE regexp_replace(CASE WHEN a.c THEN y ELSE {safe} END, {q(WS + '+')}, ' ', 'g') END)"
+    flow = _let("y", joined, _let("a", upd("a", g="(a.g OR (NOT a.k AND starts_with(y, ' ')))"), _let(
+        "y", "(CASE WHEN NOT a.k AND starts_with(y, ' ') THEN substr(y, 2) ELSE y END)", f"CASE WHEN y = '' THEN a ELSE {write('y', 'false')} END")))
+    said = f"(CASE WHEN u.d = '' THEN a ELSE {_let('y', shown, _let('z', told, f'CASE WHEN a.h > 0 THEN z ELSE {_let(chr(97), chr(122), flow)} END'))} END)"
+    marked = f"(CASE WHEN m = '' OR a.h > 0 THEN a ELSE {write('m', '(u.v = ' + q('blockquote') + ')')} END)"
+    step = _let("a", asked, _let("a", _let("m", mark, marked), _let("a", settled, said)))
+    begin = ("{'o': '', 'p': 0, 'b': '', 'f': true, 'g': false, 'q': 0, 'k': false, 'k1': false, 'c': false, 'h': 0, 'l': []::INTEGER[], 'lc': false, 'n': 0, 'r': false, 't': false, "
+             "'w': false, 'e': false, 'z': false}")
+    cut = f"string_split(regexp_replace({x}, '<([a-zA-Z/!?])', chr(1) || '{bs}1', 'g'), chr(1))"
+    tag = "j > 1 AND regexp_matches(i, '^[^>]*>')"
+    name = f"CASE WHEN j > 1 THEN lower(regexp_extract(i, '^/?([a-zA-Z][a-zA-Z0-9]*)[^>]*>', 1)) ELSE '' END"
+    number = f"coalesce(try_cast(regexp_extract(i, {q('(?i)^ol[^>]* start' + bs + 's*=' + bs + 's*[' + chr(34) + chr(39) + ']?([0-9]{1,8})')}, 1) AS INTEGER), 1)"
+    text = f"CASE WHEN j = 1 THEN i WHEN {tag} THEN substr(i, instr(i, '>') + 1) ELSE '<' || i END"
+    pieces = f"list_transform({cut}, lambda i, j: {{'v': {name}, 'x': j > 1 AND starts_with(i, '/'), 's': {number}, 'd': {decode_entities('(' + text + ')')}}})"
+    return f"(list_reduce({pieces}, lambda a, u: {step}, {begin})).o"
+
+
 def clean_content(x: str) -> str:
     e = f"regexp_replace({x}, {q(T.SCRIPT_STYLE_RE)}, '', 'g')"
     e = f"regexp_replace({e}, {q(T.COMMENT_RE)}, '', 'g')"
-    for lvl in range(1, 7):
-        e = f"regexp_replace({e}, {q(f'(?i)<h{lvl}' + chr(92) + 'b[^>]*>')}, {NL} || {NL} || {q('#' * lvl + ' ')}, 'g')"
-    e = f"regexp_replace({e}, {q('(?i)</h[1-6]' + chr(92) + 's*>')}, {NL} || {NL}, 'g')"
-    e = f"regexp_replace({e}, {q('(?i)<li' + chr(92) + 'b[^>]*>')}, {NL} || '  * ', 'g')"
-    e = f"regexp_replace({e}, {q('(?i)<br' + chr(92) + 's*/?>')}, {NL}, 'g')"
-    e = f"regexp_replace({e}, {q('(?i)</?(' + T.BLOCK_TAGS + ')' + chr(92) + 'b[^>]*>')}, {NL} || {NL}, 'g')"
-    e = f"regexp_replace({e}, {q('(?i)</?(b|strong)' + chr(92) + 'b[^>]*>')}, '**', 'g')"
-    e = f"regexp_replace({e}, {q('(?i)</?(i|em)' + chr(92) + 'b[^>]*>')}, '_', 'g')"
-    e = f"regexp_replace({e}, {q('</?[A-Za-z!?/][^>]*>')}, '', 'g')"
-    e = decode_entities(e)
+    e = markdown(e)
     e = f"regexp_replace({e}, {q(chr(92) + 'n' + WS + '*' + chr(92) + 'n')}, {NL} || {NL}, 'g')"
     e = f"regexp_replace({e}, {q('[ ' + chr(92) + 't]+')}, ' ', 'g')"
     e = strip(e)

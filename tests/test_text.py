@@ -148,4 +148,4 @@ def test_dense_position_crosses_ranges(spark):
 def test_bare_less_than_is_text_and_all_named_entities_decode(spark):
     src = "if a < b and c > d then caf&eacute; &agrave; &sum; <b>x</b><!-- y --></p>"
     assert one(spark, T.clean_html(F.col("t")), t=src) == "if a < b and c > d then café à ∑ x"
-    assert one(spark, T.clean_content(F.col("t")), t="1 < 2 &eacute;<br>z") == "1 < 2 é\nz"
+    assert one(spark, T.clean_content(F.col("t")), t="1 < 2 &eacute;<br>z") == "1 < 2 é \nz"      # a break is two blanks and a new line
