@@ -17,14 +17,6 @@ from .. import config as C
 from . import sql as S
 from ._expr import col, sql_of
 
-# fixed values live in sql.py; re-exported for the oracle generator
-WS_CLASS = S.WS_CLASS
-SCRIPT_STYLE_RE = S.SCRIPT_STYLE_RE
-COMMENT_RE = S.COMMENT_RE
-TAG_RE = S.TAG_RE
-AUTHORITY_RE = S.AUTHORITY_RE
-SCHEME_RE = S.SCHEME_RE
-LETTER_RUNS_RE = S.LETTER_RUNS_RE
 ISO_FMT = S.ISO_FMT
 
 

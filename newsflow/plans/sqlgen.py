@@ -3,14 +3,13 @@
 Each builder returns a DuckDB SQL *expression* with the same semantics as the
 Spark column function of the same name, written independently in DuckDB's
 dialect (RE2 regexes with the ``'g'`` flag, 1-based lists, ``list_*``
-functions). Only the shared fixed values (regex classes, entity table,
-texts) are imported.
+functions). No pattern of the implementation is imported, only knobs and the
+prompt and topic texts that both sides must share.
 """
 
 from __future__ import annotations
 
 from .. import config as C
-from ..functions import text as T
 
 
 def q(s: str) -> str:
@@ -30,6 +29,11 @@ def _spaces() -> str:
 
 
 WS = _spaces()
+SCRIPTS = r"(?is)<(?:script|style)(?:[\s/][^>]*)?>.*?</(?:script|style)\s*>"
+COMMENTS = r"(?s)<!--.*?-->"
+SCHEME = r"^[A-Za-z][A-Za-z0-9.+-]*://"
+NETLOC = r"^(?:[A-Za-z][A-Za-z0-9.+-]*:)?//([^/?#]*)"
+RUNS = r"([\p{L}]+|[^\p{L}]+)"
 
 
 def strip(x: str) -> str:
@@ -84,8 +88,8 @@ def lit_any(s: str) -> str:
 
 def clean_html(x: str) -> str:
     e = f"coalesce({x}, '')"
-    e = f"regexp_replace({e}, {q(T.SCRIPT_STYLE_RE)}, ' ', 'g')"
-    e = f"regexp_replace({e}, {q(T.COMMENT_RE)}, ' ', 'g')"
+    e = f"regexp_replace({e}, {q(SCRIPTS)}, ' ', 'g')"
+    e = f"regexp_replace({e}, {q(COMMENTS)}, ' ', 'g')"
     e = f"regexp_replace({e}, {q('</?[A-Za-z!?/][^>]*>')}, ' ', 'g')"
     return collapse_ws(decode_entities(e))
 
@@ -171,8 +175,8 @@ def markdown(x: str) -> str:
 
 
 def clean_content(x: str) -> str:
-    e = f"regexp_replace({x}, {q(T.SCRIPT_STYLE_RE)}, '', 'g')"
-    e = f"regexp_replace({e}, {q(T.COMMENT_RE)}, '', 'g')"
+    e = f"regexp_replace({x}, {q(SCRIPTS)}, '', 'g')"
+    e = f"regexp_replace({e}, {q(COMMENTS)}, '', 'g')"
     e = markdown(e)
     e = f"regexp_replace({e}, {q(chr(92) + 'n' + WS + '*' + chr(92) + 'n')}, {NL} || {NL}, 'g')"
     e = f"regexp_replace({e}, {q('[ ' + chr(92) + 't]+')}, ' ', 'g')"
@@ -181,7 +185,7 @@ def clean_content(x: str) -> str:
 
 
 def title_case(x: str) -> str:
-    return (f"array_to_string(list_transform(regexp_extract_all({x}, {q(T.LETTER_RUNS_RE)}, 1), "
+    return (f"array_to_string(list_transform(regexp_extract_all({x}, {q(RUNS)}, 1), "
             f"lambda w: (CASE WHEN left(w, 1) = 'ß' THEN 'Ss' ELSE upper(left(w, 1)) END) || lower(substr(w, 2))), '')")
 
 
@@ -194,7 +198,7 @@ def slug(x: str) -> str:
 
 
 def url_authority(x: str) -> str:
-    return f"regexp_extract(coalesce({x}, ''), {q(T.AUTHORITY_RE)}, 1)"
+    return f"regexp_extract(coalesce({x}, ''), {q(NETLOC)}, 1)"
 
 
 def source_name(x: str) -> str:
@@ -251,14 +255,14 @@ def display_date(x: str) -> str:
 
 def display_source(x: str) -> str:
     plain = f"upper(left({x}, 1)) || substr({x}, 2)"
-    auth = f"regexp_extract({x}, {q(T.AUTHORITY_RE)}, 1)"
+    auth = f"regexp_extract({x}, {q(NETLOC)}, 1)"
     host = f"lower(regexp_replace(regexp_replace({auth}, '^.*@', ''), ':[0-9]*$', ''))"
     for part in ("www.", ".com", ".org", ".net"):
         host = f"regexp_replace({host}, {q(part.replace('.', chr(92) + '.'))}, '')"   # first hit only
     last = f"replace(replace(string_split({x}, '/')[-1], '.xml', ''), '.rss', '')"
     return (f"(CASE WHEN {x} IS NULL OR {x} = '' THEN {q(C.UNKNOWN_SOURCE_TEXT)} "
             f"WHEN NOT contains({x}, 'http') AND NOT contains({x}, '/') THEN {plain} "
-            f"WHEN regexp_matches({x}, {q(T.SCHEME_RE)}) THEN {host} "
+            f"WHEN regexp_matches({x}, {q(SCHEME)}) THEN {host} "
             f"WHEN {last} = '' THEN {q(C.UNKNOWN_SOURCE_TEXT)} ELSE {last} END)")
 
 
