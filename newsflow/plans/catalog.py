@@ -1030,8 +1030,24 @@ def q_write_processed(spark, sf):
 
 
 @register("latest_snapshot", P_SQL + f"""
-SELECT page_id, id, {S.q(RUN_B)} AS run_ts, count(*) OVER () AS total_articles FROM processed""")
+SELECT page_id, id, title, content, array_to_string(tags, '|') AS tags, count(*) OVER () AS total_articles,
+  (SELECT count(DISTINCT (source_feed, page_id // {PER_FILE})) + 1 FROM processed) AS available_files
+FROM processed WHERE page_id < {PER_FILE}""")
 def q_latest_snapshot(spark, sf):
+    """The newest of the landed snapshot files: one range of articles, landed after all others."""
+    from pyspark.sql import types as Ty
+    path, p = scratch_path(spark, "snapshots"), TB.processed_articles(spark, sf)
+    FS.land_json_arrays(p, path, group_col="source_feed", order_col="page_id", prefix="processed_news_a", per_file=PER_FILE)
+    FS.land_json_arrays(p.filter(F.col("page_id") < PER_FILE).withColumn("_all", F.lit("all")), path, group_col="_all", order_col="page_id",
+                        prefix="processed_news_b", per_file=PER_FILE)
+    schema = Ty.StructType([*SC.SNAPSHOT_ARTICLE.fields, Ty.StructField("page_id", Ty.LongType())])
+    got = FS.latest_files(spark, path, schema=schema)
+    return got.select("page_id", "id", "title", "content", J("tags").alias("tags"), "total_articles", "available_files")
+
+
+@register("latest_run", P_SQL + f"""
+SELECT page_id, id, {S.q(RUN_B)} AS run_ts, count(*) OVER () AS total_articles FROM processed""")
+def q_latest_run(spark, sf):
     path = scratch_path(spark, "processed")
     p = TB.processed_articles(spark, sf)
     SK.write_processed(p, path, RUN_A)
