@@ -322,25 +322,36 @@ def q_fetch_stats(spark, sf):
     return IN.fetch_stats(IN.new_articles(raw, _seen_prev(spark, sf), row_id=("page_id",)))
 
 
-@register("feed_health", E_SQL + """,
-cnt AS (SELECT feed_url, count(*) AS entries,
-    count(*) FILTER (WHERE coalesce(title, '') = '') AS missing_title,
-    count(*) FILTER (WHERE coalesce(link, '') = '') AS missing_link,
-    count(*) FILTER (WHERE coalesce(summary, '') = '') AS missing_summary,
-    count(*) FILTER (WHERE coalesce(published, '') = '') AS missing_date,
-    count(*) FILTER (WHERE NOT (article_html <> '' OR coalesce(description, '') <> '')) AS missing_content,
-    false AS malformed
-  FROM entries GROUP BY feed_url),
+BROKEN_ENDING = "n"            # in feed_health and drop_unparsed, items whose title ends so arrive broken
+SILENT_FEED = "https://silent.example/none/"      # registered, but nothing has landed for it
+
+
+@register("feed_health", E_SQL + f""",
+e AS (SELECT *, right(coalesce(title, ''), 1) <> {S.q(BROKEN_ENDING)} AS ok FROM entries),
+cnt AS (SELECT feed_url, count(*) FILTER (WHERE ok) AS entries,
+    count(*) FILTER (WHERE ok AND coalesce(title, '') = '') AS missing_title,
+    count(*) FILTER (WHERE ok AND coalesce(link, '') = '') AS missing_link,
+    count(*) FILTER (WHERE ok AND coalesce(description, '') = '') AS missing_summary,
+    count(*) FILTER (WHERE ok AND coalesce(published, '') = '') AS missing_date,
+    count(*) FILTER (WHERE ok AND NOT (article_html <> '' OR coalesce(description, '') <> '')) AS missing_content,
+    bool_or(NOT ok) AS malformed
+  FROM e GROUP BY feed_url UNION ALL SELECT {S.q(SILENT_FEED)}, 0, 0, 0, 0, 0, 0, false),
 smp AS (SELECT * FROM (SELECT feed_url, row_number() OVER (PARTITION BY feed_url ORDER BY entry_pos) AS sample_pos,
     coalesce(title, '') AS sample_title, coalesce(link, '') AS sample_link,
-    left(coalesce(summary, ''), 100) AS summary_preview,
+    left(coalesce(description, ''), 100) AS summary_preview,
     left(CASE WHEN article_html <> '' THEN article_html ELSE coalesce(nullif(description, ''), '') END, 100)
       AS content_preview
-  FROM entries) WHERE sample_pos <= 3)
-SELECT * FROM cnt JOIN smp USING (feed_url)""")
+  FROM e WHERE ok) WHERE sample_pos <= 3)
+SELECT cnt.*, coalesce(sample_pos, 0) AS sample_pos, coalesce(sample_title, '') AS sample_title, coalesce(sample_link, '') AS sample_link,
+  coalesce(summary_preview, '') AS summary_preview, coalesce(content_preview, '') AS content_preview FROM cnt LEFT JOIN smp USING (feed_url)""")
 def q_feed_health(spark, sf):
-    e = TB.page_entries(spark, sf)
-    return IN.feed_health(e, registry=_registry(spark, sf))
+    """Landed documents with broken items, and a registered feed that is silent (its sample is empty)."""
+    from ..sources import feeds as FD
+    root = _land_feeds(spark, sf, broken=F.coalesce(F.col("title"), F.lit("")).endswith(BROKEN_ENDING))
+    registry = _registry(spark, sf).select("feed_url").union(spark.createDataFrame([(SILENT_FEED,)], "feed_url string"))
+    items = FD.scan_items(spark, root).withColumn("feed_category", F.lit(None).cast("string"))
+    health = IN.feed_health(FD.rss_items_to_entries(items), registry=registry)
+    return health.na.fill(0, ["sample_pos"]).na.fill("", ["sample_title", "sample_link", "summary_preview", "content_preview"])
 
 
 def _registry(spark, sf):
@@ -987,9 +998,6 @@ def q_rss_scan(spark, sf):
         F.col("`dc:creator`").alias("creator"), F.col("`content:encoded`").alias("content"))
 
 
-BROKEN_ENDING = "n"            # in drop_unparsed, items whose title ends so arrive broken
-
-
 @register("drop_unparsed", E_SQL + f"""
 SELECT title, link FROM entries WHERE right(coalesce(title, ''), 1) <> {S.q(BROKEN_ENDING)}""")
 def q_drop_unparsed(spark, sf):

@@ -255,3 +255,10 @@ def test_atom_scan_fixture(spark):
     assert r["url"] == "http://a.example/1" and r["date"] == "2024-02-03T04:05:06"
     assert r["author"] == "Ann" and r["content"] == "hi"
     assert list(r["categories"]) == ["t1", ""] and list(r["tags"]) == ["t1", "L2"]
+
+
+def test_api_summary_is_the_models_first(spark):
+    from newsflow.operators import api as AP
+    rows = [("a", "ai", "plain"), ("b", None, "plain"), ("c", None, None)]
+    got = AP.api_projection(spark.createDataFrame(rows, "title string, ai_summary string, summary string")).collect()
+    assert {r.title: r.summary for r in got} == {"a": "ai", "b": "plain", "c": ""}
