@@ -31,6 +31,14 @@ def byte_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def give_back_heap(spark: SparkSession) -> None:
+    """Have the executors' JVMs collect, so that heap which the work before has filled, and left, goes back to the system.
+
+    JVM and Python workers share an executor's memory and are busy in turns; a JVM alone would keep its largest heap for good."""
+    n = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).collect()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -50,3 +58,27 @@ def with_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     """
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return rows.join(F.broadcast(ids) if few else ids, key, how)
+
+
+ROW, OWN = "_row_key", "_own_doc_id"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique, non-null ``doc_id``; the own one is kept in ``OWN`` (see ``unkeyed``).
+
+    Unique ids stay as they are. Rows whose id is null or repeated get a negative key of their own; as two scans
+    need not number rows alike, the rows are then written with their keys."""
+    ids = docs.groupBy("doc_id").count().where("doc_id IS NULL OR doc_id < 0 OR count > 1").select("doc_id")
+    ids = stored(ids, "repeated-ids")
+    out = docs.withColumn(OWN, F.col("doc_id"))
+    if ids.isEmpty():
+        return out
+    repeated = ids.where("doc_id IS NOT NULL").withColumn("_repeated", F.lit(True))
+    out = out.withColumn(ROW, F.monotonically_increasing_id()).join(repeated, "doc_id", "left")
+    key = F.when(F.col("doc_id").isNull() | F.col("_repeated"), -1 - F.col(ROW)).otherwise(F.col("doc_id"))
+    return stored(out.withColumn("doc_id", key).select(*docs.columns, OWN), "keyed")
+
+
+def unkeyed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``keyed`` with their own ids again."""
+    return rows.withColumn("doc_id", F.col(OWN)).select(*columns)

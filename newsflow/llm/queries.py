@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +12,11 @@ TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers              # only the queries that need a tokenizer need the package
+    return str(public_tokenizers.path(name))
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item in every document: doc_id, item_id, the words it takes, edit distance and similarity."""
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -52,7 +56,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path(TOKENIZER)), with_ids=False)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(TOKENIZER), with_ids=False)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +68,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(table(spark, sf_dir, "documents"), str(public_tokenizers.path(BYTE_TOKENIZER)))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_TOKENIZER))
 
 
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:

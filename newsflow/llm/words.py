@@ -117,8 +117,22 @@ def _cut(data, edge, symbols, at: int, stop: int) -> int:
     return len(data)
 
 
+def give_back() -> None:
+    """Return what a Python worker has freed to the system: workers live on between tasks, and several share an executor's memory."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about ``size`` bytes of ``column``, one row at least."""
+    """The batches cut so that each holds about ``size`` bytes of ``column``, one row at least.
+
+    What earlier tasks of the worker left is given back first, what this one used last."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -129,7 +143,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE) ->
             to = min(batch.num_rows, max(at + 1, to))
             yield batch.slice(at, to - at)
             at = to
-    pa.default_memory_pool().release_unused()      # Python workers live on between tasks
+    give_back()
 
 
 def signed(x: np.ndarray) -> np.ndarray:

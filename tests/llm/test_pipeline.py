@@ -40,3 +40,22 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_stages_judge_rows(spark, tmp_path):
+    """Null and repeated ids: every row is judged for itself."""
+    folder, bench = str(tmp_path), prose(1, 30)
+    spark.createDataFrame([(1, bench), (2, "text"), (3, "yes and no")], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    key = 'token = "' + "0a9f" * 10 + '" end'
+    rows = [(None, prose(2, 40) + " " + bench + " " + prose(3, 40)), (None, prose(4, 60) + " text yes and no"), (None, prose(5, 50) + " " + key),
+            (7, prose(6, 60)), (7, prose(8, 60)), (7, prose(9, 40) + " " + bench), (7, prose(6, 60)), (8, prose(10, 50) + " " + key), (-3, prose(11, 60)), (9, None)]
+    rows += [(100 + i, prose(200 + i, 60)) for i in range(30)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).repartition(3)
+    near = stages.near_dedup(spark, docs, folder)
+    assert near.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in near.collect()) == sorted({(i or 0, t or "") for i, t in rows})      # only the copy of one row went
+    clean = stages.decontaminate(spark, docs, folder)
+    assert sorted((r.doc_id or 0, r.text or "") for r in clean.collect()) == sorted((i or 0, t or "") for i, t in rows if bench not in (t or ""))
+    masked = {(r.doc_id, r.text) for r in stages.secrets(spark, docs, folder).collect()}
+    hidden = {(i, t and t.replace("0a9f" * 10, "[SECRET]")) for i, t in rows}
+    assert masked == hidden
