@@ -141,8 +141,7 @@ class TextIndex:
         dealt = (forward.where("norm > 0").select("id", F.col("category").cast("string").alias("category"), "norm", "idx", "val")
                  .repartitionByRange("category", "norm", "id").sortWithinPartitions("category", "norm", "id"))
         lists = dealt.mapInArrow(_blocks(batch, schema, self.block_docs), schema)
-        even = self.spark.sql("SELECT /*+ REBALANCE(part) */ * FROM {lists}", lists=lists)
-        return self.postings.commit(self.postings.write(even, order=("bucket", "block")), lambda k: False, schema, base)
+        return self.postings.commit(self.postings.write(lists, order=("bucket", "block")), lambda k: False, schema, base)
 
     # --- searching ------------------------------------------------------------------
 

@@ -94,9 +94,9 @@ class VersionedTable:
         """The rows written as new folders, one for each partition, not yet part of any version; files sorted by ``order``."""
         commit = f"data/{uuid.uuid4().hex[:16]}"
         name = F.md5(F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in self.keys])))
-        named = rows.withColumn("_p", name)
-        order = list(order)
-        (named.sortWithinPartitions("_p", *order) if order else named).write.partitionBy("_p").parquet(f"{self.root}/{commit}")
+        # files of a good size: small partitions come together in a task, large ones are split over several
+        named = self.spark.sql("SELECT /*+ REBALANCE(_p) */ * FROM {rows}", rows=rows.withColumn("_p", name))
+        named.sortWithinPartitions("_p", *order).write.partitionBy("_p").parquet(f"{self.root}/{commit}")
         back = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{commit}")
         counts = (back.groupBy(*self.keys, F.regexp_extract(F.col("_metadata.file_path"), "_p=([0-9a-f]{32})", 1).alias("_p"))
                   .count().limit(LISTED + 1).collect())
