@@ -3,10 +3,11 @@
 A document is cut into units (a run of ASCII letters, or any other character) and,
 by a hash of its id, into prefix, middle and suffix. Every part leaves its task as
 pieces of at most ``PIECE`` bytes, cut between units and keyed by the row and the
-place in the output. The shuffle by row, sorted by (row, place) inside partitions,
-brings the pieces of an output together in order: they stream through an incremental
-digest or, for the texts, are joined. No task ever needs more than a piece and a
-hash state of a document (the texts: one document).
+place in the output. A repartition by row, sorted by (row, place) within partitions (as
+``repartitionAndSortWithinPartitions`` does it, in its DataFrame form), brings the
+pieces of an output together in order: they stream through an incremental
+digest or, for the texts, are joined. Beyond the cut, no task needs more than a piece and
+a hash state of a document (the texts: one document).
 
 For the way back the same stream is parsed: the form says which sentinel is next,
 the bytes say where it stands. What lies between the sentinels gets its place in the

@@ -99,7 +99,7 @@ class Scorer:
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall(text.lower()) if text else []
-        if not words or not self.langs:
+        if not self.langs or not any(c.isalpha() for w in words for c in w):      # fractions and raised digits are no letters
             return "und", 0.0
         total = np.zeros(len(self.langs))
         for at in range(0, len(words), CACHED // 2):

@@ -190,6 +190,8 @@ def test_language_of_held_out_texts(spark):
     model = langid.fit(spark.createDataFrame([*rows, (999, None, "aa", "s", 0), (998, "x", None, "s", 0)], DOCS))
     assert model["langs"] == ["aa", "bb", "cc"]
     asked = ["the ship", "Schiffe segelten", "navires", None, "", "123 %%", "中文", "das das the", "the " * 400_000]
+    odd = langid.predict(frame(spark, ["½ ²", "① 3", "½ the ship"]), model).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in odd] == ["und", "und", "aa"]
     got = [tuple(r)[-2:] for r in langid.predict(frame(spark, asked).withColumn("score", F.lit("clash")), model).orderBy("doc_id").collect()]
     assert [g[0] for g in got] == ["aa", "bb", "cc", "und", "und", "und", got[6][0], "bb", "aa"]
     assert got[6][0] in model["langs"] and all(0 <= g[1] <= 1 for g in got)
