@@ -21,7 +21,7 @@ from pyspark.sql import types as Ty
 
 from .. import config as C
 from ..session import scratch_path
-from .vectors import block_topk_fn
+from .vectors import _block_topk_fn
 
 PIVOTS = 1024                    # at most: their vectors travel with the tasks
 ROWS = 4096                      # vectors of a block
@@ -79,7 +79,7 @@ def _meet(probe: DataFrame, build: DataFrame, k: int, threshold: float | None, r
     b = (build.select(F.col("id").alias("b_id"), F.col("vec").alias("b_vec"), "cell").where(F.col("cell").isin(list(asked)))
          .withColumn("bb", F.pmod(F.xxhash64("b_id"), nb).cast("int")).withColumn("pb", F.explode(F.sequence(F.lit(0), np_ - 1)))
          .select("b_id", "b_vec", "cell", "pb", "bb"))
-    return p.groupBy("cell", "pb", "bb").cogroup(b.groupBy("cell", "pb", "bb")).applyInPandas(block_topk_fn(k, threshold, True, None), schema)
+    return p.groupBy("cell", "pb", "bb").cogroup(b.groupBy("cell", "pb", "bb")).applyInPandas(_block_topk_fn(k, threshold, True, None), schema)
 
 
 def knn_all_pruned(vectors: DataFrame, k: int = C.MAX_RESULTS, threshold: float | None = C.SIMILARITY_THRESHOLD, rows: int = ROWS,
