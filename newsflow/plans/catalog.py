@@ -926,22 +926,20 @@ def q_summary_fallback(spark, sf):
     return SU.summary_fallback(done, failed, None).select("doc_id", "source_file", "batch_id", "slot", "ai_summary")
 
 
-PER_FILE = 40                  # landed articles of a raw file, by ranges of page_id
-BROKEN_RANGE = 2               # in process_raw, the files of every third range arrive broken
+PER_FILE = 500                 # page_ids of a landed raw file
+BROKEN_CATEGORY = "fr"         # in process_raw, the files of this category arrive broken
 
 
 @register("process_raw", P_SQL + f""",
-f AS (SELECT page_id, source_feed, row_number() OVER (PARTITION BY source_feed, page_id // {PER_FILE} ORDER BY page_id) - 1 AS pos FROM processed)
+f AS (SELECT page_id, category, row_number() OVER (PARTITION BY category, page_id // {PER_FILE} ORDER BY page_id) - 1 AS pos FROM articles)
 SELECT p.page_id, p.id, p.title, p.source_feed, f.pos, nullif({S.lead_words('content', SU.TARGET_WORDS)}, '') AS ai_summary
-FROM processed p JOIN f USING (page_id) WHERE (p.page_id // {PER_FILE}) % 3 <> {BROKEN_RANGE}""")
+FROM processed p JOIN f USING (page_id) WHERE f.category <> {S.q(BROKEN_CATEGORY)}""")
 def q_process_raw(spark, sf):
     """Landed raw files, some broken and one empty, to the written table of processed runs."""
     from pyspark.sql import types as Ty
     from ..operators import pipeline as PL
     raw, path = TB.raw_articles(spark, sf), scratch_path(spark, "rawjson")
-    FS.land_json_arrays(raw, path, group_col="source_feed", order_col="page_id", per_file=PER_FILE,
-                        spoil=F.col("_c") % 3 == BROKEN_RANGE)
-    spark.range(1).select(F.lit("").alias("value")).write.text(path + "/empty")       # files without an article
+    FS.land_json_arrays(raw, path, group_col="category", order_col="page_id", per_file=PER_FILE, spoil=F.col("_g") == BROKEN_CATEGORY, empty=True)
     schema = Ty.StructType([*SC.RAW_ARTICLE.fields, Ty.StructField("page_id", Ty.LongType())])
     processed = SVT.VersionedTable(spark, scratch_path(spark, "processed"), ("source_file",))
     PL.process_raw_files(spark, path, processed, SVT.VersionedTable(spark, scratch_path(spark, "done"), ("source_file",)), schema)
@@ -1037,17 +1035,20 @@ def q_write_processed(spark, sf):
     return SK.write_processed(p, path, RUN_A).select("page_id", "id", "source_file", "run_ts")
 
 
+SNAPSHOT = 40                  # page_ids of the newest snapshot file
+
+
 @register("latest_snapshot", P_SQL + f"""
 SELECT page_id, id, title, content, array_to_string(tags, '|') AS tags, count(*) OVER () AS total_articles,
-  (SELECT count(DISTINCT (source_feed, page_id // {PER_FILE})) + 1 FROM processed) AS available_files
-FROM processed WHERE page_id < {PER_FILE}""")
+  (SELECT count(DISTINCT (source_feed, page_id // 1000)) + 1 FROM processed) AS available_files
+FROM processed WHERE page_id < {SNAPSHOT}""")
 def q_latest_snapshot(spark, sf):
     """The newest of the landed snapshot files: one range of articles, landed after all others."""
     from pyspark.sql import types as Ty
     path, p = scratch_path(spark, "snapshots"), TB.processed_articles(spark, sf)
-    FS.land_json_arrays(p, path, group_col="source_feed", order_col="page_id", prefix="processed_news_a", per_file=PER_FILE)
-    FS.land_json_arrays(p.filter(F.col("page_id") < PER_FILE).withColumn("_all", F.lit("all")), path, group_col="_all", order_col="page_id",
-                        prefix="processed_news_b", per_file=PER_FILE)
+    FS.land_json_arrays(p, path, group_col="source_feed", order_col="page_id", prefix="processed_news_a", per_file=1000)
+    FS.land_json_arrays(p.filter(F.col("page_id") < SNAPSHOT).withColumn("_all", F.lit("all")), path, group_col="_all", order_col="page_id",
+                        prefix="processed_news_b", per_file=SNAPSHOT)
     schema = Ty.StructType([*SC.SNAPSHOT_ARTICLE.fields, Ty.StructField("page_id", Ty.LongType())])
     got = FS.latest_files(spark, path, schema=schema)
     return got.select("page_id", "id", "title", "content", J("tags").alias("tags"), "total_articles", "available_files")

@@ -101,7 +101,7 @@ def article_by_id(vectors: DataFrame, article_id) -> DataFrame:
 
 
 def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, prefix: str = "raw_news_",
-                     per_file: int = 1000, spoil=None) -> str:
+                     per_file: int = 1000, spoil=None, empty: bool = False) -> str:
     """Write JSON-array files (the reference's file layout: one array of article
     objects per file), named ``{prefix}{n}.json``.
 
@@ -134,8 +134,9 @@ def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, p
             fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{prefix}{n:05d}.json"))
             n += 1
     fs.delete(src, True)
-    # a non-article file next to the runs, as in the reference's directory
-    out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/seen_articles.json"))
-    out.write(bytearray(b"[]"))
-    out.close()
+    # a non-article file next to the runs, as in the reference's directory, and (``empty``) a run without articles
+    for name in ["seen_articles.json"] + [f"{prefix}none.json"] * empty:
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"))
+        out.write(bytearray(b"[]"))
+        out.close()
     return path
