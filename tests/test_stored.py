@@ -214,3 +214,20 @@ def test_archive_can_be_repeated(spark, tmp_path):
     assert RT.archive_old_runs(live, archive, "2024-06-05T00:00:00") == 0
     assert sorted(r.id for r in archive.read().collect()) == [i for i in range(1, 6) for _ in range(2)]
     assert sorted(r.id for r in live.read().collect()) == [i for i in range(6, 11) for _ in range(2)]
+
+
+def test_documents_of_one_row_group_are_read_by_many_tasks(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id AS doc_id", "concat('word', id, ' some text') AS text", "'en' AS lang", "'s' AS source")
+    rows.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = SD.doc_records(spark, str(tmp_path))
+    assert docs.rdd.getNumPartitions() > 1
+    assert sorted(r.id for r in docs.select("id").collect()) == list(range(4000))
+
+
+def test_embedding_in_batches_equals_the_projection(spark):
+    from newsflow.operators.embed import embed_rows, embed_sparse
+    texts = ["The cat's THE\tthe\ncat 42 x9y", "", None, "İstanbul Kelvin Ärger straße", "...!", "a" * 300, " one  one two "]
+    docs = spark.createDataFrame([(i, t, "c" if i % 2 else None) for i, t in enumerate(texts)], "id bigint, body string, category string")
+    got = {r.id: (r.category, r.idx, r.val) for r in embed_rows(docs, "body", dim=64, keep=["category"]).collect()}
+    assert got == {r.id: (r.category, r.idx, r.val) for r in embed_sparse(docs, "body", dim=64, keep=["category"]).collect()}
+    assert all(abs(r.norm ** 2 - sum(x * x for x in r.val)) < 1e-9 for r in embed_rows(docs, "body").collect())
