@@ -9,7 +9,6 @@ from pyspark.sql import types as Ty
 
 from .. import schemas as SC
 
-
 def scan_raw(spark: SparkSession, raw_dir: str, pattern: str = "raw_news_*.json",
              schema: Ty.StructType = SC.RAW_ARTICLE) -> DataFrame:
     """All raw article files of a directory (one JSON array per file), other
@@ -108,7 +107,7 @@ def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, p
     A file holds the rows of a group within ``per_file`` values of the integer
     ``order_col`` (at most ``per_file`` rows if its values differ), so a
     large group becomes many files. The array is built on an executor
-    (``to_json(collect_list)``) and written by the text writer, one directory per
+    (``to_json(collect_list)``) and written by the text writer, one row per
     file. Only the renames run on the driver (file-system metadata).
     """
     cols = [c for c in df.columns]
@@ -119,24 +118,23 @@ def land_json_arrays(df: DataFrame, path: str, group_col: str, order_col: str, p
     if spoil is not None:                                     # files that arrive cut off, by group (_g) and range (_c)
         g = g.withColumn("value", F.when(spoil, F.expr("substring(value, 1, length(value) - 2)")).otherwise(F.col("value")))
     tmp = path.rstrip("/") + "/_staging"
-    g.write.partitionBy("_g", "_c").text(tmp)
+    # a file for each row, without folders; tasks put their files in place themselves (committer 2), not the driver one by one
+    g.select("value").write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(tmp)
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(tmp)
-    fs = src.getFileSystem(conf)
-    it = fs.listFiles(src, True)
-    n = 0
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.startswith("part-"):
-            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{prefix}{n:05d}.json"))
-            n += 1
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path    # looked up once: each step of the name is a call
+    src = at(tmp)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(f.rpartition("/")[2] for f in spark.read.text(tmp).inputFiles())
+    for n, name in enumerate(names):
+        staged = at(f"{tmp}/{name}")
+        if name.endswith("-c000.txt") and not fs.getFileStatus(staged).getLen():     # a task without rows
+            continue
+        if not fs.rename(staged, at(f"{path.rstrip('/')}/{prefix}{n:05d}.json")):
+            raise OSError(f"{name} could not be renamed")
     fs.delete(src, True)
     # a non-article file next to the runs, as in the reference's directory, and (``empty``) a run without articles
     for name in ["seen_articles.json"] + [f"{prefix}none.json"] * empty:
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"))
+        out = fs.create(at(f"{path.rstrip('/')}/{name}"))
         out.write(bytearray(b"[]"))
         out.close()
     return path

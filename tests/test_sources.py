@@ -262,3 +262,25 @@ def test_api_summary_is_the_models_first(spark):
     rows = [("a", "ai", "plain"), ("b", None, "plain"), ("c", None, None)]
     got = AP.api_projection(spark.createDataFrame(rows, "title string, ai_summary string, summary string")).collect()
     assert {r.title: r.summary for r in got} == {"a": "ai", "b": "plain", "c": ""}
+
+
+def test_landing_asks_the_driver_little_for_each_file(spark, monkeypatch):
+    client = spark.sparkContext._gateway._gateway_client
+    def calls(n):
+        rows = spark.createDataFrame([(f"id{i}", f"f{i}" if i else None, i) for i in range(n)], "id string, feed string, pos bigint")
+        d, asked = tempfile.mkdtemp() + "/raw", []
+        with monkeypatch.context() as m:
+            m.setattr(client, "send_command", lambda c, *a, _send=client.send_command, **b: asked.append(not c.startswith("m\n")) or _send(c, *a, **b))
+            FS.land_json_arrays(rows, d, "feed", "pos", per_file=10)
+        got = FS.scan_raw(spark, d, schema=rows.schema)
+        assert sorted(r.id for r in got.collect()) == sorted(f"id{i}" for i in range(n))
+        assert len([f for f in os.listdir(d) if f.endswith(".json")]) == n + 1
+        return sum(asked)
+    few, many = calls(20), calls(220)
+    assert (many - few) / 200 < 6                             # 9 when each file had folders to be listed
+
+
+def test_landing_no_articles_lands_no_file(spark):
+    d = tempfile.mkdtemp() + "/raw"
+    FS.land_json_arrays(spark.createDataFrame([], "id string, feed string, pos bigint"), d, "feed", "pos")
+    assert [f for f in os.listdir(d) if not f.startswith(".")] == ["seen_articles.json"]
