@@ -24,7 +24,8 @@ from ..session import scratch_path
 from .vectors import _block_topk_fn
 
 PIVOTS = 1024                    # at most: their vectors travel with the tasks
-ROWS = 4096                      # vectors of a block
+ROWS, MOST_ROWS = 4096, 32768    # vectors of a block, and of a large table's
+CELLS = 24                       # that many blocks before they grow: a vector is shipped to each of them
 ANGLE_SLACK, SCORE_SLACK = 1e-6, 1e-8      # what rounding may hide in an angle near 0, and in a score
 
 
@@ -63,39 +64,43 @@ def _partners(pivots: np.ndarray, radius: np.ndarray, threshold: float):
             may[np.arange(len(units)), b.column(2).to_numpy()] = False
             may[:, radius < 0] = False                        # an empty cell
             row, cell = np.nonzero(may)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(cell.astype(np.int32))], names=["id", "vec", "cell"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array(floor[row])],
+                                             names=["id", "vec", "cell", "floor"])
     return run
 
 
 def _meet(probe: DataFrame, build: DataFrame, k: int, threshold: float | None, rows: int, sizes: dict[int, int], asked: dict[int, int], schema) -> DataFrame:
-    """The k best in ``build``'s cell for each row of ``probe(id, vec, cell)``; ``sizes`` and ``asked`` count both by cell (at most ``PIVOTS`` entries)."""
+    """The k best in ``build``'s cell for each row of ``probe(id, vec, cell)``, of at least its ``floor`` if it has one; ``sizes`` and ``asked`` count both by cell (at most ``PIVOTS`` entries)."""
     def blocks(counts):
         return F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, -(-n // rows))])
     if not sizes or not asked:
         return probe.sparkSession.createDataFrame([], schema)
     nb, np_ = F.try_element_at(blocks(sizes), F.col("cell")), F.try_element_at(blocks(asked), F.col("cell"))
     p = (probe.withColumn("pb", F.pmod(F.xxhash64("id"), np_).cast("int")).withColumn("bb", F.explode(F.sequence(F.lit(0), nb - 1)))
-         .select("id", "vec", "cell", "pb", "bb"))
+         .select("id", "vec", "cell", "pb", "bb", *[c for c in ("floor",) if c in probe.columns]))
     b = (build.select(F.col("id").alias("b_id"), F.col("vec").alias("b_vec"), "cell").where(F.col("cell").isin(list(asked)))
          .withColumn("bb", F.pmod(F.xxhash64("b_id"), nb).cast("int")).withColumn("pb", F.explode(F.sequence(F.lit(0), np_ - 1)))
          .select("b_id", "b_vec", "cell", "pb", "bb"))
     return p.groupBy("cell", "pb", "bb").cogroup(b.groupBy("cell", "pb", "bb")).applyInPandas(_block_topk_fn(k, threshold, True, None), schema)
 
 
-def knn_all_pruned(vectors: DataFrame, k: int = C.MAX_RESULTS, threshold: float | None = C.SIMILARITY_THRESHOLD, rows: int = ROWS,
+def knn_all_pruned(vectors: DataFrame, k: int = C.MAX_RESULTS, threshold: float | None = C.SIMILARITY_THRESHOLD, rows: int | None = None,
                    pivots: int | None = None, report: dict | None = None) -> DataFrame:
     """``(id, neighbor_id, score, rank)``: the ``k`` most similar other vectors of every row of ``vectors(id, embedding)``, exactly.
 
     Scores are cosines, of at least ``threshold`` if given; ties (to 1e-9) by id. Null vectors and vectors without direction have
-    no neighbours. ``pivots`` is the number of cells (default: as many as blocks of ``rows`` vectors, ``PIVOTS`` at most).
+    no neighbours. ``rows`` is the size of a block (default: ``ROWS``, in large tables a ``CELLS``-th of all up to ``MOST_ROWS``, so that
+    vectors are shipped less often), ``pivots`` the number of cells (default: as many as blocks, ``PIVOTS`` at most).
     ``report`` is filled with the pairs of vectors there are and the pairs that were scored."""
     spark = vectors.sparkSession
     v = vectors.select("id", F.col("embedding").alias("vec")).where("vec IS NOT NULL")
     kind = v.schema["id"].dataType
     schema = Ty.StructType([Ty.StructField("id", kind), Ty.StructField("neighbor_id", kind), Ty.StructField("score", Ty.DoubleType())])
     least = -1.0 if threshold is None else threshold
-    if pivots is None:
-        pivots = min(PIVOTS, -(-v.count() // rows))
+    if rows is None or pivots is None:
+        n = v.count()
+        rows = rows or max(ROWS, min(MOST_ROWS, -(-n // CELLS)))
+        pivots = min(PIVOTS, -(-n // rows)) if pivots is None else pivots
     drawn = v.orderBy(F.xxhash64("id"), "id").limit(max(1, min(PIVOTS, pivots))).collect()
     units = [np.asarray(r["vec"], dtype=np.float64) for r in drawn]
     units = [u / np.linalg.norm(u) for u in units if np.linalg.norm(u) > 0]
@@ -123,7 +128,7 @@ def knn_all_pruned(vectors: DataFrame, k: int = C.MAX_RESULTS, threshold: float
         hits = spark.read.schema(hits.schema).parquet(at)
         kth = hits.where(F.col("rank") == k).select("id", F.col("score").alias("kth"))
         sent = (dealt.join(kth, "id", "left").select("id", "vec", "cell", F.coalesce("kth", F.lit(least)).alias("kth"))
-                .mapInArrow(_partners(centres, radius, least), Ty.StructType([v.schema["id"], v.schema["vec"], Ty.StructField("cell", Ty.IntegerType())])))
+                .mapInArrow(_partners(centres, radius, least), Ty.StructType([v.schema["id"], v.schema["vec"], Ty.StructField("cell", Ty.IntegerType()), Ty.StructField("floor", Ty.DoubleType())])))
         at = scratch_path(spark, "cells-sent")
         sent.write.parquet(at)
         sent = spark.read.schema(sent.schema).parquet(at)

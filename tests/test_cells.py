@@ -54,3 +54,44 @@ def test_odd_tables(spark):
     rows = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], "id bigint, embedding array<double>")
     assert knn_all_pruned(rows).count() == 0 and knn_all_pruned(rows.where("false")).count() == 0
     assert [tuple(r)[:2] for r in knn_all_pruned(spark.createDataFrame([(1, [1.0]), (2, [2.0])], rows.schema)).orderBy("id").collect()] == [(1, 2), (2, 1)]
+
+
+def test_scorer_equals_all_pairs_with_copies_nulls_and_repeated_ids():
+    import pandas as pd
+    from newsflow.operators.vectors import _block_topk_fn
+    rng = np.random.default_rng(5)
+    vec = np.round(rng.normal(size=(700, 8)), 1).astype(np.float32)
+    vec[200:500] = vec[7]                                     # more copies than the scorer picks out one by one
+    vec[600], vec[601, 3], vec[602, 0] = 0, np.nan, np.inf
+    ids = rng.permutation(700)
+    ids[:5] = ids[5]
+    rows = pd.DataFrame({"id": ids, "vec": list(vec)})
+    v = vec.astype(np.float64)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        raw = (v @ v.T) / np.outer(np.linalg.norm(v, axis=1), np.linalg.norm(v, axis=1))
+    key = np.where(np.isfinite(raw), np.round(raw, 9), -9)
+    key[ids[:, None] == ids[None, :]] = -9
+    for threshold in (0.25, None):
+        want = []
+        for i in range(700):
+            near = [j for j in sorted(range(700), key=lambda j: (-key[i, j], ids[j])) if key[i, j] > (-2 if threshold is None else threshold - 1e-12)]
+            want += [(ids[i], ids[j], round(raw[i, j], 6)) for j in near[:10]]
+        got = _block_topk_fn(10, threshold, True, None, chunk=64)(rows, rows)
+        assert sorted(zip(got["id"], got["neighbor_id"], got["score"].round(6))) == sorted(want)
+        floor = got.groupby("id")["score"].min()
+        again = _block_topk_fn(10, threshold, True, None)(rows.assign(floor=rows["id"].map(floor)), rows)
+        assert sorted(zip(again["id"], again["neighbor_id"], again["score"].round(6))) == sorted(want)
+
+
+def test_blocks_of_a_large_table_grow(spark, monkeypatch):
+    from newsflow.operators import cells
+    monkeypatch.setattr(cells, "ROWS", 8)
+    monkeypatch.setattr(cells, "CELLS", 4)
+    rng = np.random.default_rng(6)
+    rows = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(160)], "id bigint, embedding array<double>")
+    seen = []
+    monkeypatch.setattr(cells, "_meet", lambda *a, meet=cells._meet: seen.append(a[4]) or meet(*a))
+    got = cells.knn_all_pruned(rows, 5, 0.25)
+    assert seen and set(seen) == {40}                         # a vector is shipped to 4 cells, not to 20
+    want = knn_all_pruned(rows, 5, 0.25, rows=160, pivots=1)
+    assert sorted(tuple(r)[:2] for r in got.collect()) == sorted(tuple(r)[:2] for r in want.collect())
