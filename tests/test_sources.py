@@ -277,7 +277,7 @@ def test_landing_asks_the_driver_little_for_each_file(spark, monkeypatch):
         assert len([f for f in os.listdir(d) if f.endswith(".json")]) == n + 1
         return sum(asked)
     few, many = calls(20), calls(220)
-    assert (many - few) / 200 < 6                             # 9 when each file had folders to be listed
+    assert (many - few) / 200 < 6
 
 
 def test_landing_no_articles_lands_no_file(spark):
